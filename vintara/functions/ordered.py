@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 HOT_ROWS = 2_000_000
 CHUNK_SECONDS = 3600
+ORDINARY = -(2**62)  # chunk number of every row whose key is not hot
 
 
 def newest(*columns: str) -> list[Column]:
@@ -40,118 +41,145 @@ def hot_keys(frame: DataFrame, keys: Sequence[str], threshold: int = HOT_ROWS) -
     return frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold).select(*keys)
 
 
-def with_neighbours(
+def time_chunk(column: str) -> Column:
+    """Hour number of an instant column."""
+    return F.floor(F.unix_seconds(F.col(column).cast("timestamp")) / CHUNK_SECONDS).cast("long")
+
+
+def number_chunk(column: str, width: int = 100_000) -> Column:
+    return F.floor(F.col(column) / width).cast("long")
+
+
+def with_chunks(frame: DataFrame, keys: Sequence[str], hot: DataFrame, chunk: Column) -> DataFrame:
+    """Add ``_chunk``: ``chunk`` for rows of hot keys, ``ORDINARY`` for all others.
+
+    Rows then group by (key, _chunk), so no group holds a whole hot key.
+    """
+    flagged = F.broadcast(hot.select(*keys, F.lit(True).alias("_hot")))
+    return (
+        frame.join(flagged, list(keys), "left")
+        .withColumn("_chunk", F.when(F.col("_hot"), chunk).otherwise(F.lit(ORDINARY)).cast("long"))
+        .select(*frame.columns, "_chunk")
+    )
+
+
+def neighbours_in_chunks(
     frame: DataFrame,
     keys: Sequence[str],
     order: Sequence[tuple[str, str]],
+    hot: DataFrame,
     *,
     previous: dict[str, str] | None = None,
     following: dict[str, str] | None = None,
     ordinal: str | None = None,
-    hot_from: DataFrame | None = None,
-    threshold: int = HOT_ROWS,
-    chunk: Column | None = None,
 ) -> DataFrame:
-    """Add values of the previous / next row and a 1-based ordinal per key.
+    """Values of the previous / next row and a 1-based ordinal per key.
 
-    ``order`` is a list of (column, "asc" | "desc") and must be total within a key.
-    ``previous`` and ``following`` map a new column name to the column it copies.
-    ``hot_from`` is a cheap frame (usually the raw scan) whose per-key row counts bound
-    those of ``frame``; without it ``frame`` itself is counted.
-    ``chunk`` must not decrease along ``order``; by default it is the hour of the first
-    order column, or that column divided into runs when it is a number.
+    ``frame`` has ``_chunk`` from :func:`with_chunks`, and the chunk must not decrease
+    along ``order``, a list of (column, "asc" | "desc") that is total within a key.
+    ``previous`` and ``following`` map a new column to the column it copies.
     """
     previous, following = previous or {}, following or {}
-    first_column, first_direction = order[0]
-    if chunk is None:
-        kind = frame.schema[first_column].dataType.typeName()
-        if kind in ("timestamp", "timestamp_ntz"):
-            chunk = F.floor(F.unix_seconds(F.col(first_column).cast("timestamp")) / CHUNK_SECONDS)
-        elif kind == "date":
-            chunk = F.unix_date(first_column).cast("long")
-        else:
-            chunk = F.floor(F.col(first_column) / 100_000)
-        if first_direction == "desc":
-            chunk = -chunk
-
-    hot = hot_keys(hot_from if hot_from is not None else frame, keys, threshold)
-    hot_flag = F.broadcast(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot")))
-    same_key = [F.col(k) == F.col(f"_hot_{k}") for k in keys]
-    marked = (
-        frame.join(hot_flag, same_key, "left")
-        .withColumn("_chunk", F.when(F.col("_hot"), chunk).otherwise(F.lit(0)).cast("long"))
-        .drop(*[f"_hot_{k}" for k in keys])
-    )
     inside = Window.partitionBy(*keys, "_chunk").orderBy(
-        *[F.col(c).desc_nulls_last() if d == "desc" else F.col(c).asc_nulls_last() for c, d in order]
-    )
-    local = marked.withColumns({
+        *[F.col(c).desc_nulls_last() if d == "desc" else F.col(c).asc_nulls_last() for c, d in order])
+    local = frame.withColumns({
         "_rn": F.row_number().over(inside),
         **{f"_p_{n}": F.lag(c).over(inside) for n, c in previous.items()},
         **({"_last": F.lead(F.lit(False), 1, True).over(inside)} if following else {}),
         **{f"_f_{n}": F.lead(c).over(inside) for n, c in following.items()},
     })
 
-    hot_rows = frame.join(F.broadcast(hot), list(keys), "left_semi").withColumn("_chunk", chunk.cast("long"))
     rank = F.struct(*[_sortable(frame, c, d) for c, d in order])
+    used = list(dict.fromkeys([*keys, "_chunk", *[c for c, _ in order], *previous.values(), *following.values()]))
+    # the semi join names the chunk test too: ordinary rows never leave the scan side
+    hot_rows = frame.select(*used).where(F.col("_chunk") != ORDINARY).join(F.broadcast(hot), list(keys), "left_semi")
     borders = hot_rows.groupBy(*keys, "_chunk").agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.max_by(c, rank).alias(f"_tail_{n}") for n, c in previous.items()],
         *[F.min_by(c, rank).alias(f"_head_{n}") for n, c in following.items()],
     )
+    # one row per (hot key, chunk): bounded by the time span, not by the rows
     across = Window.partitionBy(*keys).orderBy("_chunk")
     stitched = borders.select(
-        *[F.col(k).alias(f"_b_{k}") for k in keys],
-        F.col("_chunk").alias("_b_chunk"),
-        F.coalesce(
-            F.sum("_rows").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_before"),
+        *keys, "_chunk", F.lit(True).alias("_stitched"),
+        F.coalesce(F.sum("_rows").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
         *[F.lag(f"_tail_{n}").over(across).alias(f"_bp_{n}") for n in previous],
         *[F.lead(f"_head_{n}").over(across).alias(f"_bf_{n}") for n in following],
     )
-    joined = local.join(
-        stitched,
-        [F.col(k) == F.col(f"_b_{k}") for k in keys]
-        + [F.col("_chunk") == F.col("_b_chunk"), F.col("_hot")],
-        "left",
-    )
-    out = joined.withColumns({
-        **{n: F.when((F.col("_rn") == 1) & F.col("_hot"), F.col(f"_bp_{n}")).otherwise(F.col(f"_p_{n}"))
+    out = local.join(stitched, [*keys, "_chunk"], "left").withColumns({
+        **{n: F.when((F.col("_rn") == 1) & F.col("_stitched"), F.col(f"_bp_{n}")).otherwise(F.col(f"_p_{n}"))
            for n in previous},
-        **{n: F.when(F.col("_last") & F.col("_hot"), F.col(f"_bf_{n}")).otherwise(F.col(f"_f_{n}"))
+        **{n: F.when(F.col("_last") & F.col("_stitched"), F.col(f"_bf_{n}")).otherwise(F.col(f"_f_{n}"))
            for n in following},
         **({ordinal: (F.col("_rn") + F.coalesce(F.col("_before"), F.lit(0))).cast("int")} if ordinal else {}),
     })
     added = [*previous, *following, *([ordinal] if ordinal else [])]
-    return out.select(*[c for c in frame.columns if c not in added], *added)
+    return out.select(*[c for c in frame.columns if c not in added and c != "_chunk"], *added)
 
 
-def _sortable(frame: DataFrame, column: str, direction: str) -> Column:
-    """A value that orders ascending the way ``column`` orders in ``direction``."""
-    if direction == "asc":
-        # nulls last under an ascending struct comparison
-        return F.struct(F.col(column).isNull().alias("n"), F.col(column).alias("v")).alias(f"o_{column}")
-    kind = frame.schema[column].dataType.typeName()
-    if kind in ("timestamp", "timestamp_ntz"):
-        number = -F.unix_micros(F.col(column).cast("timestamp"))
-    elif kind == "date":
-        number = -F.unix_date(column)
-    elif kind in ("integer", "long", "double", "short"):
-        number = -F.col(column)
-    else:
-        raise ValueError(f"descending order on {kind} column {column} is not supported for hot keys")
-    return F.struct(F.col(column).isNull().alias("n"), number.alias("v")).alias(f"o_{column}")
-
-
-def with_key_minimum(
-    frame: DataFrame, keys: Sequence[str], minima: dict[str, Column], source: DataFrame | None = None
+def running_last(
+    frame: DataFrame, keys: Sequence[str], order: Sequence[str], hot: DataFrame, column: str, into: str
 ) -> DataFrame:
-    """Join per-key minima of conditional expressions.
+    """Last non-null ``column`` at or before each row of its key, in ascending ``order``.
 
-    A map-side combined aggregate and an equi join: a hot key is one row on the aggregate
-    side and adaptive execution splits its rows on the other.
+    ``frame`` has ``_chunk``; what earlier chunks of a hot key end with is carried in.
     """
-    lows = (source if source is not None else frame).groupBy(*keys).agg(
-        *[F.min(expr).alias(name) for name, expr in minima.items()]
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(*oldest(*order)).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    local = frame.withColumn(f"_{into}", F.last(column, ignorenulls=True).over(inside))
+    rank = F.when(F.col(column).isNotNull(), F.struct(*[_sortable(frame, c, "asc") for c in order]))
+    ends = (
+        frame.select(*dict.fromkeys([*keys, "_chunk", *order, column])).where(F.col("_chunk") != ORDINARY)
+        .join(F.broadcast(hot), list(keys), "left_semi")
+        .groupBy(*keys, "_chunk").agg(F.max_by(column, rank).alias("_end"))
     )
-    return frame.join(lows, list(keys), "left")
+    across = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*keys, "_chunk", F.last("_end", ignorenulls=True).over(across).alias("_carry"))
+    return local.join(carried, [*keys, "_chunk"], "left").withColumn(
+        into, F.coalesce(F.col(f"_{into}"), F.col("_carry"))
+    ).drop(f"_{into}", "_carry", "_chunk")
+
+
+def with_neighbours(
+    frame: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[tuple[str, str]],
+    *,
+    hot_from: DataFrame | None = None,
+    threshold: int = HOT_ROWS,
+    chunk: Column | None = None,
+    **wanted,
+) -> DataFrame:
+    """:func:`neighbours_in_chunks` for a frame without chunks yet.
+
+    ``hot_from`` is a cheap frame (usually the raw scan) whose per-key row counts bound
+    those of ``frame``. ``chunk`` defaults to the hour or run of the first order column.
+    """
+    column, direction = order[0]
+    if chunk is None:
+        kind = frame.schema[column].dataType.typeName()
+        if kind in ("timestamp", "timestamp_ntz"):
+            chunk = time_chunk(column)
+        elif kind == "date":
+            chunk = F.unix_date(column).cast("long")
+        else:
+            chunk = number_chunk(column)
+        chunk = -chunk if direction == "desc" else chunk
+    hot = hot_keys(hot_from if hot_from is not None else frame, keys, threshold)
+    return neighbours_in_chunks(with_chunks(frame, keys, hot, chunk), keys, order, hot, **wanted)
+
+
+def _sortable(frame: DataFrame, column: str, direction: str) -> Column:
+    """A value whose ascending order is ``column``'s order in ``direction``, nulls last."""
+    value = F.col(column)
+    if direction == "desc":
+        kind = frame.schema[column].dataType.typeName()
+        if kind in ("timestamp", "timestamp_ntz"):
+            value = -F.unix_micros(value.cast("timestamp"))
+        elif kind == "date":
+            value = -F.unix_date(value)
+        elif kind in ("integer", "long", "double"):
+            value = -value
+        else:
+            raise ValueError(f"no descending order for {kind} column {column}")
+    return F.struct(F.col(column).isNull().alias("n"), value.alias("v")).alias(f"o_{column}")

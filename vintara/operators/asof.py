@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.instants import ensure_utc, instant, next_day_start_utc, normalize_as_of
-from ..functions.ordered import newest, top_row
+from ..functions.ordered import (
+    HOT_ROWS, hot_keys, newest, running_last, time_chunk, top_row, with_chunks, with_neighbours,
+)
 from ..plans.policy import (
-    FACT_ORIGINS, MODES, RULE_ORIGIN, SIDECAR_MARKER, VENDOR_REVISION, WEB_REVISION, Policy, fact_origin,
+    MODES, RULE_ORIGIN, SIDECAR_MARKER, VENDOR_REVISION, WEB_REVISION, Policy, fact_origin,
     marker_starts, of_origin, scope_filter, sidecar_origin, without_inactive,
 )
 
@@ -257,45 +259,47 @@ def series_metadata(vintages: DataFrame, scope: str, inactive: DataFrame | None
     return without_inactive(described, inactive)
 
 
-def point_lookup(probes: DataFrame, vintages: DataFrame, key: list[str], at: str = "probe_at") -> DataFrame:
+def point_lookup(probes: DataFrame, vintages: DataFrame, key: list[str], at: str = "probe_at",
+                 hot_rows: int = HOT_ROWS) -> DataFrame:
     """Value visible at each probe's own instant: a set-based as-of join.
 
     Vintages and probes are stacked and ordered per key; the running last vintage at or
-    before a probe is its answer. One shuffle, no range join and no row multiplication.
+    before a probe is its answer. No range join and no row multiplication.
     """
+    extra = [c for c in probes.columns if c not in key]
     facts = vintages.select(
         *key, F.col("available_at").alias("_at"), F.lit(0).alias("_is_probe"),
         F.struct("vintage_no", "retrieved_at", "raw_sha256", "value").alias("_seen"),
-        *[F.lit(None).cast(probes.schema[c].dataType).alias(c) for c in probes.columns if c not in key],
+        *[F.lit(None).cast(probes.schema[c].dataType).alias(c) for c in extra],
     )
     asked = probes.select(
         *key, F.col(at).alias("_at"), F.lit(1).alias("_is_probe"),
-        F.lit(None).cast(facts.schema["_seen"].dataType).alias("_seen"),
-        *[c for c in probes.columns if c not in key],
+        F.lit(None).cast(facts.schema["_seen"].dataType).alias("_seen"), *extra,
     )
-    order = Window.partitionBy(*key).orderBy("_at", "_is_probe", F.col("_seen").asc_nulls_last())
+    stacked = facts.unionByName(asked)
+    hot = hot_keys(stacked.select(*key), key, hot_rows)
     return (
-        facts.unionByName(asked)
-        .withColumn("_hit", F.last("_seen", ignorenulls=True).over(
-            order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        running_last(with_chunks(stacked, key, hot, time_chunk("_at")), key, ["_at", "_is_probe", "_seen"], hot,
+                     "_seen", "_hit")
         .where("_is_probe = 1")
         .select(*probes.columns, F.col("_hit.value").alias("visible_value"),
                 F.col("_hit.vintage_no").alias("visible_vintage_no"))
     )
 
 
-def previous_vintage(vintages: DataFrame, columns: list[str] = ("value", "vintage_no", "available_at", "pit_grade", "source_url")) -> DataFrame:
+PREVIOUS_COLUMNS = ["value", "vintage_no", "available_at", "pit_grade", "source_url"]
+
+
+def previous_vintage(vintages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Latest row with a smaller ``vintage_no`` of the same (source, series, period)."""
     key = ["source", "canonical_series_id", "period"]
     best = vintages.groupBy(*key, "vintage_no").agg(
-        F.max(F.struct("available_at", "retrieved_at", "raw_sha256", F.struct(*columns).alias("row"))).alias("_best")
-    )
-    # one row per vintage number now, so the running neighbour is bounded by vintages per period
-    before = best.withColumn(
-        "_previous", F.lag("_best.row").over(Window.partitionBy(*key).orderBy("vintage_no"))
-    ).select(*key, "vintage_no", "_previous")
+        F.max(F.struct("available_at", "retrieved_at", "raw_sha256", F.struct(*PREVIOUS_COLUMNS).alias("row"))).alias("_best")
+    ).select(*key, "vintage_no", F.col("_best.row").alias("_row"))
+    before = with_neighbours(best, key, [("vintage_no", "asc")], previous={"_previous": "_row"},
+                             hot_from=vintages.select(*key), threshold=hot_rows).drop("_row")
     return vintages.join(before, [*key, "vintage_no"]).select(
-        *vintages.columns, *[F.col(f"_previous.{c}").alias(f"previous_{c}") for c in columns]
+        *vintages.columns, *[F.col(f"_previous.{c}").alias(f"previous_{c}") for c in PREVIOUS_COLUMNS]
     )
 
 
