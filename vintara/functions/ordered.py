@@ -1,12 +1,15 @@
 """Order-dependent steps (top row, neighbours, ordinals) that survive a hot key.
 
-* ``top_row`` keeps the row-number filter shape that Spark runs as a group limit *before*
-  the shuffle, so a key holding a third of all rows ships one row per map task.
-* ``with_neighbours`` computes lag / lead / ordinals per key. Keys above a row threshold
-  are cut into time chunks; each chunk is a group of its own and the chunk borders are
-  stitched by a small frame with one row per (hot key, chunk). All other keys take the
-  plain window. The hot-key list holds at most ``rows / threshold`` keys (250,000 for
-  5e11 rows at the default threshold), which is what makes broadcasting it safe.
+``top_row`` keeps the row-number filter shape that Spark runs as a group limit *before* the
+shuffle, so a key holding a third of all rows ships one row per map task.
+
+Neighbours need a key's rows in order. :class:`HotKeys` first counts rows per key (key
+columns only, map-side combined). When no key is over the threshold the plain window is
+used. Otherwise rows of hot keys are cut into time chunks, each chunk is a group of its own,
+and a small frame with one row per (hot key, chunk) stitches the chunk borders. The hot list
+holds at most ``rows / threshold`` keys (250,000 for 5e11 rows at the default), which is
+what makes broadcasting it safe.
+
 Key columns are never null in the store's contract, so plain equality joins keys and the
 big side keeps the partitioning its window already has.
 """
@@ -36,11 +39,6 @@ def top_row(frame: DataFrame, keys: Sequence[str | Column], order: Sequence[Colu
     return frame.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def hot_keys(frame: DataFrame, keys: Sequence[str], threshold: int = HOT_ROWS) -> DataFrame:
-    """Keys holding more than ``threshold`` rows (map-side combined count)."""
-    return frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold).select(*keys)
-
-
 def time_chunk(column: str) -> Column:
     """Hour number of an instant column."""
     return F.floor(F.unix_seconds(F.col(column).cast("timestamp")) / CHUNK_SECONDS).cast("long")
@@ -50,24 +48,43 @@ def number_chunk(column: str, width: int = 100_000) -> Column:
     return F.floor(F.col(column) / width).cast("long")
 
 
-def with_chunks(frame: DataFrame, keys: Sequence[str], hot: DataFrame, chunk: Column) -> DataFrame:
-    """Add ``_chunk``: ``chunk`` for rows of hot keys, ``ORDINARY`` for all others.
+class HotKeys:
+    """Keys of ``frame`` holding more than ``threshold`` rows; counted once, on creation.
 
-    Rows then group by (key, _chunk), so no group holds a whole hot key.
+    ``frame`` should be cheap (usually the raw scan) with per-key counts that bound those
+    of the frames the list is later used with. Pass the same object to several steps to
+    count once.
     """
-    flagged = F.broadcast(hot.select(*keys, F.lit(True).alias("_hot")))
-    return (
-        frame.join(flagged, list(keys), "left")
-        .withColumn("_chunk", F.when(F.col("_hot"), chunk).otherwise(F.lit(ORDINARY)).cast("long"))
-        .select(*frame.columns, "_chunk")
-    )
 
+    def __init__(self, frame: DataFrame, keys: Sequence[str], threshold: int = HOT_ROWS):
+        self.keys = list(keys)
+        listed = frame.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(
+            F.col("_n") > threshold).select(*keys)
+        self.list: DataFrame | None = None if listed.isEmpty() else listed
+
+    def chunked(self, frame: DataFrame, chunk: Column) -> DataFrame:
+        """Add ``_chunk``: ``chunk`` on rows of hot keys, ``ORDINARY`` elsewhere."""
+        if self.list is None:
+            return frame.withColumn("_chunk", F.lit(ORDINARY).cast("long"))
+        flagged = F.broadcast(self.list.withColumn("_hot", F.lit(True)))
+        return frame.join(flagged, self.keys, "left").withColumn(
+            "_chunk", F.when(F.col("_hot"), chunk).otherwise(F.lit(ORDINARY)).cast("long")
+        ).select(*frame.columns, "_chunk")
+
+    def only(self, frame: DataFrame) -> DataFrame:
+        """Rows of hot keys; the semi join sinks to the scan below windows on the key."""
+        return frame.join(F.broadcast(self.list), self.keys, "left_semi")
+
+    @property
+    def group(self) -> list[str]:
+        """Partitioning that never holds a whole hot key."""
+        return self.keys if self.list is None else [*self.keys, "_chunk"]
 
-def neighbours_in_chunks(
+
+def neighbours(
     frame: DataFrame,
-    keys: Sequence[str],
     order: Sequence[tuple[str, str]],
-    hot: DataFrame,
+    hot: HotKeys,
     *,
     previous: dict[str, str] | None = None,
     following: dict[str, str] | None = None,
@@ -75,69 +92,51 @@ def neighbours_in_chunks(
 ) -> DataFrame:
     """Values of the previous / next row and a 1-based ordinal per key.
 
-    ``frame`` has ``_chunk`` from :func:`with_chunks`, and the chunk must not decrease
-    along ``order``, a list of (column, "asc" | "desc") that is total within a key.
+    ``frame`` has ``_chunk`` from :meth:`HotKeys.chunked`, which must not decrease along
+    ``order``, a list of (column, "asc" | "desc") that is total within a key.
     ``previous`` and ``following`` map a new column to the column it copies.
     """
     previous, following = previous or {}, following or {}
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(
+    inside = Window.partitionBy(*hot.group).orderBy(
         *[F.col(c).desc_nulls_last() if d == "desc" else F.col(c).asc_nulls_last() for c, d in order])
+    kept = [c for c in frame.columns if c not in (*previous, *following, ordinal, "_chunk")]
+    if hot.list is None:
+        return frame.select(
+            *kept,
+            *[F.lag(c).over(inside).alias(n) for n, c in previous.items()],
+            *[F.lead(c).over(inside).alias(n) for n, c in following.items()],
+            *([F.row_number().over(inside).alias(ordinal)] if ordinal else []),
+        )
     local = frame.withColumns({
         "_rn": F.row_number().over(inside),
         **{f"_p_{n}": F.lag(c).over(inside) for n, c in previous.items()},
         **({"_last": F.lead(F.lit(False), 1, True).over(inside)} if following else {}),
         **{f"_f_{n}": F.lead(c).over(inside) for n, c in following.items()},
     })
-
     rank = F.struct(*[_sortable(frame, c, d) for c, d in order])
-    used = list(dict.fromkeys([*keys, "_chunk", *[c for c, _ in order], *previous.values(), *following.values()]))
-    # the semi join names the chunk test too: ordinary rows never leave the scan side
-    hot_rows = frame.select(*used).where(F.col("_chunk") != ORDINARY).join(F.broadcast(hot), list(keys), "left_semi")
-    borders = hot_rows.groupBy(*keys, "_chunk").agg(
+    used = list(dict.fromkeys([*hot.group, *[c for c, _ in order], *previous.values(), *following.values()]))
+    borders = hot.only(frame.select(*used)).groupBy(*hot.group).agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.max_by(c, rank).alias(f"_tail_{n}") for n, c in previous.items()],
         *[F.min_by(c, rank).alias(f"_head_{n}") for n, c in following.items()],
     )
     # one row per (hot key, chunk): bounded by the time span, not by the rows
-    across = Window.partitionBy(*keys).orderBy("_chunk")
+    across = Window.partitionBy(*hot.keys).orderBy("_chunk")
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
     stitched = borders.select(
-        *keys, "_chunk", F.lit(True).alias("_stitched"),
-        F.coalesce(F.sum("_rows").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        *hot.group, F.lit(True).alias("_stitched"),
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
         *[F.lag(f"_tail_{n}").over(across).alias(f"_bp_{n}") for n in previous],
         *[F.lead(f"_head_{n}").over(across).alias(f"_bf_{n}") for n in following],
     )
-    out = local.join(stitched, [*keys, "_chunk"], "left").withColumns({
-        **{n: F.when((F.col("_rn") == 1) & F.col("_stitched"), F.col(f"_bp_{n}")).otherwise(F.col(f"_p_{n}"))
-           for n in previous},
-        **{n: F.when(F.col("_last") & F.col("_stitched"), F.col(f"_bf_{n}")).otherwise(F.col(f"_f_{n}"))
-           for n in following},
-        **({ordinal: (F.col("_rn") + F.coalesce(F.col("_before"), F.lit(0))).cast("int")} if ordinal else {}),
-    })
-    added = [*previous, *following, *([ordinal] if ordinal else [])]
-    return out.select(*[c for c in frame.columns if c not in added and c != "_chunk"], *added)
-
-
-def running_last(
-    frame: DataFrame, keys: Sequence[str], order: Sequence[str], hot: DataFrame, column: str, into: str
-) -> DataFrame:
-    """Last non-null ``column`` at or before each row of its key, in ascending ``order``.
-
-    ``frame`` has ``_chunk``; what earlier chunks of a hot key end with is carried in.
-    """
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(*oldest(*order)).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    local = frame.withColumn(f"_{into}", F.last(column, ignorenulls=True).over(inside))
-    rank = F.when(F.col(column).isNotNull(), F.struct(*[_sortable(frame, c, "asc") for c in order]))
-    ends = (
-        frame.select(*dict.fromkeys([*keys, "_chunk", *order, column])).where(F.col("_chunk") != ORDINARY)
-        .join(F.broadcast(hot), list(keys), "left_semi")
-        .groupBy(*keys, "_chunk").agg(F.max_by(column, rank).alias("_end"))
+    return local.join(stitched, hot.group, "left").select(
+        *kept,
+        *[F.when((F.col("_rn") == 1) & F.col("_stitched"), F.col(f"_bp_{n}")).otherwise(F.col(f"_p_{n}")).alias(n)
+          for n in previous],
+        *[F.when(F.col("_last") & F.col("_stitched"), F.col(f"_bf_{n}")).otherwise(F.col(f"_f_{n}")).alias(n)
+          for n in following],
+        *([(F.col("_rn") + F.coalesce(F.col("_before"), F.lit(0))).cast("int").alias(ordinal)] if ordinal else []),
     )
-    across = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(*keys, "_chunk", F.last("_end", ignorenulls=True).over(across).alias("_carry"))
-    return local.join(carried, [*keys, "_chunk"], "left").withColumn(
-        into, F.coalesce(F.col(f"_{into}"), F.col("_carry"))
-    ).drop(f"_{into}", "_carry", "_chunk")
 
 
 def with_neighbours(
@@ -145,16 +144,13 @@ def with_neighbours(
     keys: Sequence[str],
     order: Sequence[tuple[str, str]],
     *,
-    hot_from: DataFrame | None = None,
-    threshold: int = HOT_ROWS,
+    hot: HotKeys | None = None,
+    hot_rows: int = HOT_ROWS,
     chunk: Column | None = None,
     **wanted,
 ) -> DataFrame:
-    """:func:`neighbours_in_chunks` for a frame without chunks yet.
-
-    ``hot_from`` is a cheap frame (usually the raw scan) whose per-key row counts bound
-    those of ``frame``. ``chunk`` defaults to the hour or run of the first order column.
-    """
+    """:func:`neighbours` for a frame without chunks; the chunk is the hour, day or run of
+    the first order column."""
     column, direction = order[0]
     if chunk is None:
         kind = frame.schema[column].dataType.typeName()
@@ -165,8 +161,27 @@ def with_neighbours(
         else:
             chunk = number_chunk(column)
         chunk = -chunk if direction == "desc" else chunk
-    hot = hot_keys(hot_from if hot_from is not None else frame, keys, threshold)
-    return neighbours_in_chunks(with_chunks(frame, keys, hot, chunk), keys, order, hot, **wanted)
+    hot = hot or HotKeys(frame, keys, hot_rows)
+    return neighbours(hot.chunked(frame, chunk), order, hot, **wanted)
+
+
+def running_last(frame: DataFrame, order: Sequence[str], hot: HotKeys, column: str, into: str) -> DataFrame:
+    """Last non-null ``column`` at or before each row of its key, in ascending ``order``.
+
+    ``frame`` has ``_chunk``; what earlier chunks of a hot key end with is carried in.
+    """
+    inside = Window.partitionBy(*hot.group).orderBy(*oldest(*order)).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    local = frame.withColumn(into, F.last(column, ignorenulls=True).over(inside))
+    if hot.list is None:
+        return local.drop("_chunk")
+    rank = F.when(F.col(column).isNotNull(), F.struct(*[_sortable(frame, c, "asc") for c in order]))
+    ends = hot.only(frame.select(*dict.fromkeys([*hot.group, *order, column]))).groupBy(*hot.group).agg(
+        F.max_by(column, rank).alias("_end"))
+    across = Window.partitionBy(*hot.keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*hot.group, F.last("_end", ignorenulls=True).over(across).alias("_carry"))
+    return local.join(carried, hot.group, "left").withColumn(
+        into, F.coalesce(F.col(into), F.col("_carry"))).drop("_carry", "_chunk")
 
 
 def _sortable(frame: DataFrame, column: str, direction: str) -> Column:

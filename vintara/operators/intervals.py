@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.ordered import HOT_ROWS, hot_keys, neighbours_in_chunks, newest, time_chunk, top_row, with_chunks
+from ..functions.ordered import HOT_ROWS, HotKeys, neighbours, newest, time_chunk, top_row
 from ..plans.policy import (
     ALL_ORIGINS, RULE_ORIGIN, SIDECAR_MARKER, Policy, fact_origin, of_origin, scope_filter, sidecar_origin,
     without_inactive,
@@ -92,12 +92,35 @@ def _threshold_name(origin: str) -> str:
 THRESHOLD_ORIGINS = sorted({name for o in ALL_ORIGINS for name in o.yields_to})
 
 
+def _firsts() -> dict:
+    return {
+        _threshold_name(name): F.min(F.when(F.col("selection_origin") == name, F.col("visible_from")))
+        for name in THRESHOLD_ORIGINS
+    }
+
+
 def first_visible(pool: DataFrame, keys: list[str]) -> DataFrame:
     """First visible instant of each threshold origin per key."""
-    return pool.where(F.col("selection_origin").isin(THRESHOLD_ORIGINS)).groupBy(*keys).agg(*[
-        F.min(F.when(F.col("selection_origin") == name, F.col("visible_from"))).alias(_threshold_name(name))
-        for name in THRESHOLD_ORIGINS
-    ])
+    return pool.where(F.col("selection_origin").isin(THRESHOLD_ORIGINS)).groupBy(*keys).agg(
+        *[low.alias(name) for name, low in _firsts().items()])
+
+
+def with_first_visible(pool: DataFrame, hot: HotKeys) -> DataFrame:
+    """Attach those instants to every row of its key, over the partitioning ``hot`` allows.
+
+    A chunk of a hot key sees its own minima only, so the whole key's (one row per hot
+    key) are broadcast over them.
+    """
+    window = Window.partitionBy(*hot.group)
+    local = pool.withColumns({name: low.over(window) for name, low in _firsts().items()})
+    if hot.list is None:
+        return local
+    names = list(_firsts())
+    whole = first_visible(hot.only(pool), hot.keys).select(
+        *hot.keys, F.lit(True).alias("_whole"), *[F.col(n).alias(f"_{n}") for n in names])
+    return local.join(F.broadcast(whole), hot.keys, "left").withColumns({
+        n: F.when(F.col("_whole"), F.col(f"_{n}")).otherwise(F.col(n)) for n in names
+    }).drop("_whole", *[f"_{n}" for n in names])
 
 
 def dominance_filter(frame: DataFrame) -> DataFrame:
@@ -123,21 +146,13 @@ def effective_events(vintages: DataFrame, scope: str, *, sidecar: DataFrame | No
     """
     pool = without_inactive(
         candidates(vintages, scope, sidecar=sidecar, rules=rules, policy=policy, start=start, end=end), inactive)
-    hot = hot_keys(in_periods(vintages.where(scope_filter(scope)), start, end), KEY, hot_rows)
-    chunk = time_chunk("visible_from")
-
-    single = with_chunks(dedup_same_origin(pool), KEY, hot, chunk)
-    firsts = first_visible(pool, KEY)
-    # thresholds per chunk, so that the join is spread like the rows
-    chunks = with_chunks(pool.select(*KEY, "visible_from"), KEY, hot, chunk).select(*KEY, "_chunk").distinct()
-    firsts = chunks.join(firsts, KEY, "left")
-    alive = dominance_filter(single.join(firsts, [*KEY, "_chunk"])).drop(
+    hot = HotKeys(in_periods(vintages.where(scope_filter(scope)), start, end), KEY, hot_rows)
+    single = hot.chunked(dedup_same_origin(pool), time_chunk("visible_from"))
+    alive = dominance_filter(with_first_visible(single, hot)).drop(
         *[_threshold_name(name) for name in THRESHOLD_ORIGINS])
-    in_force = top_row(alive, [*KEY, "_chunk", "visible_from"], newest("source_priority", *RECENCY))
-    events = neighbours_in_chunks(
-        in_force, KEY, [("visible_from", "asc")], hot,
-        following={"valid_to": "visible_from"}, ordinal="event_no",
-    )
+    in_force = top_row(alive, [*hot.group, "visible_from"], newest("source_priority", *RECENCY))
+    events = neighbours(
+        in_force, [("visible_from", "asc")], hot, following={"valid_to": "visible_from"}, ordinal="event_no")
     return events.withColumnRenamed("visible_from", "valid_from").select(*EVENT_COLUMNS)
 
 

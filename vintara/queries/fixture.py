@@ -32,20 +32,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = table(spark, sf_dir, "orders").selectExpr(
-        # one struct per order: generated columns keep filters on derived columns from
-        # being unfolded down to the scan, where they would outgrow compiled code
-        "inline(array(named_struct("
-        " 'k', o_orderkey, 's', cast(o_custkey % 24 AS int),"
-        " 'priority', o_orderpriority,"
-        " 'jj', cast(CASE WHEN o_orderkey % 20 < 10"
-        "        AND (o_custkey % 24 + year(o_orderdate) * 12 + month(o_orderdate)) % 3 = 0"
-        "        THEN 12 ELSE o_orderkey % 20 END AS int),"
-        " 'period_start', trunc(o_orderdate, CASE WHEN o_custkey % 4 = 3 THEN 'QUARTER' ELSE 'MONTH' END),"
-        " 'period_end', last_day(CASE WHEN o_custkey % 4 = 3 THEN add_months(trunc(o_orderdate, 'QUARTER'), 2)"
-        "               ELSE cast(o_orderdate AS date) END))))",
+        "o_orderkey AS k", "cast(o_custkey % 24 AS int) AS s", "cast(o_orderdate AS date) AS d",
+        "o_orderpriority AS priority",
+        "cast(CASE WHEN o_orderkey % 20 < 10"
+        " AND (o_custkey % 24 + year(o_orderdate) * 12 + month(o_orderdate)) % 3 = 0"
+        " THEN 12 ELSE o_orderkey % 20 END AS int) AS jj",
     ).selectExpr(
-        "*",
-        "CASE WHEN s % 4 = 3 THEN 'Q' ELSE 'M' END AS frequency",
+        "k", "s", "jj", "priority",
+        "CASE WHEN s % 4 = 3 THEN trunc(d, 'QUARTER') ELSE trunc(d, 'MONTH') END AS period_start",
+        "CASE WHEN s % 4 = 3 THEN last_day(add_months(trunc(d, 'QUARTER'), 2)) ELSE last_day(d) END AS period_end",
         "CASE WHEN s < 12 THEN 'CN' WHEN s < 16 THEN 'US' WHEN s < 20 THEN 'DEU' ELSE 'GLB' END AS country",
         "CASE WHEN jj <= 5 THEN 'A' WHEN jj <= 9 THEN 'B' WHEN jj = 10 THEN 'C' ELSE 'D' END AS pit_grade",
         "CASE WHEN jj <= 5 OR jj = 16 THEN 'OFF1' WHEN jj <= 10 THEN 'OFF2' "
@@ -55,11 +50,16 @@ def vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "WHEN jj IN (17, 18) THEN 'third_party_current_history_first_seen_only' "
         "WHEN jj = 19 THEN 'imf_current_history_snapshot_x' "
         "WHEN jj <= 10 THEN 'official_page_date' END AS release_date_source",
-        "cast(period_end AS timestamp_ntz) + make_dt_interval(cast(k * 13 % 90 AS int), cast(k * 5 % 24 AS int), 0, 0)"
-        " AS available_at",
+        "make_dt_interval(cast(k * 13 % 90 AS int), cast(k * 5 % 24 AS int), 0, 0) AS lag",
+    ).selectExpr(
+        # one struct per order: filters on generated columns stay above this point instead of
+        # being unfolded into the scan, where they would outgrow compiled code
+        "inline(array(struct(k, s, jj, priority, period_start, period_end, country, pit_grade, source,"
+        " release_date_source, concat(country, '_S', s) AS canonical_series_id,"
+        " cast(period_end AS timestamp_ntz) + lag AS available_at)))",
     ).selectExpr(
         "*",
-        "concat(country, '_S', s) AS canonical_series_id",
+        "CASE WHEN s % 4 = 3 THEN 'Q' ELSE 'M' END AS frequency",
         "CASE WHEN s % 4 = 3 THEN concat(date_format(period_start, 'yyyy'), '-Q', quarter(period_start)) "
         "ELSE date_format(period_start, 'yyyy-MM') END AS period",
         "CASE WHEN jj <= 10 THEN available_at END AS release_at",
