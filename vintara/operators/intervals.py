@@ -125,14 +125,12 @@ def with_first_visible(pool: DataFrame, hot: HotKeys) -> DataFrame:
 
 def dominance_filter(frame: DataFrame) -> DataFrame:
     """Drop events seen at or after the first event of an origin they yield to."""
-    alive = None
+    tests = []
     for origin in ALL_ORIGINS:
-        ok = F.col("selection_origin") == origin.name
-        for name in origin.yields_to:
-            first = F.col(_threshold_name(name))
-            ok = ok & (first.isNull() | (F.col("visible_from") < first))
-        alive = ok if alive is None else alive | ok
-    return frame.where(alive)
+        firsts = [_threshold_name(name) for name in origin.yields_to]
+        tests.append(" AND ".join([f"selection_origin = '{origin.name}'",
+                                   *[f"({first} IS NULL OR visible_from < {first})" for first in firsts]]))
+    return frame.where(" OR ".join(f"({test})" for test in tests))
 
 
 def effective_events(vintages: DataFrame, scope: str, *, sidecar: DataFrame | None = None,

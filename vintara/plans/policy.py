@@ -97,12 +97,10 @@ def sidecar_origin() -> Column:
 
 def of_origin(column: str, attribute: str) -> Column:
     """Look an attribute of the origin named in ``column`` up in the policy."""
-    pairs = {o.name: getattr(o, attribute) for o in ALL_ORIGINS}
-    chain = None
-    for name, value in pairs.items():
-        test = F.col(column) == name
-        chain = F.when(test, F.lit(value)) if chain is None else chain.when(test, F.lit(value))
-    return chain
+    def text(value):
+        return f"'{value}'" if isinstance(value, str) else str(value)
+    return F.expr("CASE " + column + " " + " ".join(
+        f"WHEN '{o.name}' THEN {text(getattr(o, attribute))}" for o in ALL_ORIGINS) + " END")
 
 
 def scope_filter(scope: str) -> Column:
