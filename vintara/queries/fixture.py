@@ -43,7 +43,7 @@ def vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN s % 4 = 3 THEN last_day(add_months(trunc(d, 'QUARTER'), 2)) ELSE last_day(d) END AS period_end",
         "CASE WHEN s < 12 THEN 'CN' WHEN s < 16 THEN 'US' WHEN s < 20 THEN 'DEU' ELSE 'GLB' END AS country",
         "CASE WHEN jj <= 5 THEN 'A' WHEN jj <= 9 THEN 'B' WHEN jj = 10 THEN 'C' ELSE 'D' END AS pit_grade",
-        "CASE WHEN jj <= 5 OR jj = 16 THEN 'OFF1' WHEN jj <= 10 THEN 'OFF2' "
+        "CASE WHEN jj <= 5 OR (jj = 16 AND s < 20) THEN 'OFF1' WHEN jj <= 10 THEN 'OFF2' "
         "WHEN jj <= 14 AND s = 11 THEN 'SAFE' WHEN jj <= 15 THEN 'WIND' "
         "WHEN jj = 17 THEN 'EASTMONEY_MACRO' WHEN jj = 18 THEN 'SINA_MACRO' ELSE 'IMF' END AS source",
         "CASE WHEN jj = 15 THEN 'wind_revision_snapshot_x' WHEN jj = 16 THEN 'official_web_revision_first_seen' "
@@ -100,7 +100,7 @@ v1 AS (SELECT *, CASE WHEN s % 4 = 3 THEN 'Q' ELSE 'M' END AS frequency,
 v2 AS (SELECT *, country || '_S' || s AS canonical_series_id,
               CAST(date_trunc(CASE WHEN frequency = 'Q' THEN 'quarter' ELSE 'month' END, d) AS DATE) AS period_start,
               CASE WHEN jj <= 5 THEN 'A' WHEN jj <= 9 THEN 'B' WHEN jj = 10 THEN 'C' ELSE 'D' END AS pit_grade,
-              CASE WHEN jj <= 5 OR jj = 16 THEN 'OFF1' WHEN jj <= 10 THEN 'OFF2'
+              CASE WHEN jj <= 5 OR (jj = 16 AND s < 20) THEN 'OFF1' WHEN jj <= 10 THEN 'OFF2'
                    WHEN jj <= 14 AND s = 11 THEN 'SAFE' WHEN jj <= 15 THEN 'WIND'
                    WHEN jj = 17 THEN 'EASTMONEY_MACRO' WHEN jj = 18 THEN 'SINA_MACRO' ELSE 'IMF' END AS source,
               CASE WHEN jj = 15 THEN 'wind_revision_snapshot_x' WHEN jj = 16 THEN 'official_web_revision_first_seen'
