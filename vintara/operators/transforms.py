@@ -33,8 +33,9 @@ def parse_vintage(header: Column, prefix: Column | str = "") -> Column:
     number = F.regexp_extract(text, pattern, 3).try_cast("int")
     short = raw_year.try_cast("int")
     year = F.when(short >= 100, short).when(short >= 40, short + 1900).otherwise(short + 2000)
-    month_end = F.last_day(F.try_make_date(year, number, F.lit(1)))
-    mid_quarter = F.try_make_date(year, number * 3 - 1, F.lit(15))
+    # numbers out of range turn null before a date is made of them
+    month_end = F.last_day(F.make_date(year, F.when(number.between(1, 12), number), F.lit(1)))
+    mid_quarter = F.make_date(year, F.when(number.between(1, 4), number * 3 - 1), F.lit(15))
     valid = ((frequency == "M") & number.between(1, 12)) | ((frequency == "Q") & number.between(1, 4))
     return F.when(valid, F.struct(
         frequency.alias("frequency"), year.alias("year"), number.alias("number"),
@@ -57,7 +58,8 @@ def edition_end(edition: Column) -> Column:
     parted = clean.rlike(r"^\d{4}[-M]\d{1,2}($|-)")
     year = F.regexp_extract(clean, pattern, 1).try_cast("int")
     month = F.regexp_extract(clean, pattern, 2).try_cast("int")
-    return F.when((packed | parted) & month.between(1, 12), F.last_day(F.try_make_date(year, month, F.lit(1))))
+    known = F.when((packed | parted) & month.between(1, 12), month)
+    return F.last_day(F.make_date(year, known, F.lit(1)))
 
 
 def compressed(frame: DataFrame, keys: list[str], order: list[tuple[str, str]], value: str = "value",
