@@ -95,30 +95,38 @@ def period_label(day: Column, frequency: Column) -> Column:
     ).otherwise(F.date_format(day, "yyyy-MM"))
 
 
-def parse_period(text: Column, frequency: Column) -> Column:
-    """Label text (``2001-03``, ``2001M3``, ``2001:03``, ``2001-Q2``, ``2001Q2``) to
-    ``struct(period, period_start, period_end)``; null when it is no such label."""
+def with_period(frame: DataFrame, text: Column, frequency: Column) -> DataFrame:
+    """Add period, period_start, period_end read from label text.
+
+    Understands ``2001-03``, ``2001M3``, ``2001:03``, ``2001-Q2`` and ``2001Q2``; the three
+    columns are null where the text is no label of its frequency.
+    """
     clean = F.regexp_replace(F.upper(F.trim(text)), "[-:]", "")
-    m_year = F.regexp_extract(clean, r"(\d{4})M?(0?[1-9]|1[0-2])$", 1)
-    m_no = F.regexp_extract(clean, r"(\d{4})M?(0?[1-9]|1[0-2])$", 2)
-    q_year = F.regexp_extract(clean, r"(\d{4})Q([1-4])$", 1)
-    q_no = F.regexp_extract(clean, r"(\d{4})Q([1-4])$", 2)
+    month = r"(\d{4})M?(0?[1-9]|1[0-2])$"
+    quarter = r"(\d{4})Q([1-4])$"
     start = F.when(
-        (frequency == "M") & (m_year != ""),
-        F.make_date(m_year.cast("int"), m_no.cast("int"), F.lit(1)),
+        frequency == "M",
+        F.make_date(F.regexp_extract("_label", month, 1).try_cast("int"),
+                    F.regexp_extract("_label", month, 2).try_cast("int"), F.lit(1)),
     ).when(
-        (frequency == "Q") & (q_year != ""),
-        F.make_date(q_year.cast("int"), q_no.cast("int") * 3 - 2, F.lit(1)),
-    )
-    end = F.when(frequency == "Q", F.last_day(F.add_months(start, 2))).otherwise(F.last_day(start))
-    return F.when(
-        start.isNotNull(),
-        F.struct(
-            period_label(start, frequency).alias("period"),
-            start.alias("period_start"),
-            end.alias("period_end"),
-        ),
+        frequency == "Q",
+        F.make_date(F.regexp_extract("_label", quarter, 1).try_cast("int"),
+                    F.regexp_extract("_label", quarter, 2).try_cast("int") * 3 - 2, F.lit(1)),
     )
+    end = F.when(frequency == "Q", F.last_day(F.add_months("_start", 2))).otherwise(F.last_day("_start"))
+    # one projection per step keeps each expression evaluated once
+    return frame.withColumn("_label", clean).withColumn("_start", start).withColumns({
+        "period": period_label(F.col("_start"), frequency), "period_start": F.col("_start"), "period_end": end,
+    }).drop("_label", "_start")
+
+
+def evaluated(frame: DataFrame) -> DataFrame:
+    """Columns are computed once, here: filters further up are not unfolded into their expressions.
+
+    Generated columns stop predicate push-down, which otherwise repeats an expensive parse
+    for every condition over its result.
+    """
+    return frame.select(F.inline(F.array(F.struct(*frame.columns))))
 
 
 def period_index(period: Column, frequency: Column) -> Column:

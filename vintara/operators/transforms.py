@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.instants import day_start_utc, parse_period
+from ..functions.instants import day_start_utc, evaluated, with_period
 from ..functions.ordered import HOT_ROWS, newest, top_row, with_neighbours
 
 TOLERANCE = 1e-12
@@ -42,6 +42,17 @@ def parse_vintage(header: Column, prefix: Column | str = "") -> Column:
         F.when(frequency == "M", month_end).otherwise(mid_quarter).alias("vintage_date")))
 
 
+def dated_matrix(matrix: DataFrame, keys: list[str], prefix: str = "", value: str = "value") -> DataFrame:
+    """Unpivoted matrix with each header's parsed vintage; unknown headers drop out.
+
+    Headers are column names, so they are parsed once each in a small frame, not per cell.
+    """
+    headers = matrix.sparkSession.createDataFrame([(c,) for c in matrix.columns if c not in keys], "header string")
+    parsed = headers.select("header", parse_vintage(F.col("header"), prefix).alias("v")).where(
+        "v IS NOT NULL").select("header", "v.*")
+    return unpivot_matrix(matrix, keys, "header", value).join(parsed, "header")
+
+
 def vintage_times(frame: DataFrame, date_column: str, zone: str) -> DataFrame:
     """Release at the vintage date's local midnight, usable one day later."""
     return frame.withColumns({
@@ -77,19 +88,21 @@ def editions_to_observations(rows: DataFrame, mapping: DataFrame, zone: str = "E
     ``mapping`` keys are (ref_area, freq, measure, unit_measure); its ``country`` overrides
     the reference area. Index sentinels and unparsable rows drop out.
     """
-    joined = rows.join(mapping, [
-        rows.REF_AREA == mapping.ref_area, rows.FREQ == mapping.freq, rows.MEASURE == mapping.measure,
-        rows.UNIT_MEASURE == mapping.unit_measure])
-    parsed = joined.select(
+    reviewed = mapping.select(
+        F.col("ref_area").alias("_area"), F.col("freq").alias("_freq"), F.col("measure").alias("_measure"),
+        F.col("unit_measure").alias("_unit"), "canonical_series_id", "unit", "country")
+    joined = rows.join(reviewed, (F.col("REF_AREA") == F.col("_area")) & (F.col("FREQ") == F.col("_freq"))
+                       & (F.col("MEASURE") == F.col("_measure")) & (F.col("UNIT_MEASURE") == F.col("_unit")))
+    typed = with_period(joined.select(
         F.coalesce("country", "REF_AREA").alias("country"), "canonical_series_id",
         F.concat_ws("|", "MEASURE", "UNIT_MEASURE").alias("source_series_id"), F.col("FREQ").alias("frequency"), "unit",
-        F.col("OBS_VALUE").try_cast("double").alias("value"),
-        parse_period(F.col("TIME_PERIOD"), F.col("FREQ")).alias("p"), edition_end(F.col("EDITION")).alias("edition_end"),
-    ).where(
+        F.col("OBS_VALUE").try_cast("double").alias("value"), edition_end(F.col("EDITION")).alias("edition_end"),
+        "TIME_PERIOD",
+    ), F.col("TIME_PERIOD"), F.col("frequency")).drop("TIME_PERIOD")
+    parsed = evaluated(typed).where(
         F.col("value").isNotNull() & ~F.isnan("value") & (F.abs("value") < float("inf"))
-        & F.col("p").isNotNull() & F.col("edition_end").isNotNull()
-        & ~((F.col("unit") == "index") & (F.col("value") <= 0))
-    ).select("country", "canonical_series_id", "source_series_id", "frequency", "unit", "p.*", "value", "edition_end")
+        & F.col("period").isNotNull() & F.col("edition_end").isNotNull()
+        & ~((F.col("unit") == "index") & (F.col("value") <= 0)))
     timed = vintage_times(parsed, "edition_end", zone).withColumns({
         "pit_grade": F.lit("B"), "release_date_source": F.lit("edition_period_end")})
     return compressed(timed, ["country", "canonical_series_id", "period"],

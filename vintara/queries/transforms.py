@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.instants import parse_period
+from ..functions.instants import with_period
 from ..operators import contracts, transforms
 from . import query
 from .fixture import V, fields, table, vintages
@@ -30,9 +30,7 @@ def vintage_matrix(spark, sf_dir):
 
 
 def _dated_cells(spark, sf_dir):
-    cells = transforms.unpivot_matrix(matrix(spark, sf_dir), ["canonical_series_id", "period"])
-    return cells.withColumn("vintage", transforms.parse_vintage(F.col("header"), "SER")).select(
-        "canonical_series_id", "period", "header", "value", "vintage.*")
+    return transforms.dated_matrix(matrix(spark, sf_dir), ["canonical_series_id", "period"], "SER")
 
 
 @query("ing_11_matrix_headers", f"""
@@ -126,8 +124,8 @@ _LABEL = """CASE WHEN ingest_seq % 7 = 0 THEN 'x' || period WHEN ingest_seq % 7
         CASE WHEN ingest_seq % 7 <> 6 THEN period_start END AS period_start,
         CASE WHEN ingest_seq % 7 <> 6 THEN period_end END AS period_end FROM v""")
 def period_labels(spark, sf_dir):
-    return vintages(spark, sf_dir).select(
-        "ingest_seq", parse_period(F.expr(_LABEL), F.col("frequency")).alias("p")).select("ingest_seq", "p.*")
+    labels = vintages(spark, sf_dir).select("ingest_seq", "frequency", F.expr(_LABEL).alias("label"))
+    return with_period(labels, F.col("label"), F.col("frequency")).drop("label", "frequency")
 
 
 def daily(spark, sf_dir):
