@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.instants import day_start_utc, evaluated, with_period
@@ -17,39 +19,42 @@ def unpivot_matrix(matrix: DataFrame, keys: list[str], name: str = "header", val
         F.col(value).isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf")))
 
 
-def parse_vintage(header: Column, prefix: Column | str = "") -> Column:
-    """Vintage code (``<ID>65Q4``, ``99M3``, ``2001:M11``) to ``struct(frequency, year, number, vintage_date)``.
+def with_vintage(frame: DataFrame, header: str, prefix: str = "") -> DataFrame:
+    """Vintage code (``<ID>65Q4``, ``99M3``, ``2001:M11``) to frequency, year, number, vintage_date.
 
     Two-digit years from 40 on are 19xx. Monthly vintages mean the month's end, quarterly
-    ones the 15th of the quarter's middle month.
+    ones the 15th of the quarter's middle month. All four are null for other text.
     """
-    prefix = F.lit(prefix) if isinstance(prefix, str) else prefix
     clean = F.translate(F.upper(F.trim(header)), ":-", "")
-    text = F.when((prefix != "") & F.startswith(clean, F.upper(prefix)),
-                  F.substring(clean, F.length(prefix) + 1, F.length(clean))).otherwise(clean)
+    bare = F.regexp_replace(clean, f"^{re.escape(prefix.upper())}", "") if prefix else clean
     pattern = r"(\d{2,4})([QM])(\d{1,2})$"
-    raw_year = F.regexp_extract(text, pattern, 1)
-    frequency = F.regexp_extract(text, pattern, 2)
-    number = F.regexp_extract(text, pattern, 3).try_cast("int")
-    short = raw_year.try_cast("int")
-    year = F.when(short >= 100, short).when(short >= 40, short + 1900).otherwise(short + 2000)
-    # numbers out of range turn null before a date is made of them
-    month_end = F.last_day(F.make_date(year, F.when(number.between(1, 12), number), F.lit(1)))
-    mid_quarter = F.make_date(year, F.when(number.between(1, 4), number * 3 - 1), F.lit(15))
-    valid = ((frequency == "M") & number.between(1, 12)) | ((frequency == "Q") & number.between(1, 4))
-    return F.when(valid, F.struct(
-        frequency.alias("frequency"), year.alias("year"), number.alias("number"),
-        F.when(frequency == "M", month_end).otherwise(mid_quarter).alias("vintage_date")))
+    short = F.col("_year")
+    full = F.when(short >= 100, short).when(short >= 40, short + 1900).otherwise(short + 2000)
+    valid = ((F.col("_kind") == "M") & F.col("_no").between(1, 12)) | ((F.col("_kind") == "Q") & F.col("_no").between(1, 4))
+    day = F.when(F.col("frequency") == "M", F.last_day(F.make_date("year", "number", F.lit(1)))).otherwise(
+        F.make_date("year", F.col("number") * 3 - 1, F.lit(15)))
+    return (
+        frame.withColumn("_code", bare)
+        .withColumns({
+            "_year": F.regexp_extract("_code", pattern, 1).try_cast("int"),
+            "_kind": F.regexp_extract("_code", pattern, 2),
+            "_no": F.regexp_extract("_code", pattern, 3).try_cast("int"),
+        })
+        .withColumns({"frequency": F.when(valid, F.col("_kind")), "year": F.when(valid, full),
+                      "number": F.when(valid, F.col("_no"))})
+        .withColumn("vintage_date", day)
+        .drop("_code", "_year", "_kind", "_no")
+    )
 
 
 def dated_matrix(matrix: DataFrame, keys: list[str], prefix: str = "", value: str = "value") -> DataFrame:
     """Unpivoted matrix with each header's parsed vintage; unknown headers drop out.
 
-    Headers are column names, so they are parsed once each in a small frame, not per cell.
+    Headers are column names, so they are parsed once each in a frame of their own, not per cell.
     """
-    headers = matrix.sparkSession.createDataFrame([(c,) for c in matrix.columns if c not in keys], "header string")
-    parsed = headers.select("header", parse_vintage(F.col("header"), prefix).alias("v")).where(
-        "v IS NOT NULL").select("header", "v.*")
+    names = [c for c in matrix.columns if c not in keys]
+    headers = matrix.sparkSession.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("header"))
+    parsed = with_vintage(headers, "header", prefix).where("vintage_date IS NOT NULL")
     return unpivot_matrix(matrix, keys, "header", value).join(parsed, "header")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-GROUPS = ["asof", "intervals", "panels", "contracts", "ingest", "transforms", "estimation", "audits", "inventories"]
+GROUPS = ["asof", "intervals", "panels", "contracts", "ingest", "transforms", "estimation", "audits", "inventories", "texts"]
 
 
 def query(name: str, sql: str | None = None):
