@@ -151,7 +151,7 @@ def preferred_occurrence(documents: DataFrame, labels: list[str], keys: list[str
     parts = documents.select(*keys, F.posexplode(F.split(compact(F.col(text)), "[。；;]")).alias("position", "_part"),
                              cumulative.alias("_cumulative"))
     found = evaluated(parts.select(
-        *keys, "position", F.col("_part").rlike(F.col("_cumulative")).alias("cumulative"),
+        *keys, "position", F.regexp_like("_part", F.col("_cumulative")).alias("cumulative"),
         F.regexp_extract("_part", statement, 2).alias("direction"),
         F.regexp_extract("_part", statement, 3).try_cast("double").alias("raw"))).where("raw IS NOT NULL")
     # a running minimum per document: partial aggregation keeps long documents map-side
@@ -160,11 +160,11 @@ def preferred_occurrence(documents: DataFrame, labels: list[str], keys: list[str
                        signed(F.col("b.raw"), F.col("b.direction")).alias("value"))
 
 
-def _tables(html: Column) -> Column:
-    """tables -> rows -> compact cell texts."""
+def table_cells(html: Column, clean=compact) -> Column:
+    """tables -> rows -> cell texts, an array of arrays of arrays."""
     def cells(row: Column) -> Column:
         return F.transform(F.regexp_extract_all(row, F.lit(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"), 1),
-                           lambda c: compact(F.regexp_replace(c, "<[^>]*>", "")))
+                           lambda c: clean(F.regexp_replace(c, "<[^>]*>", "")))
     return F.transform(
         F.regexp_extract_all(html, F.lit(r"(?is)<table.*?</table>"), 0),
         lambda t: F.transform(F.regexp_extract_all(t, F.lit(r"(?is)<tr.*?</tr>"), 0), cells))
@@ -180,14 +180,14 @@ def table_metrics(pages: DataFrame, labels: dict[str, tuple[str, int]], keys: li
     ``labels`` maps a row label to (metric, cell index). Blank cells stay null; a cell that
     is neither blank nor a number, or tables that disagree, set ``problem``.
     """
-    rows = pages.select(*keys, F.col(month).alias("_month"), _tables(F.col(html)).alias("_tables")).select(
+    rows = pages.select(*keys, F.col(month).alias("_month"), table_cells(F.col(html)).alias("_tables")).select(
         *keys, "_month", F.posexplode(F.col("_tables")).alias("_table_no", "_rows"))
     want = F.concat(F.lit(r"^(指标)?\|0?"), F.col("_month").cast("string"), F.lit(r"月份?\|1[-—–至]0?"),
                     F.col("_month").cast("string"), F.lit("月份?$"))
     lines = rows.withColumn("_lines", F.transform("_rows", lambda r: F.concat_ws("|", r))).withColumn(
         "_at", F.coalesce(F.array_min(F.filter(
             F.sequence(F.lit(1), F.greatest(F.size("_lines") - 1, F.lit(1))),
-            lambda i: F.coalesce(F.get("_lines", i - 1).rlike(want), F.lit(False))
+            lambda i: F.coalesce(F.regexp_like(F.get("_lines", i - 1), want), F.lit(False))
             & (F.get("_lines", i) == "|".join(HEADER_CELLS)))), F.lit(0)))
     body = evaluated(lines.select(*keys, "_rows", "_at")).where((F.col("_at") > 0) & (F.col("_at") <= 8)).select(
         *keys, F.explode(F.slice("_rows", F.col("_at") + 2, F.size("_rows"))).alias("_cells"))
@@ -385,7 +385,7 @@ def consolidated_months(pages: DataFrame, labels: dict[str, str], keys: list[str
     The header row lists ``YYYY-MM`` months; each data row has a label and one cell, or a
     pair of cells, per month.
     """
-    rows = pages.select(*keys, F.explode(_tables(F.col(html))).alias("_rows")).withColumn(
+    rows = pages.select(*keys, F.explode(table_cells(F.col(html))).alias("_rows")).withColumn(
         "_months", F.filter(F.get("_rows", F.lit(0)), lambda c: c.rlike(r"^\d{4}-\d{2}$"))).where(F.size("_months") > 0)
     body = rows.select(*keys, "_months", F.explode(F.slice("_rows", 2, F.size("_rows"))).alias("_cells"))
     step = 2 if paired else 1

@@ -116,10 +116,13 @@ def editions_to_observations(rows: DataFrame, mapping: DataFrame, zone: str = "E
 
 def last_of_month(daily: DataFrame, keys: list[str], date_column: str, columns: list[str],
                   closed_before: str | None = None) -> DataFrame:
-    """Last observed day per key and month; a month still open at ``closed_before`` is left out."""
+    """Last observed day per key and month; days from ``closed_before`` on are not read.
+
+    Pass the first day of the open month to leave that month out.
+    """
     rows = daily
     if closed_before is not None:
-        rows = rows.where(F.last_day(date_column) < F.lit(closed_before).cast("date"))
+        rows = rows.where(F.col(date_column) < F.lit(closed_before).cast("date"))
     best = rows.groupBy(*keys, F.last_day(date_column).alias("period_end")).agg(
         F.max(F.struct(date_column, *columns)).alias("_last"))
     return best.select(*keys, "period_end", *[F.col(f"_last.{c}").alias(c) for c in (date_column, *columns)])

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-GROUPS = ["asof", "intervals", "panels", "contracts", "ingest", "transforms", "estimation", "audits", "inventories", "texts"]
+GROUPS = ["reading", "contracts", "ingest", "transforms", "asof", "panels", "intervals", "estimation", "audits",
+          "inventories", "texts", "upkeep"]
 
 
 def query(name: str, sql: str | None = None):

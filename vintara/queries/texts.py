@@ -125,7 +125,7 @@ def metric_rules(spark, sf_dir):
     WITH {FACTS} SELECT k, k % 2 = 0 AS cumulative, CASE k % 4 WHEN 0 THEN -v WHEN 1 THEN 0.5 ELSE v END AS value
     FROM facts WHERE k % 4 <> 3""")
 def preferred_occurrence(spark, sf_dir):
-    return tx.preferred_occurrence(read_bulletins(spark, sf_dir), ["全国税收收入", "税收收入"], ["k"]).select(
+    return tx.preferred_occurrence(read_bulletins(spark, sf_dir), ["全国税收收入", "税收收入"], ["k"], month="m").select(
         "k", "cumulative", "value")
 
 
@@ -145,14 +145,14 @@ LABELS = {"规模以上工业增加值": ("CN_INDUSTRIAL", 2), "固定资产投
         CASE WHEN k % 7 <> 0 AND k % 13 = 0 THEN 'unexpected_cell' WHEN k % 10 = 0 THEN 'conflicting_tables' END AS problem FROM facts WHERE k % 4 <> 3
     UNION ALL SELECT k, 'CN_FAI_YTD', v + 2, NULL FROM facts WHERE k % 4 <> 3""")
 def table_cells(spark, sf_dir):
-    return tx.table_metrics(bulletins(spark, sf_dir), LABELS, ["k"])
+    return tx.table_metrics(bulletins(spark, sf_dir), LABELS, ["k"], month="m")
 
 
 @query("txt_08_enumerated_months", f"""
     WITH {FACTS} SELECT k, NULL AS problem, CAST(i AS INTEGER) AS month, (4.5 + i * 0.5)::DOUBLE AS value FROM facts, range(1, 13) r(i) WHERE i <= m AND k % 9 <> 0
     UNION ALL SELECT k, 'months_and_values_differ', NULL, NULL FROM facts WHERE k % 9 = 0""")
 def enumerated_months(spark, sf_dir):
-    return tx.enumerated_months(read_bulletins(spark, sf_dir), ["k"])
+    return tx.enumerated_months(read_bulletins(spark, sf_dir), ["k"], month="m")
 
 
 @query("txt_09_incomplete_documents", f"""

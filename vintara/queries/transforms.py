@@ -141,10 +141,10 @@ DAILY = """daily AS (SELECT l_returnflag AS canonical_series_id, l_linestatus AS
 
 @query("ing_16_last_of_month", f"""
     WITH {DAILY} SELECT canonical_series_id, tenor, last_day(day) AS period_end, day, yield FROM daily
-    WHERE last_day(day) < DATE '2001-03-15'
+    WHERE day < DATE '2001-03-01'
     QUALIFY row_number() OVER (PARTITION BY canonical_series_id, tenor, last_day(day) ORDER BY day DESC, yield DESC) = 1""")
 def last_of_month(spark, sf_dir):
-    return transforms.last_of_month(daily(spark, sf_dir), ["canonical_series_id", "tenor"], "day", ["yield"], "2001-03-15")
+    return transforms.last_of_month(daily(spark, sf_dir), ["canonical_series_id", "tenor"], "day", ["yield"], "2001-03-01")
 
 
 @query("ing_17_spread", f"""
