@@ -87,10 +87,12 @@ def editions(spark, sf_dir):
 
 
 def edition_mapping(spark):
-    return spark.sql("""
-        SELECT a AS ref_area, f AS freq, m AS measure, 'pct' AS unit_measure, concat(a, '_', m, '_', f) AS canonical_series_id,
-               CASE WHEN m = 'X1' THEN 'index' ELSE 'pct' END AS unit, CASE WHEN a = 'DEU' THEN 'DE' END AS country
-        FROM VALUES ('CN'), ('DEU') t(a) CROSS JOIN VALUES ('M'), ('Q') u(f) CROSS JOIN VALUES ('X1'), ('X2'), ('X3') w(m)""")
+    return spark.range(12).selectExpr(
+        "element_at(array('CN', 'DEU'), cast(id div 6 + 1 AS int)) AS a",
+        "element_at(array('M', 'Q'), cast(id div 3 % 2 + 1 AS int)) AS f", "concat('X', id % 3 + 1) AS m",
+    ).selectExpr(
+        "a AS ref_area", "f AS freq", "m AS measure", "'pct' AS unit_measure", "concat(a, '_', m, '_', f) AS canonical_series_id",
+        "CASE WHEN m = 'X1' THEN 'index' ELSE 'pct' END AS unit", "CASE WHEN a = 'DEU' THEN 'DE' END AS country")
 
 
 EDITION_MAPPING = """mapping AS (SELECT a AS ref_area, f AS freq, m AS measure, a || '_' || m || '_' || f AS canonical_series_id,
