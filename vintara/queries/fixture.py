@@ -26,12 +26,24 @@ def fields(*countries: str, active: bool = True) -> list[str]:
     )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = table(spark, sf_dir, "orders").selectExpr(
+def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
+          spread_by: str | None = None) -> DataFrame:
+    """Scan of a driver table.
+
+    ``spread_by`` is for jobs that do heavy work per row: a scan with fewer splits than
+    cores is then spread over them. Scans with enough splits stay as they are.
+    """
+    frame = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    frame = frame.select(*columns) if columns else frame
+    cores = spark.sparkContext.defaultParallelism
+    if spread_by is not None and frame.rdd.getNumPartitions() < cores:
+        frame = frame.repartition(cores, spread_by)
+    return frame
+
+
+def vintages(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    base = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"],
+                 "o_orderkey" if spread else None).selectExpr(
         "o_orderkey AS k", "cast(o_custkey % 24 AS int) AS s", "cast(o_orderdate AS date) AS d",
         "o_orderpriority AS priority",
         "cast(CASE WHEN o_orderkey % 20 < 10"
@@ -50,7 +62,7 @@ def vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "WHEN jj IN (17, 18) THEN 'third_party_current_history_first_seen_only' "
         "WHEN jj = 19 THEN 'imf_current_history_snapshot_x' "
         "WHEN jj <= 10 THEN 'official_page_date' END AS release_date_source",
-        "make_dt_interval(cast(k * 13 % 90 AS int), cast(k * 5 % 24 AS int), 0, 0) AS lag",
+        "cast(k * 13 % 90 * 24 + k * 5 % 24 AS int) * interval '1' hour AS lag",
     ).selectExpr(
         # one struct per order: filters on generated columns stay above this point instead of
         # being unfolded into the scan, where they would outgrow compiled code
@@ -60,10 +72,10 @@ def vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).selectExpr(
         "*",
         "CASE WHEN s % 4 = 3 THEN 'Q' ELSE 'M' END AS frequency",
-        "CASE WHEN s % 4 = 3 THEN concat(date_format(period_start, 'yyyy'), '-Q', quarter(period_start)) "
-        "ELSE date_format(period_start, 'yyyy-MM') END AS period",
+        "CASE WHEN s % 4 = 3 THEN concat(year(period_start), '-Q', quarter(period_start)) "
+        "ELSE substring(cast(period_start AS string), 1, 7) END AS period",
         "CASE WHEN jj <= 10 THEN available_at END AS release_at",
-        "CASE WHEN jj = 15 THEN available_at + make_dt_interval(400, 0, 0, 0) ELSE available_at END AS first_seen_at",
+        "CASE WHEN jj = 15 THEN available_at + interval '400' day ELSE available_at END AS first_seen_at",
         "cast((k div 8) % 4 AS int) AS vintage_no",
     )
     return base.selectExpr(
@@ -83,7 +95,7 @@ def vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('u', k % 3) AS source_url",
         "concat('raw/', k % 211) AS raw_file",
         "CASE WHEN k % 97 = 0 THEN 'N/A' ELSE concat('sha', k) END AS raw_sha256",
-        "first_seen_at + make_dt_interval(0, cast(k % 5 AS int), 0, 0) AS retrieved_at",
+        "first_seen_at + cast(k % 5 AS int) * interval '1' hour AS retrieved_at",
         "concat('v', k % 3) AS parser_version",
         "k AS ingest_seq",
         "priority",

@@ -70,7 +70,7 @@ def edition_rows(spark, sf_dir):
 
 
 def block_payloads(spark, sf_dir):
-    return vintages(spark, sf_dir).selectExpr(
+    return vintages(spark, sf_dir, spread=True).selectExpr(
         "ingest_seq AS k", "to_json(named_struct('pulled_at', '2020-01-01T00:00:00+08:00', 'response', named_struct('data', array("
         " named_struct('meta', named_struct('code', source_series_id, 'name', series_name, 'unit', unit, 'freq', '月'),"
         "  'date', transform(sequence(0, 2), i -> date_format(last_day(add_months(period_start, i)), 'yyyyMMdd')),"
@@ -90,7 +90,7 @@ def json_blocks(spark, sf_dir):
     UNION ALL SELECT ingest_seq, 'EM_B', strftime(period_start, '%Y-%m'), value * 2 FROM v WHERE ingest_seq % 8 <> 0
     UNION ALL SELECT ingest_seq, 'EM_A', strftime(CAST(period_start + INTERVAL 1 MONTH AS DATE), '%Y-%m'), value + 1 FROM v""")
 def result_objects(spark, sf_dir):
-    payloads = vintages(spark, sf_dir).selectExpr(
+    payloads = vintages(spark, sf_dir, spread=True).selectExpr(
         "ingest_seq AS k", "to_json(named_struct('result', named_struct('data', array("
         " named_struct('REPORT_DATE', concat(cast(period_start AS string), ' 00:00:00'), 'A', cast(value AS string),"
         "  'B', CASE WHEN ingest_seq % 8 <> 0 THEN cast(value * 2 AS string) END),"
@@ -99,7 +99,7 @@ def result_objects(spark, sf_dir):
 
 
 def jsonp_payloads(spark, sf_dir):
-    return vintages(spark, sf_dir).selectExpr(
+    return vintages(spark, sf_dir, spread=True).selectExpr(
         "ingest_seq AS k", "concat('cb({config:[1],data:[[0]]},{count:2,data:[[\"', year(period_start), '.', month(period_start), '\",\"制造业 [x]\",', value,"
         " ',null],[\"', year(period_start), '.', month(period_start), '\",\"其他\",', value + 1, ',', value * 2, CASE WHEN ingest_seq % 40 = 0 THEN '' ELSE ']]})' END) AS payload")
 
@@ -122,7 +122,7 @@ def jsonp_without_data(spark, sf_dir):
     WITH {V} SELECT ingest_seq AS k, source_series_id, 'N_' || source_series_id AS canonical_series_id, 'pct' AS unit, strftime(period_start, '%Y-%m') AS period, value
     FROM v WHERE ingest_seq % 6 <> 0 AND source_series_id IN ('X1', 'X2', 'X3', 'X4', 'X5')""")
 def data_nodes(spark, sf_dir):
-    payloads = vintages(spark, sf_dir).selectExpr(
+    payloads = vintages(spark, sf_dir, spread=True).selectExpr(
         "ingest_seq AS k", "to_json(named_struct('returndata', named_struct('datanodes', array(named_struct("
         " 'data', named_struct('data', value, 'hasdata', ingest_seq % 6 <> 0), 'wds', array("
         "  named_struct('wdcode', 'zb', 'valuecode', source_series_id), named_struct('wdcode', 'sj', 'valuecode', date_format(period_start, 'yyyyMM')))))))) AS payload")
@@ -135,7 +135,7 @@ def data_nodes(spark, sf_dir):
     UNION ALL SELECT ingest_seq, 'US_10Y', period_start, value + 1 FROM v WHERE ingest_seq % 9 <> 0
     UNION ALL SELECT ingest_seq, 'US_2Y', CAST(period_start + 1 AS DATE), value + 2 FROM v""")
 def feed_entries(spark, sf_dir):
-    payloads = vintages(spark, sf_dir).selectExpr(
+    payloads = vintages(spark, sf_dir, spread=True).selectExpr(
         "ingest_seq AS k", "concat('<feed xmlns:m=\"urn:m\" xmlns:d=\"urn:d\"><entry><content><m:properties><d:NEW_DATE>', period_start, 'T00:00:00</d:NEW_DATE><d:BC_2YEAR>', value,"
         " '</d:BC_2YEAR><d:BC_10YEAR>', CASE WHEN ingest_seq % 9 = 0 THEN 'N/A' ELSE cast(value + 1 AS string) END,"
         " '</d:BC_10YEAR></m:properties></content></entry><entry><content><m:properties><d:NEW_DATE>', date_add(period_start, 1), 'T00:00:00</d:NEW_DATE><d:BC_2YEAR> ', value + 2,"
@@ -148,7 +148,7 @@ def feed_entries(spark, sf_dir):
     UNION ALL SELECT ingest_seq, 'Govt Bond', period_start, '10Y', value + 1 FROM v WHERE ingest_seq % 5 <> 0
     UNION ALL SELECT ingest_seq, 'Credit (AAA)', CAST(period_start + 1 AS DATE), '1Y', value + 2 FROM v""")
 def curve_tables(spark, sf_dir):
-    pages = vintages(spark, sf_dir).selectExpr(
+    pages = vintages(spark, sf_dir, spread=True).selectExpr(
         "ingest_seq AS k", "concat('<div><table><tr><td>menu</td></tr></table><table><tr><th>Yield Curve Name</th><th>Date</th><th>1Y</th><th>10Y</th></tr><tr><td> Govt Bond</td><td>', period_start,"
         " '</td><td>', value, '</td><td>', CASE WHEN ingest_seq % 5 = 0 THEN '--' ELSE cast(value + 1 AS string) END, '</td></tr><tr><td>Credit (AAA)</td><td>', date_add(period_start, 1), '</td><td>', value + 2, '</td></tr></table></div>') AS html")
     return nested.curve_tables(pages, ["k"])

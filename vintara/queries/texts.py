@@ -22,13 +22,13 @@ def plain_sql(html: str) -> str:
 
 @query("txt_01_plain_text", f"SELECT page_id, {plain_sql('html')} AS text FROM pages")
 def page_text(spark, sf_dir):
-    return tx.with_text(table(spark, sf_dir, "pages")).select("page_id", "text")
+    return tx.with_text(table(spark, sf_dir, "pages", spread_by="page_id")).select("page_id", "text")
 
 
 @query("txt_01_titles", f"""
     SELECT page_id, {plain_sql("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title FROM pages""")
 def titles(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", title_of(F.col("html")).alias("title"))
+    return table(spark, sf_dir, "pages", spread_by="page_id").select("page_id", title_of(F.col("html")).alias("title"))
 
 
 _MONTHS = "concat_ws('、', transform(sequence(1, m + CASE WHEN k % 9 = 0 THEN 1 ELSE 0 END), i -> concat(cast(4.5D + i * 0.5D AS string), '%')))"
@@ -37,7 +37,7 @@ _ROW = ("concat('<tr><td>', {name}, '</td><td>', {level}, '</td><td>', {yoy}, '<
 
 def bulletins(spark, sf_dir):
     """One release page per vintage: title, publication evidence, prose and tables."""
-    facts = vintages(spark, sf_dir).selectExpr(
+    facts = vintages(spark, sf_dir, spread=True).selectExpr(
         "ingest_seq AS k", "year(period_end) + 10 AS y", "month(period_end) AS m", "quarter(period_end) AS q",
         "cast(ingest_seq % 7 + 1 AS double) / 2 AS v", "date_add(make_date(year(period_end) + 10, month(period_end), 1), 40) AS pub",
         "retrieved_at AS first_seen_at")
@@ -133,7 +133,7 @@ def preferred_occurrence(spark, sf_dir):
     SELECT doc_id, translate(replace(replace(text, '%', '％'), ',', '，'), '０１２３４５６７８９．％，（）：－', '0123456789.%,():-') AS text FROM documents""")
 def typography_job(spark, sf_dir):
     wide = F.replace(F.replace("text", F.lit("%"), F.lit("％")), F.lit(","), F.lit("，"))
-    return table(spark, sf_dir, "documents").select("doc_id", typography(wide).alias("text"))
+    return table(spark, sf_dir, "documents", spread_by="doc_id").select("doc_id", typography(wide).alias("text"))
 
 
 LABELS = {"规模以上工业增加值": ("CN_INDUSTRIAL", 2), "固定资产投资(不含农户)": ("CN_FAI_YTD", 4)}
@@ -174,12 +174,12 @@ LINK_RULE = tx.LinkRule("index", ("the", "der", "que", "and", "con"), ("theand",
       AND regexp_matches(regexp_extract(link, '^https?://([^/:?#]+)', 1), '(^|\\.)example\\.(com|org)$')
     QUALIFY row_number() OVER (PARTITION BY link ORDER BY page_id DESC, position DESC) = 1""")
 def link_discovery(spark, sf_dir):
-    return tx.discover(tx.links(table(spark, sf_dir, "pages")), LINK_RULE)
+    return tx.discover(tx.links(table(spark, sf_dir, "pages", spread_by="page_id")), LINK_RULE)
 
 
 def payloads(spark, sf_dir):
     """Search responses: two result documents per vintage, some on other hosts, some failed."""
-    return vintages(spark, sf_dir).selectExpr(
+    return vintages(spark, sf_dir, spread=True).selectExpr(
         "ingest_seq AS k",
         "to_json(named_struct('ok', ingest_seq % 12 <> 0, 'resultDocs', array("
         " named_struct('data', named_struct('url', concat('http://', CASE WHEN ingest_seq % 5 = 0 THEN 'other.example.com' ELSE 'stats.example.com' END, '/sj/zxfb/', ingest_seq % 3000, '.html?a=1'),"
@@ -210,7 +210,7 @@ _NEEDLES = ["source", "CASE lang WHEN 'en' THEN 'There' WHEN 'fr' THEN 'eaux' EL
 
 
 def evidence(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").selectExpr(
+    docs = table(spark, sf_dir, "documents", spread_by="doc_id").selectExpr(
         "doc_id", "source", "text", *[f"{n} AS n{i}" for i, n in enumerate(_NEEDLES)])
     return tx.excerpts(docs, ["n0", "n1", "n2", "n3"], 240, "source")
 
@@ -263,7 +263,7 @@ def cross_check(spark, sf_dir):
 
 def consolidated(spark, sf_dir):
     """Cumulative tables: four months with a pair of cells each."""
-    return vintages(spark, sf_dir).selectExpr(
+    return vintages(spark, sf_dir, spread=True).selectExpr(
         "ingest_seq AS k", "transform(sequence(0, 3), i -> date_format(add_months(period_start, i), 'yyyy-MM')) AS months",
         "cast(ingest_seq % 9 AS double) AS v").selectExpr(
         "k", "concat('<table><tr><td>项目</td><td>', concat_ws('</td><td>', months), '</td></tr><tr><td>银行结汇</td>',"
