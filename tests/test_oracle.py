@@ -1,4 +1,4 @@
-"""Every registered query against its SQL twin on the smallest data."""
+"""Every registered query against its SQL twin on the smallest data, and its plan."""
 
 import os
 import sys
@@ -25,10 +25,16 @@ def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
 
 
+# Shapes no registered query may plan: products of rows and per-row Python.
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "Scan ExistingRDD")
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, sf_dir, duck, name):
     frame = QUERIES[name](spark, sf_dir)
     rows = [tuple(r) for r in frame.collect()]
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert [shape for shape in FORBIDDEN if shape in plan] == []
     if name not in ORACLES:
         assert rows
         return

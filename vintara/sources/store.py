@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schema import CRAWL_LOG, OBSERVATION_COLUMNS, OBSERVATION_VINTAGE
@@ -9,17 +10,19 @@ from ..schema import CRAWL_LOG, OBSERVATION_COLUMNS, OBSERVATION_VINTAGE
 CLUSTERING = ["canonical_series_id", "period", "available_at"]
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Parquet with a declared schema; a dataset that was never written is empty."""
+    try:
+        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def read_vintages(spark: SparkSession, path: str) -> DataFrame:
-    """Typed scan with the declared schema; a store that was never written is empty."""
-    if not exists(spark, path):
-        return spark.createDataFrame([], OBSERVATION_VINTAGE)
-    return spark.read.schema(OBSERVATION_VINTAGE).parquet(path).select(*OBSERVATION_COLUMNS)
+    """Typed scan of the store."""
+    return read_or_empty(spark, path, OBSERVATION_VINTAGE)
 
 
 def fetch_all(vintages: DataFrame) -> DataFrame:
@@ -50,8 +53,7 @@ def new_crawl_events(log: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def append_crawl_events(log_path: str, events: DataFrame) -> None:
-    spark = events.sparkSession
-    known = spark.read.schema(CRAWL_LOG).parquet(log_path) if exists(spark, log_path) else spark.createDataFrame([], CRAWL_LOG)
+    known = read_or_empty(events.sparkSession, log_path, CRAWL_LOG)
     new_crawl_events(known, events.select(*CRAWL_LOG.fieldNames())).write.mode("append").parquet(log_path)
 
 
