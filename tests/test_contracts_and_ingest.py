@@ -147,3 +147,8 @@ def test_country_filter_and_modes(spark):
         asof.snapshot(rows, "2021-01-01", "other")
     retired = rows.select("canonical_series_id").where(F.col("canonical_series_id") == "US_X")
     assert asof.snapshot(rows, "2021-01-01", inactive=retired).count() == 1
+
+
+def test_selfcheck(spark):
+    from vintara.operators.selfcheck import selfcheck
+    assert bag(selfcheck(spark)) == {(n, True): 1 for n in ("leakage", "same_day_boundary", "revision", "idempotence")}

@@ -97,6 +97,21 @@ EXPECTED = """CASE WHEN frequency = 'M' THEN (SELECT count(*) FROM range(CAST(su
             + TRY_CAST(substr(last, 7, 1) AS BIGINT) - TRY_CAST(substr(first, 7, 1) AS BIGINT) + 1 ELSE 0 END"""
 
 
+@query("qa_07_raw_evidence", """
+    WITH r AS (SELECT *, CASE WHEN page_id % 4 = 0 THEN 'N/A' WHEN page_id % 5 = 0 THEN sha256(url) ELSE upper(sha256(html)) END AS digest FROM pages)
+    SELECT count(*) AS rows, count(*) FILTER (lower(digest) = sha256(html) AND page_id % 6 <> 0) AS verified,
+        count(*) FILTER (lower(digest) = sha256(html) AND page_id % 6 <> 0 AND page_id % 3 = 1) AS strict_verified FROM r""")
+def raw_evidence(spark, sf_dir):
+    # pages are the archived files; some records name a lost file, a wrong digest or none
+    pages = table(spark, sf_dir, "pages", spread_by="page_id")
+    files = pages.select(F.concat(F.lit("page/"), "page_id").alias("path"), F.encode("html", "UTF-8").alias("content"))
+    records = pages.selectExpr(
+        "concat(CASE WHEN page_id % 6 = 0 THEN 'lost/' ELSE 'page/' END, page_id) AS raw_file",
+        "CASE WHEN page_id % 4 = 0 THEN 'N/A' WHEN page_id % 5 = 0 THEN sha2(url, 256) ELSE upper(sha2(html, 256)) END AS raw_sha256",
+        "CASE WHEN page_id % 3 = 1 THEN 'A' ELSE 'D' END AS pit_grade")
+    return audit.raw_evidence(records, files)
+
+
 @query("qa_08_coverage", f"""
     WITH {V}, {REGISTRY}, {STRUCTURAL},
     seen AS (SELECT canonical_series_id, frequency, min(period) AS first, max(period) AS last, count(DISTINCT period) AS n,

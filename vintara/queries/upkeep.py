@@ -2,13 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import maintenance, text
+from ..operators import ingest, maintenance, text
 from ..sources import sinks, store
 from ..streaming import incremental
 from . import query
 from .audits import CRAWL, crawl_log
 from .fixture import V, table, vintages
-from .ingest import split
+from .ingest import SPLIT, split
 from .intervals import EVENTS, events
 from .reading import candidate_rows
 
@@ -94,3 +94,26 @@ def daily_status(spark, sf_dir):
     return incremental.daily_status(crawl_log(spark, sf_dir))
 
 
+
+
+@query("str_02_signature_dedup", f"""
+    WITH {SPLIT} SELECT DISTINCT source, canonical_series_id, period, value, pit_grade, unit, frequency, sig_release AS sig_release_at,
+        sig_available AS sig_available_at, sig_marker AS sig_release_date_source FROM sig""")
+def signature_dedup(spark, sf_dir):
+    # the batch twin of dropDuplicatesWithinWatermark over the same columns
+    return ingest.with_signature(vintages(spark, sf_dir)).select(*ingest.SIGNATURE).dropDuplicates(ingest.SIGNATURE)
+
+
+@query("str_03_value_changes", f"""
+    WITH {SPLIT} SELECT b.ingest_seq, l.value AS known_value, b.value FROM batch b JOIN last l
+      ON l.source = b.source AND l.canonical_series_id = b.canonical_series_id AND l.period = b.period
+    WHERE l.source_url = b.source_url AND abs(l.value - b.value) > 1e-12""")
+def value_changes(spark, sf_dir):
+    batch, history = split(spark, sf_dir)
+    return incremental.value_changes(batch, history).select("ingest_seq", "known_value", "value")
+
+
+@query("str_05_bounded_recheck", f"""
+    WITH {V} SELECT source, count(*) AS rows FROM v WHERE period_start >= DATE '2000-06-01' GROUP BY source""")
+def bounded_recheck(spark, sf_dir):
+    return incremental.recheck(vintages(spark, sf_dir), "2001-06-15", 12).groupBy("source").agg(F.count(F.lit(1)).alias("rows"))

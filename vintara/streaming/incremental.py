@@ -67,3 +67,16 @@ def daily_status(attempts: DataFrame, delay: str | None = None) -> DataFrame:
 def recheck(deliveries: DataFrame, now: str, months: int) -> DataFrame:
     """Bounded recheck: deliveries about recent periods only; works on batches and streams."""
     return contracts.within_lookback(deliveries, now, months)
+
+
+def value_changes(deliveries: DataFrame, history: DataFrame) -> DataFrame:
+    """Deliveries that change the newest stored value of their key at an unchanged address.
+
+    Meant for ``foreachBatch``: the state is the store itself, so nothing is lost with an
+    executor and no state grows without bound.
+    """
+    known = ingest.latest_vintage(history, ["value", "source_url"])
+    return deliveries.join(known, ingest.KEY).where(
+        (F.col("latest_source_url") == F.col("source_url"))
+        & ~ingest.same_value(F.col("latest_value"), F.col("value"))
+    ).withColumnRenamed("latest_value", "known_value").drop("latest_source_url")
