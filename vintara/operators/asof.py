@@ -16,7 +16,7 @@ from ..plans.policy import (
 )
 
 KEY = ["country", "canonical_series_id", "period"]
-TIE_BREAKS = ["retrieved_at", "source", "raw_sha256"]
+TIE_BREAKS = ["retrieved_at", "source", "raw_sha256", "value"]
 SELECTED_COLUMNS = [
     "country", "canonical_series_id", "series_name", "source", "frequency", "unit", "period", "period_end",
     "value", "selection_origin", "available_at", "vintage_no", "pit_grade", "release_date_source",
@@ -83,7 +83,7 @@ def work_candidates(vintages: DataFrame, sidecar: DataFrame, country: str | None
         vintages.select("canonical_series_id", "source", "period", "series_name", "frequency", "unit",
                         "seasonal_adjustment", "available_at", "vintage_no", "retrieved_at", "raw_sha256"),
         ["canonical_series_id", "source", "period"],
-        newest("available_at", "vintage_no", "retrieved_at", "raw_sha256"),
+        newest("available_at", "vintage_no", "retrieved_at", "raw_sha256", "series_name"),
     ).drop("available_at", "vintage_no", "retrieved_at", "raw_sha256")
     estimated = sidecar.select(
         "canonical_series_id", "source", "period", "period_end", "value", "estimated_available_at"
@@ -109,7 +109,7 @@ def work_snapshot(vintages: DataFrame, sidecar: DataFrame, as_of: str | datetime
     dated, estimated = work_candidates(vintages, sidecar, country)
     evidence = top_row(
         dated.where(F.col("available_at") <= cutoff), ["canonical_series_id", "period", "evidence"],
-        newest("available_at", "vintage_no", "retrieved_at", "source", "raw_sha256"),
+        newest("available_at", "vintage_no", *TIE_BREAKS),
     )
     gaps = estimated.where(F.col("available_at") <= cutoff).join(
         evidence.select("canonical_series_id", "period").distinct(), ["canonical_series_id", "period"], "left_anti"
@@ -146,7 +146,7 @@ def rule_estimated(vintages: DataFrame, rules: DataFrame) -> DataFrame:
     """Newest current-history vintage per period, usable ``lag_days`` + 1 days after the period."""
     newest_rows = top_row(
         vintages.where(RULE_ORIGIN.predicate), ["canonical_series_id", "period"],
-        newest("vintage_no", "retrieved_at", "source", "raw_sha256"),
+        newest("vintage_no", *TIE_BREAKS),
     )
     usable = rules.where("eligible").select("canonical_series_id", "lag_days")
     kind = vintages.schema["available_at"].dataType.typeName()
@@ -162,7 +162,7 @@ def sidecar_candidates(vintages: DataFrame, sidecar: DataFrame, policy: Policy)
         vintages.where((F.col("country") == "CN") & policy.sidecar_filter()).select(
             "country", "canonical_series_id", "series_name", "frequency", "unit", "source",
             "retrieved_at", "vintage_no", "raw_sha256"),
-        ["canonical_series_id", "source"], newest("retrieved_at", "vintage_no", "raw_sha256"),
+        ["canonical_series_id", "source"], newest("retrieved_at", "vintage_no", "raw_sha256", "series_name"),
     ).drop("retrieved_at", "vintage_no", "raw_sha256")
     usable = sidecar.where(policy.sidecar_filter()).select(
         "canonical_series_id", "source", "period", "period_end", "value", "estimated_available_at")
@@ -244,7 +244,7 @@ def series_metadata(vintages: DataFrame, scope: str, inactive: DataFrame | None
     ties = [c for c in (recency, "vintage_no", "raw_sha256") if c in vintages.columns]
 
     def latest(column: str) -> Column:
-        ordering = F.when(F.col(column).isNotNull(), F.struct(*ties))
+        ordering = F.when(F.col(column).isNotNull(), F.struct(*ties, column))
         # max_by keeps rows whose ordering is null out, so null attributes never win
         return F.max_by(column, ordering)
 

@@ -20,7 +20,7 @@ EVENT_COLUMNS = [
 ]
 _DERIVED = ("valid_from", "valid_to", "event_no", "event_role", "source_priority")
 CANDIDATE_COLUMNS = [c for c in EVENT_COLUMNS if c not in _DERIVED] + ["visible_from"]
-RECENCY = ["vintage_no", "retrieved_at", "source", "raw_sha256"]
+RECENCY = ["vintage_no", "retrieved_at", "source", "raw_sha256", "value"]
 
 
 def candidates(vintages: DataFrame, scope: str, *, sidecar: DataFrame | None = None, rules: DataFrame | None = None,
@@ -62,7 +62,8 @@ def _sidecar_rows(vintages, sidecar, policy, start, end):
         (F.col("country") == "CN") & (F.col("pit_grade") == "D") & policy.sidecar_filter()
         & ~F.coalesce(F.col("release_date_source"), F.lit("")).startswith("wind_revision_snapshot_")
     )
-    described = top_row(ordinary.select(*key, *carried), key, newest("retrieved_at", "vintage_no", "raw_sha256"))
+    described = top_row(ordinary.select(*key, *carried, "value"), key,
+                        newest("retrieved_at", "vintage_no", "raw_sha256", "value")).drop("value")
     instant_type = vintages.schema["release_at"].dataType
     return gap_only(usable, vintages).join(described, key, "left").select(
         F.lit("CN").alias("country"), "canonical_series_id",

@@ -59,7 +59,8 @@ def with_disclosure(vintages: DataFrame, now: str | datetime, zones: dict[str, s
     periods = rows.groupBy("canonical_series_id", "country", "source", "period").agg(
         F.min("period_end").alias("period_end"), F.min("release_at").alias("first_release_at"),
         F.min("available_at").alias("first_available_at"),
-        F.min_by("release_date_source", F.struct("available_at", "raw_sha256")).alias("release_date_source"),
+        F.min_by("release_date_source", F.struct("available_at", "raw_sha256", "release_date_source")).alias(
+            "release_date_source"),
         F.max("_lag").alias("_lag"), F.max("_zone").alias("_zone"),
     )
     last = periods.groupBy("canonical_series_id", "country", "source").agg(
@@ -121,7 +122,7 @@ def review_window(vintages: DataFrame, start: str | datetime, finish: str | date
 
 
 def review_candidates(vintages: DataFrame, start: str | datetime, finish: str | datetime, sources: list[str],
-                      limit: int, ties: tuple[str, ...] = ("source", "vintage_no", "available_at", "raw_sha256")) -> DataFrame:
+                      limit: int, ties: tuple[str, ...] = ("source", "vintage_no", "available_at", "raw_sha256", "value")) -> DataFrame:
     """Top ``limit`` new vintages for review: revisions first, largest absolute change first.
 
     A total order plus limit runs as a top-k per task and one small merge.

@@ -8,7 +8,8 @@ from ..functions.ordered import HOT_ROWS, HotKeys, neighbours, time_chunk
 from ..schema import OBSERVATION_COLUMNS
 from .ingest import KEY, TOLERANCE
 
-ORDER = [("available_at", "asc"), ("vintage_no", "asc"), ("retrieved_at", "asc"), ("raw_sha256", "asc")]
+ORDER = [("available_at", "asc"), ("vintage_no", "asc"), ("retrieved_at", "asc"), ("raw_sha256", "asc"),
+         ("value", "asc")]
 
 
 def compacted(vintages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -164,7 +164,7 @@ def panel_cells(candidates: DataFrame, start, end, order: list[str], carry: list
     )
 
 
-STRICT_ORDER = ["period_end", "available_at", "vintage_no", "retrieved_at", "source", "raw_sha256"]
+STRICT_ORDER = ["period_end", "available_at", "vintage_no", *asof.TIE_BREAKS]
 PANEL_COLUMNS = ["canonical_series_id", "series_name", "source", "frequency", "unit", "seasonal_adjustment", "period",
                  "period_end", "value", "available_at", "vintage_no", "pit_grade"]
 
@@ -195,7 +195,7 @@ def work_panel(vintages: DataFrame, sidecar: DataFrame, start, end, country: str
     ).drop("_month", "_evidence_month", "_evidence_at")
     latest = top_row(
         dated.withColumn("_month", first_month_end(dated)), [*key, "evidence", "_month"],
-        newest("available_at", "vintage_no", "retrieved_at", "source", "raw_sha256"),
+        newest("available_at", "vintage_no", *asof.TIE_BREAKS),
     ).drop("_month", "evidence", "retrieved_at", "raw_sha256")
     pool = without_inactive(latest.unionByName(gaps), inactive)
     return panel_cells(pool, start, end,

@@ -241,7 +241,7 @@ def overall(spark, sf_dir):
             FROM probe p LEFT JOIN v x ON x.source = p.source AND x.canonical_series_id = p.canonical_series_id
                                       AND x.period = p.period AND x.available_at <= p.probe_at
             QUALIFY row_number() OVER (PARTITION BY p.ingest_seq ORDER BY x.available_at DESC, x.vintage_no DESC,
-                                       x.retrieved_at DESC, x.raw_sha256 DESC) = 1)
+                                       x.retrieved_at DESC, x.raw_sha256 DESC, x.value DESC) = 1)
     SELECT source, count(*) AS sample_size, count(*) FILTER (abs(value - found) <= 1e-9) AS matches,
         count(*) FILTER (abs(value - found) <= 1e-9) / count(*) AS match_rate FROM hit GROUP BY source""")
 def cell_match(spark, sf_dir):
@@ -299,7 +299,7 @@ def multi_vintage_keys(spark, sf_dir):
 
 
 _LATEST = """SELECT canonical_series_id, period, value FROM v WHERE country = 'CN' AND {}
-    QUALIFY row_number() OVER (PARTITION BY canonical_series_id, period ORDER BY available_at DESC, vintage_no DESC, retrieved_at DESC, raw_sha256 DESC) = 1"""
+    QUALIFY row_number() OVER (PARTITION BY canonical_series_id, period ORDER BY available_at DESC, vintage_no DESC, retrieved_at DESC, raw_sha256 DESC, value DESC) = 1"""
 
 
 @query("qa_22_reconciliation", f"""

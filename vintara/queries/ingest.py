@@ -31,7 +31,7 @@ SPLIT = f"""
                   f'h.{c.strip()} IS NOT DISTINCT FROM b.{c.strip()}' for c in SIG.split(','))})
               QUALIFY row_number() OVER (PARTITION BY {SIG} ORDER BY available_at, ingest_seq) = 1),
     last AS (SELECT * FROM hist QUALIFY row_number() OVER (PARTITION BY source, canonical_series_id, period
-                     ORDER BY vintage_no DESC, available_at DESC, retrieved_at DESC, raw_sha256 DESC) = 1),
+                     ORDER BY vintage_no DESC, available_at DESC, retrieved_at DESC, raw_sha256 DESC, value DESC) = 1),
     numbered AS (SELECT f.* EXCLUDE (vintage_no, revision_type, revision_delta),
                         f.revision_type AS given_type, f.revision_delta AS given_delta,
                         coalesce(lag(f.value) OVER k, l.value) AS previous,
@@ -126,7 +126,7 @@ def stabilized_snapshots(spark, sf_dir):
 
 @query("ing_09_revision_anomalies", f"""
     WITH {SPLIT}, l AS (SELECT * FROM hist QUALIFY row_number() OVER (PARTITION BY source, canonical_series_id, period
-                     ORDER BY available_at DESC, vintage_no DESC, retrieved_at DESC, raw_sha256 DESC) = 1)
+                     ORDER BY available_at DESC, vintage_no DESC, retrieved_at DESC, raw_sha256 DESC, value DESC) = 1)
     SELECT b.ingest_seq, b.value, CASE WHEN l.source_url <> b.source_url AND abs(l.value - b.value) > 1e-12 THEN
              CASE WHEN b.source_url = 'u2' AND l.source_url = 'u1' THEN 'secondary_conflicts_with_primary'
                   WHEN b.unit IN ('pct', 'pct_yoy') AND abs(l.value - b.value) > 2 THEN 'large_change' END END AS anomaly

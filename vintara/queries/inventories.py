@@ -45,7 +45,7 @@ ZONES = {"OFF1": "Europe/Paris", "OFF2": "America/New_York"}
                     THEN CAST(period_end + 41 AS TIMESTAMP) - to_hours(8) <= {_NOW} ELSE available_at <= {_NOW} END),
     p AS (SELECT canonical_series_id, country, source, period, any_value(period_end) AS period_end, min(release_at) AS rel, min(available_at) AS av,
                  any_value(guessed) AS guessed FROM r GROUP BY 1, 2, 3, 4),
-    mark AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY canonical_series_id, country, source, period ORDER BY available_at, raw_sha256) = 1),
+    mark AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY canonical_series_id, country, source, period ORDER BY available_at, raw_sha256, release_date_source) = 1),
     s AS (SELECT *, min(period) OVER k AS first_period, count(*) OVER k AS visible_periods, row_number() OVER (PARTITION BY canonical_series_id, country, source ORDER BY period DESC) AS rn,
                  CASE source WHEN 'OFF1' THEN 'Europe/Paris' WHEN 'OFF2' THEN 'America/New_York' ELSE 'Asia/Shanghai' END AS zone
           FROM p WINDOW k AS (PARTITION BY canonical_series_id, country, source))
@@ -91,7 +91,7 @@ _REVIEW = f"""{V}, w AS (SELECT * FROM v WHERE retrieved_at BETWEEN TIMESTAMP '1
 @query("qa_30_review_candidates", f"""
     WITH {_REVIEW} SELECT ingest_seq, canonical_series_id, period, vintage_no, revision_delta FROM w
     ORDER BY CASE WHEN vintage_no > 1 OR revision_delta IS NOT NULL THEN 0 ELSE 1 END, abs(coalesce(revision_delta, 0)) DESC,
-             canonical_series_id, period, source, vintage_no, available_at, raw_sha256 LIMIT 100""")
+             canonical_series_id, period, source, vintage_no, available_at, raw_sha256, value LIMIT 100""")
 def review_candidates(spark, sf_dir):
     v = vintages(spark, sf_dir)
     span = ("1998-01-01 00:00:00+00:00", "2000-01-01 00:00:00+00:00", ["off1", "wind"])

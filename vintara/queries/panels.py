@@ -66,7 +66,7 @@ def wide_metadata(spark, sf_dir):
 
 
 PAN_START, PAN_END = "1996-01-31", "2001-06-30"
-_TIES = "retrieved_at DESC, source DESC, raw_sha256 DESC"
+_TIES = "retrieved_at DESC, source DESC, raw_sha256 DESC, value DESC"
 # each month end's cutoff is local 23:59:59, i.e. 15:59:59 UTC
 _MONTHS = f"""months AS (SELECT last_day(CAST(m AS DATE)) AS as_of,
                                 CAST(last_day(CAST(m AS DATE)) AS TIMESTAMP) + INTERVAL '15:59:59' HOUR TO SECOND AS cut
@@ -118,7 +118,7 @@ _WORK = f"""WITH {V}, {SIDECAR}, {REGISTRY}, {_MONTHS},
             QUALIFY row_number() OVER (PARTITION BY m.as_of, canonical_series_id, period
                                        ORDER BY available_at DESC, vintage_no DESC, {_TIES}) = 1),
     described AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY canonical_series_id, source, period
-                          ORDER BY available_at DESC, vintage_no DESC, retrieved_at DESC, raw_sha256 DESC) = 1),
+                          ORDER BY available_at DESC, vintage_no DESC, retrieved_at DESC, raw_sha256 DESC, series_name DESC) = 1),
     est AS (SELECT m.as_of, e.*, d.series_name, d.frequency, d.unit, d.seasonal_adjustment
             FROM months m JOIN side e ON e.estimated_available_at <= m.cut
             LEFT JOIN described d USING (canonical_series_id, source, period)

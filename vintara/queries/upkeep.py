@@ -59,10 +59,10 @@ def new_crawl_events(spark, sf_dir):
 
 COMPACT = f"""{V},
     o AS (SELECT *, lag(value) OVER w AS pv, lag(pit_grade) OVER w AS pg, lag(unit) OVER w AS pu, lag(frequency) OVER w AS pf, row_number() OVER w AS n
-          FROM v WINDOW w AS (PARTITION BY source, canonical_series_id, period ORDER BY available_at, vintage_no, retrieved_at, raw_sha256)),
+          FROM v WINDOW w AS (PARTITION BY source, canonical_series_id, period ORDER BY available_at, vintage_no, retrieved_at, raw_sha256, value)),
     c AS (SELECT * FROM o WHERE n = 1 OR abs(value - pv) > 1e-12 OR pit_grade <> pg OR unit <> pu OR frequency <> pf),
     r AS (SELECT *, row_number() OVER w - 1 AS new_no, lag(value) OVER w AS kept FROM c
-          WINDOW w AS (PARTITION BY source, canonical_series_id, period ORDER BY available_at, vintage_no, retrieved_at, raw_sha256)),
+          WINDOW w AS (PARTITION BY source, canonical_series_id, period ORDER BY available_at, vintage_no, retrieved_at, raw_sha256, value)),
     compacted AS (SELECT ingest_seq, source, canonical_series_id, period, value, CAST(new_no AS INTEGER) AS vintage_no,
         CASE WHEN new_no = 0 THEN 'initial' WHEN abs(value - kept) <= 1e-12 THEN 'metadata_update' ELSE 'revision' END AS revision_type,
         CASE WHEN new_no > 0 THEN value - kept END AS revision_delta FROM r)"""
