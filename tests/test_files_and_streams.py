@@ -27,6 +27,9 @@ def test_csv_companions(spark, tmp_path):
     rules.write_text("canonical_series_id,frequency,lag_days,available_same_day,confidence,eligible\nX,M,9,TRUE,high,false\n")
     row = files.read_rules(spark, str(rules)).first()
     assert (row["lag_days"], row["available_same_day"], row["eligible"]) == (9, True, False)
+    listed = tmp_path / "registry.csv"
+    listed.write_text("canonical_series_id,country,source,frequency,unit,active\nX,CN,S,M,pct,\nY,CN,S,M,pct,false\n")
+    assert bag(files.inactive_series(files.read_registry(spark, str(listed)))) == {("Y",): 1}
     over = tmp_path / "over.csv"
     line = "X,WIND,2020-01,1.5,2020-02-12T09:30:00+08:00\n"
     over.write_text("canonical_series_id,source,period,value,available_at\n" + line)
@@ -203,6 +206,14 @@ def test_link_resolution(spark):
     assert bare == "http://h.example.com/p"
 
 
+def test_title_periods(spark):
+    cases = {"2020年1-3月": "2020-03", "2020年 5 月份": "2020-05", "2020年上半年": "2020-06", "2020年前二季度": "2020-06", "2020年公报": "2020-12",
+             "Summary, September 2021": "2021-09", "Total values Jan. 2019": "2019-01", "exports 3.2018": "2018-03", "nothing": None,
+             "August, 2022": "2022-08", "May 2020": "2020-05"}
+    rows = spark.createDataFrame([(t,) for t in cases], "title string")
+    assert {r["title"]: r["period"] for r in text.with_title_period(rows).collect()} == cases
+
+
 def test_versioned_reads_its_own_output(spark):
     first = ingest.versioned(frame(spark, [observation(value=1.0)]), frame(spark, [])).drop("reject_reason")
     assert ingest.versioned(frame(spark, [observation(value=1.0)]), first).count() == 0

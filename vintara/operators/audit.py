@@ -150,8 +150,9 @@ def historical_depth(vintages: DataFrame, country: str = "CN", monthly: int = 24
                                 F.col("missing_months") if structural is not None else None)
     needed = F.when(F.col("frequency") == "Q", quarterly).otherwise(monthly)
     return rows.withColumn("expected_periods", expected).withColumn(
-        "passes", (F.col("observed_periods") >= needed) & (F.col("expected_periods") > 0)
-        & (F.col("observed_periods") >= F.lit(ratio) * F.col("expected_periods"))).drop("missing_months")
+        "passes", (F.col("observed_periods") >= needed) & F.coalesce(
+            F.col("observed_periods") / F.nullif(F.col("expected_periods"), F.lit(0)) >= ratio, F.lit(False))
+    ).drop("missing_months")
 
 
 def required_present(vintages: DataFrame, required: DataFrame, column: str) -> DataFrame:

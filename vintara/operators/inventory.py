@@ -110,7 +110,8 @@ def risk_flags(article_sources: tuple[str, ...] = ARTICLE_SOURCES, large: float
 
 
 def candidate_id() -> Column:
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ID_FIELDS]
+    """Stable id of a vintage; a vintage number of 0 counts as blank."""
+    parts = [F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("0")), F.lit("")) for c in ID_FIELDS]
     return F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 20)
 
 

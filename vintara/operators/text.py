@@ -114,6 +114,29 @@ def with_publication_period(pages: DataFrame, title: str = "title", text: str =
         F.floor(number_ / 100).cast("string"), F.lit("-"), F.lpad((number_ % 100).cast("string"), 2, "0")))).drop(*choices)
 
 
+# English month names as they start in titles.
+MONTH_NAMES = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+_ENGLISH = (r"\b(jan|feb|mar|apr|may|june?|july?|aug|sept?|oct|nov|dec)(?:uary|ruary|ch|il|ust|tember|ober|ember)?"
+            r"\.?\s*,?\s*(20\d{2})\b")
+_DOTTED = r"\b(0?[1-9]|1[0-2])\s*\.\s*(20\d{2})\b"
+
+
+def with_title_period(rows: DataFrame, title: str = "title") -> DataFrame:
+    """``period`` named in a title: Chinese patterns, a bare year (December), English months, ``m.YYYY``."""
+    low = F.lower(title)
+    found = rows.withColumns({
+        "_chinese": F.coalesce(_period_of(F.col(title)), F.regexp_extract(title, r"(20\d{2})\s*年", 1).try_cast("int") * 100 + 12),
+        "_name": F.substring(F.regexp_extract(low, _ENGLISH, 1), 1, 3),
+        "_english_year": F.regexp_extract(low, _ENGLISH, 2).try_cast("int"),
+        "_dotted": F.regexp_extract(low, _DOTTED, 2).try_cast("int") * 100 + F.regexp_extract(low, _DOTTED, 1).try_cast("int"),
+    })
+    position = F.array_position(F.array(*[F.lit(m) for m in MONTH_NAMES]), F.col("_name")).cast("int")
+    number_ = F.coalesce("_chinese", F.col("_english_year") * 100 + F.nullif(position, F.lit(0)), "_dotted")
+    return found.withColumn("period", F.when(number_.isNotNull(), F.concat(
+        F.floor(number_ / 100).cast("string"), F.lit("-"), F.lpad((number_ % 100).cast("string"), 2, "0")))
+    ).drop("_chinese", "_name", "_english_year", "_dotted")
+
+
 @dataclass(frozen=True)
 class MetricRule:
     """A metric and the pattern whose groups are (direction, value); direction may be empty."""
@@ -292,14 +315,15 @@ def discover(found: DataFrame, rule: LinkRule, page_id: str = "page_id") -> Data
         rows = rows.withColumn("link", F.regexp_replace("link", "^http://", "https://"))
     host = F.lower(F.regexp_extract("link", r"^https?://([^/:?#]+)", 1))
     rows = rows.where(host.rlike(rule.host_pattern) & F.col("link").rlike(rule.path_pattern))
-    return top_row(rows, ["link"], newest(page_id, "position")).select(
-        "link", "title", F.lit(rule.kind).alias("kind"), page_id)
+    best = top_row(rows, ["link"], newest(page_id, "position"))
+    return with_title_period(best).select("link", "title", "period", F.lit(rule.kind).alias("kind"), page_id)
 
 
 def merge_candidates(existing: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Keyed merge by url: the fresh row wins."""
+    """Keyed merge by url: the fresh row wins; newest period first."""
     both = existing.withColumn("_age", F.lit(0)).unionByName(fresh.withColumn("_age", F.lit(1)))
-    return top_row(both, ["url"], newest("_age", *[c for c in existing.columns if c != "url"])).drop("_age")
+    return top_row(both, ["url"], newest("_age", *[c for c in existing.columns if c != "url"])).drop(
+        "_age").orderBy(*newest("period", "url"))
 
 
 SEARCH_DOC = "struct<data:struct<url:string,titleO:string,docDate:string>>"
@@ -341,7 +365,8 @@ def page_fingerprint(payload: Column) -> Column:
 def excerpts(candidates: DataFrame, needles: list[str], limit: int, source: str, text: str = "text") -> DataFrame:
     """Bounded evidence window around the first needle that occurs, searched in the whole text.
 
-    Needles are tried in column order; needles under two characters do not count.
+    Needles are tried in column order; needles under two characters do not count. The text
+    and the needles stay behind, only the excerpt goes on.
     """
     low = F.lower(text)
     found = [F.when(F.length(F.trim(n)) >= 2, F.nullif(F.instr(low, F.lower(n)), F.lit(0)) - 1) for n in needles]
@@ -349,9 +374,11 @@ def excerpts(candidates: DataFrame, needles: list[str], limit: int, source: str,
     start = F.greatest(F.lit(0), F.col("_center") - limit // 3)
     end = F.least(F.length(text), start + limit)
     first = F.greatest(F.lit(0), end - limit)
-    cut = center.withColumn("excerpt", F.substring(F.col(text), first + 1, end - first)).drop("_center")
-    digest = F.substring(F.sha2(F.concat_ws("|", source, "excerpt"), 256), 1, 20)
-    return cut.withColumn("evidence_id", F.when(F.col("excerpt") != "", F.concat(F.lit("evidence_"), digest)))
+    cut = center.withColumn("excerpt", F.substring(F.col(text), first + 1, end - first)).drop(
+        "_center", text, *needles)
+    digest = F.substring(F.sha2(F.concat_ws("\u0000", source, "excerpt"), 256), 1, 20)
+    # evaluated: later conditions on the id do not search the text again
+    return evaluated(cut).withColumn("evidence_id", F.when(F.col("excerpt") != "", F.concat(F.lit("evidence_"), digest)))
 
 
 def distinct_evidence(rows: DataFrame, order: list[str]) -> DataFrame:

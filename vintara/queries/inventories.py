@@ -109,7 +109,7 @@ def review_total(spark, sf_dir):
     WITH {V} SELECT ingest_seq, concat_ws(';', CASE WHEN vintage_no > 1 THEN 'revision_vintage' END,
         CASE WHEN revision_delta IS NOT NULL THEN 'value_changed' END, CASE WHEN abs(revision_delta) >= 5 THEN 'large_absolute_revision' END,
         CASE WHEN pit_grade = 'D' THEN 'pit_d_first_seen_or_estimated' END, CASE WHEN source = 'SAFE' THEN 'article_parser' END) AS risk_flags,
-        substr(sha256(concat_ws('|', source, canonical_series_id, period, CAST(vintage_no AS VARCHAR),
+        substr(sha256(concat_ws('|', source, canonical_series_id, period, CASE WHEN vintage_no = 0 THEN '' ELSE CAST(vintage_no AS VARCHAR) END,
                strftime(available_at, '%Y-%m-%d %H:%M:%S'), raw_sha256)), 1, 20) AS candidate_id FROM v""")
 def risk_flags(spark, sf_dir):
     return vintages(spark, sf_dir).select(

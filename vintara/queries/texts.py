@@ -169,7 +169,7 @@ LINK_RULE = tx.LinkRule("index", ("the", "der", "que", "and", "con"), ("theand",
                       generate_subscripts(regexp_extract_all(html, '(?is)<a\\s[^>]*href=.*?</a>'), 1) AS position FROM pages),
     l AS (SELECT page_id, position, {plain_sql('a')} AS title,
                  regexp_replace(regexp_extract(url, '^(https?://[^/?#]+)', 1) || regexp_extract(a, 'href="([^"]*)"', 1), '^http://', 'https://') AS link FROM a)
-    SELECT link, title, 'index' AS kind, page_id FROM l
+    SELECT link, title, NULL::VARCHAR AS period, 'index' AS kind, page_id FROM l
     WHERE regexp_matches(title, 'the|der|que|and|con') AND NOT contains(title, 'theand')
       AND regexp_matches(regexp_extract(link, '^https?://([^/:?#]+)', 1), '(^|\\.)example\\.(com|org)$')
     QUALIFY row_number() OVER (PARTITION BY link ORDER BY page_id DESC, position DESC) = 1""")
@@ -220,7 +220,7 @@ def _excerpt_sql():
     return f"""c AS (SELECT *, coalesce({tests}, 0) AS center FROM documents),
         e AS (SELECT *, least(length(text), greatest(0, center - 80) + 240) AS stop FROM c),
         x AS (SELECT doc_id, source, substr(text, CAST(greatest(0, stop - 240) AS BIGINT) + 1, CAST(stop - greatest(0, stop - 240) AS BIGINT)) AS excerpt FROM e),
-        ev AS (SELECT *, CASE WHEN excerpt <> '' THEN 'evidence_' || substr(sha256(concat_ws('|', source, excerpt)), 1, 20) END AS evidence_id FROM x)"""
+        ev AS (SELECT *, CASE WHEN excerpt <> '' THEN 'evidence_' || substr(sha256(source || chr(0) || excerpt), 1, 20) END AS evidence_id FROM x)"""
 
 
 @query("txt_12_evidence_excerpts", f"WITH {_excerpt_sql()} SELECT doc_id, excerpt, evidence_id FROM ev")
