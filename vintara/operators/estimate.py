@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.instants import LOCAL_ZONE, day_start_utc, local_date, next_day_start_utc, text_to_utc
+from ..functions.instants import LOCAL_ZONE, day_start_utc, evaluated, local_date, next_day_start_utc, text_to_utc
 from ..functions.ordered import oldest, top_row
 from .contracts import vendor_revision
 
@@ -101,11 +101,12 @@ def skipped(vintages: DataFrame, rules: DataFrame, country: str = "CN") -> DataF
 
 def with_overrides(estimates: DataFrame, overrides: DataFrame, zone: str = LOCAL_ZONE, offset: str = "+08:00") -> DataFrame:
     """Replace estimates by reviewed instants, keeping what contradicts them in ``override_error``."""
-    anchors = overrides.select(*KEY, F.col("value").alias("_value"), F.col("available_at").alias("_text"))
+    # instants are parsed once per override, before rows multiply
+    anchors = evaluated(overrides.select(
+        *KEY, F.col("value").alias("_value"), F.col("available_at").alias("_text"),
+        text_to_utc(F.col("available_at"), zone).alias("_at"))).withColumn("_day", local_date(F.col("_at"), zone))
     joined = estimates.join(anchors, KEY, "left")
-    at = text_to_utc(F.col("_text"), zone)
-    day = local_date(at, zone)
-    hit = F.col("_text").isNotNull()
+    at, day, hit = F.col("_at"), F.col("_day"), F.col("_text").isNotNull()
     error = F.when(hit & (F.abs(F.col("value") - F.col("_value")) > 1e-9), F.lit("value_mismatch")).when(
         hit & ~F.endswith(F.col("_text"), F.lit(offset)), F.lit("not_local_offset")).when(
         hit & (day <= F.col("period_end")), F.lit("precedes_period"))
@@ -116,7 +117,7 @@ def with_overrides(estimates: DataFrame, overrides: DataFrame, zone: str = LOCAL
         "availability_method": F.when(hit, F.lit("official_dated_wind_value")).otherwise(F.col("availability_method")),
         "availability_rule_version": F.when(hit, F.lit(OVERRIDE_VERSION)).otherwise(F.col("availability_rule_version")),
         "rule_confidence": F.when(hit, F.lit("high")).otherwise(F.col("rule_confidence")),
-    }).drop("_value", "_text")
+    }).drop("_value", "_text", "_at", "_day")
 
 
 def unused_overrides(estimates: DataFrame, overrides: DataFrame) -> DataFrame:

@@ -200,7 +200,11 @@ def search_candidates(spark, sf_dir):
     return tx.search_candidates(payloads(spark, sf_dir), ["k"], ["stats.example.com"], r"^/sj/zxfb/\d+\.html$", "stats.example.com")
 
 
-@query("txt_11_page_fingerprint")
+@query("txt_11_page_fingerprint", f"""
+    WITH {V}, d AS (SELECT 'http://' || CASE WHEN ingest_seq % 5 = 0 THEN 'other.example.com' ELSE 'stats.example.com' END || '/sj/zxfb/' || (ingest_seq % 3000)
+                        || '.html?a=1|' || strftime(CAST(period_start + INTERVAL 121 MONTH AS DATE), '%Y-%m-%d') AS a,
+                        'http://stats.example.com/about/' || ingest_seq || '|2010-01-01' AS b FROM v)
+    SELECT sha256(least(a, b) || chr(10) || greatest(a, b)) AS fingerprint, count(*) AS pages FROM d GROUP BY 1""")
 def page_fingerprint(spark, sf_dir):
     return payloads(spark, sf_dir).select(tx.page_fingerprint(F.col("payload")).alias("fingerprint")).groupBy("fingerprint").agg(
         F.count(F.lit(1)).alias("pages"))
