@@ -175,6 +175,14 @@ def test_long_empty_prefix_keeps_types(spark):
     assert wide.where("CN_X IS NOT NULL").count() == 2 and wide.count() == 243
 
 
+def test_cell_collisions_are_found(spark):
+    rows = frame(spark, [observation("2020-03", 1.0), observation("2020-Q1", 2.0, seq=1, sha="q")]).where("country = 'CN'")
+    rows = rows.withColumn("country", F.lit("US"))
+    assert panels.collisions(asof.selected(rows, "2021-01-01", "US")).count() == 1
+    with pytest.raises(ValueError, match="two frequencies"):
+        panels.asof_wide(rows, "2021-01-01", "US", start="2020-01-01", check_cells=True)
+
+
 def test_overlap_guard(spark, story):
     rows, side = story
     events = intervals.effective_events(rows, "CN", sidecar=side, start="2020-01-01")

@@ -64,13 +64,15 @@ def _index(selected: DataFrame, as_of, start, frequency: str):
     return spine(selected.sparkSession, start, last, frequency, column), column, last
 
 
-def _wide(selected: DataFrame, metadata: DataFrame, as_of, start, frequency, fields) -> WideResult:
+def _wide(selected: DataFrame, metadata: DataFrame, as_of, start, frequency, fields, check_cells) -> WideResult:
     index, column, _ = _index(selected, as_of, start, frequency)
     fields = fields if fields is not None else field_list(metadata)
     on_index = F.col("period_end") == F.last_day("period_end")
     if column == "quarter_end":
         on_index = on_index & (F.month("period_end") % 3 == 0)
     cells = selected.where(on_index).withColumn(column, F.col("period_end"))
+    if check_cells and not collisions(cells).isEmpty():
+        raise ValueError("one cell is claimed by two frequencies or countries of a series")
     return WideResult(
         values=pivot_cells(cells, index, column, fields, F.round("value", 10)),
         periods=pivot_cells(cells, index, column, fields, F.col("period")),
@@ -81,24 +83,29 @@ def _wide(selected: DataFrame, metadata: DataFrame, as_of, start, frequency, fie
 
 def asof_wide(vintages: DataFrame, as_of: str | datetime, scope: str, *, start="2005-01-01", frequency: str = "M",
               sidecar: DataFrame | None = None, rules: DataFrame | None = None, inactive: DataFrame | None = None,
-              policy: Policy = Policy(), fields: list[str] | None = None) -> WideResult:
-    """History as known at T: one row per source period end, one column per field."""
+              policy: Policy = Policy(), fields: list[str] | None = None, check_cells: bool = False) -> WideResult:
+    """History as known at T: one row per source period end, one column per field.
+
+    ``check_cells`` runs a job that fails if two selected rows claim one cell; without it
+    the larger value shows.
+    """
     last = last_index_day(normalize_as_of(as_of), frequency)
     chosen = asof.selected(vintages, as_of, scope, start=start, end=last, sidecar=sidecar, rules=rules,
                            inactive=inactive, policy=policy)
-    return _wide(chosen, asof.series_metadata(vintages, scope, inactive), as_of, start, frequency, fields)
+    return _wide(chosen, asof.series_metadata(vintages, scope, inactive), as_of, start, frequency, fields, check_cells)
 
 
 def asof_wide_from_events(events: DataFrame, as_of: str | datetime, scope: str, *, start="2005-01-01",
                           frequency: str = "M", inactive: DataFrame | None = None,
-                          fields: list[str] | None = None, check_overlap: bool = False) -> WideResult:
+                          fields: list[str] | None = None, check_overlap: bool = False,
+                          check_cells: bool = False) -> WideResult:
     """The same panel rebuilt from effective intervals."""
     last = last_index_day(normalize_as_of(as_of), frequency)
     held = asof.at(events, as_of, scope, start, last, inactive)
     if check_overlap and not asof.overlaps(held).isEmpty():
         raise ValueError("effective intervals overlap")
     metadata = asof.series_metadata(events, scope, inactive, recency="valid_from", frequency="source_frequency")
-    return _wide(held, metadata, as_of, start, frequency, fields)
+    return _wide(held, metadata, as_of, start, frequency, fields, check_cells)
 
 
 def scope_tag() -> Column:
