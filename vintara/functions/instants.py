@@ -67,7 +67,7 @@ def text_to_utc(text: Column, zone: str = LOCAL_ZONE) -> Column:
     """
     clean = F.regexp_replace(F.trim(text), "Z$", "+00:00")
     body = F.regexp_replace(clean, r"[+-]\d{2}:?\d{2}$", "")
-    wall = F.try_to_timestamp(body).cast("timestamp_ntz")
+    wall = body.try_cast("timestamp_ntz")
     sign = F.when(F.regexp_extract(clean, r"([+-])\d{2}:?\d{2}$", 1) == "-", -1).otherwise(1)
     hours = F.regexp_extract(clean, r"[+-](\d{2}):?\d{2}$", 1)
     minutes = F.regexp_extract(clean, r"[+-]\d{2}:?(\d{2})$", 1)

@@ -52,8 +52,8 @@ def with_release_evidence(pages: DataFrame, first_seen: str, html: str = "html",
     timed = found.withColumns({
         "_meta_at": F.when(has_time, text_to_utc(_iso(F.col("_meta")), zone)),
         "_text_at": text_to_utc(_iso(F.col("_stamp")), zone),
-        "_meta_day": F.when(~has_time, F.try_to_timestamp(_iso(F.col("_meta"))).cast("date")),
-        "_text_day": F.try_to_timestamp(_iso(F.col("_date"))).cast("date"),
+        "_meta_day": F.when(~has_time, _iso(F.col("_meta")).try_cast("date")),
+        "_text_day": _iso(F.col("_date")).try_cast("date"),
     })
     exact = F.coalesce("_meta_at", "_text_at")
     day = F.coalesce("_meta_day", "_text_day")

@@ -77,10 +77,10 @@ def normalized_codes(spark, sf_dir):
 
 # one text per order: with an offset, with Z, or local
 _TEXT = """CASE ingest_seq % 4
-    WHEN 0 THEN concat(date_format(available_at, "yyyy-MM-dd'T'HH:mm:ss"), '+08:00')
-    WHEN 1 THEN concat(date_format(available_at, "yyyy-MM-dd'T'HH:mm:ss"), 'Z')
-    WHEN 2 THEN concat(date_format(available_at, 'yyyy-MM-dd HH:mm:ss'), '-05:30')
-    ELSE date_format(available_at, 'yyyy-MM-dd HH:mm:ss') END"""
+    WHEN 0 THEN concat(replace(cast(available_at AS string), ' ', 'T'), '+08:00')
+    WHEN 1 THEN concat(replace(cast(available_at AS string), ' ', 'T'), 'Z')
+    WHEN 2 THEN concat(cast(available_at AS string), '-05:30')
+    ELSE cast(available_at AS string) END"""
 
 
 @query("con_07_timestamp_normalization", f"""
