@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry_module  # noqa: E402
 from check import TABLES, rows_of  # noqa: E402
 
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, ORACLES = entry_module.registry.QUERIES, entry_module.registry.ORACLES
 
 
 @pytest.fixture(scope="module")

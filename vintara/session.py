@@ -25,19 +25,24 @@ def build_session(master: str | None = None, app: str = "vintara", **extra: str)
     return builder.getOrCreate()
 
 
-def cut_lineage(frame: DataFrame) -> DataFrame:
-    """Materialise ``frame`` in the shared checkpoint folder so lost executors cost no replay.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir`` and that all executors reach.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only a local
-    session without that setting gets a folder of its own.
+    A session on one machine without that setting, as in tests, gets a folder of its own; a
+    cluster without it is an error, never a reason to use a machine's local folder.
     """
-    spark = frame.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not context.master.startswith("local"):
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None:
+            if not context.master.startswith("local[") and context.master != "local":
                 raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-            shared = tempfile.mkdtemp(prefix="vintara-checkpoint-")
-        context.setCheckpointDir(shared)
+            named = tempfile.mkdtemp(prefix="vintara-checkpoint-")
+        context.setCheckpointDir(named)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(frame: DataFrame) -> DataFrame:
+    """Materialise ``frame`` in the shared folder so lost executors cost no replay."""
+    shared_folder(frame.sparkSession)
     return frame.checkpoint(eager=True)
