@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vintara.llm.common import table
 from vintara.llm.exact_dedup import exact_duplicates
+from vintara.llm.secrets import listed, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,3 +31,13 @@ def query(name: str, sql: str | None = None):
                first_value(doc_id) OVER (PARTITION BY t ORDER BY n DESC, doc_id) AS keep_id FROM d)""")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_secret_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
+        listed(F.array_sort(F.concat("base", "added"))).alias("spans"))
