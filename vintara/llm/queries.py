@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from vintara.llm.common import table
 from vintara.llm.exact_dedup import exact_duplicates
 from vintara.llm.secrets import listed, secrets
+from vintara.llm.sharding import kd_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,3 +42,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
         F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
         listed(F.array_sort(F.concat("base", "added"))).alias("spans"))
+
+
+@query("op5_kd_shards")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards(table(spark, sf_dir, "documents"), shards=40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
