@@ -65,3 +65,14 @@ def numbered(frame: DataFrame, group: str, order: str, into: str) -> DataFrame:
     same = (placed["_task"] == parts["_task"]) & placed[group].eqNullSafe(parts["_group"])
     return placed.join(parts, same).select(
         *frame.columns, (placed["_row"] - F.col("_first") + F.col("_before")).cast("long").alias(into))
+
+
+def files_at(uri: str):
+    """File system and path of a URI, on the driver or in a task; plain paths are local."""
+    from pyarrow import fs
+
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    if "://" not in uri:
+        return fs.LocalFileSystem(), uri
+    return fs.FileSystem.from_uri(uri)

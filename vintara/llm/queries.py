@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vintara.llm.common import table
 from vintara.llm.exact_dedup import exact_duplicates
+from vintara.llm.packing import packed
 from vintara.llm.secrets import listed, secrets
 from vintara.llm.sharding import kd_shards
+from vintara.llm.token_files import round_trip
+from vintara.llm.token_ids import tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +52,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(table(spark, sf_dir, "documents"), shards=40).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op7_token_files")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=2)
+
+
+@query("op10_best_fit_packing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), capacity=4096, end_id=1)
