@@ -11,6 +11,7 @@ from vintara.llm.exact_dedup import exact_duplicates
 from vintara.llm.packing import packed
 from vintara.llm.secrets import listed, secrets
 from vintara.llm.sharding import kd_shards
+from vintara.llm.simhash import near_duplicates
 from vintara.llm.token_files import round_trip
 from vintara.llm.token_ids import tokenizer_file
 
@@ -62,3 +63,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), capacity=4096, end_id=1)
+
+
+@query("op6_simhash_near_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), words=4, lanes=1, radius=4)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("_f0")), 16, "0").alias("fingerprint"), "component_id")
