@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vintara.llm.common import table
+from vintara.llm.decontamination import contamination
 from vintara.llm.exact_dedup import exact_duplicates
 from vintara.llm.packing import packed
 from vintara.llm.secrets import listed, secrets
@@ -69,3 +70,26 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), words=4, lanes=1, radius=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("_f0")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op9_decontamination", r"""
+    WITH b AS (SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(coalesce(text, ''),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    g AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS p
+          FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+    d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    m AS (SELECT doc_id, s.i AS i, g.n AS n, item_id FROM (
+              SELECT doc_id, i, k AS n, array_to_string(w[i:i + k - 1], ' ') AS p FROM (
+                  SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT n AS k FROM g) WHERE len(w) >= k)) s
+          JOIN g ON g.p = s.p AND g.n = s.n),
+    h AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM m) GROUP BY doc_id),
+    t AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS list
+          FROM (SELECT DISTINCT doc_id, item_id FROM m) GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
