@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from vintara.llm import warc
 from vintara.llm.common import table
 from vintara.llm.decontamination import contamination
 from vintara.llm.exact_dedup import exact_duplicates
@@ -93,3 +94,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query("op3_warc_round_trip", """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+    r AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS payload_digest,
+                 max(page_id) OVER (PARTITION BY h) AS head FROM p)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 1000 AND page_id <> head THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 1000 AND page_id <> head THEN head END AS refers_to FROM r""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
