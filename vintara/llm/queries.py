@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vintara.llm import warc
+from vintara.llm import quality, warc
 from vintara.llm.common import table
 from vintara.llm.decontamination import contamination
 from vintara.llm.exact_dedup import exact_duplicates
@@ -105,3 +105,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
            CASE WHEN payload_bytes >= 1000 AND page_id <> head THEN head END AS refers_to FROM r""")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op8_quality_ranking")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.train(docs, table(spark, sf_dir, "labels")))
