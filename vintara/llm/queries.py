@@ -69,7 +69,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_simhash_near_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_duplicates(table(spark, sf_dir, "documents"), words=4, lanes=1, radius=4)
+    found = near_duplicates(table(spark, sf_dir, "documents"), words=4, lanes=1, segments=3, radius=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("_f0")), 16, "0").alias("fingerprint"), "component_id")
 
 

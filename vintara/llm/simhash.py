@@ -1,10 +1,11 @@
 """Near duplicates by SimHash fingerprints, found with deletion-variant signatures.
 
-A fingerprint has ``lanes`` x 64 bits. Each lane is cut into three segments: two fingerprints that differ in at most
-``2 * 3 * lanes - 1`` bits have a segment in which they differ in at most one, and then agree in a
+A fingerprint has ``lanes`` x 64 bits, each lane cut into ``segments``. Two fingerprints that differ in at most
+``2 * segments * lanes - 1`` bits have a segment in which they differ in at most one, and then agree in a
 variant of that segment with one bit position blanked. Every distinct fingerprint is therefore listed under one variant
-per bit, rows meet by equal variants, and their whole distance is verified. Beyond that number
-of bits (wide ``radius``) a pair is found if any segment comes that close, which is then probable, not certain.
+per bit, rows meet by equal variants, and their whole distance is verified. Three segments serve a radius of up
+to 5 bits in 64 with the longest keys. With a wider ``radius`` a pair is found if any segment comes that
+close, which is then probable, not certain.
 
 Copies share a fingerprint and are one row in the search. A bucket of many fingerprints is walked from
 one member to its neighbours, each found member leaving the bucket, so it yields a spanning forest of its links and
@@ -29,15 +30,21 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vintara.llm.common import whole_text, written
 from vintara.llm.components import components
 
-SEGMENTS = ((0, 21), (21, 42), (42, 64))
 SEED = 42
 SMALL = 48  # buckets up to this size are compared pair by pair
+MEDIUM = 4096  # and up to this size by blocks of distances
 CHUNK = 1 << 16  # shingles counted at once
 
 
+def bounds(segments: int) -> list[tuple[int, int]]:
+    """First and following bit of each segment of a lane."""
+    return [(64 * i // segments, 64 * (i + 1) // segments) for i in range(segments)]
+
+
 def radius_for(similarity: float, lanes: int) -> int:
-    """Expected distance of two texts whose shingle sets have this Jaccard similarity."""
-    return int(64 * lanes * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+    """Distance of two texts whose shingle sets have this Jaccard similarity: the expected one and a standard deviation."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(64 * lanes * share + math.sqrt(64 * lanes * share * (1 - share)))
 
 
 def shingle_hashes(text: str, words: int) -> np.ndarray:
@@ -93,11 +100,11 @@ def fingerprints(docs: DataFrame, words: int = 4, lanes: int = 1, text: str = "t
     return found.withColumn("_id", F.col("_id").cast("long"))
 
 
-def _variants(lanes: int) -> Column:
+def _variants(lanes: int, segments: int) -> Column:
     """One key per bit: the bit's number, and its segment with that bit blanked."""
     keys = []
     for lane in range(lanes):
-        for low, high in SEGMENTS:
+        for low, high in bounds(segments):
             for bit in range(low, high):
                 mask = ((1 << high) - (1 << low)) & ~(1 << bit)
                 signed = mask - 2**64 if mask >= 2**63 else mask
@@ -140,31 +147,45 @@ def _walked(prints: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
     return left, right
 
 
-def _large(prints: np.ndarray, bits: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links in a large bucket, cut once more by variants of the lane bits outside the bucket's segment."""
-    if len(prints) <= 4096:
-        return tuple(np.array(x, dtype=np.int64) for x in _walked(prints, radius))
-    lane, bit = divmod(bits, 64)
-    low, high = next(s for s in SEGMENTS if s[0] <= bit < s[1])
+def _linked(prints: np.ndarray, radius: int, block: int = 512) -> np.ndarray:
+    """Places of the fingerprints that have any link."""
+    found = [np.empty(0, dtype=np.int64)]
+    for start in range(0, len(prints), block):
+        near = _distance(prints[start:start + block, None], prints[None]) <= radius
+        found.append(np.flatnonzero(near.sum(axis=1) > 1) + start)  # each is near itself
+    return np.concatenate(found)
+
+
+def _forest(prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    at = _linked(prints, radius)
+    left, right = _walked(prints[at], radius)
+    return at[left], at[right]
+
+
+def _large(prints: np.ndarray, bit: int, segments: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links in a large bucket, the one of variant ``bit``. Very large ones are cut once more by variants of the lane's
+    bits outside the bucket's segment."""
+    if len(prints) <= MEDIUM or radius > 5:
+        return _forest(prints, radius) if len(prints) <= MEDIUM else tuple(
+            np.array(x, dtype=np.int64) for x in _walked(prints, radius))
+    lane, bit = divmod(bit, 64)
+    low, high = next(s for s in bounds(segments) if s[0] <= bit < s[1])
     others = [b for b in range(64) if not low <= b < high]
-    cut = len(others) // 3
-    left, right = [], []
-    for part in (others[:cut], others[cut:2 * cut], others[2 * cut:]):
-        whole = sum(1 << b for b in part)
+    left, right = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+    for part in np.array_split(others, 3):
+        whole = sum(1 << int(b) for b in part)
         for b in part:
-            keys = prints[:, lane] & np.uint64(whole & ~(1 << b))
+            keys = prints[:, lane] & np.uint64(whole & ~(1 << int(b)))
             order = np.argsort(keys, kind="stable")
-            bounds = np.flatnonzero(np.diff(keys[order])) + 1
-            for group in np.split(order, bounds):
+            for group in np.split(order, np.flatnonzero(np.diff(keys[order])) + 1):
                 if len(group) > 1:
-                    a, c = _walked(prints[group], radius)
+                    a, c = _forest(prints[group], radius) if len(group) <= MEDIUM else _walked(prints[group], radius)
                     left.append(group[a])
                     right.append(group[c])
-    none = np.empty(0, dtype=np.int64)
-    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
+    return np.concatenate(left), np.concatenate(right)
 
 
-def links(distinct: DataFrame, lanes: int, radius: int) -> DataFrame:
+def links(distinct: DataFrame, lanes: int, segments: int, radius: int) -> DataFrame:
     """Verified links (a, b) between ids of distinct fingerprints, enough to connect every component."""
     names = [f"_f{i}" for i in range(lanes)]
 
@@ -178,7 +199,7 @@ def links(distinct: DataFrame, lanes: int, radius: int) -> DataFrame:
         out.append(np.stack([ids[small][a], ids[small][b]], axis=1))
         for start, size in zip(starts[sizes > SMALL], sizes[sizes > SMALL], strict=True):
             part = slice(start, start + size)
-            a, b = _large(prints[part], int(keys[start]) >> 32, radius)
+            a, b = _large(prints[part], int(keys[start]) >> 32, segments, radius)
             out.append(np.stack([ids[part][a], ids[part][b]], axis=1))
         found = np.sort(np.concatenate(out), axis=1)
         return np.unique(found, axis=0) if len(found) else found
@@ -204,12 +225,12 @@ def links(distinct: DataFrame, lanes: int, radius: int) -> DataFrame:
             yield pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
 
     tasks = 2 * int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    listed = distinct.where("_least is not null").select("_least", *names, _variants(lanes).alias("key"))
+    listed = distinct.where("_least is not null").select("_least", *names, _variants(lanes, segments).alias("key"))
     return listed.repartition(tasks, "key").sortWithinPartitions("key").mapInPandas(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, lanes: int = 2, radius: int | None = None, similarity: float = 0.8,
-                    text: str = "text", identifier: str = "doc_id") -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, lanes: int = 2, segments: int = 4, radius: int | None = None,
+                    similarity: float = 0.8, text: str = "text", identifier: str = "doc_id") -> DataFrame:
     """One row per document: ``identifier``, ``component_id`` (smallest id reachable over links) and the fingerprint
     columns ``_f0``, ... Fingerprints are linked at ``radius`` or fewer differing bits; without a radius it
     follows from ``similarity``."""
@@ -217,7 +238,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, lanes: int = 2, radius: int
     names = [f"_f{i}" for i in range(lanes)]
     prints = written(fingerprints(docs, words, lanes, text, identifier), "fingerprints")
     distinct = written(prints.groupBy(*names).agg(F.min("_id").alias("_least")), "distinct-fingerprints")
-    reached = components(links(distinct, lanes, radius))
+    reached = components(links(distinct, lanes, segments, radius))
     classes = distinct.join(reached, distinct["_least"] == reached["node"], "left").select(
         *names, F.coalesce("component", "_least").alias("component_id"))
     return prints.join(classes, names).select(F.col("_id").alias(identifier), "component_id", *names)
