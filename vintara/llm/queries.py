@@ -14,6 +14,7 @@ from vintara.llm.packing import packed
 from vintara.llm.secrets import listed, secrets
 from vintara.llm.sharding import kd_shards
 from vintara.llm.simhash import near_duplicates
+from vintara.llm.substring_dedup import without_repeats
 from vintara.llm.token_files import round_trip
 from vintara.llm.token_ids import tokenizer_file
 
@@ -111,3 +112,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.scored(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op2_suffix_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeats(table(spark, sf_dir, "documents"), n=50)
+    removed = F.aggregate(F.zip_with("ends", "starts", lambda b, a: b - a), F.lit(0).cast("long"), lambda s, x: s + x)
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
