@@ -129,7 +129,7 @@ def train(random_tokens: DataFrame, ordinary_tokens: DataFrame, sample: int = 20
 
 
 def secrets(docs: DataFrame, text: str = "text", identifier: str = "doc_id", sample: int = 20_000,
-            threshold: float = 1.0) -> DataFrame:
+            threshold: float = 0.25) -> DataFrame:
     """One row per document: ``identifier``, ``base`` and ``added`` spans (start, kind, end, value),
     sorted; kind is the place in ``KINDS``. Added spans overlap no base span."""
     found = written(found_spans(docs, text, identifier), "spans")
