@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from ..functions.instants import instant
 from ..operators import asof, audit, inventory
 from . import query
-from .asof import select_at, selected_sql
+from .asof import select_at
 from .fixture import REGISTRY, V, registry, table, vintages
 from .intervals import START
+from .selection_sql import selected_sql
 
 
 @query("qa_01_duplicate_vintages", f"""
