@@ -2,26 +2,75 @@
 
 from __future__ import annotations
 
+import unicodedata
+from functools import cache
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, functions as F
 
-# Full-width forms and the ASCII they stand for.
-FULL_WIDTH = "０１２３４５６７８９．％，（）：－"
-ASCII = "0123456789.%,():-"
-# Entities that occur in running text.
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&copy;": "©", "&middot;": "·", "&amp;": "&"}
+_MARK = "\ue000"
+
+
+def _replaced(text: Column, pattern: str, change) -> Column:
+    """``change`` applied to every match of ``pattern``; texts without a match are left as they are.
+
+    Marks (a private character) are put around the matches, so pieces at odd places are matches.
+    """
+    pieces = F.split(F.regexp_replace(F.replace(text, F.lit(_MARK), F.lit(" ")), f"({pattern})", f"{_MARK}$1{_MARK}"), _MARK, -1)
+    changed = F.array_join(F.transform(pieces, lambda p, i: F.when(i % 2 == 1, change(p)).otherwise(p)), "")
+    return F.when(F.regexp_like(text, F.lit(pattern)), changed).otherwise(text)
+
+
+def _code_point(number: Column) -> Column:
+    """The character with this number, null if there is none."""
+    valid = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number.cast("long")), 8, "0")), "UTF-32"))
+
+
+def entities(text: Column) -> Column:
+    """Character references decoded: decimal, hexadecimal, and the names of the markup standard."""
+    named = F.create_map(*[F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, chr(code))])
+
+    def decoded(piece: Column) -> Column:
+        body = F.substring(piece, F.lit(2), F.length(piece) - 2)
+        hexadecimal = F.conv(F.regexp_extract(body, "^#[xX]([0-9a-fA-F]{1,6})$", 1), 16, 10).try_cast("int")
+        decimal = F.regexp_extract(body, "^#([0-9]{1,7})$", 1).try_cast("int")
+        return F.coalesce(F.try_element_at(named, body), _code_point(F.coalesce(decimal, hexadecimal)), piece)
+
+    return _replaced(text, "&[a-zA-Z0-9]+;|&#[xX]?[0-9a-fA-F]+;", decoded)
 
 
 def plain_text(html: Column) -> Column:
-    """Visible text of a page: scripts, styles, comments and tags out, whitespace collapsed."""
+    """Visible text of a page: scripts, styles, comments and tags out, references decoded, whitespace collapsed."""
     text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</(script|style)\s*>|<!--.*?-->|<[^>]*>", " ")
-    for entity, character in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    return F.trim(F.regexp_replace(text, r"[\s\x{00A0}]+", " "))
+    return F.trim(F.regexp_replace(entities(text), r"[\s\x{00A0}]+", " "))
+
+
+@cache
+def _compatibility() -> tuple[str, str, dict[str, str]]:
+    """From the Unicode rule for compatibility forms: characters with a one-character form and these forms, and the others."""
+    one, forms, several = [], [], {}
+    for code in range(0x80, 0x20000):
+        form = unicodedata.normalize("NFKC", chr(code))
+        if form == chr(code) or 0xD800 <= code < 0xE000:
+            continue
+        if len(form) == 1:
+            one.append(chr(code))
+            forms.append(form)
+        else:
+            several[chr(code)] = form
+    return "".join(one), "".join(forms), several
 
 
 def typography(text: Column) -> Column:
-    """Full-width digits and punctuation to ASCII."""
-    return F.translate(text, FULL_WIDTH, ASCII)
+    """Compatibility characters (full-width, enclosed, ligatures, units) in their plain form.
+
+    Every character is mapped for itself; letters followed by combining marks are not composed.
+    """
+    one, forms, several = _compatibility()
+    table = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    pattern = "[" + "".join(several) + "]"
+    return F.translate(_replaced(text, pattern, lambda p: F.try_element_at(table, p)), one, forms)
 
 
 def compact(text: Column) -> Column:
@@ -33,11 +82,19 @@ def title_of(html: Column) -> Column:
     return plain_text(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
 
 
-def meta_content(html: Column, *names: str) -> Column:
-    """Content of the first of the named meta tags that is present, else null."""
-    found = [F.nullif(F.regexp_extract(
-        html, rf'(?i)<meta\s+(?:name|property)="{name}"\s+content="([^"]*)"', 1), F.lit("")) for name in names]
-    return F.coalesce(*found)
+def meta_tags(html: Column) -> Column:
+    """Name (``name`` or ``property``) and content of every meta tag; attributes may stand in any order, in either kind of quotes."""
+    def attribute(tag: Column, name: str) -> Column:
+        quoted = F.regexp_extract(tag, rf"""(?is)\s(?:{name})\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+        return F.trim(F.regexp_replace(quoted, r"""^["']|["']$""", ""))
+
+    return F.transform(F.regexp_extract_all(html, F.lit(r"(?is)<meta\b[^>]*>"), F.lit(0)), lambda t: F.struct(
+        attribute(t, "name|property").alias("name"), attribute(t, "content").alias("content")))
+
+
+def content_of(tags: Column, name: str) -> Column:
+    """Content of the first tag of this name, null if absent or blank."""
+    return F.nullif(F.get(F.filter(tags, lambda t: t["name"] == name), F.lit(0))["content"], F.lit(""))
 
 
 def number(text: Column) -> Column:

@@ -1,24 +1,28 @@
 """Text and page jobs: release evidence, periods, metrics, tables, links, excerpts.
 
 Parsing is declarative per row and stays in the JVM; jobs shuffle only to compare rows
-(dedup, completeness). Steps are separate projections, so no pattern runs twice.
+(dedup, completeness). A pattern with several groups runs once over the text: its match is cut
+out first, and the groups are read from the short match.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.instants import LOCAL_ZONE, day_start_utc, evaluated, next_day_start_utc, text_to_utc
 from ..functions.ordered import newest, oldest, top_row
-from ..functions.texts import compact, meta_content, number, plain_text, signed
+from ..functions.texts import compact, content_of, meta_tags, number, plain_text, signed
 
-# Meta tags holding a publication time, and the labels before one in text.
+# Meta tags holding a publication time, and the labels before a time or date in text.
 TIME_TAGS = ("article:published_time", "publishdate", "PubDate", "publish-time")
-_STAMP = r"(20\d{2}[-/年]\d{1,2}[-/月]\d{1,2}日?\s+\d{1,2}:\d{2}(?::\d{2})?)"
-_DATE = r"(?:文章来源|发布时间|发布日期)\s*[：:]?\s*(20\d{2}[-/年]\d{1,2}[-/月]\d{1,2})日?"
-_BARE_DATE = r"(20\d{2}[-/]\d{1,2}[-/]\d{1,2})"
+TIME_LABELS = ("文章来源", "发布时间")
+DATE_LABELS = ("文章来源", "发布时间", "发布日期")
+_DAY = r"20\d\d[-/年]\d{1,2}[-/月]\d{1,2}"
+_BARE_DAY = r"20\d\d[-/]\d{1,2}[-/]\d{1,2}"  # without a label, words of the language may belong to a period
+_CLOCK = r"日?\s+\d{1,2}:\d\d(?::\d\d)?"
 
 
 def with_text(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -33,108 +37,117 @@ def _iso(text: Column) -> Column:
     return dashed
 
 
+def _labelled(text: str, label: str, clock: str = "") -> Column:
+    """The first day, with its time if asked for, behind a label, or without one if it is empty."""
+    pattern = rf"(?:{label})\s*[：:]?\s*({_DAY}{clock})" if label else f"({_BARE_DAY}{clock})"
+    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
+
+
 def with_release_evidence(pages: DataFrame, first_seen: str, html: str = "html", text: str = "text",
                           zone: str = LOCAL_ZONE) -> DataFrame:
     """Grade a page by what it says about its publication.
 
-    Metadata time, else a time in the text: A. Metadata date, else a labelled or bare date:
-    B, usable from the next local day. Nothing: D, usable once seen.
+    In this order: a time in metadata (tags in the order of ``TIME_TAGS``), a time behind a label, a bare time: A.
+    A date in metadata (the last tag that has one), a date behind a label, a bare date: B, usable from the next
+    local day. Nothing: D, usable once seen.
     """
-    def none_if_blank(column: Column) -> Column:
-        return F.nullif(column, F.lit(""))
-    found = pages.withColumns({
-        "_meta": meta_content(F.col(html), *TIME_TAGS),
-        "_stamp": none_if_blank(F.regexp_extract(text, _STAMP, 1)),
-        "_date": F.coalesce(none_if_blank(F.regexp_extract(text, _DATE, 1)),
-                            none_if_blank(F.regexp_extract(text, _BARE_DATE, 1))),
-    })
-    has_time = F.col("_meta").rlike(r"\d{1,2}:\d{2}")
-    timed = found.withColumns({
-        "_meta_at": F.when(has_time, text_to_utc(_iso(F.col("_meta")), zone)),
-        "_text_at": text_to_utc(_iso(F.col("_stamp")), zone),
-        "_meta_day": F.when(~has_time, _iso(F.col("_meta")).try_cast("date")),
-        "_text_day": _iso(F.col("_date")).try_cast("date"),
-    })
-    exact = F.coalesce("_meta_at", "_text_at")
-    day = F.coalesce("_meta_day", "_text_day")
-    return timed.withColumns({
+    def first(texts: Column, read) -> Column:
+        """The first text that ``read`` makes something of."""
+        return F.get(F.filter(F.transform(texts, read), lambda x: x.isNotNull()), F.lit(0))
+
+    cut = evaluated(pages.withColumn("_tags", meta_tags(F.col(html))))
+    found = evaluated(cut.withColumns({
+        "_metas": F.array(*[content_of(F.col("_tags"), name) for name in TIME_TAGS]),
+        "_stamps": F.array(*[_labelled(text, label, _CLOCK) for label in (*TIME_LABELS, "")]),
+        "_days": F.array(*[_labelled(text, label) for label in ("|".join(DATE_LABELS), "")]),
+    }))
+    clocked = lambda t: t.rlike(r"\d:\d\d")
+    read = evaluated(found.withColumns({
+        "_meta_at": first(F.col("_metas"), lambda t: F.when(clocked(t), text_to_utc(_iso(t), zone))),
+        "_text_at": first(F.col("_stamps"), lambda t: text_to_utc(_iso(t), zone)),
+        "_meta_day": first(F.reverse("_metas"), lambda t: F.when(~clocked(t), _iso(t).try_cast("date"))),
+        "_text_day": first(F.col("_days"), lambda t: _iso(t).try_cast("date")),
+    }))
+    exact, day = F.coalesce("_meta_at", "_text_at"), F.coalesce("_meta_day", "_text_day")
+    sources = [("_meta_at", "official_page_metadata"), ("_text_at", "official_page_timestamp"),
+               ("_meta_day", "official_page_metadata_date"), ("_text_day", "official_page_date")]
+    return read.withColumns({
         "pit_grade": F.when(exact.isNotNull(), F.lit("A")).when(day.isNotNull(), F.lit("B")).otherwise(F.lit("D")),
         "release_at": F.coalesce(exact, day_start_utc(day, zone)),
         "available_at": F.coalesce(exact, next_day_start_utc(day, zone), F.col(first_seen)),
-        "release_date_source": F.when(F.col("_meta_at").isNotNull(), F.lit("official_page_metadata"))
-        .when(F.col("_text_at").isNotNull(), F.lit("official_page_timestamp"))
-        .when(F.col("_meta_day").isNotNull(), F.lit("official_page_metadata_date"))
-        .when(F.col("_text_day").isNotNull(), F.lit("official_page_date")).otherwise(F.lit("first_seen_only")),
-    }).drop("_meta", "_stamp", "_date", "_meta_at", "_text_at", "_meta_day", "_text_day")
-
-
-# Fixed values: (pattern, month or null when the pattern's second group holds it), tried in order.
-PERIOD_PATTERNS = (
-    (r"(20\d{2})\s*年\s*(?:前\s*)?([一二三四1-4])\s*季(?:度)?", "quarter"),
-    (r"(20\d{2})\s*年\s*(上半年)", "half"),
-    (r"(20\d{2})\s*年\s*1\s*[-—–至]\s*(1[0-2]|0?[1-9])\s*月", "month"),
-    (r"(20\d{2})\s*年\s*前\s*(1[0-2]|0?[1-9])\s*个?月", "month"),
-    (r"(20\d{2})\s*年\s*(1[0-2]|0?[1-9])\s*月", "month"),
-)
-
-
-def _period_of(text: Column) -> Column:
-    """``YYYYMM`` number of the first pattern that matches, else null."""
-    found = []
-    for pattern, kind in PERIOD_PATTERNS:
-        year = F.regexp_extract(text, pattern, 1).try_cast("int")
-        second = F.regexp_extract(text, pattern, 2)
-        if kind == "quarter":
-            month = F.translate(second, "一二三四", "1234").try_cast("int") * 3
-        elif kind == "half":
-            month = F.when(second != "", 6)
-        else:
-            month = second.try_cast("int")
-        found.append(year * 100 + month)
-    return F.coalesce(*found)
+        "release_date_source": F.coalesce(*[F.when(F.col(c).isNotNull(), F.lit(name)) for c, name in sources], F.lit("first_seen_only")),
+    }).select(*pages.columns, "pit_grade", "release_at", "available_at", "release_date_source")
+
+
+# What may follow a year, by kind: quarter, half, months from the first, first n months, one month.
+_UNIT = r"(?:(?:前\s*)?[一二三四1-4]\s*季|上半年|(?:1\s*[-—–至]\s*|前\s*)?\d{1,2}\s*个?月)"
+_DATED_UNIT = rf"20\d\d\s*年\s*{_UNIT}"
+PUBLICATION_ORDER = ("quarter", "half", "span", "first", "month")
+TITLE_ORDER = ("span", "month", "half", "quarter", "first")
+
+
+def _period_of(text: Column, order: tuple[str, ...]) -> Column:
+    """``YYYYMM`` number of the dated unit whose kind comes first in ``order``, then of the first such unit; else null."""
+    def read(unit: Column, at: Column) -> Column:
+        tail = F.substring(unit, F.lit(5), F.length(unit) - 4)
+        last = F.regexp_extract(F.translate(tail, "一二三四", "1234"), r"(\d+)\s*(?:个?月|季)", 1).try_cast("int")
+        kind = (F.when(tail.contains("季"), "quarter").when(tail.contains("上半年"), "half").when(tail.contains("前"), "first")
+                .when(tail.rlike("[-—–至]"), "span").otherwise("month"))
+        month = F.when(kind == "quarter", last * 3).when(kind == "half", 6).otherwise(last)
+        rank = F.array_position(F.array(*map(F.lit, order)), kind)
+        return F.struct(rank.alias("rank"), at.alias("at"), (F.substring(unit, 1, 4).cast("int") * 100 + month).alias("period"))
+
+    units = F.transform(F.regexp_extract_all(text, F.lit(_DATED_UNIT), F.lit(0)), read)
+    return F.array_min(F.filter(units, lambda u: (u["period"] % 100).between(1, 12)))["period"]
+
+
+def _annual(title: Column) -> Column:
+    return F.regexp_extract(title, r"(20\d\d)\s*年", 1).try_cast("int") * 100 + 12
+
+
+def _period_text(number_: Column) -> Column:
+    return F.when(number_.isNotNull(), F.concat(
+        F.floor(number_ / 100).cast("string"), F.lit("-"), F.lpad((number_ % 100).cast("string"), 2, "0")))
+
+
+def _rolled(title: Column, published: Column) -> Column:
+    """A month without a year: the publication's year, or the year before when that month is still to come."""
+    month = F.regexp_extract(title, r"(?<!\d)(\d{1,2})\s*月", 1).try_cast("int")
+    year = F.year(published) - F.when(month > F.month(published), 1).otherwise(0)
+    return F.when(month.between(1, 12), year * 100 + month)
 
 
 def with_publication_period(pages: DataFrame, title: str = "title", text: str = "text",
                             published: str | None = None) -> DataFrame:
-    """``period`` of a publication: title first (a bare year means December), then the text.
-
-    A title with a month but no year takes the publication's year, or the year before when
-    that month is still to come.
-    """
-    annual = F.regexp_extract(title, r"(20\d{2})\s*年", 1).try_cast("int") * 100 + 12
-    found = pages.withColumns({"_titled": F.coalesce(_period_of(F.col(title)), annual), "_body": _period_of(F.col(text))})
-    choices = ["_titled", "_body"]
+    """``period`` of a publication: title first (a bare year means December), then a yearless month of the title, then the text."""
+    choices = {"_titled": F.coalesce(_period_of(F.col(title), PUBLICATION_ORDER), _annual(F.col(title)))}
     if published is not None:
-        month = F.regexp_extract(title, r"(?<!\d)(1[0-2]|0?[1-9])\s*月份?", 1).try_cast("int")
-        year = F.year(published) - F.when(month > F.month(published), 1).otherwise(0)
-        found = found.withColumn("_rolled", year * 100 + month)
-        choices = ["_titled", "_rolled", "_body"]
-    number_ = F.coalesce(*choices)
-    return found.withColumn("period", F.when(number_.isNotNull(), F.concat(
-        F.floor(number_ / 100).cast("string"), F.lit("-"), F.lpad((number_ % 100).cast("string"), 2, "0")))).drop(*choices)
-
-
-# English month names as they start in titles.
-MONTH_NAMES = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
-_ENGLISH = (r"\b(jan|feb|mar|apr|may|june?|july?|aug|sept?|oct|nov|dec)(?:uary|ruary|ch|il|ust|tember|ober|ember)?"
-            r"\.?\s*,?\s*(20\d{2})\b")
-_DOTTED = r"\b(0?[1-9]|1[0-2])\s*\.\s*(20\d{2})\b"
-
-
-def with_title_period(rows: DataFrame, title: str = "title") -> DataFrame:
-    """``period`` named in a title: Chinese patterns, a bare year (December), English months, ``m.YYYY``."""
-    low = F.lower(title)
-    found = rows.withColumns({
-        "_chinese": F.coalesce(_period_of(F.col(title)), F.regexp_extract(title, r"(20\d{2})\s*年", 1).try_cast("int") * 100 + 12),
-        "_name": F.substring(F.regexp_extract(low, _ENGLISH, 1), 1, 3),
-        "_english_year": F.regexp_extract(low, _ENGLISH, 2).try_cast("int"),
-        "_dotted": F.regexp_extract(low, _DOTTED, 2).try_cast("int") * 100 + F.regexp_extract(low, _DOTTED, 1).try_cast("int"),
-    })
-    position = F.array_position(F.array(*[F.lit(m) for m in MONTH_NAMES]), F.col("_name")).cast("int")
-    number_ = F.coalesce("_chinese", F.col("_english_year") * 100 + F.nullif(position, F.lit(0)), "_dotted")
-    return found.withColumn("period", F.when(number_.isNotNull(), F.concat(
-        F.floor(number_ / 100).cast("string"), F.lit("-"), F.lpad((number_ % 100).cast("string"), 2, "0")))
-    ).drop("_chinese", "_name", "_english_year", "_dotted")
+        choices["_rolled"] = _rolled(F.col(title), F.col(published))
+    choices["_body"] = _period_of(F.col(text), PUBLICATION_ORDER)
+    return pages.withColumns(choices).withColumn("period", _period_text(F.coalesce(*choices))).drop(*choices)
+
+
+# English month names, and short forms beside their first three letters.
+MONTH_NAMES = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+SHORT_NAMES = ("sept",)
+
+
+def with_title_period(rows: DataFrame, title: str = "title", published: str | None = None) -> DataFrame:
+    """``period`` named in a title: units after a year in title order, a bare year (December), English months, ``m.YYYY``;
+    with ``published`` at last a month without a year."""
+    names = sorted({*MONTH_NAMES, *SHORT_NAMES, *(m[:3] for m in MONTH_NAMES)}, key=len, reverse=True)
+    english = F.regexp_extract(F.lower(title), rf"\b(?:{'|'.join(names)})\b\.?\s*,?\s*20\d\d\b", 0)
+    dotted = F.regexp_extract(title, r"(?<![\d.])\d{1,2}\s*\.\s*20\d\d(?!\d)", 0)
+    found = evaluated(rows.withColumns({"_chinese": F.coalesce(_period_of(F.col(title), TITLE_ORDER), _annual(F.col(title))),
+                                        "_english": english, "_dotted": dotted}))
+    month = F.array_position(F.array(*[F.lit(m[:3]) for m in MONTH_NAMES]), F.substring("_english", 1, 3)).cast("int")
+    first = F.regexp_extract("_dotted", r"^\d+", 0).try_cast("int")
+    year = lambda c: F.substring(c, -4, 4).try_cast("int") * 100
+    choices = [F.col("_chinese"), year(F.col("_english")) + F.nullif(month, F.lit(0)),
+               F.when(first.between(1, 12), year(F.col("_dotted")) + first)]
+    if published is not None:
+        choices.append(_rolled(F.col(title), F.col(published)))
+    return found.withColumn("period", _period_text(F.coalesce(*choices))).drop("_chinese", "_english", "_dotted")
 
 
 @dataclass(frozen=True)
@@ -149,14 +162,23 @@ class MetricRule:
 def extract_metrics(documents: DataFrame, rules: list[MetricRule], keys: list[str], text: str = "text") -> DataFrame:
     """Observations found by a rule table, one row per (document, metric) that matches.
 
-    The bounded rule list is unrolled into one array per row: no join with the rules.
+    The bounded rule list is unrolled into one array per row: no join with the rules. A rule searches the text once;
+    its groups are read from the match.
     """
+    read = documents.select(*keys, compact(F.col(text)).alias("_text"))
     hits = F.array(*[
-        F.struct(F.lit(r.metric).alias("metric"), F.regexp_extract("_text", r.pattern, 1).alias("direction"),
-                 F.regexp_extract("_text", r.pattern, 2).alias("raw"), F.lit(r.scale).alias("scale"))
-        for r in rules])
-    rows = documents.select(*keys, compact(F.col(text)).alias("_text")).select(*keys, F.inline(hits))
-    return rows.withColumn("value", signed(number(F.col("raw")), F.col("direction")) * F.col("scale")).where(
+        F.struct(F.lit(r.metric).alias("metric"), F.lit(i).alias("_rule"), F.regexp_extract("_text", r.pattern, 0).alias("_match"),
+                 F.lit(r.scale).alias("scale")) for i, r in enumerate(rules)])
+    rows = evaluated(read.select(*keys, F.inline(hits))).where("_match <> ''")
+
+    def group(n: int) -> Column:
+        out = F.lit(None).cast("string")
+        for i, r in enumerate(rules):
+            out = F.when(F.col("_rule") == i, F.regexp_extract("_match", r.pattern, n)).otherwise(out)
+        return out
+
+    read = evaluated(rows.select(*keys, "metric", "scale", group(1).alias("direction"), group(2).alias("raw")))
+    return read.withColumn("value", signed(number(F.col("raw")), F.col("direction")) * F.col("scale")).where(
         "value IS NOT NULL").select(*keys, "metric", "value")
 
 
@@ -164,23 +186,25 @@ def preferred_occurrence(documents: DataFrame, labels: list[str], keys: list[str
                          month: str = "month") -> DataFrame:
     """The best of several statements about one metric in a document.
 
-    A statement is label, then within the sentence a direction and a percentage. Sentences
-    that say they are cumulative come first, then the order of appearance.
+    A statement is a label and, before the next label or the end of the sentence, a direction and a percentage. It
+    is cumulative if the sentence says so before it. Cumulative statements come first, then the order of appearance.
     """
-    label = "(?:" + "|".join(labels) + ")"
-    statement = rf"({label}[^。；;]{{0,180}}?)(增长|下降|微增)([\d.]+)%"
-    cumulative = F.concat(F.lit(r"累计.*"), F.lit(label), F.lit("|1[-—–至]"), F.col(month).cast("string"), F.lit("月.*"),
-                          F.lit(label), F.lit("|前"), F.col(month).cast("string"), F.lit("个?月.*"), F.lit(label))
-    parts = documents.select(*keys, F.posexplode(F.split(compact(F.col(text)), "[。；;]")).alias("position", "_part"),
-                             cumulative.alias("_cumulative"))
-    found = evaluated(parts.select(
-        *keys, "position", F.regexp_like("_part", F.col("_cumulative")).alias("cumulative"),
-        F.regexp_extract("_part", statement, 2).alias("direction"),
-        F.regexp_extract("_part", statement, 3).try_cast("double").alias("raw"))).where("raw IS NOT NULL")
+    label = "|".join(sorted(map(re.escape, labels), key=len, reverse=True))
+    parts = documents.select(*keys, F.col(month).cast("string").alias("_month"), F.posexplode(
+        F.split(compact(F.col(text)), "[。；;]")).alias("_sentence", "_part"))
+    # what stands before the first label, and behind each label
+    cut = evaluated(parts.select(*keys, "_month", "_sentence", F.split("_part", label, -1).alias("_pieces"))).where(F.size("_pieces") > 1)
+    said = F.concat(F.lit("累计|1[-—–至]"), F.col("_month"), F.lit("月|前"), F.col("_month"), F.lit("个?月"))
+    change = "(?:增长|下降|微增)[\\d.]+%"
+    statements = F.transform(F.sequence(F.lit(1), F.size("_pieces") - 1), lambda i: F.struct(
+        (~F.regexp_like(F.array_join(F.slice("_pieces", 1, i), ""), said)).alias("later"), F.col("_sentence").alias("position"),
+        i.alias("nth"), F.regexp_extract(F.get("_pieces", i), change, 0).alias("change")))
+    found = evaluated(cut.select(*keys, F.explode(statements).alias("b"))).where("b.change <> ''")
     # a running minimum per document: partial aggregation keeps long documents map-side
-    best = found.groupBy(*keys).agg(F.min(F.struct((~F.col("cumulative")).alias("later"), "position", "direction", "raw")).alias("b"))
+    best = found.groupBy(*keys).agg(F.min("b").alias("b"))
+    value = F.regexp_extract("b.change", r"[\d.]+", 0).try_cast("double")
     return best.select(*keys, (~F.col("b.later")).alias("cumulative"), F.col("b.position").alias("position"),
-                       signed(F.col("b.raw"), F.col("b.direction")).alias("value"))
+                       signed(value, F.col("b.change")).alias("value"))
 
 
 def table_cells(html: Column, clean=compact) -> Column:
@@ -193,42 +217,53 @@ def table_cells(html: Column, clean=compact) -> Column:
         lambda t: F.transform(F.regexp_extract_all(t, F.lit(r"(?is)<tr.*?</tr>"), 0), cells))
 
 
+# Second header row, first cells of the first one, cells that hold no value, units behind a label.
 HEADER_CELLS = ("绝对量", "同比增长(%)", "绝对量", "同比增长(%)")
+HEADER_NAMES = ("", "指标")
+BLANK_CELLS = ("", "…", "...", "—", "-")
+LABEL_UNITS = ("亿元", "万平方米", "%")
+NUMERALS = "一二三四五六七八九十"
+
+
+def _bare_label(cell: Column) -> Column:
+    """A row label without its number in front and its unit behind."""
+    numbered = rf"^(?:[{NUMERALS}]+、|\([{NUMERALS}]+\))"
+    unit = rf"\((?:{'|'.join(LABEL_UNITS)})\)$"
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(cell, numbered, ""), numbered, ""), unit, "")
 
 
 def table_metrics(pages: DataFrame, labels: dict[str, tuple[str, int]], keys: list[str], html: str = "html",
                   month: str = "month") -> DataFrame:
-    """Cells of tables whose header names exactly this month and its year-to-date span.
+    """Cells of tables whose header names exactly this month and its year-to-date span, in whichever row.
 
-    ``labels`` maps a row label to (metric, cell index). Blank cells stay null; a cell that
-    is neither blank nor a number, or tables that disagree, set ``problem``.
+    ``labels`` maps a row label to (metric, cell index); the label is the first cell that is not empty, and four cells
+    follow it. Blank cells stay null; a cell that is neither blank nor a number, or tables that disagree, set ``problem``.
     """
-    rows = pages.select(*keys, F.col(month).alias("_month"), table_cells(F.col(html)).alias("_tables")).select(
+    rows = pages.select(*keys, F.col(month).cast("int").alias("_month"), table_cells(F.col(html)).alias("_tables")).select(
         *keys, "_month", F.posexplode(F.col("_tables")).alias("_table_no", "_rows"))
-    want = F.concat(F.lit(r"^(指标)?\|0?"), F.col("_month").cast("string"), F.lit(r"月份?\|1[-—–至]0?"),
-                    F.col("_month").cast("string"), F.lit("月份?$"))
-    lines = rows.withColumn("_lines", F.transform("_rows", lambda r: F.concat_ws("|", r))).withColumn(
-        "_at", F.coalesce(F.array_min(F.filter(
-            F.sequence(F.lit(1), F.greatest(F.size("_lines") - 1, F.lit(1))),
-            lambda i: F.coalesce(F.regexp_like(F.get("_lines", i - 1), want), F.lit(False))
-            & (F.get("_lines", i) == "|".join(HEADER_CELLS)))), F.lit(0)))
-    body = evaluated(lines.select(*keys, "_rows", "_at")).where((F.col("_at") > 0) & (F.col("_at") <= 8)).select(
+    # a header cell as numbers only: "03月份" is "3", "1—3月" is "1-3"
+    plain = lambda c: F.regexp_replace(F.regexp_replace(F.translate(c, "—–至份", "---"), r"(^|-)0", "$1"), "月$", "")
+    wanted = F.array(F.col("_month").cast("string"), F.concat(F.lit("1-"), F.col("_month").cast("string")))
+
+    def opens(i: Column) -> Column:
+        row = F.get("_rows", i - 1)
+        return F.coalesce((F.size(row) == 3) & F.get(row, F.lit(0)).isin(*HEADER_NAMES) & (
+            F.transform(F.slice(row, 2, 2), plain) == wanted) & (F.get("_rows", i) == F.array(*map(F.lit, HEADER_CELLS))), F.lit(False))
+
+    headed = rows.withColumn("_at", F.array_min(F.filter(F.sequence(F.lit(1), F.greatest(F.size("_rows"), F.lit(1))), opens)))
+    body = evaluated(headed.select(*keys, "_rows", "_at")).where("_at IS NOT NULL").select(
         *keys, F.explode(F.slice("_rows", F.col("_at") + 2, F.size("_rows"))).alias("_cells"))
-    # a spacer cell before the label shifts the row by one
-    shifted = F.when((F.size("_cells") == 6) & (F.get("_cells", F.lit(0)) == ""), F.slice("_cells", 2, 5)).otherwise(F.col("_cells"))
-    aligned = body.withColumn("_cells", shifted).where(F.size("_cells") == 5)
-    name = F.get("_cells", F.lit(0))
-    for pattern in (r"^[一二三四五六七八九十]+、", r"^[(（][一二三四五六七八九十]+[)）]", r"[(（](?:亿元|万平方米|%)[)）]$"):
-        name = F.regexp_replace(name, pattern, "")
-    named = aligned.withColumn("_name", name)
+    lead = F.coalesce(F.array_min(F.filter(F.sequence(F.lit(1), F.greatest(F.size("_cells"), F.lit(1))),
+                                           lambda i: F.get("_cells", i - 1) != "")), F.lit(1))
+    aligned = evaluated(body.withColumn("_row", F.slice("_cells", lead, F.size("_cells")))).where(F.size("_row") == 5)
+    named = aligned.withColumn("_name", _bare_label(F.get("_row", F.lit(0))))
     metric, raw = F.lit(None).cast("string"), F.lit(None).cast("string")
     for label, (target, index) in labels.items():
         metric = F.when(F.col("_name") == label, F.lit(target)).otherwise(metric)
-        raw = F.when(F.col("_name") == label, F.get("_cells", F.lit(index))).otherwise(raw)
+        raw = F.when(F.col("_name") == label, F.get("_row", F.lit(index))).otherwise(raw)
     cells = evaluated(named.select(*keys, metric.alias("metric"), raw.alias("raw"))).where("metric IS NOT NULL")
-    blank = F.col("raw").isin("", "…", "...", "—", "-")
     typed = cells.withColumn("value", F.when(F.col("raw").rlike(r"^[+-]?\d+(\.\d+)?$"), F.col("raw").try_cast("double"))).withColumn(
-        "bad", ~blank & F.col("value").isNull())
+        "bad", ~F.col("raw").isin(*BLANK_CELLS) & F.col("value").isNull())
     return typed.groupBy(*keys, "metric").agg(
         F.max("value").alias("value"),
         F.when(F.bool_or("bad"), F.lit("unexpected_cell"))
@@ -236,44 +271,65 @@ def table_metrics(pages: DataFrame, labels: dict[str, tuple[str, int]], keys: li
               F.lit("conflicting_tables")).alias("problem"))
 
 
-ENUMERATED = r"(?<![\d年])([1-9]|1[0-2])至([1-9]|1[0-2])月份[，,]全国城镇调查失业率分别为([^。，,；;]+)"
+def enumerated_months(documents: DataFrame, keys: list[str], label: str = "全国城镇调查失业率", text: str = "text",
+                      month: str = "month") -> DataFrame:
+    """"1至3月份，<label>分别为a%、b%和c%": one row per month, read from every such list that ends in the document's month.
 
-
-def enumerated_months(documents: DataFrame, keys: list[str], text: str = "text", month: str = "month") -> DataFrame:
-    """"1至3月份…分别为a%、b%和c%": one row per month, or one with ``problem`` if the lists differ."""
-    found = documents.select(*keys, F.col(month).alias("_month"), compact(F.col(text)).alias("_text")).select(
-        *keys, "_month",
-        F.regexp_extract("_text", ENUMERATED, 1).try_cast("int").alias("_from"),
-        F.regexp_extract("_text", ENUMERATED, 2).try_cast("int").alias("_to"),
-        F.split(F.regexp_extract("_text", ENUMERATED, 3), "[、和]").alias("_values"))
-    listed = evaluated(found).where("_from IS NOT NULL AND _to = _month")
-    percent = F.transform("_values", lambda v: F.regexp_extract(v, r"^(\d+(?:\.\d+)?)%$", 1).try_cast("double"))
-    checked = listed.withColumn("_numbers", percent)
-    bad = (F.col("_from") > F.col("_to")) | (F.size("_values") != F.col("_to") - F.col("_from") + 1) | F.exists(
-        "_numbers", lambda n: n.isNull() | (n < 0) | (n > 100))
-    marked = evaluated(checked.withColumn("problem", F.when(bad, F.lit("months_and_values_differ"))))
-    months = F.when(F.col("problem").isNull(), F.sequence("_from", "_to")).otherwise(F.array(F.lit(None).cast("int")))
-    values = F.when(F.col("problem").isNull(), F.col("_numbers")).otherwise(F.array(F.lit(None).cast("double")))
-    return marked.select(*keys, "problem", F.inline(F.arrays_zip(months.alias("month"), values.alias("value"))))
-
-
-def incomplete_documents(metrics: DataFrame, required: list[str], keys: list[str]) -> DataFrame:
-    """Documents lacking some required metric; the set per document is bounded by the rules."""
+    If a list has another number of values than months, a value is no percentage, or two lists
+    disagree, the document has one row with ``problem``.
+    """
+    listing = rf"(?<![\d年])\d{{1,2}}至\d{{1,2}}月份[，,]{label}分别为[^。，,；;]+"
+    found = documents.select(*keys, F.col(month).alias("_month"), F.explode(F.regexp_extract_all(
+        compact(F.col(text)), F.lit(listing), F.lit(0))).alias("_list"))
+    read = evaluated(found.select(
+        *keys, "_month", F.regexp_extract("_list", r"^\d+", 0).cast("int").alias("_from"), F.regexp_extract("_list", r"至(\d+)月", 1).cast("int").alias("_to"),
+        F.split(F.substring_index("_list", "为", -1), "[、和]").alias("_values"))).where("_to = _month")
+    percent = F.transform("_values", lambda v: F.when(v.rlike(r"^\d+(\.\d+)?%$"), F.replace(v, F.lit("%"), F.lit("")).try_cast("double")))
+    checked = read.withColumn("_numbers", percent)
+    wrong = (F.col("_from") < 1) | (F.col("_from") > F.col("_to")) | (F.size("_values") != F.col("_to") - F.col("_from") + 1) | F.exists(
+        "_numbers", lambda n: F.coalesce((n < 0) | (n > 100), F.lit(True)))
+    pairs = F.when(wrong, F.array(F.struct(F.lit(None).cast("int").alias("month"), F.lit(None).cast("double").alias("value")))).otherwise(
+        F.arrays_zip(F.sequence("_from", F.greatest("_from", "_to")).alias("month"), F.col("_numbers").alias("value")))
+    each = evaluated(checked.select(*keys, F.inline(pairs)))
+    by_month = each.groupBy(*keys, "month").agg(F.min("value").alias("value"), (F.min("value") != F.max("value")).alias("_split"))
+    by_document = by_month.groupBy(*keys).agg(
+        F.bool_or(F.col("month").isNull() | F.coalesce("_split", F.lit(False))).alias("_bad"),
+        F.array_sort(F.collect_list(F.struct("month", "value"))).alias("_months"))  # at most twelve
+    shown = F.when(F.col("_bad"), F.array(F.struct(F.lit(None).cast("int").alias("month"), F.lit(None).cast("double").alias("value")))).otherwise(
+        F.col("_months"))
+    return by_document.select(*keys, F.when(F.col("_bad"), F.lit("months_and_values_differ")).alias("problem"), F.inline(shown))
+
+
+def incomplete_documents(documents: DataFrame, metrics: DataFrame, required: list[str], keys: list[str]) -> DataFrame:
+    """Documents lacking some required metric, those without any metric too; the set per document is bounded by the rules."""
     sets = metrics.groupBy(*keys).agg(F.collect_set("metric").alias("_have"))
-    missing = F.array_sort(F.array_except(F.array(*[F.lit(r) for r in required]), F.col("_have")))
-    return sets.select(*keys, F.array_join(missing, ",").alias("missing")).where("missing <> ''")
+    have = F.coalesce("_have", F.array().cast("array<string>"))
+    missing = F.array_sort(F.array_except(F.array(*[F.lit(r) for r in required]), have))
+    return documents.select(*keys).distinct().join(sets, keys, "left").select(
+        *keys, F.array_join(missing, ",").alias("missing")).where("missing <> ''")
 
 
 def absolute_url(base: Column, href: Column) -> Column:
-    """Resolve a link against its page's address."""
-    root = F.regexp_extract(base, r"^(https?://[^/?#]+)", 1)
-    folder = F.regexp_replace(F.regexp_replace(base, r"[?#].*$", ""), r"(?<=[^/:])/[^/]*$", "")
+    """Resolve a link against its page's address: scheme and host, folder, ``.`` and ``..``, query and fragment."""
     scheme = F.regexp_extract(base, r"^(https?:)", 1)
-    relative = F.concat(folder, F.lit("/"), F.regexp_replace(href, r"^(\./)+", ""))
-    # each ../ takes one folder away
-    up = F.regexp_replace(F.regexp_replace(relative, r"/[^/:]+/\.\./", "/"), r"/[^/:]+/\.\./", "/")
-    return (F.when(href.rlike("^https?://"), href).when(F.startswith(href, F.lit("//")), F.concat(scheme, href))
-            .when(F.startswith(href, F.lit("/")), F.concat(root, href)).otherwise(up))
+    root = F.regexp_extract(base, r"^(https?://[^/?#]+)", 1)
+    page = F.regexp_replace(F.regexp_extract(base, r"^https?://[^/?#]+([^?#]*)", 1), "^$", "/")
+    query = F.regexp_extract(base, r"^[^?#]*(\?[^#]*)", 1)
+    path, rest = F.regexp_extract(href, r"^([^?#]*)", 1), F.regexp_replace(href, r"^[^?#]*", "")
+    joined = F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.regexp_replace(page, r"[^/]*$", ""), path))
+    parts = F.split(F.substring(joined, F.lit(2), F.length(joined)), "/", -1)
+
+    def step(done: Column, part: Column) -> Column:
+        return (F.when(part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(part == ".", done)
+                .otherwise(F.concat(done, F.array(part))))
+
+    folded = F.aggregate(parts, F.array().cast("array<string>"), step)
+    # a path that ends in a dot segment names a folder
+    closed = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(folded, F.array(F.lit("")))).otherwise(folded)
+    resolved = F.concat(root, F.lit("/"), F.array_join(closed, "/"), rest)
+    return (F.when(href == "", F.regexp_replace(base, "#.*$", "")).when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
+            .when(F.startswith(href, F.lit("//")), F.concat(scheme, href)).when(F.startswith(href, F.lit("?")), F.concat(root, page, href))
+            .when(F.startswith(href, F.lit("#")), F.concat(root, page, query, href)).otherwise(resolved))
 
 
 @dataclass(frozen=True)
@@ -326,7 +382,7 @@ def merge_candidates(existing: DataFrame, fresh: DataFrame) -> DataFrame:
         "_age").orderBy(*newest("period", "url"))
 
 
-SEARCH_DOC = "struct<data:struct<url:string,titleO:string,docDate:string>>"
+SEARCH_DOC = "struct<data:struct<url:string,titleO:string,title:string,docDate:string>>"
 SEARCH_PAYLOAD = f"ok boolean, msg string, resultDocs array<{SEARCH_DOC}>"
 
 
@@ -343,12 +399,13 @@ def search_candidates(payloads: DataFrame, keys: list[str], hosts: list[str], pa
         F.explode_outer(F.when(~bad, F.col("_p.resultDocs"))).alias("_d")).select(*keys, "problem", "_d.data.*")
     host = F.lower(F.regexp_extract("url", r"^https?://([^/:?#]+)", 1))
     path = F.regexp_extract("url", r"^https?://[^/?#]+(/[^?#]*)", 1)
-    title = F.trim(F.regexp_replace(F.regexp_replace("titleO", "<[^>]+>", ""), r"\s+", " "))
+    marked = F.coalesce(F.nullif("titleO", F.lit("")), "title", F.lit(""))
+    title = F.trim(F.regexp_replace(F.regexp_replace(marked, "<[^>]+>", ""), r"\s+", " "))
     named = evaluated(rows.select(
         *keys, "problem", F.concat(F.lit(f"https://{canonical_host}"), path).alias("link"), title.alias("title"),
-        F.col("docDate").try_cast("date").alias("published"),
+        F.substring("docDate", 1, 10).try_cast("date").alias("published"),
         (host.isin(*hosts) & path.rlike(path_pattern) & (title != "")).alias("_usable")))
-    usable = with_publication_period(named.where("_usable AND problem IS NULL"), "title", "title", "published")
+    usable = with_title_period(named.where("_usable AND problem IS NULL"), "title", "published")
     best = top_row(usable, ["link"], newest(*keys, "published", "title")).select(*keys, "problem", "link", "title", "period")
     return best.unionByName(named.where("problem IS NOT NULL").select(
         *keys, "problem", F.lit(None).cast("string").alias("link"), F.lit(None).cast("string").alias("title"),

@@ -6,7 +6,7 @@ to the SQL twin without any parsing.
 
 from pyspark.sql import functions as F
 
-from ..functions.texts import title_of, typography
+from ..functions.texts import entities, title_of, typography
 from ..operators import text as tx
 from . import query
 from .fixture import V, table, vintages
@@ -46,24 +46,26 @@ def bulletins(spark, sf_dir):
         "CASE k % 6 WHEN 0 THEN concat(y, '年', m, '月份工业生产') WHEN 1 THEN concat(y, '年1-', m, '月份工业生产')"
         " WHEN 2 THEN concat(y, '年前', q, '季度运行情况') WHEN 3 THEN concat(y, ' 年上半年运行情况')"
         " WHEN 4 THEN concat(y, '年统计公报') ELSE '统计公报' END AS title",
-        "CASE k % 5 WHEN 0 THEN concat('<meta name=\"PubDate\" content=\"', date_format(pub, 'yyyy-MM-dd'), ' 09:30:00\">')"
+        "CASE k % 5 WHEN 0 THEN CASE k % 3 WHEN 0 THEN concat('<meta name=\"PubDate\" content=\"', date_format(pub, 'yyyy-MM-dd'), ' 09:30:00\">')"
+        "  WHEN 1 THEN concat('<META content=', char(39), date_format(pub, 'yyyy/M/d'), ' 09:30', char(39), ' data-x=1 name=', char(39), 'PubDate', char(39), '/>')"
+        "  ELSE concat('<meta name=publishdate content=2001-01-01><meta property=\"publish-time\" content=\"', date_format(pub, 'yyyy-MM-dd'), ' 09:30\">') END"
         " WHEN 1 THEN concat('<meta name=\"PubDate\" content=\"', date_format(pub, 'yyyy-MM-dd'), '\">') ELSE '' END AS meta",
-        "CASE k % 5 WHEN 2 THEN concat('发布时间：', date_format(pub, 'yyyy年M月d日'), ' 09:30')"
+        "CASE k % 5 WHEN 2 THEN concat(CASE k % 3 WHEN 0 THEN '2001-02-03 04:05 ' ELSE '' END, '发布时间：', date_format(pub, 'yyyy年M月d日'), ' 09:30')"
         " WHEN 3 THEN concat('发布日期：', date_format(pub, 'yyyy/M/d')) ELSE '' END AS stamp",
         "concat(y, '年前', m, '个月，全国工业增加值', CASE WHEN k % 2 = 0 THEN '增长' ELSE '下降' END, v,"
         " CASE WHEN k % 3 = 0 THEN '％' ELSE '%' END, '，社会消费品零售总额增长1,', 100 + k % 800, '.5%；',"
         " CASE WHEN k % 4 = 0 THEN concat('采购经理指数为５', k % 10, '．５％。') ELSE '' END) AS prose",
-        f"concat('1至', m, '月份，全国城镇调查失业率分别为', {_MONTHS}, '。') AS listed",
+        f"concat('1至', m % 12 + 1, '月份，全国城镇调查失业率分别为1%；1至', m, '月份，全国城镇调查失业率分别为', {_MONTHS}, '。') AS listed",
         "concat_ws('', array(concat(y, '年1-', m, '月全国财政收入增长9.5%。'),"
         " CASE WHEN k % 4 = 2 THEN concat('1-', m, '月税收收入增长', v, '%。') END,"
         " CASE WHEN k % 4 <> 3 THEN '税收收入当月增长0.5%；' END,"
-        " CASE WHEN k % 4 = 0 THEN concat('累计全国税收收入下降', v, '%。') END)) AS fiscal",
+        " CASE WHEN k % 4 = 0 THEN concat('税收收入当月增长0.5%，累计全国税收收入', repeat('（按可比口径）', 30), '下降', v, '%。') END)) AS fiscal",
         "CASE WHEN k % 4 = 3 THEN m % 12 + 1 ELSE m END AS hm",
         "CASE WHEN k % 7 = 0 THEN '' WHEN k % 13 = 0 THEN 'n/a' ELSE cast(v AS string) END AS yoy",
     )
     def one_table(yoy: str) -> str:
         return (
-            "concat('<table><tr><td>指标</td><td>', hm, '月份</td><td>1—', hm, '月份</td></tr>',"
+            "concat('<table>', repeat('<tr><td>说明</td></tr>', cast(k % 12 AS int)), '<tr><td>指标</td><td>', hm, '月份</td><td>1—', hm, '月份</td></tr>',"
             " '<tr><td>绝对量</td><td>同比增长（%）</td><td>绝对量</td><td>同比增长（%）</td></tr>', "
             + _ROW.format(name="'一、规模以上工业增加值'", level="'…'", yoy=yoy, ytd="cast(v + 1 AS string)") + ", "
             + _ROW.format(name="'固定资产投资（不含农户）（亿元）'", level="'100'", yoy="'7'", ytd="cast(v + 2 AS string)")
@@ -102,6 +104,17 @@ def publication_period(spark, sf_dir):
     return tx.with_publication_period(read_bulletins(spark, sf_dir)).select("k", "period")
 
 
+@query("txt_03_title_period", f"""
+    WITH {FACTS} SELECT k, CASE k % 8 WHEN 7 THEN NULL ELSE y || '-' || lpad(CAST(CASE k % 8 WHEN 3 THEN 12 WHEN 4 THEN q * 3 ELSE m END AS VARCHAR), 2, '0') END AS period FROM facts""")
+def title_period(spark, sf_dir):
+    names = "array('January','february','Mar.','Apr','May','June','jul','August','Sept.','Oct','November','dec')"
+    titles_ = bulletins(spark, sf_dir).selectExpr("k", "m", "year(date_sub(pub, 40)) AS y", "quarter(date_sub(pub, 40)) AS q").selectExpr(
+        "k", "CASE k % 8 WHEN 0 THEN concat(y, '年', m, '月份（', y, '年二季度）') WHEN 1 THEN concat(y, '年1-', m, '月与', y, '年上半年')"
+        f" WHEN 2 THEN concat('Report, ', {names}[m - 1], ', ', y) WHEN 3 THEN concat(y, '年公报') WHEN 4 THEN concat(y, '年前', q, '季度')"
+        " WHEN 5 THEN concat('No. ', m, ' . ', y) WHEN 6 THEN concat(y, ' 年 ', m, ' 月') ELSE concat('septober ', y, ' 13.', y) END AS title")
+    return tx.with_title_period(titles_).select("k", "period")
+
+
 RULES = [
     tx.MetricRule("IVA", r"工业增加值(增长|下降)([\d.,]+)%"),
     tx.MetricRule("RETAIL", r"零售总额(增长|下降)([\d.,]+)%", 0.5),
@@ -129,13 +142,20 @@ def preferred_occurrence(spark, sf_dir):
         "k", "cumulative", "value")
 
 
-@query("txt_06_typography", """
-    SELECT doc_id, translate(replace(replace(text, '%', '％'), ',', '，'), '０１２３４５６７８９．％，（）：－', '0123456789.%,():-') AS text FROM documents""")
+@query("txt_06_typography", "SELECT doc_id, text || '1m2fi5:a(株)カ' AS text FROM documents")
 def typography_job(spark, sf_dir):
-    wide = F.replace(F.replace("text", F.lit("%"), F.lit("％")), F.lit(","), F.lit("，"))
+    wide = F.concat(F.translate("text", "0123456789%,abcXYZ", "０１２３４５６７８９％，ａｂｃＸＹＺ"), F.lit("①㎡ﬁ５：ａ㈱ｶ"))
     return table(spark, sf_dir, "documents", spread_by="doc_id").select("doc_id", typography(wide).alias("text"))
 
 
+@query("txt_06_entities", """
+    SELECT page_id, 'p' || page_id || chr(160) || '<é—Ω' || chr(CAST(20000 + page_id % 1000 AS INTEGER)) || 'A&nope; &#0;' AS text FROM pages""")
+def entities_job(spark, sf_dir):
+    return table(spark, sf_dir, "pages", spread_by="page_id").select("page_id", entities(F.concat(
+        F.lit("p"), F.col("page_id"), F.lit("&nbsp;&lt;&eacute;&mdash;&Omega;&#"), 20000 + F.col("page_id") % 1000,
+        F.lit(";&#x41;&nope; &#0;"))).alias("text"))
+
+
 LABELS = {"规模以上工业增加值": ("CN_INDUSTRIAL", 2), "固定资产投资(不含农户)": ("CN_FAI_YTD", 4)}
 
 
@@ -156,9 +176,24 @@ def enumerated_months(spark, sf_dir):
 
 
 @query("txt_09_incomplete_documents", f"""
-    WITH {FACTS}, {METRICS} SELECT k, 'PMI' AS missing FROM facts WHERE k % 4 <> 0""")
+    WITH {FACTS} SELECT k, CASE WHEN k % 11 = 0 THEN 'IVA,PMI,RETAIL' ELSE 'PMI' END AS missing FROM facts WHERE k % 4 <> 0 OR k % 11 = 0""")
 def incomplete_documents(spark, sf_dir):
-    return tx.incomplete_documents(metrics(spark, sf_dir), ["IVA", "RETAIL", "PMI"], ["k"])
+    # every eleventh release has not been parsed into anything
+    found = metrics(spark, sf_dir).where("k % 11 <> 0")
+    return tx.incomplete_documents(bulletins(spark, sf_dir), found, ["IVA", "RETAIL", "PMI"], ["k"])
+
+
+# Fixed cases of relative addresses: what is written on a page, and what it means there.
+_HREFS = {"../../../x.html": "/x.html", "../x.html": "/a/x.html", "x/../y": "/a/b/y", "./z": "/a/b/z", "?p=2": "/a/b/i.html?p=2", "#top": "/a/b/i.html?q=1#top",
+          "": "/a/b/i.html?q=1", "/r/./s": "/r/s", "..": "/a/", "sub/": "/a/b/sub/", "t?u=../v": "/a/b/t?u=../v", "../../..": "/"}
+
+
+@query("txt_10_relative_addresses", "SELECT page_id, h AS href, 'https://h' || page_id || '.org' || l AS link FROM pages, (VALUES "
+       + ", ".join(f"('{h}', '{link}')" for h, link in _HREFS.items()) + ") t(h, l)")
+def relative_addresses(spark, sf_dir):
+    base = F.concat(F.lit("https://h"), F.col("page_id"), F.lit(".org/a/b/i.html?q=1"))
+    rows = table(spark, sf_dir, "pages", ["page_id"]).select("page_id", F.explode(F.array(*map(F.lit, _HREFS))).alias("href"))
+    return rows.select("page_id", "href", tx.absolute_url(base, F.col("href")).alias("link"))
 
 
 LINK_RULE = tx.LinkRule("index", ("the", "der", "que", "and", "con"), ("theand",), r"(^|\.)example\.(com|org)$", force_https=True)
@@ -178,14 +213,17 @@ def link_discovery(spark, sf_dir):
 
 
 def payloads(spark, sf_dir):
-    """Search responses: two result documents per vintage, some on other hosts, some failed."""
-    return vintages(spark, sf_dir, spread=True).selectExpr(
-        "ingest_seq AS k",
-        "to_json(named_struct('ok', ingest_seq % 12 <> 0, 'resultDocs', array("
-        " named_struct('data', named_struct('url', concat('http://', CASE WHEN ingest_seq % 5 = 0 THEN 'other.example.com' ELSE 'stats.example.com' END, '/sj/zxfb/', ingest_seq % 3000, '.html?a=1'),"
-        "  'titleO', concat('<em>', CASE WHEN ingest_seq % 2 = 0 THEN concat(year(period_end) + 10, '年') ELSE '' END, month(period_end), '月份</em>  价格'),"
+    """Search responses: two result documents per vintage, some on other hosts, some with a plain title only, some failed."""
+    named = vintages(spark, sf_dir, spread=True).selectExpr(
+        "ingest_seq AS k", "period_start",
+        "CASE WHEN ingest_seq % 5 = 0 THEN 'other.example.com' ELSE 'stats.example.com' END AS host",
+        "concat('<em>', CASE WHEN ingest_seq % 2 = 0 THEN concat(year(period_end) + 10, '年') ELSE '' END, month(period_end), '月份</em>  价格') AS name")
+    return named.selectExpr(
+        "k", "to_json(named_struct('ok', k % 12 <> 0, 'resultDocs', array("
+        " named_struct('data', named_struct('url', concat('http://', host, '/sj/zxfb/', k % 3000, '.html?a=1'),"
+        "  'titleO', CASE WHEN k % 7 = 0 THEN '' ELSE name END, 'title', CASE WHEN k % 7 = 0 THEN name ELSE 'x' END,"
         "  'docDate', date_format(add_months(period_start, 121), 'yyyy-MM-dd'))),"
-        " named_struct('data', named_struct('url', concat('http://stats.example.com/about/', ingest_seq), 'titleO', '说明', 'docDate', '2010-01-01'))))) AS payload")
+        " named_struct('data', named_struct('url', concat('http://stats.example.com/about/', k), 'titleO', '说明', 'title', '', 'docDate', '2010-01-01'))))) AS payload")
 
 
 @query("txt_11_search_candidates", f"""
