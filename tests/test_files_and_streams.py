@@ -160,7 +160,12 @@ def test_stream_append_replays_safely(spark, tmp_path):
     # a late change at the same address is a new vintage, visible from when it was seen
     deliver(spark, inbox, [observation(value=1.4, first_seen="2021-01-01 00:00:00", seq=2)])
     run("c1")
-    assert bag(store.read_vintages(spark, path), "value", "pit_grade", "vintage_no") == {(1.0, "A", 0): 1, (1.4, "D", 1): 1}
+    expected = {(1.0, "A", 0): 1, (1.4, "D", 1): 1}
+    assert bag(store.read_vintages(spark, path), "value", "pit_grade", "vintage_no") == expected
+    # both deliveries once more, after the revision: no false history, and no reject twice
+    run("c4")
+    assert bag(store.read_vintages(spark, path), "value", "pit_grade", "vintage_no") == expected
+    assert spark.read.parquet(bad).count() == 1
 
 
 def test_stream_dedup_and_daily_status(spark, tmp_path):

@@ -3,12 +3,12 @@
 ``top_row`` keeps the row-number filter shape that Spark runs as a group limit *before* the
 shuffle, so a key holding a third of all rows ships one row per map task.
 
-Neighbours need a key's rows in order. :class:`HotKeys` first counts rows per key (key
-columns only, map-side combined). When no key is over the threshold the plain window is
-used. Otherwise rows of hot keys are cut into time chunks, each chunk is a group of its own,
-and a small frame with one row per (hot key, chunk) stitches the chunk borders. The hot list
-holds at most ``rows / threshold`` keys (250,000 for 5e11 rows at the default), which is
-what makes broadcasting it safe.
+Neighbours need a key's rows in order. Ordinary keys use a plain window. Keys listed as hot
+(:func:`hot_keys`, counted when the store is maintained and kept beside it) are cut into time chunks, each
+chunk is a group of its own, and a small frame with one row per (hot key, chunk) stitches the chunk
+borders; results are the same. The list is passed in, so nothing runs while a query is built and a plan
+depends on what the caller passes, never on the size of the data. It holds at most ``rows / threshold`` keys,
+and whether to broadcast it is left to the planner, who sees its size.
 
 Key columns are never null in the store's contract, so plain equality joins keys and the
 big side keeps the partitioning its window already has.
@@ -20,7 +20,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-HOT_ROWS = 2_000_000
+HOT_ROWS = 2_000_000  # rows of one key that a task should not have to sort alone
 CHUNK_SECONDS = 3600
 ORDINARY = -(2**62)  # chunk number of every row whose key is not hot
 
@@ -48,33 +48,27 @@ def number_chunk(column: str, width: int = 100_000) -> Column:
     return F.floor(F.col(column) / width).cast("long")
 
 
-class HotKeys:
-    """Keys of ``frame`` holding more than ``threshold`` rows; counted once, on creation.
+def hot_keys(frame: DataFrame, keys: Sequence[str], threshold: int = HOT_ROWS) -> DataFrame:
+    """Keys holding more than ``threshold`` rows: key columns only, counted map-side. Meant to be written
+    beside the store, see ``sources.store.write_hot_keys``."""
+    return frame.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold).select(*keys)
 
-    ``frame`` should be cheap (usually the raw scan) with per-key counts that bound those
-    of the frames the list is later used with. Pass the same object to several steps to
-    count once.
-    """
 
-    def __init__(self, frame: DataFrame, keys: Sequence[str], threshold: int = HOT_ROWS):
+class HotKeys:
+    """How rows of ``keys`` are grouped: the keys in ``listed`` in chunks, all others whole."""
+
+    def __init__(self, keys: Sequence[str], listed: DataFrame | None = None):
         self.keys = list(keys)
-        listed = frame.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(
-            F.col("_n") > threshold).select(*keys)
-        self.list: DataFrame | None = None if listed.isEmpty() else listed
+        self.list = None if listed is None else listed.select(*keys)
 
     def chunked(self, frame: DataFrame, chunk: Column) -> DataFrame:
         """Add ``_chunk``: ``chunk`` on rows of hot keys, ``ORDINARY`` elsewhere."""
         if self.list is None:
             return frame.withColumn("_chunk", F.lit(ORDINARY).cast("long"))
-        flagged = F.broadcast(self.list.withColumn("_hot", F.lit(True)))
-        return frame.join(flagged, self.keys, "left").withColumn(
+        return frame.join(self.list.withColumn("_hot", F.lit(True)), self.keys, "left").withColumn(
             "_chunk", F.when(F.col("_hot"), chunk).otherwise(F.lit(ORDINARY)).cast("long")
         ).select(*frame.columns, "_chunk")
 
-    def only(self, frame: DataFrame) -> DataFrame:
-        """Rows of hot keys; the semi join sinks to the scan below windows on the key."""
-        return frame.join(F.broadcast(self.list), self.keys, "left_semi")
-
     @property
     def group(self) -> list[str]:
         """Partitioning that never holds a whole hot key."""
@@ -115,7 +109,7 @@ def neighbours(
     })
     rank = F.struct(*[_sortable(frame, c, d) for c, d in order])
     used = list(dict.fromkeys([*hot.group, *[c for c, _ in order], *previous.values(), *following.values()]))
-    borders = hot.only(frame.select(*used)).groupBy(*hot.group).agg(
+    borders = frame.select(*used).where(F.col("_chunk") != ORDINARY).groupBy(*hot.group).agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.max_by(c, rank).alias(f"_tail_{n}") for n, c in previous.items()],
         *[F.min_by(c, rank).alias(f"_head_{n}") for n, c in following.items()],
@@ -144,8 +138,7 @@ def with_neighbours(
     keys: Sequence[str],
     order: Sequence[tuple[str, str]],
     *,
-    hot: HotKeys | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
     chunk: Column | None = None,
     **wanted,
 ) -> DataFrame:
@@ -161,8 +154,8 @@ def with_neighbours(
         else:
             chunk = number_chunk(column)
         chunk = -chunk if direction == "desc" else chunk
-    hot = hot or HotKeys(frame, keys, hot_rows)
-    return neighbours(hot.chunked(frame, chunk), order, hot, **wanted)
+    grouped = HotKeys(keys, hot)
+    return neighbours(grouped.chunked(frame, chunk), order, grouped, **wanted)
 
 
 def running_last(frame: DataFrame, order: Sequence[str], hot: HotKeys, column: str, into: str) -> DataFrame:
@@ -176,7 +169,7 @@ def running_last(frame: DataFrame, order: Sequence[str], hot: HotKeys, column: s
     if hot.list is None:
         return local.drop("_chunk")
     rank = F.when(F.col(column).isNotNull(), F.struct(*[_sortable(frame, c, "asc") for c in order]))
-    ends = hot.only(frame.select(*dict.fromkeys([*hot.group, *order, column]))).groupBy(*hot.group).agg(
+    ends = frame.select(*dict.fromkeys([*hot.group, *order, column])).where(F.col("_chunk") != ORDINARY).groupBy(*hot.group).agg(
         F.max_by(column, rank).alias("_end"))
     across = Window.partitionBy(*hot.keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(*hot.group, F.last("_end", ignorenulls=True).over(across).alias("_carry"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.instants import ensure_utc, instant, next_day_start_utc, normalize_as_of
 from ..functions.ordered import (
-    HOT_ROWS, HotKeys, newest, running_last, time_chunk, top_row, with_neighbours,
+    HotKeys, newest, running_last, time_chunk, top_row, with_neighbours,
 )
 from ..plans.policy import (
     MODES, RULE_ORIGIN, SIDECAR_MARKER, VENDOR_REVISION, WEB_REVISION, Policy, fact_origin,
@@ -260,7 +260,7 @@ def series_metadata(vintages: DataFrame, scope: str, inactive: DataFrame | None
 
 
 def point_lookup(probes: DataFrame, vintages: DataFrame, key: list[str], at: str = "probe_at",
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
+                 hot: DataFrame | None = None) -> DataFrame:
     """Value visible at each probe's own instant: a set-based as-of join.
 
     Vintages and probes are stacked and ordered per key; the running last vintage at or
@@ -277,9 +277,9 @@ def point_lookup(probes: DataFrame, vintages: DataFrame, key: list[str], at: str
         F.lit(None).cast(facts.schema["_seen"].dataType).alias("_seen"), *extra,
     )
     stacked = facts.unionByName(asked)
-    hot = HotKeys(stacked, key, hot_rows)
+    grouped = HotKeys(key, hot)
     return (
-        running_last(hot.chunked(stacked, time_chunk("_at")), ["_at", "_is_probe", "_seen"], hot, "_seen", "_hit")
+        running_last(grouped.chunked(stacked, time_chunk("_at")), ["_at", "_is_probe", "_seen"], grouped, "_seen", "_hit")
         .where("_is_probe = 1")
         .select(*probes.columns, F.col("_hit.value").alias("visible_value"),
                 F.col("_hit.vintage_no").alias("visible_vintage_no"))
@@ -289,14 +289,14 @@ def point_lookup(probes: DataFrame, vintages: DataFrame, key: list[str], at: str
 PREVIOUS_COLUMNS = ["value", "vintage_no", "available_at", "pit_grade", "source_url"]
 
 
-def previous_vintage(vintages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def previous_vintage(vintages: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Latest row with a smaller ``vintage_no`` of the same (source, series, period)."""
     key = ["source", "canonical_series_id", "period"]
     best = vintages.groupBy(*key, "vintage_no").agg(
         F.max(F.struct("available_at", "retrieved_at", "raw_sha256", F.struct(*PREVIOUS_COLUMNS).alias("row"))).alias("_best")
     ).select(*key, "vintage_no", F.col("_best.row").alias("_row"))
     before = with_neighbours(best, key, [("vintage_no", "asc")], previous={"_previous": "_row"},
-                             hot_rows=hot_rows).drop("_row")
+                             hot=hot).drop("_row")
     return vintages.join(before, [*key, "vintage_no"]).select(
         *vintages.columns, *[F.col(f"_previous.{c}").alias(f"previous_{c}") for c in PREVIOUS_COLUMNS]
     )

@@ -110,23 +110,31 @@ def within_lookback(frame: DataFrame, now: str, months: int) -> DataFrame:
     return frame.where(F.col("period_start") >= first)
 
 
-def too_few_rows(frame: DataFrame, minimum: int, by: list[str]) -> DataFrame:
-    """Groups whose parse produced fewer than ``minimum`` rows."""
-    return frame.groupBy(*by).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") < minimum)
+def too_few_rows(frame: DataFrame, minimum: int, by: list[str], expected: DataFrame | None = None) -> DataFrame:
+    """Groups whose parse produced fewer than ``minimum`` rows; of the ``expected`` groups also those without any."""
+    counted = frame.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
+    if expected is not None:
+        counted = expected.select(*by).distinct().join(counted, by, "full").withColumn("rows", F.coalesce("rows", F.lit(0).cast("long")))
+    return counted.where(F.col("rows") < minimum).select(*by, "rows")
 
 
 def duplicate_keys(frame: DataFrame, keys: list[str]) -> DataFrame:
     return frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
 
 
-def missing_periods(frame: DataFrame, expected_per_year: int = 12) -> DataFrame:
-    """(series, year) whose batch lacks some of its expected months."""
+def missing_periods(frame: DataFrame, expected_per_year: int = 12, expected: DataFrame | None = None) -> DataFrame:
+    """(series, year) whose batch lacks some of its expected months; ``expected`` (canonical_series_id, year) adds those
+    the batch does not mention at all."""
+    group = ["canonical_series_id", "year"]
     monthly = frame.where("frequency = 'M'").select(
         "canonical_series_id", F.year("period_end").alias("year"), F.month("period_end").alias("month")).distinct()
-    return monthly.groupBy("canonical_series_id", "year").agg(
-        F.count(F.lit(1)).alias("present"),
-        F.array_join(F.array_except(F.sequence(F.lit(1), F.lit(expected_per_year)), F.collect_set("month")), ",")
-        .alias("missing"),
+    found = monthly.groupBy(*group).agg(F.count(F.lit(1)).alias("present"), F.collect_set("month").alias("_months"))
+    if expected is not None:
+        found = expected.select(*group).distinct().join(found, group, "full")
+    months = F.coalesce("_months", F.array().cast("array<int>"))
+    return found.select(
+        *group, F.coalesce("present", F.lit(0).cast("long")).alias("present"),
+        F.array_join(F.array_except(F.sequence(F.lit(1), F.lit(expected_per_year)), months), ",").alias("missing"),
     ).where(F.col("present") < expected_per_year)
 
 

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.ordered import HOT_ROWS, HotKeys, neighbours, oldest, time_chunk, top_row
+from ..functions.ordered import HotKeys, neighbours, oldest, time_chunk, top_row
 from ..plans.policy import WEB_REVISION
 from ..schema import OBSERVATION_COLUMNS
 from .contracts import finite, vendor_revision
@@ -32,16 +32,28 @@ def with_signature(frame: DataFrame) -> DataFrame:
     return frame.withColumns({f"sig_{c}": F.when(~ordinary, F.col(c)) for c in TEMPORAL})
 
 
+def of_batch(history: DataFrame, batch: DataFrame) -> DataFrame:
+    """History of the keys a batch touches. The store is partitioned by country, so the join
+    lets Spark leave out the folders of other countries before it reads them."""
+    touched = batch.select("country", *KEY).distinct()
+    return history.join(touched, ["country", *KEY], "left_semi")
+
+
+def unknown(batch: DataFrame, history: DataFrame) -> DataFrame:
+    """Batch rows whose signature history does not hold."""
+    known = with_signature(of_batch(history, batch)).select(*[F.col(c).alias(f"_h_{c}") for c in SIGNATURE]).distinct()
+    same = [F.col(c) == F.col(f"_h_{c}") for c in IDENTITY]
+    same += [F.col(f"sig_{c}").eqNullSafe(F.col(f"_h_sig_{c}")) for c in TEMPORAL]
+    return with_signature(batch).join(known, same, "left_anti").drop(*[f"sig_{c}" for c in TEMPORAL])
+
+
 def new_rows(batch: DataFrame, history: DataFrame, sequence: str = "ingest_seq") -> DataFrame:
     """Batch rows whose signature is neither in history nor earlier in the batch.
 
     Both sides shrink to distinct signatures map-side before they meet.
     """
-    first = top_row(with_signature(batch), SIGNATURE, oldest("available_at", sequence))
-    known = with_signature(history).select(*[F.col(c).alias(f"_h_{c}") for c in SIGNATURE]).distinct()
-    same = [F.col(c) == F.col(f"_h_{c}") for c in IDENTITY]
-    same += [F.col(f"sig_{c}").eqNullSafe(F.col(f"_h_sig_{c}")) for c in TEMPORAL]
-    return first.join(known, same, "left_anti").drop(*[f"sig_{c}" for c in TEMPORAL])
+    first = top_row(with_signature(batch), SIGNATURE, oldest("available_at", sequence)).drop(*[f"sig_{c}" for c in TEMPORAL])
+    return unknown(first, history)
 
 
 def latest_vintage(history: DataFrame, columns: list[str], order: list[str] = ("vintage_no", "available_at")) -> DataFrame:
@@ -52,7 +64,7 @@ def latest_vintage(history: DataFrame, columns: list[str], order: list[str] = ("
     return best.select(*KEY, *[F.col(f"_latest.row.{c}").alias(f"latest_{c}") for c in columns])
 
 
-def versioned(batch: DataFrame, history: DataFrame, sequence: str = "ingest_seq", hot_rows: int = HOT_ROWS) -> DataFrame:
+def versioned(batch: DataFrame, history: DataFrame, sequence: str = "ingest_seq", hot: DataFrame | None = None) -> DataFrame:
     """Rows to append, with ``vintage_no``, ``revision_type``, ``revision_delta`` and ``reject_reason``.
 
     Numbers continue the history of the key in order of (available_at, sequence). Each row
@@ -62,13 +74,13 @@ def versioned(batch: DataFrame, history: DataFrame, sequence: str = "ingest_seq"
         if column not in batch.columns:
             batch = batch.withColumn(column, F.lit(None).cast(kind))
     fresh = new_rows(batch.drop("vintage_no"), history, sequence)
-    hot = HotKeys(batch, KEY, hot_rows)
+    grouped = HotKeys(KEY, hot)
     ordered = neighbours(
-        hot.chunked(fresh, time_chunk("available_at")), [("available_at", "asc"), (sequence, "asc")], hot,
+        grouped.chunked(fresh, time_chunk("available_at")), [("available_at", "asc"), (sequence, "asc")], grouped,
         previous={"_batch_previous": "value"}, ordinal="_position",
     )
     # a left join on the key alone: adaptive execution splits a hot key's rows here
-    joined = ordered.join(latest_vintage(history, ["value", "vintage_no"]), KEY, "left")
+    joined = ordered.join(latest_vintage(of_batch(history, batch), ["value", "vintage_no"]), KEY, "left")
     previous = F.coalesce("_batch_previous", "latest_value")
     number = F.coalesce(F.col("latest_vintage_no") + 1, F.lit(0)) + F.col("_position") - 1
     supplied = (
@@ -102,13 +114,29 @@ def statistics(batch: DataFrame, appended: DataFrame) -> DataFrame:
                          (F.col("_delivered") - F.col("inserted")).alias("unchanged"))
 
 
+# What a delivery states about a value, whatever it was marked as later.
+STATED = [*KEY, "value", "source_url", "first_seen_at"]
+
+
+def unmarked(batch: DataFrame, history: DataFrame) -> DataFrame:
+    """Batch rows that history does not hold as marked revisions already."""
+    marked = of_batch(history, batch).where(F.col("release_date_source") == WEB_REVISION)
+    stated = marked.select(*[F.col(c).alias(f"_s_{c}") for c in STATED]).distinct()
+    return batch.join(stated, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in STATED], "left_anti")
+
+
 def mark_first_seen_revisions(batch: DataFrame, history: DataFrame) -> DataFrame:
     """A changed value at an unchanged URL is usable only from when it was seen.
 
-    Such a row becomes grade D without a release time, available at ``first_seen_at``.
+    Such a row becomes grade D without a release time, available at ``first_seen_at``. A row that is
+    stored already, as it is or marked by an earlier run, says nothing new and stays as it is.
     """
-    joined = batch.join(latest_vintage(history, ["value", "source_url"]), KEY, "left")
-    changed = F.coalesce(
+    known = of_batch(history, batch)
+    joined = batch.join(latest_vintage(known, ["value", "source_url"]), KEY, "left")
+    stored = known.select(*[F.col(c).alias(f"_s_{c}") for c in STATED]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in STATED]
+    joined = joined.join(stored.withColumn("_stored", F.lit(True)), same, "left")
+    changed = F.col("_stored").isNull() & F.coalesce(
         (F.col("latest_source_url") == F.col("source_url")) & ~same_value(F.col("latest_value"), F.col("value")),
         F.lit(False))
     return joined.withColumns({
@@ -122,7 +150,7 @@ def mark_first_seen_revisions(batch: DataFrame, history: DataFrame) -> DataFrame
 def stabilize_snapshots(batch: DataFrame, history: DataFrame) -> DataFrame:
     """An unchanged value keeps the times and marker of the vintage it repeats."""
     inherited = ["release_at", "release_date_source", "first_seen_at", "available_at"]
-    joined = batch.join(latest_vintage(history, ["value", *inherited]), KEY, "left")
+    joined = batch.join(latest_vintage(of_batch(history, batch), ["value", *inherited]), KEY, "left")
     repeats = F.coalesce(same_value(F.col("latest_value"), F.col("value")), F.lit(False))
     return joined.withColumns({
         c: F.when(repeats, F.col(f"latest_{c}")).otherwise(F.col(c)) for c in inherited
@@ -143,7 +171,7 @@ def revision_anomalies(batch: DataFrame, history: DataFrame, *, secondary: str =
     ``large``. Adds ``anomaly``, null on rows that may pass.
     """
     joined = batch.join(
-        latest_vintage(history, ["value", "source_url"], ["available_at", "vintage_no"]), KEY, "left")
+        latest_vintage(of_batch(history, batch), ["value", "source_url"], ["available_at", "vintage_no"]), KEY, "left")
     differs = (F.col("latest_source_url") != F.col("source_url")) & ~same_value(F.col("latest_value"), F.col("value"))
     conflict = F.col("source_url").contains(secondary) & F.col("latest_source_url").contains(primary)
     jump = F.col("unit").isin(*PERCENT_UNITS) & (F.abs(F.col("value") - F.col("latest_value")) > large)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.ordered import HOT_ROWS, HotKeys, neighbours, newest, time_chunk, top_row
+from ..functions.ordered import ORDINARY, HotKeys, neighbours, newest, time_chunk, top_row
 from ..plans.policy import (
     ALL_ORIGINS, RULE_ORIGIN, SIDECAR_MARKER, Policy, fact_origin, of_origin, scope_filter, sidecar_origin,
     without_inactive,
@@ -110,16 +110,16 @@ def with_first_visible(pool: DataFrame, hot: HotKeys) -> DataFrame:
     """Attach those instants to every row of its key, over the partitioning ``hot`` allows.
 
     A chunk of a hot key sees its own minima only, so the whole key's (one row per hot
-    key) are broadcast over them.
+    key) are joined to them.
     """
     window = Window.partitionBy(*hot.group)
     local = pool.withColumns({name: low.over(window) for name, low in _firsts().items()})
     if hot.list is None:
         return local
     names = list(_firsts())
-    whole = first_visible(hot.only(pool), hot.keys).select(
+    whole = first_visible(pool.where(F.col("_chunk") != ORDINARY), hot.keys).select(
         *hot.keys, F.lit(True).alias("_whole"), *[F.col(n).alias(f"_{n}") for n in names])
-    return local.join(F.broadcast(whole), hot.keys, "left").withColumns({
+    return local.join(whole, hot.keys, "left").withColumns({
         n: F.when(F.col("_whole"), F.col(f"_{n}")).otherwise(F.col(n)) for n in names
     }).drop("_whole", *[f"_{n}" for n in names])
 
@@ -136,7 +136,7 @@ def dominance_filter(frame: DataFrame) -> DataFrame:
 
 def effective_events(vintages: DataFrame, scope: str, *, sidecar: DataFrame | None = None,
                      rules: DataFrame | None = None, inactive: DataFrame | None = None, policy: Policy = Policy(),
-                     start="2005-01-01", end=None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                     start="2005-01-01", end=None, hot: DataFrame | None = None) -> DataFrame:
     """One row per value that was ever in force, valid on the half-open [valid_from, valid_to).
 
     Shuffles: one to keep a single row per origin and instant, one on the key for
@@ -145,13 +145,13 @@ def effective_events(vintages: DataFrame, scope: str, *, sidecar: DataFrame | No
     """
     pool = without_inactive(
         candidates(vintages, scope, sidecar=sidecar, rules=rules, policy=policy, start=start, end=end), inactive)
-    hot = HotKeys(in_periods(vintages.where(scope_filter(scope)), start, end), KEY, hot_rows)
-    single = hot.chunked(dedup_same_origin(pool), time_chunk("visible_from"))
-    alive = dominance_filter(with_first_visible(single, hot)).drop(
+    grouped = HotKeys(KEY, hot)
+    single = grouped.chunked(dedup_same_origin(pool), time_chunk("visible_from"))
+    alive = dominance_filter(with_first_visible(single, grouped)).drop(
         *[_threshold_name(name) for name in THRESHOLD_ORIGINS])
-    in_force = top_row(alive, [*hot.group, "visible_from"], newest("source_priority", *RECENCY))
+    in_force = top_row(alive, [*grouped.group, "visible_from"], newest("source_priority", *RECENCY))
     events = neighbours(
-        in_force, [("visible_from", "asc")], hot, following={"valid_to": "visible_from"}, ordinal="event_no")
+        in_force, [("visible_from", "asc")], grouped, following={"valid_to": "visible_from"}, ordinal="event_no")
     return events.withColumnRenamed("visible_from", "valid_from").select(*EVENT_COLUMNS)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.ordered import HOT_ROWS, HotKeys, neighbours, time_chunk
+from ..functions.ordered import HotKeys, neighbours, time_chunk
 from ..schema import OBSERVATION_COLUMNS
 from .ingest import KEY, TOLERANCE
 
@@ -12,21 +12,21 @@ ORDER = [("available_at", "asc"), ("vintage_no", "asc"), ("retrieved_at", "asc")
          ("value", "asc")]
 
 
-def compacted(vintages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def compacted(vintages: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """First rows and real changes, renumbered and relabelled.
 
     A row is a change when value, grade, unit or frequency differs from the *previous* row
     of its key. Both passes share one partitioning.
     """
-    hot = HotKeys(vintages, KEY, hot_rows)
+    grouped = HotKeys(KEY, hot)
     watched = {"_p_value": "value", "_p_grade": "pit_grade", "_p_unit": "unit", "_p_frequency": "frequency"}
-    seen = neighbours(hot.chunked(vintages, time_chunk("available_at")), ORDER, hot, previous=watched, ordinal="_no")
+    seen = neighbours(grouped.chunked(vintages, time_chunk("available_at")), ORDER, grouped, previous=watched, ordinal="_no")
     changed = (
         (F.col("_no") == 1) | (F.abs(F.col("value") - F.col("_p_value")) > TOLERANCE)
         | (F.col("pit_grade") != F.col("_p_grade")) | (F.col("unit") != F.col("_p_unit"))
         | (F.col("frequency") != F.col("_p_frequency")))
     kept = seen.where(changed).drop(*watched, "_no")
-    numbered = neighbours(hot.chunked(kept, time_chunk("available_at")), ORDER, hot,
+    numbered = neighbours(grouped.chunked(kept, time_chunk("available_at")), ORDER, grouped,
                           previous={"_kept": "value"}, ordinal="_no")
     delta = F.col("value") - F.col("_kept")
     return numbered.withColumns({

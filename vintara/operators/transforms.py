@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.instants import day_start_utc, evaluated, with_period
-from ..functions.ordered import HOT_ROWS, newest, top_row, with_neighbours
+from ..functions.ordered import newest, top_row, with_neighbours
 
 TOLERANCE = 1e-12
 
@@ -79,15 +79,15 @@ def edition_end(edition: Column) -> Column:
 
 
 def compressed(frame: DataFrame, keys: list[str], order: list[tuple[str, str]], value: str = "value",
-               hot_rows: int = HOT_ROWS) -> DataFrame:
+               hot: DataFrame | None = None) -> DataFrame:
     """Keep a key's first row and rows whose value differs from the row before."""
-    seen = with_neighbours(frame, keys, order, previous={"_previous": value}, hot_rows=hot_rows)
+    seen = with_neighbours(frame, keys, order, previous={"_previous": value}, hot=hot)
     return seen.where(
         F.col("_previous").isNull() | (F.abs(F.col(value) - F.col("_previous")) > TOLERANCE)).drop("_previous")
 
 
 def editions_to_observations(rows: DataFrame, mapping: DataFrame, zone: str = "Europe/Paris",
-                             hot_rows: int = HOT_ROWS) -> DataFrame:
+                             hot: DataFrame | None = None) -> DataFrame:
     """Edition rows to compressed grade-B observations.
 
     ``mapping`` keys are (ref_area, freq, measure, unit_measure); its ``country`` overrides
@@ -111,7 +111,7 @@ def editions_to_observations(rows: DataFrame, mapping: DataFrame, zone: str = "E
     timed = vintage_times(parsed, "edition_end", zone).withColumns({
         "pit_grade": F.lit("B"), "release_date_source": F.lit("edition_period_end")})
     return compressed(timed, ["country", "canonical_series_id", "period"],
-                      [("available_at", "asc"), ("value", "asc")], hot_rows=hot_rows)
+                      [("available_at", "asc"), ("value", "asc")], hot=hot)
 
 
 def last_of_month(daily: DataFrame, keys: list[str], date_column: str, columns: list[str],
@@ -150,9 +150,9 @@ def newest_periods(frame: DataFrame, n: int, keys: list[str] = ("canonical_serie
     return top_row(frame, list(keys), newest("period_end", *ties), n)
 
 
-def not_increasing(frame: DataFrame, code: str, date_column: str, sequence: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def not_increasing(frame: DataFrame, code: str, date_column: str, sequence: str, hot: DataFrame | None = None) -> DataFrame:
     """Rows whose date does not exceed the one delivered just before for the same code."""
-    seen = with_neighbours(frame, [code], [(sequence, "asc")], previous={"previous_date": date_column}, hot_rows=hot_rows)
+    seen = with_neighbours(frame, [code], [(sequence, "asc")], previous={"previous_date": date_column}, hot=hot)
     return seen.where(F.col(date_column) <= F.col("previous_date"))
 
 

@@ -148,12 +148,14 @@ _CATEGORIES = ["S16", "S17", "S18", "S21", "S0"]
 
 
 @query("qa_10_coverage_matrix", f"""
-    WITH {V}, f AS (SELECT country, {', '.join(f"bool_or(ends_with(canonical_series_id, '_{c}')) AS {c.lower()}" for c in _CATEGORIES)}
-                    FROM v WHERE source = 'OFF2' GROUP BY country)
+    WITH {V}, t(country) AS (VALUES ('CN'), ('US'), ('DEU'), ('GLB'), ('FRA')),
+    f AS (SELECT t.country, {', '.join(f"coalesce(bool_or(ends_with(canonical_series_id, '_{c}')), false) AS {c.lower()}" for c in _CATEGORIES)}
+          FROM t LEFT JOIN v ON v.country = t.country AND v.source = 'OFF2' GROUP BY t.country)
     SELECT *, {' AND '.join(c.lower() for c in _CATEGORIES)} AS complete,
         concat_ws(';', {', '.join(f"CASE WHEN NOT {c.lower()} THEN '{c}' END" for c in _CATEGORIES)}) AS missing FROM f""")
 def coverage_matrix(spark, sf_dir):
-    return audit.coverage_matrix(vintages(spark, sf_dir), _CATEGORIES, "OFF2")
+    targets = spark.range(1).select(F.explode(F.array(*map(F.lit, ("CN", "US", "DEU", "GLB", "FRA")))).alias("country"))
+    return audit.coverage_matrix(vintages(spark, sf_dir), _CATEGORIES, "OFF2", targets)
 
 
 @query("qa_11_thin_series", f"""

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import contracts, ingest
 from . import query
-from .fixture import V, vintages
+from .fixture import REGISTRY, V, registry, vintages
 
 URGENT = ["1-URGENT", "2-HIGH"]
 
@@ -176,14 +176,17 @@ def pre_revision_overrides(spark, sf_dir):
 
 
 @query("ing_24_missing_months", f"""
-    WITH {V}, m AS (SELECT DISTINCT canonical_series_id, CAST(year(period_end) AS INTEGER) AS year,
-                           month(period_end) AS month FROM v WHERE frequency = 'M' AND source = 'OFF2')
-    SELECT canonical_series_id, year, count(*) AS present,
-           (SELECT string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) FROM range(1, 13) r(i)
-            WHERE NOT list_contains(list(m.month), i)) AS missing
-    FROM m GROUP BY canonical_series_id, year HAVING count(*) < 12""")
+    WITH {V}, {REGISTRY}, wanted AS (SELECT canonical_series_id, CAST(y AS INTEGER) AS year FROM registry, range(1994, 2003) t(y) WHERE frequency = 'M'),
+    m AS (SELECT canonical_series_id, CAST(year(period_end) AS INTEGER) AS year, list(DISTINCT month(period_end)) AS months
+          FROM v WHERE frequency = 'M' GROUP BY ALL)
+    SELECT canonical_series_id, year, coalesce(len(months), 0)::BIGINT AS present,
+           (SELECT string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) FROM range(1, 13) r(i) WHERE NOT coalesce(list_contains(months, i), false)) AS missing
+    FROM wanted FULL JOIN m USING (canonical_series_id, year) WHERE coalesce(len(months), 0) < 12""")
 def missing_months(spark, sf_dir):
-    return contracts.missing_periods(vintages(spark, sf_dir).where("source = 'OFF2'"))
+    # the registry has two series that hold no data, and no order lies in the first and last years
+    wanted = registry(spark).where("frequency = 'M'").select(
+        "canonical_series_id", F.explode(F.sequence(F.lit(1994), F.lit(2002))).alias("year"))
+    return contracts.missing_periods(vintages(spark, sf_dir), expected=wanted)
 
 
 @query("ing_26_duplicate_keys", f"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.ordered import HOT_ROWS, hot_keys
 from ..schema import CRAWL_LOG, OBSERVATION_COLUMNS, OBSERVATION_VINTAGE
 
 CLUSTERING = ["canonical_series_id", "period", "available_at"]
@@ -47,6 +48,11 @@ def rewrite_clustered(vintages: DataFrame, target: str, files: int | None = None
     ranged.sortWithinPartitions(*keys).write.mode("errorifexists").partitionBy("country").parquet(target)
 
 
+def write_hot_keys(vintages: DataFrame, path: str, keys: list[str], threshold: int = HOT_ROWS) -> None:
+    """Keep the keys over the threshold beside the store; readers pass the list to the ordered operators."""
+    hot_keys(vintages, keys, threshold).write.mode("overwrite").parquet(path)
+
+
 def new_crawl_events(log: DataFrame, events: DataFrame) -> DataFrame:
     """Events whose id the log does not hold; repeats inside the batch count once."""
     return events.dropDuplicates(["crawl_id"]).join(log.select("crawl_id").distinct(), "crawl_id", "left_anti")

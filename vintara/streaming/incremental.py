@@ -1,7 +1,7 @@
 """Incremental ingest: deliveries arrive as files, each micro-batch runs the batch operators.
 
 Vintages are never dropped for being late: a late value is a new vintage. Watermarks bound
-only the state of deduplication and of daily counts.
+only the state of daily counts.
 """
 
 from __future__ import annotations
@@ -20,22 +20,24 @@ def delivery_stream(spark: SparkSession, path: str, schema, files_per_batch: int
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def append_batch(batch: DataFrame, store_path: str, quarantine_path: str | None = None, mark_revisions: bool = False) -> None:
+def append_batch(batch: DataFrame, store_path: str, quarantine_path: str | None = None, mark_revisions: bool = False,
+                 batch_id: int = 0) -> None:
     """Check, version and append one micro-batch.
 
-    Safe to replay: a row already stored has a known signature and is not written again,
-    so a batch that died half way can simply run once more.
+    Safe to replay: a row already stored has a known signature and is neither marked nor written again,
+    and rejected rows replace those of the same ``batch_id``, so a batch that died half way can simply run once more.
     """
     spark = batch.sparkSession
-    accepted, bad = contracts.quarantine(batch)
+    accepted, bad = contracts.quarantine(cut_lineage(batch))
     history = read_vintages(spark, store_path)
     if mark_revisions:
-        accepted = ingest.mark_first_seen_revisions(accepted, history)
+        accepted = ingest.mark_first_seen_revisions(ingest.unmarked(ingest.unknown(accepted, history), history), history)
     rows = cut_lineage(ingest.versioned(accepted, history))
     append_vintages(rows.where("reject_reason IS NULL").select(*OBSERVATION_COLUMNS), store_path)
     if quarantine_path is not None:
         rejected = rows.where("reject_reason IS NOT NULL").select("ingest_seq", F.array("reject_reason").alias("reasons"))
-        bad.select("ingest_seq", "reasons").unionByName(rejected).write.mode("append").parquet(quarantine_path)
+        bad.select("ingest_seq", "reasons").unionByName(rejected).write.mode(
+            "overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
 
 
 def stream_append(deliveries: DataFrame, store_path: str, checkpoint: str, quarantine_path: str | None = None,
@@ -43,15 +45,17 @@ def stream_append(deliveries: DataFrame, store_path: str, checkpoint: str, quara
     """Run :func:`append_batch` for everything available, one writer at a time."""
     return (
         deliveries.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-        .foreachBatch(lambda batch, _: append_batch(batch, store_path, quarantine_path, mark_revisions))
+        .foreachBatch(lambda batch, number: append_batch(batch, store_path, quarantine_path, mark_revisions, number))
         .start()
     )
 
 
-def deduplicated(deliveries: DataFrame, delay: str = "7 days") -> DataFrame:
-    """Drop repeats of a signature that arrive within the watermark, keeping no history table."""
-    signed = ingest.with_signature(deliveries).withWatermark("retrieved_at", delay)
-    return signed.dropDuplicatesWithinWatermark(ingest.SIGNATURE).drop(*[f"sig_{c}" for c in ingest.TEMPORAL])
+def deduplicated(deliveries: DataFrame) -> DataFrame:
+    """Drop repeats of a signature, without a history table and without a watermark: a late row is never dropped.
+
+    The state holds one signature per distinct row; :func:`stream_append` needs none, as it asks the store.
+    """
+    return ingest.with_signature(deliveries).dropDuplicates(ingest.SIGNATURE).drop(*[f"sig_{c}" for c in ingest.TEMPORAL])
 
 
 def daily_status(attempts: DataFrame, delay: str | None = None) -> DataFrame:
