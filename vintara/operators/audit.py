@@ -201,13 +201,14 @@ def overall(rows: DataFrame) -> DataFrame:
         F.when(F.count_if(F.col("status") == "FAIL") > 0, F.lit("FAIL")).otherwise(F.lit("PASS")).alias("overall"))
 
 
-def sampled_cells(cells: DataFrame, per: list[str], n: int, seed: int = 20260903) -> DataFrame:
-    """A deterministic sample: the ``n`` cells per group with the smallest hash.
+def sampled_cells(cells: DataFrame, per: list[str], n: int, on: list[str], seed: int = 0) -> DataFrame:
+    """A deterministic sample: the ``n`` cells per group with the smallest digest of ``seed`` and the columns ``on``,
+    which tell the cells of a group apart.
 
     The row filter is a map-side group limit, so the sample costs one narrow shuffle.
     """
-    order = F.xxhash64(F.lit(seed), *[F.col(c) for c in cells.columns])
-    return top_row(cells, per, [order, *[F.col(c) for c in cells.columns]], n)
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in on]))
+    return top_row(cells, per, [digest, *[F.col(c) for c in on]], n)
 
 
 def cell_match(probed: DataFrame, per: list[str], tolerance: float = 1e-9) -> DataFrame:

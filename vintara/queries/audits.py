@@ -255,12 +255,20 @@ def cell_match(spark, sf_dir):
     return audit.cell_match(found, ["source"])
 
 
-@query("qa_17_sampled_cell_match")
+@query("qa_17_sampled_cell_match", f"""
+    WITH {V}, probe AS (SELECT *, available_at + to_hours(1) AS probe_at FROM v
+                        QUALIFY row_number() OVER (PARTITION BY canonical_series_id ORDER BY md5('0|' || ingest_seq), ingest_seq) <= 20),
+    hit AS (SELECT p.canonical_series_id, p.value, (
+                SELECT arg_max(x.value, ROW(x.available_at, x.vintage_no, x.retrieved_at, x.raw_sha256, x.value)) FROM v x
+                WHERE (x.source, x.canonical_series_id, x.period) = (p.source, p.canonical_series_id, p.period)
+                  AND x.available_at <= p.probe_at) AS found FROM probe p)
+    SELECT canonical_series_id, count(*) AS sample_size, count(*) FILTER (abs(value - found) <= 1e-9) AS matches,
+        count(*) FILTER (abs(value - found) <= 1e-9) / count(*) AS match_rate FROM hit GROUP BY canonical_series_id""")
 def sampled_cell_match(spark, sf_dir):
     v = vintages(spark, sf_dir)
     cells = v.select("source", "canonical_series_id", "period", "ingest_seq", "value",
                      F.expr("available_at + interval 1 hour").alias("probe_at"))
-    found = asof.point_lookup(audit.sampled_cells(cells, ["canonical_series_id"], 20), v,
+    found = asof.point_lookup(audit.sampled_cells(cells, ["canonical_series_id"], 20, ["ingest_seq"]), v,
                               ["source", "canonical_series_id", "period"])
     return audit.cell_match(found, ["canonical_series_id"])
 
