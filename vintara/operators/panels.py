@@ -12,13 +12,15 @@ from ..functions.ordered import newest, top_row
 from ..plans.policy import MODES, Policy, without_inactive
 from . import asof
 
-MAX_FIELDS = 10_000
-
-
 @dataclass(frozen=True)
 class WideResult:
-    """A panel and its companions; all but ``fields`` are DataFrames."""
+    """A panel and its companions; all but ``fields`` and ``index_column`` are DataFrames.
+
+    ``cells`` is the one pivot behind the three panels: a struct per cell, so value, period and
+    provenance of a cell always come from the same row.
+    """
 
+    cells: DataFrame
     values: DataFrame
     periods: DataFrame
     provenance: DataFrame
@@ -28,13 +30,13 @@ class WideResult:
     index_column: str
 
 
-def field_list(metadata: DataFrame) -> list[str]:
-    """Registered field ids, which become pivot columns; refuses widths no panel can have."""
-    rows = metadata.select("canonical_series_id").distinct().limit(MAX_FIELDS + 1).collect()
+def field_list(metadata: DataFrame, most: int = 10_000) -> list[str]:
+    """Registered field ids, which become pivot columns; more than ``most`` are refused."""
+    rows = metadata.select("canonical_series_id").distinct().limit(most + 1).collect()
     if not rows:
         raise ValueError("no fields are registered for this scope")
-    if len(rows) > MAX_FIELDS:
-        raise ValueError(f"more than {MAX_FIELDS} fields: use the long form")
+    if len(rows) > most:
+        raise ValueError(f"more than {most} fields: use the long form")
     return sorted(row[0] for row in rows)
 
 
@@ -73,10 +75,14 @@ def _wide(selected: DataFrame, metadata: DataFrame, as_of, start, frequency, fie
     cells = selected.where(on_index).withColumn(column, F.col("period_end"))
     if check_cells and not collisions(cells).isEmpty():
         raise ValueError("one cell is claimed by two frequencies or countries of a series")
+    # of two rows that claim a cell the one known last shows, in all three panels
+    known = "available_at" if "available_at" in selected.columns else "valid_from"
+    shown = F.struct(F.col(known).alias("known"), "vintage_no", F.round("value", 10).alias("value"), "period",
+                     F.col("selection_origin").alias("origin"), "country")
+    one = pivot_cells(cells, index, column, fields, shown)
+    panel = lambda part: one.select(column, *[F.col(f"`{f}`.{part}").alias(f) for f in fields])
     return WideResult(
-        values=pivot_cells(cells, index, column, fields, F.round("value", 10)),
-        periods=pivot_cells(cells, index, column, fields, F.col("period")),
-        provenance=pivot_cells(cells, index, column, fields, F.col("selection_origin")),
+        cells=one, values=panel("value"), periods=panel("period"), provenance=panel("origin"),
         metadata=metadata, selected=cells.drop(column), fields=fields, index_column=column,
     )
 
@@ -87,7 +93,7 @@ def asof_wide(vintages: DataFrame, as_of: str | datetime, scope: str, *, start="
     """History as known at T: one row per source period end, one column per field.
 
     ``check_cells`` runs a job that fails if two selected rows claim one cell; without it
-    the larger value shows.
+    the row known last shows.
     """
     last = last_index_day(normalize_as_of(as_of), frequency)
     chosen = asof.selected(vintages, as_of, scope, start=start, end=last, sidecar=sidecar, rules=rules,

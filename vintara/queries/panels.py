@@ -55,6 +55,27 @@ def wide_provenance(spark, sf_dir):
     return wide(spark, sf_dir, "GLB", "M", GLB).provenance
 
 
+# two countries are put on one series, so several rows claim a cell
+_CLAIMS = """claims AS (SELECT 'X_' || substr(frequency, 1, 1) AS canonical_series_id, period_end, country, value, period, available_at, vintage_no FROM v
+    WHERE pit_grade = 'A' AND country IN ('CN', 'US') AND available_at <= TIMESTAMP '2000-05-31 15:59:59.999999'),
+    winner AS (SELECT canonical_series_id, period_end, arg_max(c, ROW(c.available_at, c.vintage_no, c.value, c.period, 'PIT_A', c.country)) AS c
+               FROM claims c GROUP BY ALL)"""
+
+
+@query("asof_13_colliding_cells", f"""
+    WITH {V}, {_CLAIMS}, {spine_sql('month_end', START, '2000-05-31')}
+    SELECT s.month_end, m.c.value AS value_m, m.c.period AS period_m, q.c.value AS value_q, q.c.period AS period_q FROM spine s
+    LEFT JOIN winner m ON m.period_end = s.month_end AND m.canonical_series_id = 'X_M'
+    LEFT JOIN winner q ON q.period_end = s.month_end AND q.canonical_series_id = 'X_Q'""")
+def colliding_cells(spark, sf_dir):
+    rows = vintages(spark, sf_dir).where(
+        "pit_grade = 'A' AND country IN ('CN', 'US') AND available_at <= timestamp_ntz'2000-05-31 15:59:59.999999'").withColumns(
+        {"canonical_series_id": F.concat(F.lit("X_"), F.substring("frequency", 1, 1)), "selection_origin": F.lit("PIT_A")})
+    result = panels._wide(rows, rows, AS_OF, START, "M", ["X_M", "X_Q"], False)
+    parts = result.values.withColumnsRenamed({"X_M": "value_m", "X_Q": "value_q"})
+    return parts.join(result.periods.withColumnsRenamed({"X_M": "period_m", "X_Q": "period_q"}), "month_end")
+
+
 @query("asof_14_quarterly_values", _wide_sql("CN", CN, "round(c.value, 10)", True))
 def quarterly_values(spark, sf_dir):
     return wide(spark, sf_dir, "CN", "Q", CN).values
