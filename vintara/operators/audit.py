@@ -226,11 +226,14 @@ def source_grade_profile(vintages: DataFrame) -> DataFrame:
 
 
 def series_profile(vintages: DataFrame) -> DataFrame:
-    return vintages.groupBy("canonical_series_id").agg(
-        F.count(F.lit(1)).alias("row_count"), F.countDistinct("period").alias("period_count"),
+    # one row per period and code first: the distinct counts expand these, not the vintages
+    seen = vintages.groupBy("canonical_series_id", "period", "source_series_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("first_seen_at").alias("first"), F.max("first_seen_at").alias("last"))
+    return seen.groupBy("canonical_series_id").agg(
+        F.sum("n").alias("row_count"), F.countDistinct("period").alias("period_count"),
         F.min("period").alias("first_period"), F.max("period").alias("last_period"),
-        F.countDistinct("source_series_id").alias("code_count"), F.min("first_seen_at").alias("first_seen"),
-        F.max("first_seen_at").alias("last_seen"))
+        F.countDistinct("source_series_id").alias("code_count"), F.min("first").alias("first_seen"),
+        F.max("last").alias("last_seen"))
 
 
 def grade_profile(vintages: DataFrame) -> DataFrame:

@@ -32,9 +32,10 @@ def fetch_all(vintages: DataFrame) -> DataFrame:
 
 
 def append_vintages(rows: DataFrame, path: str) -> None:
-    """Append rows; sorted within files so that row groups prune on series and period."""
-    rows.select(*OBSERVATION_COLUMNS).sortWithinPartitions("country", *CLUSTERING).write.mode("append").partitionBy(
-        "country").parquet(path)
+    """Append rows in ranges of (country, series, period): few files per country and delivery, sorted so that row
+    groups prune on series and period."""
+    rows.select(*OBSERVATION_COLUMNS).repartitionByRange("country", *CLUSTERING).sortWithinPartitions(
+        "country", *CLUSTERING).write.mode("append").partitionBy("country").parquet(path)
 
 
 def rewrite_clustered(vintages: DataFrame, target: str, files: int | None = None) -> None:
