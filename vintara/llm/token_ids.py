@@ -24,7 +24,7 @@ _ODD_SPACE = re.compile(f" [^{_SOLID}]|[^{_SOLID}] ")
 _CUT = re.compile(f"(?<=[{_SOLID}])(?= [{_SOLID}])")
 # Punctuation but the apostrophe, which may begin a contraction.
 _WORD = re.compile(f"([{_LETTERS}]+)([!-&(-/:-@\\[-`{{-~]*)")
-GENERATION = 250_000  # words
+GENERATION = 400_000  # words
 LONG_WORD = 64  # characters; longer words are not remembered
 
 
@@ -37,6 +37,22 @@ def _byte_letters() -> dict[int, str]:
     return letters
 
 
+class _Known(dict):
+    """Ids of the words behind a space; a word that is missing is taken from the generation before, or made."""
+
+    def __init__(self, make, before: dict[str, bytes]):
+        super().__init__()
+        self.make, self.before = make, before
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self.make(word)
+        if len(word) <= LONG_WORD:
+            self[word] = ids
+        return ids
+
+
 class WordEncoder:
     """Encodes texts with the tokenizer file at ``path``; ids come as little-endian unsigned 32 bits."""
 
@@ -52,8 +68,7 @@ class WordEncoder:
         self._folds = settings["normalizer"] is not None  # lower case, white space dropped
         letters = _byte_letters()
         self._mapped = str.maketrans({c: "".join(letters[b] for b in c.encode()) for c in map(chr, range(32, 256))})
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
+        self._known = _Known(self._word, {})
 
     def whole(self, text: str) -> bytes:
         """The tokenizer's own path for the text as it is."""
@@ -67,23 +82,12 @@ class WordEncoder:
         simple = _WORD.fullmatch(word)
         if simple is None:
             return self.whole(" " + word)
-        ids = self._merged(word[:simple.end(1)].lower() if self._folds else " " + simple[1])
-        if simple[2]:
-            ids += self._merged(simple[2])
-        return array("I", ids).tobytes()
-
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words that are not in the young generation; all but long ones are remembered."""
-        if len(self._young) + len(words) > GENERATION:
-            self._old, self._young = self._young, {}
-        young, old, long = self._young, self._old, {}
-        for word in words:
-            ids = old.get(word) or self._word(word)
-            if len(word) <= LONG_WORD:
-                young[word] = ids
-            else:
-                long[word] = ids
-        return long
+        letters, marks = simple.groups()
+        if marks:
+            return self._known[letters] + array("I", self._merged(marks)).tobytes()
+        if self._folds and letters != (lower := letters.lower()):
+            return self._known[lower]
+        return array("I", self._merged(letters if self._folds else " " + letters)).tobytes()
 
     def encode(self, text: str) -> bytes:
         if not text:
@@ -93,17 +97,11 @@ class WordEncoder:
             words = [p[1:] for p in parts]
         else:
             first, *words = text.split(" ")
-        head = self.whole(first)
-        try:
-            return head + b"".join([self._young[w] for w in words])
-        except KeyError:
-            new = set(words).difference(self._young)
-            if len(new) > GENERATION:  # one text with more words than a generation holds
-                return head + b"".join([self._word(w) for w in words])
-            rotated = len(self._young) + len(new) > GENERATION
-            long = self._learn(set(words) if rotated else new)
-            known = self._young
-            return head + b"".join([known[w] if w in known else long[w] for w in words])
+        out = self.whole(first) + b"".join(map(self._known.__getitem__, words))
+        if len(self._known) > GENERATION:
+            self._known.before = {}
+            self._known = _Known(self._word, self._known)
+        return out
 
 
 def tokenizer_file(name: str) -> str:
