@@ -34,8 +34,8 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 GRAM = 18
-GROUP_BYTES = 8 << 20
-PACK_BYTES = 1 << 20  # bytes hashed at once
+GROUP_BYTES = 4 << 20
+PACK_BYTES = 1 << 19  # bytes hashed at once
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 NO_ID = 2**63 - 1
 SHIFT = np.uint64(16)  # hashes are told by their upper 48 bits in step 1
@@ -95,7 +95,7 @@ def runs(texts: list[bytes], n: int) -> Iterator[tuple[np.ndarray, ...]]:
         offsets = np.concatenate([[0], np.cumsum(counts + n - 1)[:-1]])
         part = np.repeat(np.arange(len(parts)), counts)
         within = np.arange(len(part)) - np.repeat(np.cumsum(counts) - counts, counts)
-        hashes = least[offsets[part] + within]
+        hashes = _mixed(least)[offsets[part] + within]  # smallest hashes are small: mixed again they fill all buckets alike
         new = np.ones(len(part), dtype=bool)
         new[1:] = (hashes[1:] != hashes[:-1]) | (part[1:] != part[:-1])
         at = np.flatnonzero(new)
@@ -214,8 +214,8 @@ def suffix_sorted(data: np.ndarray, hashes: PrefixHashes, starts: np.ndarray, bu
 def _same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     out = np.ones(len(a), dtype=bool)
     near = np.arange(n)
-    for at in range(0, len(a), 1 << 16):
-        part = slice(at, at + (1 << 16))
+    for at in range(0, len(a), 1 << 14):
+        part = slice(at, at + (1 << 14))
         out[part] = (data[a[part, None] + near] == data[b[part, None] + near]).all(axis=1)
     return out
 
@@ -380,10 +380,10 @@ def _covered_inside(contents: list[bytes], counts: np.ndarray, hashes: np.ndarra
     sizes = np.diff(np.append(first, len(order)))
     members = order[np.repeat(sizes > 1, sizes)]
     out: dict[int, list[tuple[int, int]]] = {}
-    heavy = np.cumsum(counts[members] + n) // (4 * PACK_BYTES) if len(members) else members
+    heavy = np.cumsum(counts[members] + n) // PACK_BYTES if len(members) else members
     cut, groups = 0, hashes[members]
     while cut < len(members):
-        # whole hashes at a time, some megabytes of suffixes
+        # whole hashes at a time, as many suffixes as bytes are hashed at once
         end = int(np.searchsorted(heavy, heavy[cut], side="right"))
         while end < len(members) and groups[end] == groups[end - 1]:
             end += 1
@@ -395,7 +395,7 @@ def _covered_inside(contents: list[bytes], counts: np.ndarray, hashes: np.ndarra
         within = np.arange(len(owner)) - np.repeat(np.cumsum(counts[part]) - counts[part], counts[part])
         starts = offset[owner] + within
         # equal strings have their smallest hash at the same place: the next one at or after the start
-        grams = _mixed(PrefixHashes(data).everywhere(GRAM)).view(np.int64)
+        grams = _mixed(_mixed(PrefixHashes(data).everywhere(GRAM))).view(np.int64)
         holder = np.repeat(np.arange(len(part)), lengths)[:len(grams)]
         place = np.where(grams == hashes[part][holder], np.arange(len(grams)), len(data))
         after = np.minimum.accumulate(place[::-1])[::-1]
