@@ -8,9 +8,10 @@ to 5 bits in 64 with the longest keys. With a wider ``radius`` a pair is found i
 close, which is then probable, not certain.
 
 Copies share a fingerprint and are one row in the search. A bucket of many fingerprints is walked from
-one member to its neighbours, each found member leaving the bucket, so it yields a spanning forest of its links and
-never all pairs; a larger bucket without many links is first cut again by variants of its remaining bits, which
-is exact for the same reason. Components are then those of all links.
+one member to its neighbours, each found member leaving the bucket, so the work follows its links and
+not all pairs; a larger bucket without many links is first cut again by variants of its remaining bits, which
+is exact for the same reason. What links connect within a bucket goes on as a star around its smallest id, so a group of
+near copies that meets in many buckets repeats few edges. Components are then those of all stars.
 
 Defined cases: a null or empty text has fingerprint zero and is linked like any other; with fewer words than a
 shingle the whole sequence is the shingle; repeated rows share a component; a null id gets the component of
@@ -185,24 +186,39 @@ def _large(prints: np.ndarray, bit: int, segments: int, radius: int) -> tuple[np
     return np.concatenate(left), np.concatenate(right)
 
 
+def _stars(size: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For rows 0 to size - 1 and the links between them: (first row of its component, row) for every other row."""
+    name = np.arange(size)
+    while True:
+        least = np.minimum(name[left], name[right])
+        new = name.copy()
+        np.minimum.at(new, left, least)
+        np.minimum.at(new, right, least)
+        new = new[new]
+        if (new == name).all():
+            break
+        name = new
+    others = np.flatnonzero(name != np.arange(size))
+    return name[others], others
+
+
 def links(distinct: DataFrame, lanes: int, segments: int, radius: int) -> DataFrame:
-    """Verified links (a, b) between ids of distinct fingerprints, enough to connect every component."""
+    """Pairs (a, b) of ids of distinct fingerprints that verified links connect, enough to connect every component."""
     names = [f"_f{i}" for i in range(lanes)]
 
     def bucket_links(keys: np.ndarray, ids: np.ndarray, prints: np.ndarray) -> np.ndarray:
-        """Links within whole buckets; ``keys`` are sorted."""
+        """Stars of what is linked within whole buckets; rows are sorted by key and id."""
         starts = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])
         sizes = np.diff(np.append(starts, len(keys)))
-        out = []
-        small = np.repeat(sizes <= SMALL, sizes)
+        small = np.flatnonzero(np.repeat(sizes <= SMALL, sizes))
         a, b = _pairs(keys[small], prints[small], radius)
-        out.append(np.stack([ids[small][a], ids[small][b]], axis=1))
+        left, right = [small[a]], [small[b]]
         for start, size in zip(starts[sizes > SMALL], sizes[sizes > SMALL], strict=True):
-            part = slice(start, start + size)
-            a, b = _large(prints[part], int(keys[start]) >> 32, segments, radius)
-            out.append(np.stack([ids[part][a], ids[part][b]], axis=1))
-        found = np.sort(np.concatenate(out), axis=1)
-        return np.unique(found, axis=0) if len(found) else found
+            a, b = _large(prints[start:start + size], int(keys[start]) >> 32, segments, radius)
+            left.append(a + start)
+            right.append(b + start)
+        centre, row = _stars(len(keys), np.concatenate(left), np.concatenate(right))
+        return np.unique(np.stack([ids[centre], ids[row]], axis=1), axis=0)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -226,7 +242,7 @@ def links(distinct: DataFrame, lanes: int, segments: int, radius: int) -> DataFr
 
     tasks = 2 * int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     listed = distinct.where("_least is not null").select("_least", *names, _variants(lanes, segments).alias("key"))
-    return listed.repartition(tasks, "key").sortWithinPartitions("key").mapInPandas(run, "a long, b long")
+    return listed.repartition(tasks, "key").sortWithinPartitions("key", "_least").mapInPandas(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, lanes: int = 2, segments: int = 4, radius: int | None = None,
