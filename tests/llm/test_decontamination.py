@@ -1,9 +1,11 @@
 import re
 
+import duckdb
 import pytest
 from docs import awkward, documents, words
 
 from vintara.llm import decontamination as D
+from vintara.llm.queries import ORACLES, QUERIES
 
 
 def word_list(text):
@@ -68,3 +70,20 @@ def test_null_and_repeated_ids(spark):
 def test_empty_tables(spark):
     assert D.contamination(documents(spark, []), item_frame(spark, ITEMS)).collect() == []
     assert found(D.contamination(documents(spark, [(1, "a b")]), item_frame(spark, []))) == [(1, 2, 0, [], False)]
+
+
+def test_items_without_id_hit_like_others(spark, tmp_path):
+    texts = BASE.split()
+    rows = [(1, BASE), (2, " ".join(texts[10:50])), (3, "clean"), (4, " ".join(texts[80:95]))]
+    items = [(None, " ".join(texts[20:32])), (None, " ".join(texts[21:33])), (5, " ".join(texts[60:72])), (6, " ".join(texts[21:31]))]
+    docs, bench = documents(spark, rows), item_frame(spark, [*items, (None, " ".join(texts[82:92]))])
+    assert found(D.contamination(docs, bench)) == [
+        (1, 120, 12 + 13 + 10, ["5", "6", None], True), (2, 40, 13, ["6", None], True), (3, 1, 0, [], False), (4, 15, 10, [None], True)]
+    assert [r.doc_id for r in D.without_contaminated(docs, bench).collect()] == [3]
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    connection = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    by_sql = connection.execute(ORACLES["op9_decontamination"]).fetchall()
+    assert sorted(tuple(r) for r in QUERIES["op9_decontamination"](spark, str(tmp_path)).collect()) == sorted(by_sql)

@@ -15,7 +15,7 @@ tasks and the driver hold at once. Documents are never grouped by a term: the po
 of a frequent one stay spread over the tasks that stored them, unless Spark finds the windows too large to broadcast.
 
 Defined cases: null, empty and word-free texts have no words and no hits; such items have no window; equal windows of
-several items count for each; rows that repeat a document id are copies of one document (null ids are one
+several items count for each; items with a null id hit like others and are together one null id in ``items``; rows that repeat a document id are copies of one document (null ids are one
 id); empty tables give empty results or no hits; other columns are not read.
 """
 
@@ -117,9 +117,9 @@ def _gathered(run, rows: int = 20_000):
 def _block_matches(read: DataFrame, windows: DataFrame, window: int, slop: int) -> tuple[DataFrame, DataFrame]:
     """Documents with their numbers of words, and (doc, start, length, item, exact) for one block of windows."""
     spark = read.sparkSession
-    rows = windows.groupBy("words").agg(F.collect_set("item").alias("items")).collect()  # bounded by the block
+    rows = windows.groupBy("words").agg(F.collect_set(F.struct("item")).alias("items")).collect()  # bounded by the block
     terms: dict[bytes, int] = {}
-    phrases = [([terms.setdefault(w.encode(), len(terms)) for w in r["words"]], r["items"]) for r in rows]
+    phrases = [([terms.setdefault(w.encode(), len(terms)) for w in r["words"]], [i["item"] for i in r["items"]]) for r in rows]
     statistics = written(_statistics(read, terms), "term-statistics")
     counts = dict(statistics.where("term >= 0").groupBy("term").agg(F.sum("n")).collect())  # at most the block's vocabulary
     table = []
@@ -161,13 +161,13 @@ def matches(docs: DataFrame, items: DataFrame, window: int = 10, slop: int = 0,
 
 def contamination(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
     """One row per document: id, n_words, n_hit (words inside any match), ``items`` (matched item ids as sorted
-    strings) and contaminated."""
+    strings, null last) and contaminated."""
     identifier = settings.get("identifier", "doc_id")
     read, found = matches(docs, items, **settings)
     # the spans of one document are at most as many as its words
     by_doc = found.groupBy("doc").agg(
         F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("length")).alias("end")))).alias("spans"),
-        F.array_sort(F.collect_set("item")).alias("items"))
+        F.array_sort(F.collect_set(F.struct("item"))["item"]).alias("items"))  # in a struct, as a null is left out else
     hit = F.aggregate("spans", F.struct(F.lit(0).cast("long").alias("to"), F.lit(0).cast("long").alias("n")), lambda s, x: F.struct(
         F.greatest(s["to"], x["end"]).alias("to"),
         (s["n"] + F.greatest(F.lit(0), x["end"] - F.greatest(s["to"], x["start"]))).alias("n")), lambda s: s["n"])
