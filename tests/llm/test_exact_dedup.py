@@ -44,3 +44,12 @@ def test_null_and_repeated_ids(spark):
 def test_empty_table(spark):
     assert exact_duplicates(documents(spark, [])).collect() == []
     assert without_duplicates(documents(spark, [])).columns == documents(spark, []).columns
+
+
+def test_rows_with_null_ids_are_judged_one_by_one(spark):
+    rows = [(None, "a b"), (None, "a  b"), (None, "ab"), (None, "only"), (None, "on ly"), (None, "x"), (3, "x"), (4, "y"), (None, "y  ."), (None, "y ."),
+            (5, "y."), (None, None), (None, " ")]
+    kept = without_duplicates(documents(spark, rows))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(None, "a  b"), (None, "on ly"), (3, "x"), (4, "y"), (None, "y  ."), (None, " ")], key=str)
+    assert kept.columns == documents(spark, []).columns

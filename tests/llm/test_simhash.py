@@ -3,6 +3,7 @@ import re
 import numpy as np
 import xxhash
 from docs import awkward, documents, words
+from pyspark.sql import functions as F
 
 from vintara.llm import simhash as S
 from vintara.llm.components import components
@@ -100,3 +101,18 @@ def test_components_of_paths_and_stars(spark):
     got = dict(components(spark.createDataFrame(path + star + star, "a long, b long")).collect())
     assert got == {**{i: 1 for i in range(2, 41)}, **{100 + i: 50 for i in range(300)}}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_null_ids_link_and_are_judged_like_others(spark):
+    prints = {0: "a b c d", 1: "e f g h"}
+    rows = [(7, prints[0]), (None, prints[0]), (None, prints[1]), (None, prints[1]), (None, "q r s")]
+    kept = S.without_near_duplicates(documents(spark, rows), words=4, lanes=1, segments=3, radius=4)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([rows[0], rows[2], rows[4]], key=str)
+
+
+def test_ids_linked_only_through_a_row_without_id(spark, monkeypatch):
+    texts = {"one": 0, "two": 0b111, "three": 0b111111}  # each three bits from the next
+    monkeypatch.setattr(S, "fingerprints", lambda docs, *_: docs.select(
+        F.col("doc_id").alias("_id"), F.create_map(*[F.lit(x) for p in texts.items() for x in p])[F.col("text")].cast("long").alias("_f0")))
+    got = S.near_duplicates(documents(spark, [(4, "one"), (None, "two"), (9, "three")]), words=4, lanes=1, segments=3, radius=4)
+    assert {r.doc_id: r.component_id for r in got.collect()} == {4: 4, None: 4, 9: 4}

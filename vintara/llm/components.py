@@ -40,3 +40,20 @@ def components(edges: DataFrame) -> DataFrame:
         if state == before:
             break
     return edges.select(F.col("b").alias("node"), F.col("a").alias("component"))
+
+
+def numbered_rows(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as ``_doc``, each with a number ``_node`` of its own, written."""
+    return written(docs.select(F.struct("*").alias("_doc"), F.monotonically_increasing_id().alias("_node")), "numbered")
+
+
+def smallest_stay(keyed: DataFrame, reached: DataFrame, identifier: str) -> DataFrame:
+    """The rows of :func:`numbered_rows` without all but one of each component (node, component): the one with the smallest id
+    stays, null ids come last."""
+    members = reached.select("node", "component").union(reached.select("component", F.col("component").alias("_same")).distinct())
+    members = members.join(keyed.select("_node", F.col(f"_doc.{identifier}").alias("_id")), F.col("node") == F.col("_node"))
+    members = written(members.select("component", "node", F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"),
+                                                                   F.col("node").alias("row")).alias("rank")), "members")
+    best = members.groupBy("component").agg(F.min("rank").alias("best"))
+    left_out = members.join(best, "component").where(F.col("node") != F.col("best.row")).select(F.col("node").alias("_out"))
+    return keyed.join(left_out, F.col("_node") == F.col("_out"), "left_anti").select("_doc.*")

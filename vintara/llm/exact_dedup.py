@@ -6,8 +6,8 @@ aggregation combines before the shuffle: a group with a third of all rows sends
 The verdicts then go back to rows that carry hashes only.
 
 Defined cases: a null text counts as empty, and empty texts are equal to each other. A null id
-loses every tie and gets ``keep_id`` like any other row, but is never kept itself unless its group has
-no other id. Rows that repeat one id share its verdict. An empty table gives an empty result. Other
+loses every tie and gets ``keep_id`` like any other row. Rows that repeat one id share its verdict; rows with a null id
+do so in :func:`exact_duplicates`, while :func:`without_duplicates` tells them apart and keeps one row of a group at most. An empty table gives an empty result. Other
 columns, whatever their names, are not read.
 """
 
@@ -17,7 +17,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vintara.llm.common import whole_text, without_characters
+from vintara.llm.common import whole_text, without_characters, written
 
 SPACE = " \t\n\x0b\f\r"
 # One decimal orders rows by (code points, smaller id): it stays in the hash aggregation's buffer.
@@ -37,27 +37,37 @@ def _identifier(standing: Column) -> Column:
 
 
 def exact_duplicates(docs: DataFrame, text: str = "text", identifier: str = "doc_id",
-                     content_hash: Callable[[Column], Column] = F.md5) -> DataFrame:
+                     content_hash: Callable[[Column], Column] = F.md5, row: str | None = None) -> DataFrame:
     """One row per document: ``identifier``, keep_id, group_size, kept, text_sha256.
 
     Of equal texts the row with the most code points in its original text stays, then the smallest
-    id. ``content_hash`` is the 128-bit hash that rows meet by; any weaker one gives equal results.
+    id. ``content_hash`` is the 128-bit hash that rows meet by; any weaker one gives equal results. ``row`` names a
+    column that numbers the rows with null ids and is null in others: it then tells them apart and comes last in the result.
     """
+    extra = [] if row is None else [F.col(row).alias("_row")]
     normal = without_characters(whole_text(text), SPACE)
     rows = docs.select(F.col(identifier).cast("long").alias("_id"), F.char_length(whole_text(text)).alias("_n"),
-                       normal.alias("_normal")).withColumn("_hash", content_hash(F.col("_normal")))
+                       normal.alias("_normal"), *extra).withColumn("_hash", content_hash(F.col("_normal")))
+    rest = [] if row is None else [F.col("_row")]
     classes = rows.groupBy("_hash", "_normal").agg(
-        F.count(F.lit(1)).alias("group_size"), F.max(_standing(F.col("_n"), F.col("_id"))).alias("_best")
+        F.count(F.lit(1)).alias("group_size"), F.max(_standing(F.col("_n"), F.col("_id"))).alias("_best"),
+        *[F.max(F.when(x.isNotNull(), _standing(F.col("_n"), x))).alias("_best_row") for x in rest]
     ).select(F.col("_hash").alias("_class_hash"), F.sha2(F.col("_normal"), 256).alias("_class_sha"),
-             "group_size", _identifier(F.col("_best")).alias("keep_id"))
-    light = rows.select("_id", "_hash", F.sha2(F.col("_normal"), 256).alias("text_sha256"))
+             "group_size", _identifier(F.col("_best")).alias("keep_id"), *[_identifier(F.col("_best_row")).alias("_keep_row") for _ in rest])
+    light = rows.select("_id", *rest, "_hash", F.sha2(F.col("_normal"), 256).alias("text_sha256"))
     same = (light["_hash"] == classes["_class_hash"]) & (light["text_sha256"] == classes["_class_sha"])
+    kept = F.col("_id").eqNullSafe(F.col("keep_id"))
+    if row is not None:
+        kept = kept & (F.col("_id").isNotNull() | F.col("_row").eqNullSafe(F.col("_keep_row")))
     return light.join(classes, same).select(
-        F.col("_id").alias(identifier), "keep_id", F.col("group_size").cast("long"),
-        F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+        F.col("_id").alias(identifier), "keep_id", F.col("group_size").cast("long"), kept.alias("kept"), "text_sha256", *rest)
 
 
 def without_duplicates(docs: DataFrame, text: str = "text", identifier: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that :func:`exact_duplicates` keeps, with all their columns."""
-    kept = exact_duplicates(docs, text, identifier).where("kept").select(F.col(identifier).alias("_kept_id"))
-    return docs.join(kept, docs[identifier].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """The rows of ``docs`` that :func:`exact_duplicates` keeps, with all their columns; of rows with null ids one a group."""
+    nameless = written(docs.where(F.col(identifier).isNull()).withColumn("_null_row", F.monotonically_increasing_id()), "null-ids")
+    rows = docs.where(F.col(identifier).isNotNull()).withColumn("_null_row", F.lit(None).cast("long")).unionAll(nameless)
+    kept = exact_duplicates(rows, text, identifier, row="_null_row").where("kept").select(
+        F.col(identifier).alias("_kept_id"), F.col("_row").alias("_kept_row"))
+    same = rows[identifier].eqNullSafe(kept["_kept_id"]) & rows["_null_row"].eqNullSafe(kept["_kept_row"])
+    return rows.join(kept, same, "left_semi").select(*docs.columns)

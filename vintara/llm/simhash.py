@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vintara.llm.common import whole_text, written
-from vintara.llm.components import components
+from vintara.llm.components import components, numbered_rows, smallest_stay
 
 SEED = 42
 SMALL = 48  # buckets up to this size are compared pair by pair
@@ -253,16 +253,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, lanes: int = 2, segments: i
     radius = radius_for(similarity, lanes) if radius is None else radius
     names = [f"_f{i}" for i in range(lanes)]
     prints = written(fingerprints(docs, words, lanes, text, identifier), "fingerprints")
-    distinct = written(prints.groupBy(*names).agg(F.min("_id").alias("_least")), "distinct-fingerprints")
+    distinct = written(prints.groupBy(*names).agg(F.min("_id").alias("_id")).withColumn(
+        "_least", F.monotonically_increasing_id()), "distinct-fingerprints")  # numbered, as some have no id
     reached = components(links(distinct, lanes, segments, radius))
-    classes = distinct.join(reached, distinct["_least"] == reached["node"], "left").select(
-        *names, F.coalesce("component", "_least").alias("component_id"))
+    members = reached.union(reached.select("component", F.col("component").alias("_same")).distinct())
+    ids = distinct.select(F.col("_least").alias("node"), "_id")
+    least = members.join(ids, "node").groupBy("component").agg(F.min("_id").alias("component_id"))
+    classes = distinct.join(members.join(least, "component").select("node", "component_id"), F.col("_least") == F.col("node"), "left").select(
+        *names, F.coalesce("component_id", "_id").alias("component_id"))
     return prints.join(classes, names).select(F.col("_id").alias(identifier), "component_id", *names)
 
 
 def without_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` whose id names their component: one document of each group."""
-    identifier = settings.get("identifier", "doc_id")
-    kept = near_duplicates(docs, **settings).where(F.col(identifier) == F.col("component_id")).select(
-        F.col(identifier).alias("_kept_id"))
-    return docs.join(kept, docs[identifier] == kept["_kept_id"], "left_semi")
+    """Of each group of linked rows of ``docs`` the one with the smallest id, null ids last."""
+    text, identifier = settings.pop("text", "text"), settings.pop("identifier", "doc_id")
+    keyed = numbered_rows(docs)
+    found = near_duplicates(keyed.select("_node", F.col(f"_doc.{text}").alias("_text")), text="_text", identifier="_node", **settings)
+    reached = found.select(F.col("_node").alias("node"), F.col("component_id").alias("component")).where("node <> component")
+    return smallest_stay(keyed, reached, identifier)
