@@ -175,3 +175,12 @@ def test_packing_equals_brute_force(spark):
 
 def test_packing_keeps_a_missing_id(spark):
     assert sorted(str(r.doc_id) for r in packing.packed(documents(spark, [(None, "a"), (2, None)]), WORDS).collect()) == ["2", "None"]
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_markers_are_ordinary_text_unlike_in_the_plain_call(path):
+    plain, own = Tokenizer.from_file(path), WordEncoder(path)
+    for text in TEXTS:
+        same = np.array(plain.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes() == own.encode(text)
+        marked = any(t.content in text for t in plain.get_added_tokens_decoder().values())
+        assert same != marked, text
