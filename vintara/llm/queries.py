@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vintara.llm import quality, warc
+from vintara.llm import languages, lexical_search, quality, warc
+from vintara.llm.collocations import collocations
 from vintara.llm.common import table
 from vintara.llm.decontamination import contamination
 from vintara.llm.exact_dedup import exact_duplicates
@@ -120,3 +121,51 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = F.aggregate(F.zip_with("ends", "starts", lambda b, a: b - a), F.lit(0).cast("long"), lambda s, x: s + x)
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"),
                         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_collocations", r"""
+    WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+    g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+          FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) AS s(k) WHERE len(w) >= k)),
+    f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 10),
+    n AS (SELECT lang, count(*) AS n FROM g WHERE k = 1 GROUP BY lang),
+    c AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE k > 1),
+    s AS (SELECT c.lang, c.k, c.phrase, c.a, j, x.f AS l, y.f AS r,
+                 (1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS score
+          FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+          JOIN f x ON x.lang = c.lang AND x.k = j AND x.phrase = array_to_string(c.w[:j], ' ')
+          JOIN f y ON y.lang = c.lang AND y.k = c.k - j AND y.phrase = array_to_string(c.w[j + 1:], ' ')),
+    m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+    i AS (SELECT lang, phrase, max(a) AS a FROM (SELECT lang, a, array_to_string(w[:2], ' ') AS phrase FROM c WHERE k = 3
+          UNION ALL SELECT lang, a, array_to_string(w[2:], ' ') FROM c WHERE k = 3) GROUP BY ALL)
+    SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM (
+        SELECT m.*, row_number() OVER (PARTITION BY m.lang ORDER BY score DESC, m.a DESC, m.phrase) AS rank
+        FROM m LEFT JOIN i ON i.lang = m.lang AND i.phrase = m.phrase WHERE i.a IS NULL OR 100 * i.a < 50 * m.a) JOIN n USING (lang)
+    WHERE rank <= 2000""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), longest=3, threshold=10, contained=50, top=2000)
+
+
+@query("op12_language_id")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return languages.predicted(docs, languages.train(docs))
+
+
+@query("op13_lexical_search", r"""
+    WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+    q AS (SELECT DISTINCT row, item_id, unnest(w) AS term FROM (SELECT row_number() OVER () AS row, item_id, regexp_extract_all(translate(
+              coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark)),
+    c AS (SELECT count(*) AS docs, sum(len(w))::BIGINT AS total FROM d WHERE len(w) > 0),
+    p AS (SELECT row, doc_id, term, count(*) AS tf, any_value(100 - 50 + (50 * n * docs) // total) AS m
+          FROM (SELECT row, doc_id, len(w) AS n, unnest(w) AS term FROM d), c WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+    v AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM p, c GROUP BY term),
+    s AS (SELECT q.row AS item, item_id, p.row, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+          FROM q JOIN p USING (term) JOIN v USING (term) GROUP BY ALL)
+    SELECT item_id, rank::INT AS rank, doc_id, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 50""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=50)
