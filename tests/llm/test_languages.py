@@ -68,7 +68,7 @@ def test_nothing_to_learn(spark):
     assert L.predicted(documents(spark, []), only).count() == 0
 
 
-def test_sample_takes_turns_and_is_bounded(spark):
+def test_sample_holds_every_language(spark):
     rows = [(i, text("aa", i, 5), "aa") for i in range(200)] + [(1000 + i, text("bb", i, 5), "bb") for i in range(12)]
     model = L.train(table(spark, rows), sample=16)
     assert model.languages == ("aa", "bb")

@@ -38,6 +38,7 @@ BLOCK = 1 << 20  # words of a block
 LONG = 4 << 20  # bytes of a text that is read in several blocks
 ID_BITS = 21  # of a word's number within its block
 EMIT = 100_000  # phrases of a frame handed on
+PARTS = 64  # of a language whose best phrases are found apart
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -312,8 +313,11 @@ def collocations(docs: DataFrame, longest: int = 3, threshold: int = 10, contain
         around = around.select(F.col("lang").alias("_lang"), F.col("phrase").alias("_phrase"), "_longer")
         kept = kept.join(around, (F.col("lang") == F.col("_lang")) & (F.col("phrase") == F.col("_phrase")), "left").where(
             F.col("_longer").isNull() | (100 * F.col("_longer") < contained * F.col("a")))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.select("lang", "phrase", "a", "l", "r", "score", F.row_number().over(order).cast("long").alias("rank")).where(
-        F.col("rank") <= top)
+    # a language may hold most phrases, so the best of each part of it are found first, and at most PARTS * top rows are ranked together
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*order)
+    best = kept.withColumn("_at", F.row_number().over(part)).where(F.col("_at") <= top).drop("_at")
+    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     totals = totals.select(F.col("lang").alias("_of"), "n")  # one row per language
-    return ranked.join(totals, F.col("lang") == F.col("_of")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return ranked.join(totals, F.col("lang") == F.col("_of")).select(
+        "lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")

@@ -4,8 +4,8 @@ Subwords are the character n-grams of ``SIZES`` within words of letters, lower-c
 ``2**BITS`` embeddings. A text is the average of the embeddings of all its subwords, and a linear softmax over it gives the
 languages' probabilities. Both layers are learned in numpy by stochastic gradient descent, a text a step.
 
-Training takes at most ``sample`` texts, in turn from every language (the smallest hashes of their ids first), and only their bags of
-subwords reach the driver. A fifth of them calibrates instead of training: the temperature that the softmax is divided by, and the least
+Training takes at most ``sample`` texts, about as many of every language (those with the smallest hashes of their ids), and only their bags
+of subwords reach the driver. A fifth of them calibrates instead of training: the temperature that the softmax is divided by, and the least
 score at which accepted texts are right with at least ``precision``. Texts below that score are marked as rejected. Every document is
 scored whole, where it is read, without a shuffle; id, language and source are no inputs of a prediction.
 
@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from vintara.llm.quality import held_out
 
@@ -214,9 +214,13 @@ def train(docs: DataFrame, sample: int = 4_000, text: str = "text", language: st
     """A model from at most ``sample`` documents that are not held out."""
     known = docs.where(F.col(text).isNotNull() & F.col(language).isNotNull() & F.col(identifier).isNotNull()
                        & ~held_out(F.col(identifier))).select(
-        F.col(identifier).alias("_id"), F.col(language).cast("string").alias("_lang")).withColumn("_hash", F.xxhash64("_id"))
-    turn = F.row_number().over(Window.partitionBy("_lang").orderBy("_hash", "_id"))
-    chosen = known.withColumn("_turn", turn).where(F.col("_turn") <= sample).orderBy("_turn", "_lang", "_id").limit(sample)
+        F.col(identifier).alias("_id"), F.col(language).cast("string").alias("_lang"), (F.pmod(F.xxhash64(
+            F.col(identifier)), F.lit(1 << 31)) / F.lit(float(1 << 31))).alias("_hash"))
+    counts = known.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed("_lang", "_of")
+    each = sample / max(1, counts.count())
+    # a language's rows are taken by their hashes alone, as many as the others' are expected, so that none is gathered
+    chosen = known.join(counts, F.col("_lang") == F.col("_of")).where(F.col("_hash") * F.col("_n") < F.lit(each))
+    chosen = chosen.orderBy("_hash", "_id").limit(sample)
     chosen = chosen.select(F.col("_id").alias("_wanted")).distinct()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
