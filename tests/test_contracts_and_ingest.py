@@ -108,6 +108,35 @@ def test_same_url_change_becomes_first_seen_revision(spark):
     assert rows[1]["pit_grade"] == "A"
 
 
+def test_a_value_that_an_older_vintage_had_is_a_revision(spark):
+    history = frame(spark, [observation(value=1.0), observation(value=2.0, available="2020-03-01 00:00:00", vintage_no=1, seq=1)])
+    batch = frame(spark, [observation(value=1.0, seq=2), observation(value=2.0, seq=3)])
+    rows = {r["ingest_seq"]: r["pit_grade"] for r in ingest.mark_first_seen_revisions(batch, history).collect()}
+    assert rows == {2: "D", 3: "A"}
+
+
+def test_append_checks_counts_and_writes_in_one_job(spark, tmp_path):
+    path = str(tmp_path / "store")
+    first = [observation(f"2020-{m:02d}", float(m), seq=m) for m in range(1, 13)]
+    assert ingest.append(frame(spark, first), path) == ingest.AppendResult(12, 0, 0, 0)
+    files = set((tmp_path / "store").rglob("*.parquet"))
+    # one broken row among good ones: nothing is written, and the rules are named
+    bad = [observation("2021-01", 1.0, seq=20), observation("2021-02", float("nan"), seq=21), observation("2021-03", 1.0, sha="N/A", seq=22)]
+    with pytest.raises(contracts.ContractError, match="raw_sha256_required x1; value_not_finite x1"):
+        ingest.append(frame(spark, bad), path)
+    with pytest.raises(contracts.ContractError, match="too_few_rows x1"):
+        ingest.append(frame(spark, bad[:1]), path, minimum=2)
+    assert set((tmp_path / "store").rglob("*.parquet")) == files
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("one-append", "")
+    changed = [observation("2020-01", 9.0, available="2021-01-01 00:00:00", seq=30), first[1], observation("2022-01", 1.0, seq=31)]
+    assert ingest.append(frame(spark, changed), path, minimum=3) == ingest.AppendResult(2, 1, 0, 1)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("one-append")]
+    assert stages and read_vintages(spark, path).count() == 14
+    assert ingest.append(frame(spark, []), path) == ingest.AppendResult(0, 0, 0, 0)
+
+
 def test_unchanged_snapshot_inherits_times(spark):
     history = frame(spark, [observation(value=1.0, grade="D", marker="m1")])
     batch = frame(spark, [observation(value=1.0, grade="D", marker="m2", available="2021-01-01 00:00:00")])

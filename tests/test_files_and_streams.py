@@ -140,7 +140,7 @@ def test_compaction_to_a_new_place(spark, tmp_path):
 
 
 def deliver(spark, path, rows):
-    frame(spark, rows).write.mode("append").parquet(path)
+    frame(spark, rows).coalesce(1).write.mode("append").parquet(path)
 
 
 def test_stream_append_replays_safely(spark, tmp_path):
@@ -172,7 +172,7 @@ def test_stream_dedup_and_daily_status(spark, tmp_path):
     inbox, out = str(tmp_path / "inbox"), str(tmp_path / "out")
     schema = frame(spark, []).schema
     deliver(spark, inbox, [observation(seq=1), observation(seq=2), observation(value=2.0, seq=3)])
-    rows = incremental.deduplicated(incremental.delivery_stream(spark, inbox, schema))
+    rows = incremental.deduplicated(incremental.delivery_stream(spark, inbox, schema), "1 day")
     rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "c")).trigger(
         availableNow=True).start().awaitTermination()
     assert spark.read.parquet(out).count() == 2
@@ -222,3 +222,95 @@ def test_title_periods(spark):
 def test_versioned_reads_its_own_output(spark):
     first = ingest.versioned(frame(spark, [observation(value=1.0)]), frame(spark, [])).drop("reject_reason")
     assert ingest.versioned(frame(spark, [observation(value=1.0)]), first).count() == 0
+
+
+def test_repeats_leave_the_state_and_late_rows_reach_the_store(spark, tmp_path):
+    inbox, path, checkpoint = str(tmp_path / "inbox"), str(tmp_path / "store"), str(tmp_path / "c")
+    schema = frame(spark, [observation()]).withColumn("arrived", F.current_timestamp()).schema
+
+    def run(rows, arrived):
+        frame(spark, rows).withColumn("arrived", F.lit(arrived).cast("timestamp")).write.mode("append").parquet(inbox)
+        stream = incremental.deduplicated(incremental.delivery_stream(spark, inbox, schema), "2 days", arrival="arrived")
+        query = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(
+            lambda batch, number: incremental.append_batch(batch.drop("arrived"), path, batch_id=number)).start()
+        query.awaitTermination()
+        return query.lastProgress["stateOperators"][0]
+
+    many = [observation(f"20{y:02d}-{m:02d}", value=float(m), available="2021-02-10 01:00:00", seq=100 * y + m) for y in range(10, 20) for m in range(1, 13)]
+    assert run(many + many, "2024-01-01 00:00:00")["numRowsTotal"] == 120
+    # a week later: one repeat, one row about an old period with an old time, one change
+    late = observation("2009-01", 9.0, available="2009-02-10 01:00:00", seq=7)
+    state = run([many[0], late, observation("2010-01", 5.0, available="2021-03-01 00:00:00", seq=8)], "2024-01-08 00:00:00")
+    assert state["numRowsTotal"] <= 3 and state["numRowsDroppedByWatermark"] == 0
+    assert bag(store.read_vintages(spark, path).where("period <= '2010-01'"), "period", "value", "vintage_no") == {
+        ("2009-01", 9.0, 0): 1, ("2010-01", 1.0, 0): 1, ("2010-01", 5.0, 1): 1}
+    assert store.read_vintages(spark, path).count() == 122
+
+
+def changes_of(spark, path):
+    return bag(spark.read.parquet(path), "ingest_seq", "known_value", "value")
+
+
+def test_keyed_state_finds_what_the_batch_operator_finds(spark, tmp_path):
+    inbox, schema = str(tmp_path / "inbox"), frame(spark, []).schema
+    day = lambda d: f"2021-01-{d:02d} 00:00:00"
+    deliveries = [
+        [observation(value=1.0, available=day(1), seq=1), observation("2020-02", 2.0, available=day(1), seq=2)],
+        [observation(value=1.5, available=day(3), seq=3), observation("2020-02", 2.5, available=day(3), seq=4, url="https://a/2"),
+         observation("2020-03", 7.0, available=day(3), seq=5)],
+        # a late row: compared with the newest value, which it does not replace; then a repeat and another key
+        [observation(value=1.2, available=day(2), seq=6), observation("2020-03", 7.0, available=day(3), seq=7), observation("2020-02", 3.0, available=day(5), seq=8, url="https://a/2")],
+        [observation(value=1.5, available=day(9), seq=9), observation(value=1.6, available=day(9), seq=10), observation("2020-03", 8.0, available=day(9), seq=11)],
+    ]
+
+    def run(name):
+        query = incremental.stream_value_changes(incremental.delivery_stream(spark, inbox, schema, 1), str(tmp_path / "none"), str(tmp_path / f"c{name}"),
+                                                 str(tmp_path / name))
+        query.awaitTermination()
+        return changes_of(spark, str(tmp_path / name))
+
+    wanted, before = bag(frame(spark, []), "ingest_seq", "value", "value"), []
+    for rows in deliveries:
+        deliver(spark, inbox, rows)
+        if before:
+            wanted += bag(incremental.value_changes(frame(spark, rows), frame(spark, before), tuple(incremental.NEWEST)), "ingest_seq", "known_value", "value")
+        before += rows
+        got = run("one")
+    assert got == wanted == {(3, 1.0, 1.5): 1, (6, 1.5, 1.2): 1, (8, 2.5, 3.0): 1, (10, 1.5, 1.6): 1, (11, 7.0, 8.0): 1}
+    assert run("one") == wanted  # nothing new
+    replay = incremental.stream_value_changes(incremental.delivery_stream(spark, inbox, schema, 1), str(tmp_path / "none"), str(tmp_path / "c2"), str(tmp_path / "two"))
+    replay.awaitTermination()
+    assert changes_of(spark, str(tmp_path / "two")) == wanted
+
+
+def test_keyed_state_expires_and_the_store_answers(spark, tmp_path):
+    inbox, path, out = str(tmp_path / "inbox"), str(tmp_path / "store"), str(tmp_path / "out")
+    schema = frame(spark, [observation()]).withColumn("arrived", F.current_timestamp()).schema
+    hour = 3600 * 1000
+
+    def run(rows, arrived):
+        frame(spark, rows).coalesce(1).withColumn("arrived", F.lit(arrived).cast("timestamp")).write.mode("append").parquet(inbox)
+        query = incremental.stream_value_changes(incremental.delivery_stream(spark, inbox, schema, 1), path, str(tmp_path / "c"), out,
+                                                 keep_ms=5 * hour, arrival="arrived")
+        assert query.awaitTermination(60)
+        ingest.append(frame(spark, rows), path)
+        return query.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    run([observation(value=1.0, seq=1), observation("2020-02", 2.0, seq=2)], "2024-01-01 00:00:00")
+    # one key goes on arriving, the other one leaves the state; its change is found in the store
+    run([observation(value=1.4, available="2021-01-01 00:00:00", seq=3)], "2024-01-01 04:00:00")
+    run([observation(value=1.5, available="2021-02-01 00:00:00", seq=4)], "2024-01-01 08:00:00")
+    left = run([observation("2020-02", 2.2, available="2021-02-01 00:00:00", seq=5)], "2024-01-01 09:00:00")
+    assert changes_of(spark, out) == {(3, 1.0, 1.4): 1, (4, 1.4, 1.5): 1, (5, 2.0, 2.2): 1}
+    gone = run([observation("2020-09", 2.2, available="2021-02-01 00:00:00", seq=6)], "2024-01-09 00:00:00")
+    assert gone < left + 1
+
+
+def test_keyed_state_starts_from_history(spark, tmp_path):
+    inbox, out = str(tmp_path / "inbox"), str(tmp_path / "out")
+    history = frame(spark, [observation(value=1.0, seq=1), observation(value=1.1, available="2020-06-01 00:00:00", seq=2)])
+    deliver(spark, inbox, [observation(value=1.3, available="2021-01-01 00:00:00", seq=3)])
+    stream = incremental.value_change_stream(incremental.delivery_stream(spark, inbox, frame(spark, []).schema), history)
+    stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "c")).trigger(
+        availableNow=True).start().awaitTermination()
+    assert bag(spark.read.parquet(out), "ingest_seq", "known_value", "value", "unseen") == {(3, 1.1, 1.3, False): 1}

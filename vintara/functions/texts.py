@@ -37,7 +37,7 @@ def entities(text: Column) -> Column:
         decimal = F.regexp_extract(body, "^#([0-9]{1,7})$", 1).try_cast("int")
         return F.coalesce(F.try_element_at(named, body), _code_point(F.coalesce(decimal, hexadecimal)), piece)
 
-    return _replaced(text, "&[a-zA-Z0-9]+;|&#[xX]?[0-9a-fA-F]+;", decoded)
+    return F.when(F.contains(text, F.lit("&")), _replaced(text, "&[a-zA-Z0-9]+;|&#[xX]?[0-9a-fA-F]+;", decoded)).otherwise(text)
 
 
 def plain_text(html: Column) -> Column:
@@ -62,15 +62,28 @@ def _compatibility() -> tuple[str, str, dict[str, str]]:
     return "".join(one), "".join(forms), several
 
 
+def _ranges(characters: str) -> str:
+    """The characters as ranges of a class, for the fewest comparisons."""
+    codes = sorted(map(ord, characters))
+    starts = [c for i, c in enumerate(codes) if not i or codes[i - 1] != c - 1]
+    ends = [c for i, c in enumerate(codes) if i + 1 == len(codes) or codes[i + 1] != c + 1]
+    return "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in zip(starts, ends, strict=True)) + "]"
+
+
+# ASCII, ideographs and their punctuation have no compatibility form; most characters of a page end their test here.
+_COMMON = r"(?![\x{0}-\x{9F}\x{4E00}-\x{9FFF}\x{3001}-\x{3029}])"
+
+
 def typography(text: Column) -> Column:
     """Compatibility characters (full-width, enclosed, ligatures, units) in their plain form.
 
-    Every character is mapped for itself; letters followed by combining marks are not composed.
+    Every character is mapped for itself; letters followed by combining marks are not composed. Characters with a longer form are looked
+    up one by one, in texts that have any; all others are one translation.
     """
     one, forms, several = _compatibility()
     table = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
-    pattern = "[" + "".join(several) + "]"
-    return F.translate(_replaced(text, pattern, lambda p: F.try_element_at(table, p)), one, forms)
+    longer = _replaced(text, _COMMON + _ranges("".join(several)), lambda p: F.try_element_at(table, p))
+    return F.translate(longer, one, forms)
 
 
 def compact(text: Column) -> Column:

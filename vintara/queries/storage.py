@@ -13,6 +13,7 @@ from ..sources import files, sinks, store
 from ..streaming import incremental
 from . import ORACLES, QUERIES, query
 from .fixture import V, table, vintages
+from .ingest import SPLIT, URGENT, split
 
 
 def folder(spark, kind: str) -> str:
@@ -114,3 +115,47 @@ def replayed_append(spark, sf_dir):
     return store.read_vintages(spark, path).select(
         "source", "canonical_series_id", "period", "value", "pit_grade", "vintage_no",
         F.col("available_at").cast("timestamp_ntz").alias("available_at"))
+
+
+# deliveries that append accepts whole: evidence for every row, and no documented revision by nothing
+_SOUND = ("raw_sha256 <> 'N/A' AND NOT coalesce(pit_grade = 'D' AND revision_type = 'revision' AND revision_delta = 0"
+          " AND release_date_source = 'wind_revision_snapshot_x', false)")
+_SOUND_SPLIT = SPLIT.replace("priority NOT IN ('1-URGENT', '2-HIGH'))", f"priority NOT IN ('1-URGENT', '2-HIGH') AND {_SOUND})")
+
+
+@query("ing_06_observed_append", f"""
+    WITH {_SOUND_SPLIT} SELECT revision_type AS kind, count(*) AS rows, count(*) AS stored FROM versioned GROUP BY revision_type
+    UNION ALL SELECT 'unchanged', (SELECT count(*) FROM batch) - count(*), 0 FROM versioned""")
+def observed_append(spark, sf_dir):
+    """The figures that an append takes while it writes, beside the rows that the store then holds."""
+    batch, history = (zoned(f) for f in split(spark, sf_dir))
+    path = folder(spark, "observed")
+    store.append_vintages(history, path)
+    before = store.read_vintages(spark, path).groupBy("revision_type").agg(F.count(F.lit(1)).alias("before"))
+    cut = folder(spark, "before")
+    before.write.parquet(cut)
+    result = ingest.append(batch.where(_SOUND), path)
+    figures = {"initial": result.inserted - result.revisions - result.metadata_updates, "revision": result.revisions,
+               "metadata_update": result.metadata_updates, "unchanged": result.unchanged}
+    said = spark.range(1).select(F.explode(F.create_map(*[F.lit(x) for pair in figures.items() for x in pair])).alias("kind", "rows"))
+    after = store.read_vintages(spark, path).groupBy("revision_type").agg(F.count(F.lit(1)).alias("after"))
+    stored_ = after.join(spark.read.parquet(cut), "revision_type", "left").select(
+        F.col("revision_type").alias("kind"), (F.col("after") - F.coalesce("before", F.lit(0))).alias("stored"))
+    return said.join(stored_, "kind", "left").select("kind", F.col("rows").cast("long"), F.coalesce("stored", F.lit(0)).cast("long").alias("stored"))
+
+
+@query("str_03_keyed_state", f"""
+    WITH {SPLIT}, l AS (SELECT * FROM hist QUALIFY row_number() OVER (PARTITION BY source, canonical_series_id, period
+                     ORDER BY available_at DESC, retrieved_at DESC, raw_sha256 DESC, value DESC) = 1)
+    SELECT b.ingest_seq, l.value AS known_value, b.value FROM batch b JOIN l
+      ON l.source = b.source AND l.canonical_series_id = b.canonical_series_id AND l.period = b.period
+    WHERE l.source_url = b.source_url AND abs(l.value - b.value) > 1e-12""")
+def keyed_state(spark, sf_dir):
+    """Two deliveries through a stream that keeps the newest value of each key: what the second one changes."""
+    inbox, changes, checkpoint = (folder(spark, x) for x in ("inbox", "changes", "checkpoint"))
+    v = zoned(vintages(spark, sf_dir))
+    for urgent in (True, False):
+        v.where(F.col("priority").isin(*URGENT) == urgent).drop("priority").coalesce(1).write.mode("append").parquet(inbox)
+        deliveries = incremental.delivery_stream(spark, inbox, v.drop("priority").schema, 1)
+        incremental.stream_value_changes(deliveries, folder(spark, "none"), checkpoint, changes).awaitTermination()
+    return spark.read.parquet(changes).select("ingest_seq", "known_value", "value")

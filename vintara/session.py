@@ -46,3 +46,11 @@ def cut_lineage(frame: DataFrame) -> DataFrame:
     """Materialise ``frame`` in the shared folder so lost executors cost no replay."""
     shared_folder(frame.sparkSession)
     return frame.checkpoint(eager=True)
+
+
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_state_store(spark: SparkSession) -> None:
+    """Keyed state of streams that start from now on lives in RocksDB, which arbitrary state needs."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)

@@ -31,11 +31,19 @@ def fetch_all(vintages: DataFrame) -> DataFrame:
     return vintages.orderBy("canonical_series_id", "period", "vintage_no", "source", "available_at")
 
 
+def in_ranges(rows: DataFrame) -> DataFrame:
+    """Rows in ranges of (country, series, period): few files per country and delivery, sorted so that row groups prune
+    on series and period."""
+    return rows.repartitionByRange("country", *CLUSTERING).sortWithinPartitions("country", *CLUSTERING)
+
+
+def write_ranges(rows: DataFrame, path: str) -> None:
+    """Append rows that :func:`in_ranges` put in order."""
+    rows.write.mode("append").partitionBy("country").parquet(path)
+
+
 def append_vintages(rows: DataFrame, path: str) -> None:
-    """Append rows in ranges of (country, series, period): few files per country and delivery, sorted so that row
-    groups prune on series and period."""
-    rows.select(*OBSERVATION_COLUMNS).repartitionByRange("country", *CLUSTERING).sortWithinPartitions(
-        "country", *CLUSTERING).write.mode("append").partitionBy("country").parquet(path)
+    write_ranges(in_ranges(rows.select(*OBSERVATION_COLUMNS)), path)
 
 
 def rewrite_clustered(vintages: DataFrame, target: str, files: int | None = None) -> None:

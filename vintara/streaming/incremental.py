@@ -1,17 +1,19 @@
 """Incremental ingest: deliveries arrive as files, each micro-batch runs the batch operators.
 
-Vintages are never dropped for being late: a late value is a new vintage. Watermarks bound
-only the state of daily counts.
+Vintages are never dropped for being late: a late value is a new vintage. Watermarks bound the state of daily counts, and that of
+repeats by their time of arrival.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..operators import contracts, ingest
 from ..schema import OBSERVATION_COLUMNS
-from ..session import cut_lineage
+from ..session import cut_lineage, use_state_store
 from ..sources.store import append_vintages, read_vintages
 
 
@@ -41,8 +43,13 @@ def append_batch(batch: DataFrame, store_path: str, quarantine_path: str | None
 
 
 def stream_append(deliveries: DataFrame, store_path: str, checkpoint: str, quarantine_path: str | None = None,
-                  mark_revisions: bool = False) -> StreamingQuery:
-    """Run :func:`append_batch` for everything available, one writer at a time."""
+                  mark_revisions: bool = False, repeats_within: str | None = None) -> StreamingQuery:
+    """Run :func:`append_batch` for everything available, one writer at a time.
+
+    With ``repeats_within`` a signature that was delivered in that time already is dropped before the store is asked.
+    """
+    if repeats_within is not None:
+        deliveries = deduplicated(deliveries, repeats_within)
     return (
         deliveries.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
         .foreachBatch(lambda batch, number: append_batch(batch, store_path, quarantine_path, mark_revisions, number))
@@ -50,12 +57,16 @@ def stream_append(deliveries: DataFrame, store_path: str, checkpoint: str, quara
     )
 
 
-def deduplicated(deliveries: DataFrame) -> DataFrame:
-    """Drop repeats of a signature, without a history table and without a watermark: a late row is never dropped.
+def deduplicated(deliveries: DataFrame, repeats_within: str, arrival: str | None = None) -> DataFrame:
+    """Drop repeats of a signature that arrive within ``repeats_within`` of the first one.
 
-    The state holds one signature per distinct row; :func:`stream_append` needs none, as it asks the store.
+    The watermark runs on the time of arrival (the batch's clock, or the column ``arrival``), never on the times that a row states: a row about
+    an old period, or one that was retrieved long ago, is as new as any other and is not dropped for being late. The state
+    holds the signatures of the last ``repeats_within`` and no more; a repeat that comes later passes, and :func:`stream_append` finds it in the store.
     """
-    return ingest.with_signature(deliveries).dropDuplicates(ingest.SIGNATURE).drop(*[f"sig_{c}" for c in ingest.TEMPORAL])
+    arrived = F.current_timestamp() if arrival is None else F.col(arrival)
+    marked = ingest.with_signature(deliveries).withColumn("_arrived_at", arrived).withWatermark("_arrived_at", repeats_within)
+    return marked.dropDuplicatesWithinWatermark(ingest.SIGNATURE).drop("_arrived_at", *[f"sig_{c}" for c in ingest.TEMPORAL])
 
 
 def daily_status(attempts: DataFrame, delay: str | None = None) -> DataFrame:
@@ -73,14 +84,102 @@ def recheck(deliveries: DataFrame, now: str, months: int) -> DataFrame:
     return contracts.within_lookback(deliveries, now, months)
 
 
-def value_changes(deliveries: DataFrame, history: DataFrame) -> DataFrame:
-    """Deliveries that change the newest stored value of their key at an unchanged address.
-
-    Meant for ``foreachBatch``: the state is the store itself, so nothing is lost with an
-    executor and no state grows without bound.
-    """
-    known = ingest.latest_vintage(history, ["value", "source_url"])
+def value_changes(deliveries: DataFrame, history: DataFrame, order: tuple[str, ...] = ("vintage_no", "available_at")) -> DataFrame:
+    """Deliveries that change the newest stored value of their key at an unchanged address."""
+    known = ingest.latest_vintage(ingest.of_batch(history, deliveries), ["value", "source_url"], list(order))
     return deliveries.join(known, ingest.KEY).where(
         (F.col("latest_source_url") == F.col("source_url"))
         & ~ingest.same_value(F.col("latest_value"), F.col("value"))
     ).withColumnRenamed("latest_value", "known_value").drop("latest_source_url")
+
+
+# What the newest value of a key is by, and what the state of a key holds.
+NEWEST = ["available_at", "retrieved_at", "raw_sha256", "value"]
+LAST = "available_at long, retrieved_at long, raw_sha256 string, value double, source_url string, timer long"
+CHANGE = ("country string, source string, canonical_series_id string, period string, ingest_seq long, value double, source_url string, "
+          "known_value double, unseen boolean")
+
+
+class LastValue(StatefulProcessor):
+    """The newest value and address of a key, until nothing has arrived for it in ``keep_ms``."""
+
+    def __init__(self, keep_ms: int | None):
+        self.keep_ms = keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", LAST)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.last.update((*(initialState[c] for c in (*NEWEST, "source_url")), None))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        held = tuple(self.last.get()) if self.last.exists() else None
+        known, timer = (None, None) if held is None else (held[:5], held[5])
+        best, arrived = known, 0
+        for row in rows:
+            if known is None or (known[4] == row["source_url"] and abs(known[3] - row["value"]) > ingest.TOLERANCE):
+                yield Row(country=row["country"], source=row["source"], canonical_series_id=row["canonical_series_id"], period=row["period"],
+                          ingest_seq=row["ingest_seq"], value=row["value"], source_url=row["source_url"],
+                          known_value=None if known is None else known[3], unseen=known is None)
+            stated = tuple(row[c] for c in (*NEWEST, "source_url"))
+            if best is None or stated > best:
+                best = stated
+            arrived = max(arrived, row["_arrived_ms"])
+        if self.keep_ms is not None and (timer is None or arrived + self.keep_ms > timer):
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            timer = arrived + self.keep_ms
+            self.handle.registerTimer(timer)
+        self.last.update((*best, timer))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.last.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def value_change_stream(deliveries: DataFrame, history: DataFrame | None = None, keep_ms: int | None = None,
+                        arrival: str | None = None) -> DataFrame:
+    """:func:`value_changes` for a stream of deliveries, with the newest value of each key as state.
+
+    A micro-batch is compared with all that came before it: late rows, too, with the newest value, which they do not replace.
+    ``history`` fills the state when the stream first starts; later batches read no store. A key for which nothing arrived in
+    ``keep_ms`` (by the batch's clock, or the column ``arrival``) leaves the state; its next rows, like those of a key never met, come out
+    as ``unseen`` with a null ``known_value``, and :func:`stream_value_changes` looks them up. Such state lives in RocksDB, beside the
+    checkpoint and not on the heap.
+    """
+    use_state_store(deliveries.sparkSession)
+    def in_micros(frame: DataFrame) -> DataFrame:  # instants as numbers, the same in rows and state
+        return frame.withColumns({c: F.unix_micros(F.col(c).cast("timestamp")) for c in ("available_at", "retrieved_at")})
+
+    arrived = F.current_timestamp() if arrival is None else F.col(arrival)
+    rows = in_micros(deliveries.withColumn("_arrived_at", arrived).select(
+        "country", *ingest.KEY, "ingest_seq", *NEWEST, "source_url", "_arrived_at", F.unix_millis("_arrived_at").alias("_arrived_ms")))
+    if keep_ms is not None:
+        rows = rows.withWatermark("_arrived_at", "0 seconds")
+    initial = None
+    if history is not None:
+        best = in_micros(history).groupBy(*ingest.KEY).agg(F.max(F.struct(*NEWEST, "source_url")).alias("row"))
+        initial = best.select(*ingest.KEY, *[F.col(f"row.{c}").alias(c) for c in (*NEWEST, "source_url")]).groupBy(*ingest.KEY)
+    return rows.groupBy(*ingest.KEY).transformWithState(
+        LastValue(keep_ms), CHANGE, "Append", "None" if keep_ms is None else "EventTime", initial)
+
+
+def stream_value_changes(deliveries: DataFrame, store_path: str, checkpoint: str, changes_path: str,
+                         keep_ms: int | None = None, arrival: str | None = None) -> StreamingQuery:
+    """Write what changes a known value to ``changes_path``, for everything available.
+
+    Only rows of keys without state are looked up in the store, which must not hold their delivery yet. A batch that is run again
+    replaces its own folder, so nothing is written twice.
+    """
+    def found(batch: DataFrame, number: int) -> None:
+        rows = cut_lineage(batch)
+        asked = value_changes(rows.where("unseen").drop("known_value"), read_vintages(batch.sparkSession, store_path), tuple(NEWEST))
+        changes = rows.where("NOT unseen").unionByName(asked)
+        changes.drop("unseen").write.mode("overwrite").parquet(f"{changes_path}/batch={number}")
+
+    return value_change_stream(deliveries, None, keep_ms, arrival).writeStream.foreachBatch(found).option(
+        "checkpointLocation", checkpoint).trigger(availableNow=True).start()
