@@ -55,6 +55,22 @@ def test_edition_files(spark, tmp_path, separator):
     assert str(out.orderBy("available_at").first()["available_at"]) == "2020-01-31 23:00:00"
 
 
+def test_a_folder_of_edition_files_in_several_layouts(spark, tmp_path):
+    folder = tmp_path / "editions"
+    folder.mkdir()
+    line = ["DEU", "M", "X1", "IX", "202001", "2019-11", "100"]
+    for number, (separator, names) in enumerate([(",", files.EDITION_COLUMNS), (";", files.EDITION_COLUMNS[::-1]), ("\t", [*files.EDITION_COLUMNS, "EXTRA"])]):
+        values = dict(zip(files.EDITION_COLUMNS, line, strict=True)) | {"EXTRA": "a", "OBS_VALUE": f"10{number}"}
+        quoted = [f'"{values[n]}"' if n == "REF_AREA" else values[n] for n in names]
+        (folder / f"{number}.csv").write_text("\n".join([separator.join(names), *[separator.join(quoted)] * (number + 1)]) + "\n")
+    rows = files.read_editions(spark, str(folder))
+    assert bag(rows, "REF_AREA", "TIME_PERIOD", "EDITION", "OBS_VALUE") == {
+        ("DEU", line[files.EDITION_COLUMNS.index("TIME_PERIOD")], line[files.EDITION_COLUMNS.index("EDITION")], f"10{n}"): n + 1 for n in range(3)}
+    (folder / "bad.csv").write_text("REF_AREA,FREQ\nDEU,M\n")
+    with pytest.raises(ValueError, match="bad.csv is missing columns"):
+        files.read_editions(spark, str(folder))
+
+
 def test_edition_file_without_a_column(spark, tmp_path):
     path = tmp_path / "bad.csv"
     path.write_text("REF_AREA,FREQ\nDEU,M\n")
@@ -314,3 +330,64 @@ def test_keyed_state_starts_from_history(spark, tmp_path):
     stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "c")).trigger(
         availableNow=True).start().awaitTermination()
     assert bag(spark.read.parquet(out), "ingest_seq", "known_value", "value", "unseen") == {(3, 1.1, 1.3, False): 1}
+
+
+def scanned_rows(spark, rows):
+    """Rows that the scan of ``rows`` hands on, from its metrics."""
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if "Adaptive" in plan.getClass().getSimpleName() else plan
+    while plan.children().size():
+        plan = plan.children().head()
+    return plan.metrics().apply("numOutputRows").value()
+
+
+def test_bloom_filters_skip_row_groups(spark, tmp_path):
+    path = str(tmp_path / "store")
+    one = frame(spark, [observation()], sequence=False)
+    # so many series that row groups hold no dictionary of them
+    many = one.crossJoin(spark.range(200_000).select(F.col("id").alias("_n"))).withColumn("canonical_series_id", F.format_string("CN_%032x", F.col("_n") * 2)).drop("_n")
+    store.append_vintages(many, path)
+    known = store.read_vintages(spark, path)
+    wanted = lambda n: known.where(F.col("canonical_series_id") == f"CN_{n:032x}").select("value")
+    assert wanted(100_000).count() == 1 and scanned_rows(spark, wanted(100_000)) > 0
+    assert scanned_rows(spark, wanted(100_001)) == 0  # inside the statistics of a row group, and in none
+    plan = wanted(100_001)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(canonical_series_id" in plan
+
+
+@pytest.fixture
+def long_plans(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
+    yield
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_a_delivery_reads_what_it_touches(spark, tmp_path, long_plans):
+    path = str(tmp_path / "store")
+    store.append_vintages(frame(spark, [observation(f"20{y:02d}-{m:02d}", series=f"{c}_{k}", country=c, seq=0) for y in range(10, 20) for m in range(1, 13)
+                                        for c in ("CN", "US") for k in range(5)]), path)
+    batch = frame(spark, [observation("2015-03", series="CN_3"), observation("2015-04", series="CN_3")])
+    touched = store.read_touched(spark, path, batch)
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "country" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    pushed = plan.split("PushedFilters: [")[1]
+    assert "canonical_series_id" in pushed and "GreaterThanOrEqual(period,2015-03)" in pushed and "LessThanOrEqual(period,2015-04)" in pushed
+    assert touched.count() == 2 and scanned_rows(spark, touched.select("value")) < 1200
+    assert store.read_touched(spark, path, batch, listed=0).count() == 1200
+    assert bag(ingest.new_rows(batch, touched)) == bag(ingest.new_rows(batch, store.read_vintages(spark, path)))
+
+
+def test_event_store_pushes_both_bounds(spark, tmp_path, long_plans):
+    from vintara.operators import asof
+    events = intervals.effective_events(fx.vintages(spark, SF), "US", sidecar=fx.sidecar(spark, SF), start="1995-01-01")
+    path = str(tmp_path / "events")
+    store.write_events(events, path)
+    kept = store.read_events(spark, path)
+    assert bag(kept.select(*events.columns)) == bag(events)
+    for as_of in ("1996-06-30", "1999-06-30", "2030-01-01"):
+        rows = asof.at(kept, as_of, "US")
+        assert bag(rows.select("canonical_series_id", "period", "value")) == bag(asof.at(events, as_of, "US").select("canonical_series_id", "period", "value"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [")[1]
+    assert "LessThanOrEqual(valid_from" in pushed and "Or(IsNull(valid_to),GreaterThan(valid_to" in pushed and "US" in plan.split("PartitionFilters: [")[1]

@@ -230,11 +230,11 @@ def append(batch: DataFrame, path: str, sequence: str = "ingest_seq", minimum: i
     from pyspark.errors import PySparkException
     from pyspark.sql import Observation
 
-    from ..sources.store import in_ranges, read_vintages, write_ranges
-    from .contracts import ContractError, accepted_or_raise, checked
+    from ..sources.store import in_ranges, read_touched, write_ranges
+    from .contracts import ContractError, accepted_or_raise, checked, normalized
     rows = checked(batch)
     rows = rows.where(_or_fail(F.size("reasons") == 0, F.array_join("reasons", ";"))).drop("reasons")
-    fresh = versioned(rows, read_vintages(batch.sparkSession, path), sequence)
+    fresh = versioned(rows, read_touched(batch.sparkSession, path, normalized(batch)), sequence)
     fresh = fresh.where(_or_fail(F.col("reject_reason").isNull(), F.col("reject_reason")))
     delivered = rows.agg(F.count(F.lit(1)).alias("_delivered")).where(
         _or_fail(F.col("_delivered") >= minimum, F.concat(F.lit("too_few_rows x"), F.col("_delivered"))))

@@ -45,7 +45,11 @@ def rules_join(spark, sf_dir):
     WHERE country = 'US' AND period_end BETWEEN DATE '1998-01-31' AND DATE '1999-12-31' AND valid_from <= TIMESTAMP '1999-06-30 15:59:59.999999'
       AND (valid_to IS NULL OR TIMESTAMP '1999-06-30 15:59:59.999999' < valid_to)""")
 def pushed_event_scan(spark, sf_dir):
-    return asof.at(events(spark, sf_dir, "US"), "1999-06-30", "US", "1998-01-31", "1999-12-31").select(
+    # the intervals of all countries as a store keeps them; the scan prunes the country and pushes both bounds
+    from .storage import folder
+    path = folder(spark, "events")
+    store.write_events(events(spark, sf_dir), path)
+    return asof.at(store.read_events(spark, path), "1999-06-30", "US", "1998-01-31", "1999-12-31").select(
         "canonical_series_id", "period", "valid_from", "value")
 
 

@@ -159,3 +159,13 @@ def keyed_state(spark, sf_dir):
         deliveries = incremental.delivery_stream(spark, inbox, v.drop("priority").schema, 1)
         incremental.stream_value_changes(deliveries, folder(spark, "none"), checkpoint, changes).awaitTermination()
     return spark.read.parquet(changes).select("ingest_seq", "known_value", "value")
+
+
+@query("ing_02_stored_history", ORACLES["ing_02_idempotent_dedup"])
+def stored_history(spark, sf_dir):
+    """The new rows of a delivery next to a written store, of which only the part it touches is read."""
+    batch, history = (zoned(f) for f in split(spark, sf_dir))
+    path = folder(spark, "history")
+    store.append_vintages(history, path)
+    return ingest.new_rows(batch, store.read_touched(spark, path, batch)).select(
+        "ingest_seq", "source", "canonical_series_id", "period", "value")

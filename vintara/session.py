@@ -12,6 +12,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # lists of keys reach row groups as lists, and instants keep their statistics
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
 
 from ..functions.ordered import HOT_ROWS, hot_keys
 from ..schema import CRAWL_LOG, OBSERVATION_COLUMNS, OBSERVATION_VINTAGE
 
+BLOOMS = ["canonical_series_id", "period"]
 CLUSTERING = ["canonical_series_id", "period", "available_at"]
 
 
@@ -26,6 +27,20 @@ def read_vintages(spark: SparkSession, path: str) -> DataFrame:
     return read_or_empty(spark, path, OBSERVATION_VINTAGE)
 
 
+def read_touched(spark: SparkSession, path: str, batch: DataFrame, listed: int = 1000) -> DataFrame:
+    """The part of the store that a delivery can meet: its countries, series and span of periods as literals, so that the scan leaves
+    out folders, files and row groups (by statistics, dictionaries and Bloom filters) before anything is joined.
+
+    A delivery of more than ``listed`` series is not listed; joins on its keys then prune by country alone.
+    """
+    stored = read_vintages(spark, path)
+    keys = batch.groupBy("country", "canonical_series_id").agg(F.min("period").alias("low"), F.max("period").alias("high")).limit(listed + 1).collect()
+    if not keys or len(keys) > listed or any(x is None for k in keys for x in k):
+        return stored
+    return stored.where(F.col("country").isin(*{k["country"] for k in keys}) & F.col("canonical_series_id").isin(*{k["canonical_series_id"] for k in keys})
+                        & F.col("period").between(min(k["low"] for k in keys), max(k["high"] for k in keys)))
+
+
 def fetch_all(vintages: DataFrame) -> DataFrame:
     """Everything in reading order."""
     return vintages.orderBy("canonical_series_id", "period", "vintage_no", "source", "available_at")
@@ -38,8 +53,14 @@ def in_ranges(rows: DataFrame) -> DataFrame:
 
 
 def write_ranges(rows: DataFrame, path: str) -> None:
-    """Append rows that :func:`in_ranges` put in order."""
-    rows.write.mode("append").partitionBy("country").parquet(path)
+    """Append rows that :func:`in_ranges` put in order; row groups too varied for a dictionary carry Bloom filters of series and period."""
+    _with_blooms(rows.write.mode("append").partitionBy("country")).parquet(path)
+
+
+def _with_blooms(writer: DataFrameWriter) -> DataFrameWriter:
+    for column in BLOOMS:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    return writer
 
 
 def append_vintages(rows: DataFrame, path: str) -> None:
@@ -54,7 +75,24 @@ def rewrite_clustered(vintages: DataFrame, target: str, files: int | None = None
     """
     keys = ["country", *CLUSTERING]
     ranged = vintages.repartitionByRange(files, *keys) if files else vintages.repartitionByRange(*keys)
-    ranged.sortWithinPartitions(*keys).write.mode("errorifexists").partitionBy("country").parquet(target)
+    _with_blooms(ranged.sortWithinPartitions(*keys).write.mode("errorifexists").partitionBy("country")).parquet(target)
+
+
+def write_events(events: DataFrame, path: str) -> None:
+    """Effective intervals in a folder per country, in ranges of the year they begin and the time they end.
+
+    An as-of read then needs few row groups: those that begin before T and end after it. Bounds are kept without a zone, in
+    UTC, as only such Parquet instants carry statistics under every session.
+    """
+    bounds = {c: F.col(c).cast("timestamp_ntz") for c in ("valid_from", "valid_to")}
+    order = [F.col("country"), F.year("valid_from"), F.col("valid_to").asc_nulls_last(), F.col("valid_from")]
+    events.withColumns(bounds).repartitionByRange(*order).sortWithinPartitions(*order).write.mode("errorifexists").partitionBy(
+        "country").parquet(path)
+
+
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    """Scan of the intervals; conditions on country and both bounds are pushed into it."""
+    return spark.read.option("basePath", path).parquet(path).withColumn("country", F.col("country").cast("string"))
 
 
 def write_hot_keys(vintages: DataFrame, path: str, keys: list[str], threshold: int = HOT_ROWS) -> None:

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from ..operators import contracts, ingest
 from ..schema import OBSERVATION_COLUMNS
 from ..session import cut_lineage, use_state_store
-from ..sources.store import append_vintages, read_vintages
+from ..sources.store import append_vintages, read_touched, read_vintages
 
 
 def delivery_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 100) -> DataFrame:
@@ -31,7 +31,7 @@ def append_batch(batch: DataFrame, store_path: str, quarantine_path: str | None
     """
     spark = batch.sparkSession
     accepted, bad = contracts.quarantine(cut_lineage(batch))
-    history = read_vintages(spark, store_path)
+    history = read_touched(spark, store_path, accepted)
     if mark_revisions:
         accepted = ingest.mark_first_seen_revisions(ingest.unmarked(ingest.unknown(accepted, history), history), history)
     rows = cut_lineage(ingest.versioned(accepted, history))
