@@ -11,7 +11,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 GROUPS = ["reading", "contracts", "ingest", "transforms", "asof", "panels", "intervals", "estimation", "audits",
-          "inventories", "texts", "upkeep", "storage"]
+          "inventories", "texts", "releases", "upkeep", "storage"]
 
 
 def query(name: str, sql: str | None = None):
