@@ -329,7 +329,7 @@ _SEL = selected_sql("ALL", _CUT, START, "2000-03-31")
 
 
 @query("qa_23_gap_runs", f"""
-    WITH {V}, p AS (SELECT DISTINCT canonical_series_id, period_end FROM v WHERE frequency = 'M' AND source = 'OFF2'),
+    WITH {_SEL}, p AS (SELECT DISTINCT canonical_series_id, period_end FROM sel WHERE frequency = 'M'),
     span AS (SELECT canonical_series_id, min(period_end) AS a, max(period_end) AS b FROM p GROUP BY 1),
     spine AS (SELECT canonical_series_id, last_day(CAST(unnest(generate_series(date_trunc('month', a), b, INTERVAL 1 MONTH)) AS DATE)) AS m FROM span),
     miss AS (SELECT s.*, year(m) * 12 + month(m) - row_number() OVER (PARTITION BY canonical_series_id ORDER BY m) AS isle
@@ -337,7 +337,7 @@ _SEL = selected_sql("ALL", _CUT, START, "2000-03-31")
     SELECT canonical_series_id, strftime(min(m), '%Y-%m') AS first_missing, strftime(max(m), '%Y-%m') AS last_missing,
         count(*) AS months, count(*) FILTER (month(m) <= 2) AS january_february FROM miss GROUP BY canonical_series_id, isle""")
 def gap_runs(spark, sf_dir):
-    return audit.gap_runs(vintages(spark, sf_dir).where("source = 'OFF2'"))
+    return audit.gap_runs(select_at(spark, sf_dir, "ALL", "2000-03-31", START, "2000-03-31"))
 
 
 @query("qa_24_constant_runs", f"""

@@ -137,7 +137,7 @@ def coverage(spark, sf_dir):
 
 
 @query("src_04_duplicate_overrides", f"""
-    WITH {V} SELECT canonical_series_id, source, period, count(*) AS rows FROM v WHERE source = 'WIND'
+    WITH {V} SELECT canonical_series_id, source, period, count(*) AS rows FROM v
     GROUP BY ALL HAVING count(*) > 1""")
 def duplicate_overrides(spark, sf_dir):
-    return estimate.duplicate_overrides(vintages(spark, sf_dir).where(F.col("source") == "WIND"))
+    return estimate.duplicate_overrides(vintages(spark, sf_dir))

@@ -68,13 +68,9 @@ def vintage_numbers(spark, sf_dir):
 
 
 @query("ing_04_classification", f"""
-    WITH {SPLIT} SELECT ingest_seq, vintage_no, value, revision_type, revision_delta FROM versioned WHERE NOT supplied""")
+    WITH {SPLIT} SELECT ingest_seq, vintage_no, value, revision_type, revision_delta FROM versioned""")
 def classification(spark, sf_dir):
-    rows = ingest.versioned(*split(spark, sf_dir))
-    given = vintages(spark, sf_dir).where(
-        "pit_grade = 'D' AND startswith(release_date_source, 'wind_revision_snapshot_')"
-        " AND revision_type = 'revision' AND revision_delta IS NOT NULL").select("ingest_seq")
-    return rows.join(given, "ingest_seq", "left_anti").select(
+    return ingest.versioned(*split(spark, sf_dir)).select(
         "ingest_seq", "vintage_no", "value", "revision_type", "revision_delta")
 
 

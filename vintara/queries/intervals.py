@@ -70,10 +70,9 @@ def dominance(spark, sf_dir):
 @query("int_05_revision_events", f"""
     WITH {EVENTS}
     SELECT country, canonical_series_id, period, selection_origin, visible_from, value, source FROM cand
-    WHERE event_role = 'DATED_REVISION' AND country <> 'CN'""")
+    WHERE event_role = 'DATED_REVISION'""")
 def revision_events(spark, sf_dir):
-    return intervals.candidates(vintages(spark, sf_dir), "GLB", rules=rules(spark), policy=POLICY).where(
-        "event_role = 'DATED_REVISION'").select(
+    return pool(spark, sf_dir).where("event_role = 'DATED_REVISION'").select(
         "country", "canonical_series_id", "period", "selection_origin", "visible_from", "value", "source")
 
 
@@ -92,10 +91,9 @@ def same_instant(spark, sf_dir):
 
 @query("int_07_valid_to", f"""
     WITH {EVENTS}
-    SELECT country, canonical_series_id, period, valid_from, valid_to, event_no, selection_origin FROM events
-    WHERE country = 'CN'""")
+    SELECT country, canonical_series_id, period, valid_from, valid_to, event_no, selection_origin FROM events""")
 def valid_to(spark, sf_dir):
-    return events(spark, sf_dir, "CN").select(
+    return events(spark, sf_dir).select(
         "country", "canonical_series_id", "period", "valid_from", "valid_to", "event_no", "selection_origin")
 
 
