@@ -53,3 +53,21 @@ def test_rows_with_null_ids_are_judged_one_by_one(spark):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
         [(None, "a  b"), (None, "on ly"), (3, "x"), (4, "y"), (None, "y  ."), (None, " ")], key=str)
     assert kept.columns == documents(spark, []).columns
+
+
+def test_rows_that_repeat_an_id_are_judged_one_by_one(spark):
+    cases = [
+        ([(1, "same text"), (1, "same text")], [(1, "same text")]),
+        ([(3, "B text"), (5, "B text"), (5, "other")], [(3, "B text"), (5, "other")]),
+        ([(5, "B text"), (5, "other"), (7, "B text"), (7, "other"), (7, " o ther"), (9, "B text")], [(5, "B text"), (7, " o ther")]),
+        ([(5, "a"), (5, "b"), (4, "a"), (None, "b"), (None, "c"), (6, "c")], [(4, "a"), (5, "b"), (6, "c")]),
+    ]
+    for rows, wanted in cases:
+        kept = without_duplicates(documents(spark, rows))
+        assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted(wanted)
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = spark.createDataFrame([(1, "a", 5, "n", "x", 3), (2, "a", 6, "m", "y", 4), (None, "b", 7, "o", "z", 5)],
+                                 "doc_id long, text string, _null_row long, doc string, row string, key int")
+    assert sorted((tuple(r) for r in without_duplicates(rows).collect()), key=str) == [(1, "a", 5, "n", "x", 3), (None, "b", 7, "o", "z", 5)]

@@ -64,3 +64,10 @@ def test_weights_rank_pairs():
     ranking = Q.fit(values, good)
     scores = values @ np.array(ranking.weights)
     assert ((scores >= ranking.cut) == good).mean() > 0.97
+
+
+def test_columns_of_any_name_stay(spark):
+    docs, labels = labelled(spark)
+    ranking = Q.train(docs, labels)
+    rows = spark.createDataFrame([(1, words(1, 40) + ".", "f", 1.5, "d"), (2, bad(2, 40), "g", 2.5, "e")], "doc_id long, text string, _vintara_features string, values double, doc string")
+    assert [tuple(r) for r in Q.without_rejected(rows, ranking).collect()] == [(1, words(1, 40) + ".", "f", 1.5, "d")]

@@ -4,6 +4,7 @@ import io
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from docs import words
 
 from vintara.llm import warc
@@ -88,3 +89,29 @@ def test_manifest_hides_files_of_lost_attempts(spark, folder):
     with open(f"{folder}/stray.warc.gz", "wb") as file:
         file.write(b"broken")
     assert warc.read_archive(spark, folder).count() == 9
+
+
+def test_appends_join_and_overwrites_replace(spark, tmp_path):
+    path = str(tmp_path / "archive")
+    one, two = (warc.archive_records(pages(spark, part)) for part in (rows()[:2], rows()[3:5]))
+    warc.write_archive(one, path)
+    warc.write_archive(two, path)
+    ids = lambda: sorted(r.record_id[-1] for r in warc.read_archive(spark, path).select("record_id").collect())
+    assert ids() == ["1", "2", "3", "4"]
+    two.write.format("vintara_warc").mode("overwrite").option("path", path).save()
+    assert ids() == ["3", "4"]
+    assert len(list((tmp_path / "archive").glob("*.warc.gz"))) == len((next((tmp_path / "archive").glob(warc.MANIFEST + "*"))).read_text().split())
+
+
+def test_a_write_that_fails_leaves_nothing_to_read(spark, tmp_path):
+    path = str(tmp_path / "archive")
+    good = warc.archive_records(pages(spark, rows()[:2]))
+    with pytest.raises(Exception, match="stopped"):
+        warc.write_archive(good.unionByName(good.where(F.raise_error(F.lit("stopped")).isNull())).repartition(4), path)
+    warc.write_archive(good, path)
+    assert warc.read_archive(spark, path).count() == 2
+
+
+def test_round_trip_inflates_responses_only(spark):
+    plan = warc.round_trip(pages(spark, rows()))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchScan") == 2

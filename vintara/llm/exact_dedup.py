@@ -6,8 +6,8 @@ aggregation combines before the shuffle: a group with a third of all rows sends
 The verdicts then go back to rows that carry hashes only.
 
 Defined cases: a null text counts as empty, and empty texts are equal to each other. A null id
-loses every tie and gets ``keep_id`` like any other row. Rows that repeat one id share its verdict; rows with a null id
-do so in :func:`exact_duplicates`, while :func:`without_duplicates` tells them apart and keeps one row of a group at most. An empty table gives an empty result. Other
+loses every tie and gets ``keep_id`` like any other row. In :func:`exact_duplicates`, whose verdicts name ids, rows that repeat one id, or
+have none, share a verdict; :func:`without_duplicates` tells them apart and keeps one row of a group. An empty table gives an empty result. Other
 columns, whatever their names, are not read.
 """
 
@@ -17,7 +17,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vintara.llm.common import whole_text, without_characters, written
+from vintara.llm.common import ROW_BITS, ordered, whole_text, without_characters, written
 
 SPACE = " \t\n\x0b\f\r"
 # One decimal orders rows by (code points, smaller id): it stays in the hash aggregation's buffer.
@@ -42,7 +42,8 @@ def exact_duplicates(docs: DataFrame, text: str = "text", identifier: str = "doc
 
     Of equal texts the row with the most code points in its original text stays, then the smallest
     id. ``content_hash`` is the 128-bit hash that rows meet by; any weaker one gives equal results. ``row`` names a
-    column that numbers the rows with null ids and is null in others: it then tells them apart and comes last in the result.
+    column that numbers the rows whose ids are null or repeated, ascending with the ids, and is null in others: it then tells them apart and comes
+    last in the result.
     """
     extra = [] if row is None else [F.col(row).alias("_row")]
     normal = without_characters(whole_text(text), SPACE)
@@ -58,16 +59,23 @@ def exact_duplicates(docs: DataFrame, text: str = "text", identifier: str = "doc
     same = (light["_hash"] == classes["_class_hash"]) & (light["text_sha256"] == classes["_class_sha"])
     kept = F.col("_id").eqNullSafe(F.col("keep_id"))
     if row is not None:
-        kept = kept & (F.col("_id").isNotNull() | F.col("_row").eqNullSafe(F.col("_keep_row")))
+        kept = kept & (F.col("_row").isNull() | F.col("_row").eqNullSafe(F.col("_keep_row")))
     return light.join(classes, same).select(
         F.col("_id").alias(identifier), "keep_id", F.col("group_size").cast("long"), kept.alias("kept"), "text_sha256", *rest)
 
 
 def without_duplicates(docs: DataFrame, text: str = "text", identifier: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that :func:`exact_duplicates` keeps, with all their columns; of rows with null ids one a group."""
-    nameless = written(docs.where(F.col(identifier).isNull()).withColumn("_null_row", F.monotonically_increasing_id()), "null-ids")
-    rows = docs.where(F.col(identifier).isNotNull()).withColumn("_null_row", F.lit(None).cast("long")).unionAll(nameless)
-    kept = exact_duplicates(rows, text, identifier, row="_null_row").where("kept").select(
-        F.col(identifier).alias("_kept_id"), F.col("_row").alias("_kept_row"))
-    same = rows[identifier].eqNullSafe(kept["_kept_id"]) & rows["_null_row"].eqNullSafe(kept["_kept_row"])
-    return rows.join(kept, same, "left_semi").select(*docs.columns)
+    """One row of ``docs`` for each different text, with all its columns: that with the most code points, then the smallest id, null ids
+    last; of rows alike in this any one. Rows that repeat an id, or have none, are judged one by one."""
+    rows = docs.select(F.struct("*").alias("doc"))  # columns of any name stay apart
+    key = F.col(f"doc.{identifier}").cast("long")
+    repeated = written(rows.groupBy(key.alias("_id")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 OR _id IS NULL").select("_id"), "repeated-ids")
+    # only these rows need a number; numbers ascend with the ids, so the least number belongs to the least id
+    told = rows.join(repeated, key.eqNullSafe(F.col("_id")), "left_semi")
+    told = ordered(told.withColumn("_key", key), [F.col("_key").asc_nulls_last()], "repeated")
+    told = told.select("doc", (F.shiftleft("_task", ROW_BITS) + F.col("_row")).cast("long").alias("row"))
+    rows = rows.join(repeated, key.eqNullSafe(F.col("_id")), "left_anti").select("doc", F.lit(None).cast("long").alias("row")).unionAll(told)
+    read = rows.select(key.alias("key"), F.col(f"doc.{text}").alias("text"), "row")
+    kept = exact_duplicates(read, "text", "key", row="row").where("kept").select(F.col("key").alias("_kept_id"), F.col("_row").alias("_kept_row"))
+    same = key.eqNullSafe(F.col("_kept_id")) & F.col("row").eqNullSafe(F.col("_kept_row"))
+    return rows.join(kept, same, "left_semi").select("doc.*")

@@ -144,5 +144,5 @@ def without_rejected(docs: DataFrame, ranking: Ranking, text: str = "text") -> D
     """The rows of ``docs`` that reach the cut, with all their columns and in place."""
     if not ranking.trained:
         return docs
-    marked = docs.withColumn("_vintara_features", features(F.col(text)))
-    return marked.where(ranking.score(F.col("_vintara_features")) >= CUT).drop("_vintara_features")
+    marked = docs.select(F.struct("*").alias("doc"), features(F.col(text)).alias("values"))  # columns of any name stay apart
+    return marked.where(ranking.score(F.col("values")) >= CUT).select("doc.*")

@@ -4,7 +4,7 @@ A space between two characters that are certainly not white space starts a new p
 vocabularies, and no normaliser joins characters across it; so the ids of such a text are the ids of
 its words in a row. Words of Latin letters, with or without a run of punctuation behind them, go straight to
 the tokenizer's merge model; every other word, and every text with other spacing, takes the
-tokenizer's whole path. Each worker remembers words in two generations of bounded size; results do
+tokenizer's whole path; so does every text that may hold one of its marker strings. Each worker remembers words in two generations of bounded size; results do
 not depend on what it remembers.
 """
 
@@ -61,11 +61,12 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # special strings inside a text are ordinary text
         self._model = self._tokenizer.model
         with open(path, encoding="utf-8") as file:
             settings = json.load(file)
         self._folds = settings["normalizer"] is not None  # lower case, white space dropped
+        # how the marker strings begin that the tokenizer takes as one id; a text with such a beginning goes the whole path
+        self._markers = sorted({t["content"][:2] for t in settings.get("added_tokens") or []})
         letters = _byte_letters()
         self._mapped = str.maketrans({c: "".join(letters[b] for b in c.encode()) for c in map(chr, range(32, 256))})
         self._known = _Known(self._word, {})
@@ -92,6 +93,8 @@ class WordEncoder:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
+        if any(m in text for m in self._markers):
+            return self.whole(text)
         if _ODD_SPACE.search(text) or text[0] == " " or text[-1] == " ":
             first, *parts = _CUT.split(text)
             words = [p[1:] for p in parts]

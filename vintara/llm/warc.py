@@ -35,7 +35,7 @@ SCHEMA = ("record_id string, record_type string, target_uri string, date string,
 HEADERS = {"record_id": "warc-record-id", "record_type": "warc-type", "target_uri": "warc-target-uri", "date": "warc-date",
            "refers_to": "warc-refers-to", "payload_digest": "warc-payload-digest"}
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-MANIFEST = "_manifest"
+MANIFEST, OWN = "_manifest", "vintara-"  # what the names of manifests and of archives written here begin with
 
 
 def member(record: bytes) -> bytes:
@@ -211,14 +211,17 @@ class WarcReader(DataSourceReader):
         from pyarrow import fs
 
         filesystem, base = files_at(self.folder)
-        manifest = f"{base}/{MANIFEST}"
         if filesystem.get_file_info(base).type == fs.FileType.File:
             return [Archive(self.folder)]
-        if filesystem.get_file_info(manifest).type == fs.FileType.File:
-            with filesystem.open_input_stream(manifest) as stream:
-                names = stream.read().decode().splitlines()
-        else:
-            names = [f.base_name for f in filesystem.get_file_info(fs.FileSelector(base)) if f.base_name.endswith((".warc", ".warc.gz"))]
+        found = [f.base_name for f in filesystem.get_file_info(fs.FileSelector(base))]
+        manifests = [n for n in found if n.startswith(MANIFEST)]
+        if manifests:  # one for each write that ended
+            names = []
+            for manifest in manifests:
+                with filesystem.open_input_stream(f"{base}/{manifest}") as stream:
+                    names += stream.read().decode().splitlines()
+        else:  # archives of other programs
+            names = [n for n in found if n.endswith((".warc", ".warc.gz")) and not n.startswith(OWN)]
         return [Archive(f"{self.folder}/{name}") for name in sorted(names)] or [Archive("")]
 
     def _accepts(self, headers: dict[str, str]) -> bool:
@@ -246,8 +249,11 @@ class Written(WriterCommitMessage):
 
 
 class WarcWriter(DataSourceWriter):
-    def __init__(self, options: dict[str, str]):
-        self.folder, self.file_bytes = options["path"], int(options.get("file_bytes", 64 << 20))
+    """Archives count as soon as a manifest names them. Each write adds its own, so what is appended joins what is there; a write that
+    overwrites takes the others away when it ends."""
+
+    def __init__(self, options: dict[str, str], overwrite: bool = False):
+        self.folder, self.file_bytes, self.overwrite = options["path"], int(options.get("file_bytes", 64 << 20)), overwrite
 
     def write(self, iterator: Iterator[Row]) -> Written:
         filesystem, base = files_at(self.folder)
@@ -257,7 +263,7 @@ class WarcWriter(DataSourceWriter):
             if stream is None or size >= self.file_bytes:
                 if stream is not None:
                     stream.close()
-                names.append(f"{uuid.uuid4().hex}.warc.gz")
+                names.append(f"{OWN}{uuid.uuid4().hex}.warc.gz")
                 stream, size = filesystem.open_output_stream(f"{base}/{names[-1]}", compression=None), 0
             data = member(record_bytes(row))
             stream.write(data)
@@ -267,13 +273,30 @@ class WarcWriter(DataSourceWriter):
         return Written(names)
 
     def commit(self, messages: list[Written | None]) -> None:
+        from pyarrow import fs
+
         filesystem, base = files_at(self.folder)
         filesystem.create_dir(base, recursive=True)
-        with filesystem.open_output_stream(f"{base}/{MANIFEST}") as stream:
+        before = [f.base_name for f in filesystem.get_file_info(fs.FileSelector(base)) if f.base_name.startswith(MANIFEST)] if self.overwrite else []
+        with filesystem.open_output_stream(f"{base}/{MANIFEST}-{uuid.uuid4().hex}") as stream:
             stream.write("\n".join(n for m in messages if m is not None for n in m.names).encode())
+        for name in before:
+            with filesystem.open_input_stream(f"{base}/{name}") as stream:
+                old = stream.read().decode().splitlines()
+            filesystem.delete_file(f"{base}/{name}")
+            self._delete(old)
 
     def abort(self, messages: list[Written | None]) -> None:
-        """Nothing to undo: without a manifest the files are not read."""
+        """Take away what ended tasks wrote; without a manifest it was not read anyway."""
+        self._delete(n for m in messages if m is not None for n in m.names)
+
+    def _delete(self, names) -> None:
+        from pyarrow import fs
+
+        filesystem, base = files_at(self.folder)
+        for name in names:
+            if filesystem.get_file_info(f"{base}/{name}").type == fs.FileType.File:
+                filesystem.delete_file(f"{base}/{name}")
 
 
 class WarcSource(DataSource):
@@ -288,7 +311,7 @@ class WarcSource(DataSource):
         return WarcReader(dict(self.options))
 
     def writer(self, schema, overwrite: bool) -> DataSourceWriter:
-        return WarcWriter(dict(self.options))
+        return WarcWriter(dict(self.options), overwrite)
 
 
 def register(spark: SparkSession) -> None:
@@ -333,7 +356,9 @@ def round_trip(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     folder = new_folder(spark, "warc")
     write_archive(archive_records(pages), folder)
-    kept = read_archive(spark, folder)
+    # the record type is pushed to both scans: only responses are inflated
+    kept = read_archive(spark, folder).where("record_type = 'response'").unionByName(
+        read_archive(spark, folder, payload=False).where("record_type = 'revisit'"))
     number = lambda c: F.nullif(F.regexp_extract(c, "([-0-9]*)$", 1), F.lit("")).cast("long")
     response = F.col("record_type") == "response"
     return kept.select(
