@@ -34,8 +34,8 @@ from vintara.llm.common import written
 END = b"\xff"  # no byte of UTF-8 text: stands between pieces
 _FROM = bytes(range(65, 91)) + b".,;:!?\n\x0b\x0c\r"
 TABLE = bytes.maketrans(_FROM, bytes(range(97, 123)) + END * (len(_FROM) - 26))
-BLOCK = 1 << 20  # words of a block
-LONG = 4 << 20  # bytes of a text that is read in several blocks
+BLOCK = 1 << 19  # words of a block
+LONG = 2 << 20  # bytes of a text that is read in several blocks
 ID_BITS = 21  # of a word's number within its block
 EMIT = 100_000  # phrases of a frame handed on
 PARTS = 64  # of a language whose best phrases are found apart

@@ -186,7 +186,7 @@ def _large(prints: np.ndarray, bit: int, segments: int, radius: int) -> tuple[np
     return np.concatenate(left), np.concatenate(right)
 
 
-def _stars(size: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def stars(size: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For rows 0 to size - 1 and the links between them: (first row of its component, row) for every other row."""
     name = np.arange(size)
     while True:
@@ -217,7 +217,7 @@ def links(distinct: DataFrame, lanes: int, segments: int, radius: int) -> DataFr
             a, b = _large(prints[start:start + size], int(keys[start]) >> 32, segments, radius)
             left.append(a + start)
             right.append(b + start)
-        centre, row = _stars(len(keys), np.concatenate(left), np.concatenate(right))
+        centre, row = stars(len(keys), np.concatenate(left), np.concatenate(right))
         return np.unique(np.stack([ids[centre], ids[row]], axis=1), axis=0)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
