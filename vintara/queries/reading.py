@@ -2,12 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import asof
 from ..plans.policy import Policy
 from ..sources import files, nested, store
 from . import query
 from .fixture import REGISTRY, RULES, SAFE_SERIES, SIDECAR, V, inactive, rules, sidecar, table, vintages
-from .intervals import EVENTS, events
 
 
 @query("src_01_typed_scan", f"""
@@ -40,19 +38,6 @@ def rules_join(spark, sf_dir):
         "canonical_series_id", "lag_days", "available_same_day", "eligible").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("src_05_pushed_event_scan", f"""
-    WITH {EVENTS} SELECT canonical_series_id, period, valid_from, value FROM events
-    WHERE country = 'US' AND period_end BETWEEN DATE '1998-01-31' AND DATE '1999-12-31' AND valid_from <= TIMESTAMP '1999-06-30 15:59:59.999999'
-      AND (valid_to IS NULL OR TIMESTAMP '1999-06-30 15:59:59.999999' < valid_to)""")
-def pushed_event_scan(spark, sf_dir):
-    # the intervals of all countries as a store keeps them; the scan prunes the country and pushes both bounds
-    from .storage import folder
-    path = folder(spark, "events")
-    store.write_events(events(spark, sf_dir), path)
-    return asof.at(store.read_events(spark, path), "1999-06-30", "US", "1998-01-31", "1999-12-31").select(
-        "canonical_series_id", "period", "valid_from", "value")
-
-
 @query("src_06_inactive_rows", f"""
     WITH {V}, {REGISTRY} SELECT canonical_series_id, count(*) AS rows FROM v
     WHERE canonical_series_id IN (SELECT canonical_series_id FROM registry WHERE NOT active) GROUP BY ALL""")
