@@ -39,6 +39,7 @@ LONG = 2 << 20  # bytes of a text that is read in several blocks
 ID_BITS = 21  # of a word's number within its block
 EMIT = 100_000  # phrases of a frame handed on
 PARTS = 64  # of a language whose best phrases are found apart
+PARTITIONS = 64  # hash partitions at least, so that small inputs have as many tasks
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -250,17 +251,17 @@ def _exactly(read: DataFrame, longest: int, partitions: int, slice_bits: int, ma
     return read.mapInPandas(run, "lang string, size int, phrase string, n long")
 
 
-def phrase_counts(docs: DataFrame, longest: int = 3, threshold: int = 10, capacity: int = 1 << 18, filter_bits: int = 1 << 28,
+def phrase_counts(docs: DataFrame, longest: int = 3, threshold: int = 10, capacity: int = 1 << 20, filter_bits: int = 1 << 28,
                   text: str = "text", language: str = "lang") -> tuple[DataFrame, DataFrame]:
     """(lang, size, phrase, f) of all phrases of 1 to ``longest`` words with f >= ``threshold``, and (lang, n) with all words."""
     spark = docs.sparkSession
     read = docs.select(F.coalesce(language, F.lit("und")).alias("lang"), F.coalesce(text, F.lit("")).alias("_text"))
     size = read.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     # a word takes two bytes at least; half the capacity is spare
-    partitions = max(1, -(-longest * size // (threshold * capacity)))
-    while partitions > filter_bits // 64:  # a slice of 64 bits at least
+    partitions = max(PARTITIONS, -(-longest * size // (threshold * capacity)))
+    while partitions > max(PARTITIONS, filter_bits // 64):  # a slice of 64 bits at least
         capacity, partitions = 2 * capacity, -(-partitions // 2)
-    slice_bits = 1 << (min(capacity, filter_bits // partitions).bit_length() - 1)
+    slice_bits = 1 << (min(max(64, 16 * longest * size // (threshold * partitions)), filter_bits // partitions).bit_length() - 1)
     counted = _counted(read, longest, threshold, partitions)
     marks = bytearray(partitions * slice_bits // 8)
     for row in _marks(counted, threshold, capacity, slice_bits).collect():  # ``filter_bits`` in all
