@@ -261,7 +261,8 @@ def phrase_counts(docs: DataFrame, longest: int = 3, threshold: int = 10, capaci
     partitions = max(PARTITIONS, -(-longest * size // (threshold * capacity)))
     while partitions > max(PARTITIONS, filter_bits // 64):  # a slice of 64 bits at least
         capacity, partitions = 2 * capacity, -(-partitions // 2)
-    slice_bits = 1 << (min(max(64, 16 * longest * size // (threshold * partitions)), filter_bits // partitions).bit_length() - 1)
+    # a bit for every fourth counter that the mass allows; far fewer phrases are frequent
+    slice_bits = 1 << (min(max(64, longest * size // (4 * threshold * partitions)), filter_bits // partitions).bit_length() - 1)
     counted = _counted(read, longest, threshold, partitions)
     marks = bytearray(partitions * slice_bits // 8)
     for row in _marks(counted, threshold, capacity, slice_bits).collect():  # ``filter_bits`` in all
