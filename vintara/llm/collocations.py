@@ -39,6 +39,7 @@ LONG = 2 << 20  # bytes of a text that is read in several blocks
 ID_BITS = 21  # of a word's number within its block
 EMIT = 100_000  # phrases of a frame handed on
 PARTS = 64  # of a language whose best phrases are found apart
+WORD_BYTES = 6  # of a word and its space, for the number of partitions
 PARTITIONS = 64  # hash partitions at least, so that small inputs have as many tasks
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -257,8 +258,8 @@ def phrase_counts(docs: DataFrame, longest: int = 3, threshold: int = 10, capaci
     spark = docs.sparkSession
     read = docs.select(F.coalesce(language, F.lit("und")).alias("lang"), F.coalesce(text, F.lit("")).alias("_text"))
     size = read.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    # a word takes two bytes at least; half the capacity is spare
-    partitions = max(PARTITIONS, -(-longest * size // (threshold * capacity)))
+    # a word with its space takes some six bytes; where words are shorter, the summaries grow by themselves
+    partitions = max(PARTITIONS, -(-longest * size // (WORD_BYTES * threshold * capacity)))
     while partitions > max(PARTITIONS, filter_bits // 64):  # a slice of 64 bits at least
         capacity, partitions = 2 * capacity, -(-partitions // 2)
     # a bit for every fourth counter that the mass allows; far fewer phrases are frequent

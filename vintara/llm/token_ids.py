@@ -69,7 +69,6 @@ class WordEncoder:
         self._markers = sorted({t["content"][:2] for t in settings.get("added_tokens") or []})
         letters = _byte_letters()
         self._mapped = str.maketrans({c: "".join(letters[b] for b in c.encode()) for c in map(chr, range(32, 256))})
-        self._space = self._mapped[32]
         self._known = _Known(self._word, {})
 
     def whole(self, text: str) -> bytes:
@@ -81,11 +80,6 @@ class WordEncoder:
 
     def _word(self, word: str) -> bytes:
         """Ids of ``word`` behind a space."""
-        if word.isascii() and word.isalpha():  # most words; these letters stand for themselves
-            if not self._folds:
-                return array("I", [t.id for t in self._model.tokenize(self._space + word)]).tobytes()
-            if word.islower():
-                return array("I", [t.id for t in self._model.tokenize(word)]).tobytes()
         simple = _WORD.fullmatch(word)
         if simple is None:
             return self.whole(" " + word)
