@@ -11,8 +11,24 @@ from pyspark.sql import Column, functions as F
 _MARK = "\ue000"
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it, also inside other lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def cast_found(text: Column, kind: str) -> Column:
+    """``try_cast`` of text that a pattern found, null for the empty text of no match: a cast that fails costs an exception a row."""
+    return F.get(F.filter(F.array(text), lambda t: t != ""), F.lit(0)).try_cast(kind)
+
+
+def until(tags: str) -> str:
+    """Pattern of all text up to the first tag that goes on, behind its ``<``, like one of ``tags``. Like ``.*?`` before such a tag, but
+    it looks ahead at tags only, not at every character."""
+    return f"[^<]*+(?:<(?!{tags})[^<]*+)*+"
+
+
 def _replaced(text: Column, pattern: str, change) -> Column:
-    """``change`` applied to every match of ``pattern``; texts without a match are left as they are.
+    """``change`` applied to every match of ``pattern``; texts without a match are left as they are. ``text`` is named several times.
 
     Marks (a private character) are put around the matches, so pieces at odd places are matches.
     """
@@ -32,12 +48,14 @@ def entities(text: Column) -> Column:
     named = F.create_map(*[F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, chr(code))])
 
     def decoded(piece: Column) -> Column:
-        body = F.substring(piece, F.lit(2), F.length(piece) - 2)
-        hexadecimal = F.conv(F.regexp_extract(body, "^#[xX]([0-9a-fA-F]{1,6})$", 1), 16, 10).try_cast("int")
-        decimal = F.regexp_extract(body, "^#([0-9]{1,7})$", 1).try_cast("int")
-        return F.coalesce(F.try_element_at(named, body), _code_point(F.coalesce(decimal, hexadecimal)), piece)
+        def numbered(body: Column) -> Column:
+            hexadecimal = cast_found(F.conv(F.regexp_extract(body, "^#[xX]([0-9a-fA-F]{1,6})$", 1), 16, 10), "int")
+            decimal = cast_found(F.regexp_extract(body, "^#([0-9]{1,7})$", 1), "int")
+            return F.coalesce(F.try_element_at(named, body), let(F.coalesce(decimal, hexadecimal), _code_point))
+
+        return F.coalesce(let(F.substring(piece, F.lit(2), F.length(piece) - 2), numbered), piece)
 
-    return F.when(F.contains(text, F.lit("&")), _replaced(text, "&[a-zA-Z0-9]+;|&#[xX]?[0-9a-fA-F]+;", decoded)).otherwise(text)
+    return let(text, lambda t: F.when(F.contains(t, F.lit("&")), _replaced(t, "&[a-zA-Z0-9]+;|&#[xX]?[0-9a-fA-F]+;", decoded)).otherwise(t))
 
 
 def plain_text(html: Column) -> Column:
@@ -71,19 +89,23 @@ def _ranges(characters: str) -> str:
 
 
 # ASCII, ideographs and their punctuation have no compatibility form; most characters of a page end their test here.
-_COMMON = r"(?![\x{0}-\x{9F}\x{4E00}-\x{9FFF}\x{3001}-\x{3029}])"
+_PLAIN = r"\x{0}-\x{9F}\x{4E00}-\x{9FFF}\x{3001}-\x{3029}"
+_COMMON = f"(?![{_PLAIN}])"
 
 
 def typography(text: Column) -> Column:
     """Compatibility characters (full-width, enclosed, ligatures, units) in their plain form.
 
     Every character is mapped for itself; letters followed by combining marks are not composed. Characters with a longer form are looked
-    up one by one, in texts that have any; all others are one translation.
+    up one by one, in texts that have any; all others are one translation. Texts of plain characters only are left as they are.
     """
     one, forms, several = _compatibility()
     table = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
-    longer = _replaced(text, _COMMON + _ranges("".join(several)), lambda p: F.try_element_at(table, p))
-    return F.translate(longer, one, forms)
+
+    def mapped(t: Column) -> Column:
+        return F.translate(_replaced(t, _COMMON + _ranges("".join(several)), lambda p: F.try_element_at(table, p)), one, forms)
+
+    return let(text, lambda t: F.when(F.regexp_like(t, F.lit(f"[^{_PLAIN}]")), mapped(t)).otherwise(t))
 
 
 def compact(text: Column) -> Column:

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.instants import evaluated
-from ..functions.texts import compact, plain_text, typography
+from ..functions.texts import cast_found, compact, let, plain_text, typography, until
 from .text import absolute_url
 
 WIDEST = 200  # columns of a table, and of one cell
@@ -30,17 +30,23 @@ def bare(text: Column) -> Column:
 
 
 def _cells(row: Column) -> Column:
-    def span(cell: Column, name: str) -> Column:
-        said = F.regexp_extract(F.regexp_extract(cell, r"(?is)^<t[dh]\b([^>]*)>", 1), rf"(?i)\b{name}\s*=\s*[\"']?(\d+)", 1).try_cast("int")
-        return F.greatest(F.lit(1), F.least(F.coalesce(said, F.lit(1)), F.lit(WIDEST)))
+    def span(attributes: Column, name: str) -> Column:
+        said = cast_found(F.regexp_extract(attributes, rf"(?i)\b{name}\s*=\s*[\"']?(\d+)", 1), "int")
+        return F.when(attributes == "", F.lit(1)).otherwise(F.greatest(F.lit(1), F.least(F.coalesce(said, F.lit(1)), F.lit(WIDEST))))
 
-    found = F.regexp_extract_all(row, F.lit(r"(?is)<t[dh]\b[^>]*>.*?(?=<t[dh]\b|</t[dh]>|</tr>|$)"), F.lit(0))
-    return F.transform(found, lambda c: F.struct(_spaced(c).alias("text"), span(c, "colspan").alias("across"), span(c, "rowspan").alias("down")))
+    found = F.regexp_extract_all(row, F.lit(rf"(?is)<t[dh]\b[^>]*>{until(r't[dh]\b|/t[dh]>|/tr>')}"), F.lit(0))
+    return F.transform(found, lambda c: let(F.regexp_extract(c, r"(?is)^<t[dh]\b([^>]*)>", 1), lambda a: F.struct(
+        _spaced(c).alias("text"), span(a, "colspan").alias("across"), span(a, "rowspan").alias("down"))))
 
 
 def _placed(open_: Column, cells: Column) -> Column:
     """One row of the grid, (text, down) by column: cells of rows above that reach down to here come first, the row's own cells
-    fill the columns left."""
+    fill the columns left. Where nothing reaches down and no cell is wider than a column, the cells are the columns."""
+    return F.when(F.exists(open_, lambda c: c["down"] > 1) | F.exists(cells, lambda c: c["across"] > 1), _folded(open_, cells)).otherwise(
+        F.transform(F.slice(cells, 1, WIDEST), lambda c: F.struct(c["text"].alias("text"), c["down"].alias("down"))))
+
+
+def _folded(open_: Column, cells: Column) -> Column:
     state = F.struct(F.lit(1).alias("next"), F.lit(0).alias("more"), F.array().cast("array<struct<text:string,down:int>>").alias("out"))
     width = F.aggregate(cells, F.lit(0), lambda n, c: n + c["across"]) + F.size(open_)
 
@@ -62,7 +68,7 @@ def _placed(open_: Column, cells: Column) -> Column:
 def table_grids(html: Column) -> Column:
     """tables -> rows -> columns: the text that covers each place, cells that span several repeated in all of them."""
     def grid(table: Column) -> Column:
-        rows = F.transform(F.regexp_extract_all(table, F.lit(r"(?is)<tr\b.*?(?=<tr\b|</tr>|</table>|$)"), F.lit(0)), _cells)
+        rows = F.transform(F.regexp_extract_all(table, F.lit(rf"(?is)<tr\b{until(r'tr\b|/tr>|/table>')}"), F.lit(0)), _cells)
         empty = "struct<above:array<struct<text:string,down:int>>,out:array<array<string>>>"
         start = F.struct(F.array().cast("array<struct<text:string,down:int>>").alias("above"), F.array().cast("array<array<string>>").alias("out")).cast(empty)
 
@@ -73,7 +79,7 @@ def table_grids(html: Column) -> Column:
 
         return F.aggregate(rows, start, step, lambda s: s["out"])
 
-    return F.transform(F.regexp_extract_all(html, F.lit(r"(?is)<table\b.*?</table>"), F.lit(0)), grid)
+    return F.transform(F.regexp_extract_all(html, F.lit(rf"(?is)<table\b{until('/table>')}</table>"), F.lit(0)), grid)
 
 
 # What a first release of gross domestic product calls itself, its columns and its periods.
@@ -87,20 +93,22 @@ BODY = r"""(?is)class\s*=\s*["'][^"']*\btxt-content\b"""
 
 
 def _numeral(character: Column) -> Column:
-    return F.coalesce(character.try_cast("int"), F.nullif(F.instr(F.lit(NUMERALS), character), F.lit(0)))
+    return let(character, lambda c: F.when(F.regexp_like(c, F.lit("^[0-9]+$")), c.try_cast("int")).otherwise(
+        F.nullif(F.instr(F.lit(NUMERALS), c), F.lit(0))))
 
 
 def _one(values: Column) -> Column:
     """The value that all agree on, null if there is none or they differ."""
-    distinct = F.array_distinct(values)
-    return F.when((F.size(distinct) == 1), F.get(distinct, F.lit(0)))
+    return let(F.array_distinct(values), lambda distinct: F.when(F.size(distinct) == 1, F.get(distinct, F.lit(0))))
 
 
 def _spread(row: Column, width: Column) -> Column:
     """A header row over ``width`` value columns: as it is, or each cell over the same number of columns; null if neither fits."""
-    cells = F.when(F.get(row, F.lit(0)) == "", F.slice(row, 2, F.greatest(F.size(row), F.lit(1)))).otherwise(row)
-    each = F.when((F.size(cells) > 0) & (width % F.greatest(F.size(cells), F.lit(1)) == 0), (width / F.size(cells)).cast("int"))
-    return F.when(each.isNotNull(), F.flatten(F.transform(cells, lambda c: F.array_repeat(c, F.coalesce(each, F.lit(1))))))
+    def over(cells: Column) -> Column:
+        fits = F.when((F.size(cells) > 0) & (width % F.greatest(F.size(cells), F.lit(1)) == 0), (width / F.size(cells)).cast("int"))
+        return let(fits, lambda each: F.when(each.isNotNull(), F.flatten(F.transform(cells, lambda c: F.array_repeat(c, F.coalesce(each, F.lit(1)))))))
+
+    return let(row, lambda r: let(F.when(F.get(r, F.lit(0)) == "", F.slice(r, 2, F.greatest(F.size(r), F.lit(1)))).otherwise(r), over))
 
 
 def _headed_growth(rows: Column, quarter: Column) -> Column:
@@ -110,8 +118,11 @@ def _headed_growth(rows: Column, quarter: Column) -> Column:
 
     def values(i: Column) -> Column:
         """From the data row at place ``i`` and one or two header rows over it."""
-        data, width = F.get(rows, i), F.size(F.get(rows, i)) - 1
-        near, far = (F.when(i >= n, _spread(F.get(rows, i - n), width)) for n in (1, 2))
+        header = lambda n, width: F.when(i >= n, _spread(F.get(rows, i - n), width))
+        return let(F.get(rows, i), lambda data: let(F.size(data) - 1, lambda width: let(header(1, width), lambda near: let(
+            header(2, width), lambda far: chosen_cells(i, data, width, near, far)))))
+
+    def chosen_cells(i: Column, data: Column, width: Column, near: Column, far: Column) -> Column:
         measured = lambda h: (F.get(F.get(rows, i - F.when(h, F.lit(1)).otherwise(F.lit(2))), F.lit(0)) == "")
         says = lambda header, place, wanted: F.coalesce(F.get(header, place).isin(*wanted), F.lit(False))
         places = F.sequence(F.lit(0), F.greatest(width - 1, F.lit(0)))
@@ -122,8 +133,8 @@ def _headed_growth(rows: Column, quarter: Column) -> Column:
         one = F.filter(places, lambda c: says(near, c, GROWTH))
         chosen = F.when(says(far, F.lit(0), AMOUNTS) & paired & measured(F.lit(False)), two).when(
             says(near, F.lit(0), AMOUNTS) & (quarter == 1) & measured(F.lit(True)), one)
-        cells = F.transform(chosen, lambda c: F.get(data, c + 1).try_cast("double"))
-        return F.when(F.size(cells) == 1, cells)
+        cells = F.transform(chosen, lambda c: cast_found(F.get(data, c + 1), "double"))
+        return let(cells, lambda found: F.when(F.size(found) == 1, found))
 
     at = F.filter(F.sequence(F.lit(0), F.greatest(F.size(rows) - 1, F.lit(0))), lambda i: F.coalesce(
         F.get(F.get(rows, i), F.lit(0)).isin(*GDP_NAMES), F.lit(False)))
@@ -132,36 +143,38 @@ def _headed_growth(rows: Column, quarter: Column) -> Column:
 
 def _listed_growth(spaced: Column, year: Column, quarter: Column) -> Column:
     """Growth of the quarter from a table that lists quarters downwards, also several in one cell: (value) or nothing."""
-    rows = F.transform(spaced, lambda r: F.transform(r, bare))
     header = F.array(*map(F.lit, QUARTERLY_HEADER))
-    at = F.array_min(F.filter(F.sequence(F.lit(0), F.greatest(F.size(rows) - 1, F.lit(0))), lambda i: F.get(rows, i) == header))
-    below = F.filter(F.slice(spaced, F.coalesce(at, F.size(rows)) + 2, F.greatest(F.size(rows), F.lit(1))), lambda r: F.size(r) == 3)
+    at = let(F.transform(spaced, lambda r: F.transform(r, bare)), lambda rows: F.array_min(F.filter(
+        F.sequence(F.lit(0), F.greatest(F.size(rows) - 1, F.lit(0))), lambda i: F.get(rows, i) == header)))
+    below = F.filter(F.slice(spaced, F.coalesce(at, F.size(spaced)) + 2, F.greatest(F.size(spaced), F.lit(1))), lambda r: F.size(r) == 3)
     label = r"(?:(20\d\d)年)?([1-4])季度"
     numbers = lambda c: F.regexp_extract_all(c, F.lit(r"-?\d+(?:\.\d+)?"), F.lit(0))
 
     def entries(row: Column) -> Column:
-        name = bare(F.get(row, F.lit(0)))
-        labels = F.regexp_extract_all(name, F.lit(label), F.lit(0))
+        return let(bare(F.get(row, F.lit(0))), lambda name: let(
+            F.regexp_extract_all(name, F.lit(label), F.lit(0)), lambda labels: listed(row, name, labels)))
+
+    def listed(row: Column, name: Column, labels: Column) -> Column:
         sound = (F.array_join(labels, "") == name) & (F.size(numbers(F.get(row, F.lit(1)))) == F.size(labels)) & (
             F.size(numbers(F.get(row, F.lit(2)))) == F.size(labels))
         return F.when(F.size(labels) == 0, F.array().cast("array<struct<label:string,value:double>>")).when(
             sound, F.transform(F.arrays_zip(labels.alias("label"), numbers(F.get(row, F.lit(2))).alias("value")),
                                lambda e: F.struct(e["label"].alias("label"), e["value"].try_cast("double").alias("value"))))
 
-    parts = F.transform(below, entries)
     start = F.struct(F.lit(None).cast("int").alias("year"), F.lit(None).cast("int").alias("last"), F.lit(True).alias("sound"),
                      F.lit(None).cast("double").alias("value"))
 
     def step(s: Column, e: Column) -> Column:
-        own = F.coalesce(F.regexp_extract(e["label"], label, 1).try_cast("int"), s["year"])
-        place = own * 4 + F.regexp_extract(e["label"], label, 2).try_cast("int")
-        return F.struct(own.alias("year"), place.alias("last"), (s["sound"] & place.isNotNull() & (s["last"].isNull() | (place == s["last"] + 1))).alias("sound"),
-                        e["value"].alias("value"))
+        own = F.coalesce(cast_found(F.regexp_extract(e["label"], label, 1), "int"), s["year"])
+        place = lambda year: year * 4 + cast_found(F.regexp_extract(e["label"], label, 2), "int")
+        return let(own, lambda o: let(place(o), lambda p: F.struct(
+            o.alias("year"), p.alias("last"), (s["sound"] & p.isNotNull() & (s["last"].isNull() | (p == s["last"] + 1))).alias("sound"),
+            e["value"].alias("value"))))
 
     # one quarter after the other, and the last one is the release's own
-    return F.aggregate(F.flatten(parts), start, step, lambda s: F.when(
+    return let(F.transform(below, entries), lambda parts: F.aggregate(F.flatten(parts), start, step, lambda s: F.when(
         s["sound"] & (s["last"] == year * 4 + quarter) & F.coalesce(~F.exists(parts, lambda p: p.isNull()), F.lit(False)),
-        F.array(s["value"])).otherwise(F.array().cast("array<double>")))
+        F.array(s["value"])).otherwise(F.array().cast("array<double>"))))
 
 
 def gdp_tables(pages: DataFrame, keys: list[str], html: str = "html", title: str = "title") -> DataFrame:
@@ -175,9 +188,9 @@ def gdp_tables(pages: DataFrame, keys: list[str], html: str = "html", title: str
     read = evaluated(pages.select(*keys, name.alias("_title"), F.col(html).alias("_html"), F.size(F.regexp_extract_all(
         html, F.lit(BODY), F.lit(0))).alias("_bodies")))
     alone, so_far = r"(20\d\d)年([一二三四1-4])季度", r"(20\d\d)年(?:1-([2-4])季度|(上半年))"
-    year = F.coalesce(F.regexp_extract("_title", alone, 1).try_cast("int"), F.regexp_extract("_title", so_far, 1).try_cast("int"))
+    year = F.coalesce(cast_found(F.regexp_extract("_title", alone, 1), "int"), cast_found(F.regexp_extract("_title", so_far, 1), "int"))
     named = F.regexp_extract("_title", alone, 2)
-    later = F.coalesce(F.regexp_extract("_title", so_far, 2).try_cast("int"), F.when(F.regexp_extract("_title", so_far, 3) != "", F.lit(2)))
+    later = F.coalesce(cast_found(F.regexp_extract("_title", so_far, 2), "int"), F.when(F.regexp_extract("_title", so_far, 3) != "", F.lit(2)))
     body = F.element_at(F.split("_html", BODY, 2), -1)
     read = evaluated(read.select(*keys, "_title", "_bodies", year.alias("_year"), (named != "").alias("_alone"), F.coalesce(
         _numeral(F.nullif(named, F.lit(""))), later).alias("_quarter"), table_grids(body).alias("_grids")))
@@ -220,17 +233,21 @@ def scoped_statements(lead: Column, industry: Column, shortened: Column) -> Colu
                      F.array().cast("array<struct<month:int,value:double>>").alias("out"))
 
     def step(s: Column, clause: Column) -> Column:
-        opens = F.regexp_extract(clause, month, 1).try_cast("int")
-        says = F.regexp_like(clause, measure)
+        return let(cast_found(F.regexp_extract(clause, month, 1), "int"), lambda opens: let(F.regexp_like(clause, measure), lambda says: let(
+            cast_found(F.regexp_extract(clause, rate, 2), "double") * F.when(F.regexp_extract(clause, rate, 1) == "下降", -1).otherwise(1),
+            lambda value: let(still_open(s, clause, opens), lambda open_: followed(s, clause, opens, says, value, open_)))))
+
+    def still_open(s: Column, clause: Column, opens: Column) -> Column:
         rest = F.regexp_replace(F.regexp_replace(clause, month, ""), rate, "")
         for words in known:
             rest = F.regexp_replace(rest, words, "")
         foreign = F.regexp_replace(rest, measure, "") != ""
-        open_ = F.when(~foreign, F.coalesce(opens, s["month"]))
+        return F.when(~foreign, F.coalesce(opens, s["month"]))
+
+    def followed(s: Column, clause: Column, opens: Column, says: Column, value: Column, open_: Column) -> Column:
         # industry names its measure for every month, retail sales once
         measured = says | (s["measured"] & ~(industry & opens.isNotNull()))
         yearly = s["yearly"] | F.regexp_like(clause, F.lit(f"(?:{OVER_THE_YEAR})(?:增长|下降)"))
-        value = F.regexp_extract(clause, rate, 2).try_cast("double") * F.when(F.regexp_extract(clause, rate, 1) == "下降", -1).otherwise(1)
         stated = open_.isNotNull() & measured & yearly & value.isNotNull()
         out = F.when(stated, F.concat(s["out"], F.array(F.struct(open_.alias("month"), value.alias("value"))))).otherwise(s["out"])
         return F.struct(F.when(value.isNull(), open_).alias("month"), measured.alias("measured"), yearly.alias("yearly"), out.alias("out"))
@@ -246,14 +263,14 @@ def legacy_activity(pages: DataFrame, keys: list[str], html: str = "html", title
     period or with two rates for a month has one row with ``problem``.
     """
     name = F.regexp_replace(F.coalesce(F.col(title), F.lit("")), r"\s+", "")
-    month = F.coalesce(F.regexp_extract("_title", r"(?:1[-—–至])?(1[0-2]|[1-9])月份?", 1).try_cast("int"),
+    month = F.coalesce(cast_found(F.regexp_extract("_title", r"(?:1[-—–至])?(1[0-2]|[1-9])月份?", 1), "int"),
                        F.when(F.col("_title").contains("一季度"), 3).when(F.col("_title").contains("上半年"), 6))
     body = F.element_at(F.split(html, BODY, 2), -1)
     paragraphs = F.filter(F.transform(F.regexp_extract_all(body, F.lit(r"(?is)<p\b[^>]*>(.*?)(?=<p\b|</p>|$)"), F.lit(1)),
                                       lambda p: compact(F.regexp_replace(p, "<[^>]*>", ""))), lambda p: p != "")
     read = evaluated(pages.select(*keys, name.alias("_title"), F.col(published).cast("date").alias("_on"), F.get(paragraphs, F.lit(0)).alias("_lead")))
     read = evaluated(read.withColumns({"_industry": F.regexp_like("_title", F.lit(ACTIVITY_INDUSTRY)), "_end": month}))
-    year = F.coalesce(F.regexp_extract("_title", r"(20\d\d)年", 1).try_cast("int"), F.year("_on") - F.when(F.col("_end") > F.month("_on"), 1).otherwise(0))
+    year = F.coalesce(cast_found(F.regexp_extract("_title", r"(20\d\d)年", 1), "int"), F.year("_on") - F.when(F.col("_end") > F.month("_on"), 1).otherwise(0))
     read = evaluated(read.withColumn("_year", year)).where(
         (F.col("_industry") | F.col("_title").contains(ACTIVITY_RETAIL)) & ~F.regexp_like("_title", F.lit(COMMENTARY)) & F.col("_on").isNotNull()
         & F.col("_end").isNotNull() & F.col("_year").between(*ACTIVITY_YEARS))
@@ -318,10 +335,11 @@ def stock_periods(rows: Column) -> Column:
         return F.transform(row, lambda c: F.when(F.regexp_like(c, F.lit(whole)), text(F.regexp_extract(c, whole, 1), F.regexp_extract(c, whole, 2))))
 
     def stacked(upper: Column, lower: Column) -> Column:
-        years = F.aggregate(upper, F.struct(F.lit(None).cast("string").alias("year"), F.array().cast("array<string>").alias("out")), lambda s, c: F.struct(
-            F.coalesce(F.nullif(F.regexp_extract(c, alone, 1), F.lit("")), F.when(c == "", s["year"])).alias("year"),
-            F.concat(s["out"], F.array(F.coalesce(F.nullif(F.regexp_extract(c, alone, 1), F.lit("")), F.when(c == "", s["year"])))).alias("out")), lambda s: s["out"])
-        return F.transform(lower, lambda c, i: F.when(F.regexp_like(c, F.lit(months)), text(F.get(years, i), F.regexp_extract(c, months, 1))))
+        carried = lambda s, c: F.when(c == "", s["year"]).otherwise(F.nullif(F.regexp_extract(c, alone, 1), F.lit("")))
+        years = F.aggregate(upper, F.struct(F.lit(None).cast("string").alias("year"), F.array().cast("array<string>").alias("out")), lambda s, c: let(
+            carried(s, c), lambda y: F.struct(y.alias("year"), F.concat(s["out"], F.array(y)).alias("out"))), lambda s: s["out"])
+        return let(years, lambda ys: F.transform(
+            lower, lambda c, i: F.when(F.regexp_like(c, F.lit(months)), text(F.get(ys, i), F.regexp_extract(c, months, 1)))))
 
     places = F.sequence(F.lit(0), F.greatest(F.size(rows) - 1, F.lit(0)))
     candidates = F.flatten(F.transform(places, lambda i: F.array(

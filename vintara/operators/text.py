@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.instants import LOCAL_ZONE, day_start_utc, evaluated, next_day_start_utc, text_to_utc
 from ..functions.ordered import newest, oldest, top_row
-from ..functions.texts import compact, content_of, meta_tags, number, plain_text, signed
+from ..functions.texts import cast_found, compact, content_of, let, meta_tags, number, plain_text, signed, until
 
 # Meta tags holding a publication time, and the labels before a time or date in text.
 TIME_TAGS = ("article:published_time", "publishdate", "PubDate", "publish-time")
@@ -63,8 +63,8 @@ def with_release_evidence(pages: DataFrame, first_seen: str, html: str = "html",
     }))
     clocked = lambda t: t.rlike(r"\d:\d\d")
     read = evaluated(found.withColumns({
-        "_meta_at": first(F.col("_metas"), lambda t: F.when(clocked(t), text_to_utc(_iso(t), zone))),
-        "_text_at": first(F.col("_stamps"), lambda t: text_to_utc(_iso(t), zone)),
+        "_meta_at": first(F.col("_metas"), lambda t: F.when(clocked(t), let(_iso(t), lambda i: text_to_utc(i, zone)))),
+        "_text_at": first(F.col("_stamps"), lambda t: let(_iso(t), lambda i: text_to_utc(i, zone))),
         "_meta_day": first(F.reverse("_metas"), lambda t: F.when(~clocked(t), _iso(t).try_cast("date"))),
         "_text_day": first(F.col("_days"), lambda t: _iso(t).try_cast("date")),
     }))
@@ -89,10 +89,15 @@ TITLE_ORDER = ("span", "month", "half", "quarter", "first")
 def _period_of(text: Column, order: tuple[str, ...]) -> Column:
     """``YYYYMM`` number of the dated unit whose kind comes first in ``order``, then of the first such unit; else null."""
     def read(unit: Column, at: Column) -> Column:
-        tail = F.substring(unit, F.lit(5), F.length(unit) - 4)
-        last = F.regexp_extract(F.translate(tail, "一二三四", "1234"), r"(\d+)\s*(?:个?月|季)", 1).try_cast("int")
-        kind = (F.when(tail.contains("季"), "quarter").when(tail.contains("上半年"), "half").when(tail.contains("前"), "first")
+        return let(F.substring(unit, F.lit(5), F.length(unit) - 4), lambda tail: let(
+            cast_found(F.regexp_extract(F.translate(tail, "一二三四", "1234"), r"(\d+)\s*(?:个?月|季)", 1), "int"), lambda last: let(
+                kind_of(tail), lambda kind: described(unit, at, last, kind))))
+
+    def kind_of(tail: Column) -> Column:
+        return (F.when(tail.contains("季"), "quarter").when(tail.contains("上半年"), "half").when(tail.contains("前"), "first")
                 .when(tail.rlike("[-—–至]"), "span").otherwise("month"))
+
+    def described(unit: Column, at: Column, last: Column, kind: Column) -> Column:
         month = F.when(kind == "quarter", last * 3).when(kind == "half", 6).otherwise(last)
         rank = F.array_position(F.array(*map(F.lit, order)), kind)
         return F.struct(rank.alias("rank"), at.alias("at"), (F.substring(unit, 1, 4).cast("int") * 100 + month).alias("period"))
@@ -102,19 +107,18 @@ def _period_of(text: Column, order: tuple[str, ...]) -> Column:
 
 
 def _annual(title: Column) -> Column:
-    return F.regexp_extract(title, r"(20\d\d)\s*年", 1).try_cast("int") * 100 + 12
+    return cast_found(F.regexp_extract(title, r"(20\d\d)\s*年", 1), "int") * 100 + 12
 
 
 def _period_text(number_: Column) -> Column:
-    return F.when(number_.isNotNull(), F.concat(
-        F.floor(number_ / 100).cast("string"), F.lit("-"), F.lpad((number_ % 100).cast("string"), 2, "0")))
+    return let(number_, lambda n: F.when(n.isNotNull(), F.concat(
+        F.floor(n / 100).cast("string"), F.lit("-"), F.lpad((n % 100).cast("string"), 2, "0"))))
 
 
 def _rolled(title: Column, published: Column) -> Column:
     """A month without a year: the publication's year, or the year before when that month is still to come."""
-    month = F.regexp_extract(title, r"(?<!\d)(\d{1,2})\s*月", 1).try_cast("int")
-    year = F.year(published) - F.when(month > F.month(published), 1).otherwise(0)
-    return F.when(month.between(1, 12), year * 100 + month)
+    return let(cast_found(F.regexp_extract(title, r"(?<!\d)(\d{1,2})\s*月", 1), "int"), lambda month: F.when(
+        month.between(1, 12), (F.year(published) - F.when(month > F.month(published), 1).otherwise(0)) * 100 + month))
 
 
 def with_publication_period(pages: DataFrame, title: str = "title", text: str = "text",
@@ -141,8 +145,8 @@ def with_title_period(rows: DataFrame, title: str = "title", published: str | No
     found = evaluated(rows.withColumns({"_chinese": F.coalesce(_period_of(F.col(title), TITLE_ORDER), _annual(F.col(title))),
                                         "_english": english, "_dotted": dotted}))
     month = F.array_position(F.array(*[F.lit(m[:3]) for m in MONTH_NAMES]), F.substring("_english", 1, 3)).cast("int")
-    first = F.regexp_extract("_dotted", r"^\d+", 0).try_cast("int")
-    year = lambda c: F.substring(c, -4, 4).try_cast("int") * 100
+    first = cast_found(F.regexp_extract("_dotted", r"^\d+", 0), "int")
+    year = lambda c: cast_found(F.substring(c, -4, 4), "int") * 100
     choices = [F.col("_chinese"), year(F.col("_english")) + F.nullif(month, F.lit(0)),
                F.when(first.between(1, 12), year(F.col("_dotted")) + first)]
     if published is not None:
@@ -202,19 +206,22 @@ def preferred_occurrence(documents: DataFrame, labels: list[str], keys: list[str
     found = evaluated(cut.select(*keys, F.explode(statements).alias("b"))).where("b.change <> ''")
     # a running minimum per document: partial aggregation keeps long documents map-side
     best = found.groupBy(*keys).agg(F.min("b").alias("b"))
-    value = F.regexp_extract("b.change", r"[\d.]+", 0).try_cast("double")
+    value = cast_found(F.regexp_extract("b.change", r"[\d.]+", 0), "double")
     return best.select(*keys, (~F.col("b.later")).alias("cumulative"), F.col("b.position").alias("position"),
                        signed(value, F.col("b.change")).alias("value"))
 
 
 def table_cells(html: Column, clean=compact) -> Column:
-    """tables -> rows -> cell texts, an array of arrays of arrays."""
+    """tables -> rows -> cell texts, an array of arrays of arrays.
+
+    Patterns go from tag to tag, to the first end of their element.
+    """
     def cells(row: Column) -> Column:
-        return F.transform(F.regexp_extract_all(row, F.lit(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"), 1),
-                           lambda c: clean(F.regexp_replace(c, "<[^>]*>", "")))
+        return F.transform(F.regexp_extract_all(row, F.lit(rf"(?is)<t[dh][^>]*>({until('/t[dh]>')})</t[dh]>"), 1),
+                           lambda c: clean(F.when(F.contains(c, F.lit("<")), F.regexp_replace(c, "<[^>]*>", "")).otherwise(c)))
     return F.transform(
-        F.regexp_extract_all(html, F.lit(r"(?is)<table.*?</table>"), 0),
-        lambda t: F.transform(F.regexp_extract_all(t, F.lit(r"(?is)<tr.*?</tr>"), 0), cells))
+        F.regexp_extract_all(html, F.lit(rf"(?is)<table{until('/table>')}</table>"), 0),
+        lambda t: F.transform(F.regexp_extract_all(t, F.lit(rf"(?is)<tr{until('/tr>')}</tr>"), 0), cells))
 
 
 # Second header row, first cells of the first one, cells that hold no value, units behind a label.
@@ -267,7 +274,7 @@ def table_metrics(pages: DataFrame, labels: dict[str, tuple[str, int]], keys: li
     return typed.groupBy(*keys, "metric").agg(
         F.max("value").alias("value"),
         F.when(F.bool_or("bad"), F.lit("unexpected_cell"))
-        .when((F.countDistinct("value") > 1) | ((F.count("value") > 0) & (F.count("value") < F.count(F.lit(1)))),
+        .when((F.min("value") != F.max("value")) | ((F.count("value") > 0) & (F.count("value") < F.count(F.lit(1)))),
               F.lit("conflicting_tables")).alias("problem"))
 
 
