@@ -13,7 +13,7 @@ from vintara.llm.common import table, written
 from vintara.llm.decontamination import without_contaminated
 from vintara.llm.exact_dedup import without_duplicates
 from vintara.llm.packing import packed
-from vintara.llm.similar_sets import without_similar
+from vintara.llm.simhash import without_near_duplicates
 from vintara.llm.token_ids import tokenizer_file
 
 
@@ -29,8 +29,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked at a Jaccard similarity of 0.8 on sets of five-word shingles the smallest id stays."""
-    return without_similar(docs, words=5, similarity=0.8)
+    """Of documents whose 64-bit fingerprints over four-word shingles link at 4 or fewer differing bits the smallest id stays."""
+    return without_near_duplicates(docs, words=4, lanes=1, segments=3, radius=4)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
