@@ -51,6 +51,28 @@ def test_forgetting_changes_nothing(both, monkeypatch):
         assert both[0].encode(text) == both[1](text)
 
 
+def test_words_beside_line_feeds_are_remembered(both, monkeypatch):
+    """Each pair of words around a line feed used to be a word of its own, sent down the tokenizer's whole path."""
+    own, plain = both
+    starts, ends = ["Il", "thon", "Èré"], ["the.", "aeau,", "ont"]
+    for text in ["\n".join([*starts, *ends]), " ".join([*starts, *ends]), *starts, *ends]:
+        own.encode(text)
+    calls = []
+    whole = own.whole
+    monkeypatch.setattr(own, "whole", lambda text: calls.append(text) or whole(text))
+    for text in [f"{a} {b}\n{a}\n{b}" for a in starts for b in ends]:
+        assert own.encode(text) == plain(text)
+    assert calls == []
+
+
+@given(parts=st.lists(st.sampled_from(["a", "Ab.", "é!", "''s", "9", " ", "\n", "  ", "\n\n", " \n", "\n ", "\r\n", "\t", "\xa0", "日", "\u0301", "\u2028"]), max_size=14))
+@settings(max_examples=300, deadline=None)
+def test_cuts_beside_white_space(both, parts):
+    """What an unsafe cut has left behind in the memory is not wrong for the texts that follow."""
+    text = "".join(parts)
+    assert both[0].encode(text) == both[1](text)
+
+
 # ---- token files -----------------------------------------------------------------------------------------------------
 
 
