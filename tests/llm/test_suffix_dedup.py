@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 from docs import awkward, documents, words
@@ -80,3 +81,25 @@ def test_hash_collisions_are_caught(monkeypatch):
     for s, c in zip(ordered, classes):
         named.setdefault(data[s:s + 3].tobytes(), set()).add(c)
     assert len(named) == 2 and all(len(v) == 1 for v in named.values()) and named[b"abc"] != named[b"abd"]
+
+
+def test_runs_around_one_string_are_sorted_fast():
+    """Different surroundings of one very common string meet as one group."""
+    drawn = np.random.default_rng(4).integers(97, 123, (12000, 82), dtype=np.uint8)
+    drawn[:, 32:50] = np.frombuffer(b"a very common line", dtype=np.uint8)
+    drawn[1::2, 20:] = drawn[::2, 20:]  # every other one shares its end with the one before
+    drawn[:, 19] = 97 + np.arange(len(drawn)) % 2
+    contents = [row.tobytes() for row in drawn]
+    hashes = np.full(len(contents), S._mixed(S._mixed(S.PrefixHashes(drawn[0]).everywhere(S.GRAM)))[32].view(np.int64))
+    began = time.process_time()
+    found = S._covered_inside(contents, np.full(len(contents), 33), hashes, np.arange(len(contents)), 50)
+    assert time.process_time() - began < 3
+    assert sorted(zip(*(x.tolist() for x in found))) == [(i, 20, 13) for i in range(1, len(contents), 2)]
+
+
+def test_zero_bytes_count():
+    data = np.frombuffer(b"ab\0\0ab\0ab", dtype=np.uint8)
+    ordered, classes = S.equal_strings(data, np.array([0, 4, 7]), np.zeros(3, dtype=int), 2)
+    assert len(set(classes)) == 1
+    ordered, classes = S.equal_strings(data, np.array([0, 4]), np.zeros(2, dtype=int), 4)
+    assert ordered.tolist() == [0, 4] and len(set(classes)) == 2

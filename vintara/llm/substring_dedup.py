@@ -1,4 +1,4 @@
-"""Repeated byte strings: a distributed, hash-compared suffix sort of the strings that can repeat.
+"""Repeated byte strings: a distributed suffix sort of the strings that can repeat.
 
 Every byte that is covered by an ``n``-byte string which also starts in a document with a smaller id is removed; strings are
 judged on the input and never cross documents.
@@ -10,10 +10,9 @@ is a stretch of text whose n-byte strings share theirs.
 1. Documents are dealt into groups by a hash of their id. Each group sends the distinct hashes of its runs, 48 bits each, and
    learns which ones occur in another document. Most runs end here.
 2. The remaining runs are sent with their bytes, equal ones of a group once (those of larger ids are covered already).
-3. Where they meet, equal runs are merged, and the suffixes at all string starts of runs with one hash are sorted: prefix
-   polynomial hashes give the hash of any substring, a binary search over lengths the common extension of two
-   suffixes, so a comparison takes log2(n) steps, and merges place all elements of all runs at once. Neighbours with a common
-   extension of n are equal; their bytes are compared to rule out collisions.
+3. Where they meet, equal runs are merged, and the suffixes at all string starts of runs with one hash are sorted by their bytes, eight
+   at a time: suffixes told apart by the first eight are done, groups alike in them need no sort. Neighbours that nothing tells apart are
+   equal.
 4. Covered stretches go back to their groups, which cut the texts.
 
 A very common line is one run per group and one smallest hash, so its copies are merged before they meet. The texts are shuffled once
@@ -67,9 +66,6 @@ class PrefixHashes:
         self.sums = np.zeros(size, dtype=np.uint64)
         np.cumsum(_symbols()[data] * powers[:-1], out=self.sums[1:])
 
-    def of(self, start: np.ndarray, length: int) -> np.ndarray:
-        return (self.sums[start + length] - self.sums[start]) * self.inverse[start]
-
     def everywhere(self, length: int) -> np.ndarray:
         return (self.sums[length:] - self.sums[:-length]) * self.inverse[:len(self.sums) - length]
 
@@ -156,86 +152,41 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
 # ---- the suffix sort -------------------------------------------------------------------------------------------------
 
 
-def _common(hashes: PrefixHashes, a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """Length of the common extension of suffixes a and b, at most n, by binary search over lengths."""
-    common = np.zeros(len(a), dtype=np.int64)
-    step = 1 << (n.bit_length() - 1)
-    while step:
-        fits = np.flatnonzero(common + step <= n)
-        same = hashes.of(a[fits] + common[fits], step) == hashes.of(b[fits] + common[fits], step)
-        common[fits[same]] += step
-        step >>= 1
-    return common
-
-
-def _before(data: np.ndarray, hashes: PrefixHashes, a: np.ndarray, b: np.ndarray, n: int, ties: bool) -> np.ndarray:
-    """Whether suffix a sorts before b; equal ones as ``ties`` says."""
-    common = _common(hashes, a, b, n)
-    out = np.full(len(a), ties)
-    differ = common < n
-    out[differ] = data[a[differ] + common[differ]] < data[b[differ] + common[differ]]
-    return out
-
-
-def suffix_sorted(data: np.ndarray, hashes: PrefixHashes, starts: np.ndarray, bucket: np.ndarray, n: int) -> np.ndarray:
-    """``starts`` with every bucket's suffixes in order of their first n bytes. ``bucket`` ascends. Bottom-up merge sort: in each
-    pass all elements find their rank in the neighbouring run by binary search."""
+def suffix_sorted(data: np.ndarray, starts: np.ndarray, bucket: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``starts`` with every bucket's suffixes in order of their first n bytes, and whether each differs from the one before it or opens a
+    bucket. ``bucket`` ascends. The bytes are compared eight at a time; only suffixes that are still alike go on to the next eight, and
+    only groups whose members differ there are sorted."""
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    eights = np.ndarray(len(data) + 1, dtype=">u8", buffer=padded, strides=(1,))  # the eight bytes from every place on, as one number
     starts = starts.copy()
-    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-    sizes = np.diff(np.append(first, len(starts)))
-    width = 1
-    while len(sizes) and width < sizes.max():
-        busy = sizes > width
-        begin = np.repeat(first[busy], sizes[busy])
-        end = np.repeat((first + sizes)[busy], sizes[busy])
-        place = np.arange(len(begin)) - np.repeat(np.cumsum(sizes[busy]) - sizes[busy], sizes[busy])
-        run = place // width
-        own = begin + run * width
-        left = run % 2 == 0
-        low = np.minimum(np.where(left, own + width, own - width), end)
-        high = np.minimum(low + width, end)
-        low = np.where(left, low, own - width)
-        from_, element = low.copy(), starts[begin + place]
-        for ties, side in ((False, left), (True, ~left)):
-            # left elements come before equal right ones: count smaller ones on the right, not larger ones on the left
-            at = np.flatnonzero(side & (low < high))
-            while len(at):
-                middle = (low[at] + high[at]) >> 1
-                lower = _before(data, hashes, starts[middle], element[at], n, ties)
-                low[at[lower]] = middle[lower] + 1
-                high[at[~lower]] = middle[~lower]
-                at = at[low[at] < high[at]]
-        target = np.where(left, own, own - width) + place % width + (low - from_)
-        starts[target] = element
-        width *= 2
-    return starts
-
-
-def _same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    out = np.ones(len(a), dtype=bool)
-    near = np.arange(n)
-    for at in range(0, len(a), 1 << 14):
-        part = slice(at, at + (1 << 14))
-        out[part] = (data[a[part, None] + near] == data[b[part, None] + near]).all(axis=1)
-    return out
+    new = np.ones(len(starts), dtype=bool)
+    new[1:] = bucket[1:] != bucket[:-1]
+    at = np.arange(len(starts))
+    for offset in range(0, n, 8):
+        alone = new[at] & np.append(new[at[1:]], True)  # of groups kept whole: the one behind opens another
+        at = at[~alone]
+        if not len(at):
+            break
+        opens = new[at]
+        group = np.cumsum(opens) - 1
+        here = eights[starts[at] + offset].astype(np.uint64) >> np.uint64(8 * max(0, 8 - (n - offset)))
+        differ = np.zeros(len(at), dtype=bool)
+        differ[1:] = (here[1:] != here[:-1]) & ~opens[1:]
+        unlike = np.zeros(group[-1] + 1, dtype=bool)
+        unlike[group[differ]] = True
+        moved = np.flatnonzero(unlike[group])
+        by_eight = moved[np.lexsort((here[moved], group[moved]))]
+        starts[at[moved]] = starts[at[by_eight]]
+        here[moved] = here[by_eight]
+        differ[1:] = (here[1:] != here[:-1]) & ~opens[1:]
+        new[at[differ]] = True
+    return starts, new
 
 
 def equal_strings(data: np.ndarray, starts: np.ndarray, bucket: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts in suffix order and a class number per start: one class per distinct n-byte string of a bucket."""
-    hashes = PrefixHashes(data)
-    ordered = suffix_sorted(data, hashes, starts, bucket, n)
-    new = np.ones(len(ordered), dtype=bool)
-    beside = np.flatnonzero(bucket[1:] == bucket[:-1])
-    told = _common(hashes, ordered[beside], ordered[beside + 1], n) == n
-    equal = told.copy()
-    equal[told] = _same_bytes(data, ordered[beside[told]], ordered[beside[told] + 1], n)
-    new[beside[equal] + 1] = False
-    classes = np.cumsum(new)
-    for wrong in np.unique(bucket[beside[told & ~equal]]):  # a hash collision: compare this bucket's bytes instead
-        at = np.flatnonzero(bucket == wrong)
-        known: dict[bytes, int] = {}
-        classes[at] = [known.setdefault(data[s:s + n].tobytes(), int(classes[at[0]]) * 2**20 + len(known)) for s in ordered[at]]
-    return ordered, classes
+    ordered, new = suffix_sorted(data, starts, bucket, n)
+    return ordered, np.cumsum(new)
 
 
 # ---- the four steps --------------------------------------------------------------------------------------------------
@@ -295,27 +246,29 @@ def _sent(n: int, buckets: int):
         keep = repeated[np.searchsorted(short, own)] if len(short) else np.zeros(0, dtype=bool)
         text, first, count, hashes, own = text[keep], first[keep], count[keep], hashes[keep], own[keep]
         order = np.argsort(ids[text], kind="stable")  # the smallest id of equal runs comes first
-        heads: dict[bytes, tuple[int, list[int]]] = {}
-        covered = []
-        for r, t, a, c in zip(order.tolist(), text[order].tolist(), first[order].tolist(), count[order].tolist(), strict=True):
-            head = heads.setdefault(texts[t][a:a + c + n - 1], (r, []))
-            if ids[text[head[0]]] < ids[t]:
-                covered.append(r)
-            else:
-                head[1].append(r)
+        text, first, count, hashes, own = text[order], first[order], count[order], hashes[order], own[order]
+        strings: dict[bytes, int] = {}
+        which = np.array([strings.setdefault(texts[t][a:b], len(strings)) for t, a, b in zip(
+            text.tolist(), first.tolist(), (first + count + n - 1).tolist(), strict=True)], dtype=np.int64)
+        heads = np.unique(which, return_index=True)[1]  # the first run of each string
+        covered = ids[text[heads]][which] < ids[text]
         out = []
-        if covered:
-            out.append((int(own[covered[0]] % np.uint64(buckets)), group, 1, _stretches(text[covered], first[covered], count[covered])))
-        strings = sorted(heads.items(), key=lambda x: int(hashes[x[1][0]]))
-        at = np.searchsorted(edges, np.array([own[h] for _, (h, _) in strings], dtype=np.uint64), side="right") if strings else []
-        cut = np.concatenate([np.flatnonzero(np.diff(at, prepend=-1)), [len(strings)]]) if strings else []
-        for a, b in zip(cut[:-1], cut[1:], strict=True):
-            part = strings[a:b]
-            heads_ = np.array([h for _, (h, _) in part])
-            places = np.array([r for _, (_, rs) in part for r in rs])
-            sizes = np.array([len(rs) for _, (_, rs) in part])
-            blob = struct.pack("<II", len(part), len(places)) + b"".join(x.astype("<i8").tobytes() for x in (
-                count[heads_], hashes[heads_].view(np.int64), ids[text[heads_]], sizes, text[places], first[places])) + b"".join(s for s, _ in part)
+        if covered.any():
+            out.append((int(own[covered][0] % np.uint64(buckets)), group, 1, _stretches(text[covered], first[covered], count[covered])))
+        by_hash = np.argsort(hashes[heads], kind="stable")
+        rank = np.empty(len(heads), dtype=np.int64)
+        rank[by_hash] = np.arange(len(heads))
+        heads, contents = heads[by_hash], list(strings)
+        places = np.flatnonzero(~covered)
+        places = places[np.argsort(rank[which[places]], kind="stable")]
+        sizes = np.bincount(rank[which[places]], minlength=len(heads))
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        at = np.searchsorted(edges, own[heads], side="right")
+        cut = np.concatenate([np.flatnonzero(np.diff(at, prepend=-1)), [len(heads)]])
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            h, p = heads[a:b], places[upto[a]:upto[b]]
+            blob = struct.pack("<II", len(h), len(p)) + b"".join(x.astype("<i8").tobytes() for x in (
+                count[h], hashes[h].view(np.int64), ids[text[h]], sizes[a:b], text[p], first[p])) + b"".join([contents[c] for c in by_hash[a:b].tolist()])
             out.append((int(at[a]), group, 0, zstandard.compress(blob, 1)))
         return pd.DataFrame(out, columns=columns)
     return run
@@ -328,7 +281,7 @@ def _received(blob: bytes, n: int):
     for size in (strings, strings, strings, strings, places, places):
         out.append(np.frombuffer(blob, dtype="<i8", count=size, offset=at))
         at += 8 * size
-    return [*out, memoryview(blob)[at:]]
+    return [*out, blob[at:]]
 
 
 def _compared(n: int):
@@ -338,48 +291,56 @@ def _compared(n: int):
         out = list(zip(passed["_group"], passed["blob"], strict=True))
         sent = frame[frame["kind"] == 0]
         contents: dict[bytes, int] = {}
-        which, origin, ids, places = [], [], [], []  # per received run: its content, group, id, and rows and starts
-        counts, hashes, best = [], [], []  # per distinct content
+        which, received, places = [], [], []  # per received run: its content; its number of starts, hash, id, rows and group; rows and starts
         for group, blob in zip(sent["_group"], sent["blob"], strict=True):
             count, hash_, id_, size, row, start, data = _received(blob, n)
-            ends = np.cumsum(count + n - 1).tolist()
-            begin = [0, *ends[:-1]]
-            cuts = np.concatenate([[0], np.cumsum(size)])
-            for i, (a, b) in enumerate(zip(begin, ends, strict=True)):
-                c = contents.setdefault(bytes(data[a:b]), len(contents))
-                if c == len(counts):
-                    counts.append(int(count[i]))
-                    hashes.append(int(hash_[i]))
-                    best.append(int(id_[i]))
-                best[c] = min(best[c], int(id_[i]))
-                which.append(c)
-            origin.append(np.full(len(count), group))
-            ids.append(id_)
-            places += [(row[cuts[i]:cuts[i + 1]], start[cuts[i]:cuts[i + 1]]) for i in range(len(count))]
+            ends = np.cumsum(count + n - 1)
+            which += [contents.setdefault(data[a:b], len(contents)) for a, b in zip((ends - count - n + 1).tolist(), ends.tolist(), strict=True)]
+            received.append(np.stack([count, hash_, id_, size, np.full(len(count), group)]))
+            places.append(np.stack([row, start]))
         if not which:
             return pd.DataFrame(out, columns=["_group", "blob"])
-        counts, best, hashes = np.array(counts), np.array(best, dtype=np.int64), np.array(hashes, dtype=np.int64)
-        inner = _covered_inside(list(contents), counts, hashes, best, n)
-        which, origin, ids = np.array(which), np.concatenate(origin), np.concatenate(ids)
-        by_group: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
-        for c, g, i, (row, start) in zip(which.tolist(), origin.tolist(), ids.tolist(), places, strict=True):
-            if i > best[c]:
-                by_group.setdefault(g, []).append((row, start, np.full(len(row), counts[c])))
-            else:
-                for a, length in inner.get(c, ()):
-                    by_group.setdefault(g, []).append((row, start + a, np.full(len(row), length)))
-        out += [(g, _stretches(*(np.concatenate(x) for x in zip(*parts, strict=True)))) for g, parts in by_group.items()]
+        which = np.array(which)
+        count, hash_, ids, sizes, origin = np.concatenate(received, axis=1)
+        rows, starts = np.concatenate(places, axis=1)
+        begin = np.cumsum(sizes) - sizes
+        heads = np.unique(which, return_index=True)[1]
+        counts, best = count[heads], ids[heads].copy()
+        np.minimum.at(best, which, ids)
+        inner, firsts, lengths = _covered_inside(list(contents), counts, hash_[heads], best, n)
+        # a run with a larger id than its content's is covered whole, others where another content covers theirs
+        whole = np.flatnonzero(ids > best[which])
+        cuts = np.searchsorted(inner, np.arange(len(counts) + 1))
+        rest = np.flatnonzero(ids <= best[which])
+        rest = rest[(cuts[which + 1] > cuts[which])[rest]]
+        stretch, run_ = _spelled(cuts[which[rest]], cuts[which[rest] + 1] - cuts[which[rest]])
+        of_run = np.concatenate([whole, rest[run_]])
+        shift = np.concatenate([np.zeros(len(whole), dtype=np.int64), firsts[stretch]])
+        length = np.concatenate([counts[which[whole]], lengths[stretch]])
+        place, of = _spelled(begin[of_run], sizes[of_run])
+        groups = origin[of_run][of]
+        order = np.argsort(groups, kind="stable")
+        place, of, groups = place[order], of[order], groups[order]
+        cut = np.flatnonzero(np.diff(groups, prepend=-1, append=-1))
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            out.append((int(groups[a]), _stretches(rows[place[a:b]], starts[place[a:b]] + shift[of[a:b]], length[of[a:b]])))
         return pd.DataFrame(out, columns=["_group", "blob"])
     return run
 
 
-def _covered_inside(contents: list[bytes], counts: np.ndarray, hashes: np.ndarray, best: np.ndarray, n: int) -> dict[int, list[tuple[int, int]]]:
-    """For each content, the stretches (first start, starts) of strings that another content with a smaller id has too."""
+def _spelled(begin: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of ranges (begin, size) one after the other, and the number of the range that each is of."""
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes - begin, sizes), of
+
+
+def _covered_inside(contents: list[bytes], counts: np.ndarray, hashes: np.ndarray, best: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+    """Stretches (content, first start, number of starts), by content, of strings that another content with a smaller id has too."""
     order = np.argsort(hashes, kind="stable")
     first = np.flatnonzero(np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]]))
     sizes = np.diff(np.append(first, len(order)))
     members = order[np.repeat(sizes > 1, sizes)]
-    out: dict[int, list[tuple[int, int]]] = {}
+    out = [np.empty((3, 0), dtype=np.int64)]
     heavy = np.cumsum(counts[members] + n) // PACK_BYTES if len(members) else members
     cut, groups = 0, hashes[members]
     while cut < len(members):
@@ -408,20 +369,19 @@ def _covered_inside(contents: list[bytes], counts: np.ndarray, hashes: np.ndarra
         starts, owner, within, key = starts[~alone], owner[~alone], within[~alone], key[~alone]
         if not len(starts):
             continue
+        back = np.empty(len(data), dtype=np.int64)
+        back[starts] = np.arange(len(starts))
         ordered, classes = equal_strings(data, starts, key, n)
-        back = np.argsort(starts)
-        at = back[np.searchsorted(starts[back], ordered)]
+        at = back[ordered]
         id_ = best[part][owner[at]]
-        least = np.full(len(np.unique(classes)), NO_ID)
-        classes = np.unique(classes, return_inverse=True)[1]
-        np.minimum.at(least, classes, id_)
-        hit = at[least[classes] < id_]
-        hit = hit[np.lexsort((within[hit], owner[hit]))]
+        least = np.minimum.reduceat(id_, np.flatnonzero(np.diff(classes, prepend=0)))
+        hit = at[least[classes - 1] < id_]
+        hit = hit[np.argsort(starts[hit], kind="stable")]
         own, pos = owner[hit], within[hit]
-        new = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (pos[1:] != pos[:-1] + 1)])) if len(hit) else []
-        for a, b in zip(new, np.append(new[1:], len(hit)) if len(hit) else [], strict=True):
-            out.setdefault(int(part[own[a]]), []).append((int(pos[a]), int(b - a)))
-    return out
+        new = np.flatnonzero((np.diff(own, prepend=-1) != 0) | (np.diff(pos, prepend=-1) != 1))
+        out.append(np.stack([part[own[new]], pos[new], np.diff(np.append(new, len(hit)))]))
+    found = np.concatenate(out, axis=1)
+    return tuple(found[:, np.argsort(found[0], kind="stable")])
 
 
 def _cut(n: int):
