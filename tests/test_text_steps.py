@@ -1,5 +1,7 @@
 """Steps that the text queries share: values computed once, tag-to-tag patterns, tasks by rows, files written by many tasks."""
 
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,3 +71,22 @@ def test_evidence_files_are_written_by_many_tasks(spark, sf_dir, tmp_path, monke
     found = QUERIES["src_15_raw_evidence_files"](spark, sf_dir)
     assert len({p.name[:10] for p in (tmp_path / "raw").glob("page_id=*/part-*")}) > 1
     assert found.count() == fixture.table(spark, sf_dir, "pages").count()
+
+
+def test_maps_of_fixed_entries_are_one_literal(spark, monkeypatch):
+    """Thousands of literals in every copy of an expression took seconds to plan."""
+    made, lit = [], F.lit
+    monkeypatch.setattr(texts.F, "lit", lambda value: made.append(value) or lit(value))
+    pages = frame(spark, ["<table><tr><td>ﬁ㈱</td><td>&eacute;</td></tr></table>"])
+    grids = pages.select(releases.table_grids(F.col("html")).alias("g"), texts.entities(F.col("html")).alias("e"))
+    assert len(made) < 200
+    assert grids.first().g == [[["fi(株)", "&eacute;"]]] and "é" in grids.first().e
+
+
+def test_simple_and_other_characters_have_their_plain_form(spark):
+    odd = ["", "a 1", "１％（２）", "…—１", "㈱…１", "\u3000１\n", "中文，：", "①x", "½", "“１”·", None]
+    read = frame(spark, odd).select("html", texts.typography(F.col("html")).alias("t"), texts.compact(F.col("html")).alias("c"))
+    for r in read.collect():
+        expected = None if r.html is None else "".join(unicodedata.normalize("NFKC", c) for c in r.html)
+        assert r.t == expected
+        assert r.c == (None if expected is None else expected.replace(" ", "").replace("\n", ""))

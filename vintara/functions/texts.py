@@ -37,6 +37,11 @@ def _replaced(text: Column, pattern: str, change) -> Column:
     return F.when(F.regexp_like(text, F.lit(pattern)), changed).otherwise(text)
 
 
+def _fixed(entries: dict[str, str]) -> Column:
+    """A map of many fixed entries, from one text: a literal for every entry takes seconds to plan."""
+    return F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in entries.items())), F.lit("\x01"), F.lit("\x02"))
+
+
 def _code_point(number: Column) -> Column:
     """The character with this number, null if there is none."""
     valid = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
@@ -45,7 +50,7 @@ def _code_point(number: Column) -> Column:
 
 def entities(text: Column) -> Column:
     """Character references decoded: decimal, hexadecimal, and the names of the markup standard."""
-    named = F.create_map(*[F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, chr(code))])
+    named = _fixed({name: chr(code) for name, code in sorted(name2codepoint.items())})
 
     def decoded(piece: Column) -> Column:
         def numbered(body: Column) -> Column:
@@ -91,6 +96,9 @@ def _ranges(characters: str) -> str:
 # ASCII, ideographs and their punctuation have no compatibility form; most characters of a page end their test here.
 _PLAIN = r"\x{0}-\x{9F}\x{4E00}-\x{9FFF}\x{3001}-\x{3029}"
 _COMMON = f"(?![{_PLAIN}])"
+# What most other texts hold beside these: full-width ASCII, the ellipsis, and punctuation without a compatibility form.
+_WIDE, _NARROW = ("".join(map(chr, range(a, a + 94))) for a in (0xFF01, 0x21))
+_SIMPLE = _PLAIN + r"\x{B7}\x{2013}\x{2014}\x{2018}\x{2019}\x{201C}\x{201D}\x{2026}\x{FF01}-\x{FF5E}"
 
 
 def typography(text: Column) -> Column:
@@ -100,17 +108,27 @@ def typography(text: Column) -> Column:
     up one by one, in texts that have any; all others are one translation. Texts of plain characters only are left as they are.
     """
     one, forms, several = _compatibility()
-    table = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    table = _fixed(several)
 
     def mapped(t: Column) -> Column:
         return F.translate(_replaced(t, _COMMON + _ranges("".join(several)), lambda p: F.try_element_at(table, p)), one, forms)
 
-    return let(text, lambda t: F.when(F.regexp_like(t, F.lit(f"[^{_PLAIN}]")), mapped(t)).otherwise(t))
+    def narrow(t: Column) -> Column:
+        return F.replace(F.translate(t, _WIDE, _NARROW), F.lit("…"), F.lit("..."))
+
+    return let(text, lambda t: F.when(F.regexp_like(t, F.lit(f"[^{_PLAIN}]")), F.when(
+        F.regexp_like(t, F.lit(f"[^{_SIMPLE}]")), mapped(t)).otherwise(narrow(t))).otherwise(t))
 
 
 def compact(text: Column) -> Column:
-    """No whitespace at all, ASCII typography: what the metric patterns run on."""
-    return F.regexp_replace(typography(text), r"\s+", "")
+    """No whitespace at all, ASCII typography: what the metric patterns run on. Texts that have it already are only looked through."""
+    return let(text, lambda t: F.when(F.regexp_like(t, F.lit(rf"[\s[^{_PLAIN}]]")), F.regexp_replace(typography(t), r"\s+", "")).otherwise(t))
+
+
+def spaced(markup: Column) -> Column:
+    """Text of markup on one line; what was apart in it stays apart."""
+    return let(markup, lambda m: F.when(F.regexp_like(m, F.lit(rf"[<&\s\x{{A0}}[^{_PLAIN}]]")), F.trim(F.regexp_replace(
+        typography(F.regexp_replace(m, "<[^>]*>|&nbsp;", " ")), r"[\s\x{00A0}]+", " "))).otherwise(m))
 
 
 def title_of(html: Column) -> Column:

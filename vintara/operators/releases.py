@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.instants import evaluated
-from ..functions.texts import cast_found, compact, let, plain_text, typography, until
+from ..functions.texts import cast_found, compact, let, plain_text, spaced, typography, until
 from .text import absolute_url
 
 WIDEST = 200  # columns of a table, and of one cell
@@ -19,11 +19,6 @@ WIDEST = 200  # columns of a table, and of one cell
 _CELL = "struct<text:string,across:int,down:int>"
 
 
-def _spaced(cell: Column) -> Column:
-    """Text of a cell; what was apart in the markup stays apart."""
-    return F.trim(F.regexp_replace(typography(F.regexp_replace(cell, "<[^>]*>|&nbsp;", " ")), r"[\s\x{00A0}]+", " "))
-
-
 def bare(text: Column) -> Column:
     """Without white space, dashes as ``-``."""
     return F.translate(F.regexp_replace(text, r"\s+", ""), "—–－", "---")
@@ -34,9 +29,17 @@ def _cells(row: Column) -> Column:
         said = cast_found(F.regexp_extract(attributes, rf"(?i)\b{name}\s*=\s*[\"']?(\d+)", 1), "int")
         return F.when(attributes == "", F.lit(1)).otherwise(F.greatest(F.lit(1), F.least(F.coalesce(said, F.lit(1)), F.lit(WIDEST))))
 
-    found = F.regexp_extract_all(row, F.lit(rf"(?is)<t[dh]\b[^>]*>{until(r't[dh]\b|/t[dh]>|/tr>')}"), F.lit(0))
-    return F.transform(found, lambda c: let(F.regexp_extract(c, r"(?is)^<t[dh]\b([^>]*)>", 1), lambda a: F.struct(
-        _spaced(c).alias("text"), span(a, "colspan").alias("across"), span(a, "rowspan").alias("down"))))
+    return F.transform(_marked(row), lambda c: let(F.regexp_extract(c, r"(?is)^<t[dh]\b([^>]*)>", 1), lambda a: F.struct(
+        _content(c).alias("text"), span(a, "colspan").alias("across"), span(a, "rowspan").alias("down"))))
+
+
+def _marked(row: Column) -> Column:
+    """Cells of a row, each with the tag that opens it."""
+    return F.regexp_extract_all(row, F.lit(rf"(?is)<t[dh]\b[^>]*>{until(r't[dh]\b|/t[dh]>|/tr>')}"), F.lit(0))
+
+
+def _content(cell: Column) -> Column:
+    return spaced(F.substring(cell, F.instr(cell, F.lit(">")) + 1, F.length(cell)))
 
 
 def _placed(open_: Column, cells: Column) -> Column:
@@ -68,7 +71,12 @@ def _folded(open_: Column, cells: Column) -> Column:
 def table_grids(html: Column) -> Column:
     """tables -> rows -> columns: the text that covers each place, cells that span several repeated in all of them."""
     def grid(table: Column) -> Column:
-        rows = F.transform(F.regexp_extract_all(table, F.lit(rf"(?is)<tr\b{until(r'tr\b|/tr>|/table>')}"), F.lit(0)), _cells)
+        rows = F.regexp_extract_all(table, F.lit(rf"(?is)<tr\b{until(r'tr\b|/tr>|/table>')}"), F.lit(0))
+        # without spans every cell is a column
+        return F.when(F.regexp_like(table, F.lit("(?i)span")), spread(F.transform(rows, _cells))).otherwise(
+            F.transform(rows, lambda r: F.transform(F.slice(_marked(r), 1, WIDEST), _content)))
+
+    def spread(rows: Column) -> Column:
         empty = "struct<above:array<struct<text:string,down:int>>,out:array<array<string>>>"
         start = F.struct(F.array().cast("array<struct<text:string,down:int>>").alias("above"), F.array().cast("array<array<string>>").alias("out")).cast(empty)
 
@@ -331,21 +339,28 @@ def stock_periods(rows: Column) -> Column:
     def text(year: Column, month: Column) -> Column:
         return F.concat(year, F.lit("-"), F.lpad(month, 2, "0"))
 
+    def enough(row: Column, pattern: str) -> Column:
+        return (F.size(row) >= 6) & (F.size(F.filter(row, lambda c: F.regexp_like(c, F.lit(pattern)))) >= 6)
+
     def written(row: Column) -> Column:
-        return F.transform(row, lambda c: F.when(F.regexp_like(c, F.lit(whole)), text(F.regexp_extract(c, whole, 1), F.regexp_extract(c, whole, 2))))
+        return F.when(enough(row, whole), F.transform(row, lambda c: F.when(
+            F.regexp_like(c, F.lit(whole)), text(F.regexp_extract(c, whole, 1), F.regexp_extract(c, whole, 2)))))
 
     def stacked(upper: Column, lower: Column) -> Column:
         carried = lambda s, c: F.when(c == "", s["year"]).otherwise(F.nullif(F.regexp_extract(c, alone, 1), F.lit("")))
         years = F.aggregate(upper, F.struct(F.lit(None).cast("string").alias("year"), F.array().cast("array<string>").alias("out")), lambda s, c: let(
             carried(s, c), lambda y: F.struct(y.alias("year"), F.concat(s["out"], F.array(y)).alias("out"))), lambda s: s["out"])
-        return let(years, lambda ys: F.transform(
-            lower, lambda c, i: F.when(F.regexp_like(c, F.lit(months)), text(F.get(ys, i), F.regexp_extract(c, months, 1)))))
+        return F.when(enough(lower, months), let(years, lambda ys: F.transform(
+            lower, lambda c, i: F.when(F.regexp_like(c, F.lit(months)), text(F.get(ys, i), F.regexp_extract(c, months, 1))))))
+
+    kind = "struct<row:int,periods:array<string>>"
+
+    def candidate(row: Column, periods: Column) -> Column:
+        return let(periods, lambda p: F.when(F.size(F.array_compact(p)) >= 6, F.struct(row.alias("row"), p.alias("periods")))).cast(kind)
 
-    places = F.sequence(F.lit(0), F.greatest(F.size(rows) - 1, F.lit(0)))
-    candidates = F.flatten(F.transform(places, lambda i: F.array(
-        F.struct(i.alias("row"), F.coalesce(written(F.get(rows, i)), F.array().cast("array<string>")).alias("periods")),
-        F.struct((i + 1).alias("row"), F.coalesce(stacked(F.get(rows, i), F.get(rows, i + 1)), F.array().cast("array<string>")).alias("periods")))))
-    return F.get(F.filter(candidates, lambda c: F.size(F.array_compact(c["periods"])) >= 6), F.lit(0))
+    # rows below the first header are not looked at
+    return F.aggregate(F.sequence(F.lit(0), F.greatest(F.size(rows) - 1, F.lit(0))), F.lit(None).cast(kind), lambda found, i: F.coalesce(
+        found, candidate(i, written(F.get(rows, i))), candidate(i + 1, stacked(F.get(rows, i), F.get(rows, i + 1)))))
 
 
 def annual_stock(pages: DataFrame, labels: list[StockLabel], keys: list[str], html: str = "html", scale: float = 1e-4) -> DataFrame:
@@ -357,8 +372,8 @@ def annual_stock(pages: DataFrame, labels: list[StockLabel], keys: list[str], ht
     tables = evaluated(pages.select(*keys, F.posexplode(table_grids(F.col(html))).alias("_no", "_rows")))
     headed = evaluated(tables.withColumn("_head", stock_periods(F.col("_rows")))).where("_head IS NOT NULL")
     amount = r"^[-+]?\d[\d,]*(?:\.\d+)?$"
-    rows = evaluated(headed.select(*keys, "_no", F.array_compact("_head.periods").alias("_periods"), F.posexplode(
-        F.slice("_rows", F.col("_head.row") + 2, F.greatest(F.size("_rows"), F.lit(1)))).alias("_at", "_cells")))
+    rows = headed.select(*keys, "_no", F.array_compact("_head.periods").alias("_periods"), F.posexplode(
+        F.slice("_rows", F.col("_head.row") + 2, F.greatest(F.size("_rows"), F.lit(1)))).alias("_at", "_cells"))
     name, metric = F.get("_cells", F.lit(0)), F.lit(None).cast("string")
     for label in reversed(labels):
         hit = F.lit(False)
@@ -367,8 +382,9 @@ def annual_stock(pages: DataFrame, labels: list[StockLabel], keys: list[str], ht
         metric = F.when(hit, F.lit(label.metric)).otherwise(metric)
     numbers = F.transform(F.filter(F.slice("_cells", 2, F.greatest(F.size("_cells"), F.lit(1))), lambda c: F.regexp_like(c, F.lit(amount))),
                           lambda c: F.replace(c, F.lit(","), F.lit("")).try_cast("double"))
-    named = evaluated(rows.select(*keys, "_no", "_periods", "_at", metric.alias("metric"), numbers.alias("_numbers"))).where(
-        F.col("metric").isNotNull() & (F.size("_numbers") >= F.size("_periods")))
+    told = evaluated(rows.withColumn("metric", metric)).where(F.col("metric").isNotNull() & (F.size("_cells") > F.size("_periods")))
+    named = evaluated(told.select(*keys, "_no", "_periods", "_at", "metric", numbers.alias("_numbers"))).where(
+        F.size("_numbers") >= F.size("_periods"))
     last = named.groupBy(*keys, "_no", "metric").agg(F.max(F.struct("_at", "_periods", "_numbers")).alias("row"))
     best = last.groupBy(*keys).agg(F.max(F.struct(F.size("row._periods").alias("n"), (-F.col("_no")).alias("first"))).alias("_best")).select(
         *keys, (-F.col("_best.first")).alias("_no"))
