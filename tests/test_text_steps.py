@@ -90,3 +90,18 @@ def test_simple_and_other_characters_have_their_plain_form(spark):
         expected = None if r.html is None else "".join(unicodedata.normalize("NFKC", c) for c in r.html)
         assert r.t == expected
         assert r.c == (None if expected is None else expected.replace(" ", "").replace("\n", ""))
+
+
+def test_table_metrics_read_a_page_once(spark):
+    pages = frame(spark, ODD).withColumn("month", F.lit(2))
+    plan = text.table_metrics(pages, {"L": ("M", 2)}, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("</table>") == 1  # the explode's test for an empty array does not read it again
+
+
+def test_cells_are_cleaned_behind_blank_ones(spark):
+    head = "<tr><td> </td><td>０2月份</td><td>1—2月</td></tr><tr><td>绝对量</td><td>同比增长（％）</td><td>绝对 量</td><td><b>同比增长</b>(%)</td></tr>"
+    rows = ("<tr><td> </td><td></td><td>（一）Ｌ（亿元）</td><td>1</td><td> ７.5</td><td>3</td><td>4</td></tr>"
+            "<tr><td>Q</td><td>1</td><td>2</td><td>3</td></tr><tr><td></td><td></td><td></td><td></td><td></td></tr>")
+    pages = frame(spark, [f"<table><tr><td>x</td></tr>{head}{rows}</table>", f"<table>{rows}</table>", None]).withColumn("month", F.lit(2))
+    found = text.table_metrics(pages, {"L": ("M", 2), "Q": ("N", 1)}, ["k"])
+    assert [(r.k, r.metric, r.value, r.problem) for r in found.collect()] == [(0, "M", 7.5, None)]

@@ -211,17 +211,21 @@ def preferred_occurrence(documents: DataFrame, labels: list[str], keys: list[str
                        signed(value, F.col("b.change")).alias("value"))
 
 
-def table_cells(html: Column, clean=compact) -> Column:
-    """tables -> rows -> cell texts, an array of arrays of arrays.
+def table_cells(html: Column) -> Column:
+    """tables -> rows -> cell texts, an array of arrays of arrays."""
+    return F.transform(raw_cells(html), lambda t: F.transform(t, lambda r: F.transform(r, cell_text)))
 
-    Patterns go from tag to tag, to the first end of their element.
-    """
-    def cells(row: Column) -> Column:
-        return F.transform(F.regexp_extract_all(row, F.lit(rf"(?is)<t[dh][^>]*>({until('/t[dh]>')})</t[dh]>"), 1),
-                           lambda c: clean(F.when(F.contains(c, F.lit("<")), F.regexp_replace(c, "<[^>]*>", "")).otherwise(c)))
+
+def raw_cells(html: Column) -> Column:
+    """tables -> rows -> markup of cells. Patterns go from tag to tag, to the first end of their element."""
     return F.transform(
         F.regexp_extract_all(html, F.lit(rf"(?is)<table{until('/table>')}</table>"), 0),
-        lambda t: F.transform(F.regexp_extract_all(t, F.lit(rf"(?is)<tr{until('/tr>')}</tr>"), 0), cells))
+        lambda t: F.transform(F.regexp_extract_all(t, F.lit(rf"(?is)<tr{until('/tr>')}</tr>"), 0), lambda r: F.regexp_extract_all(
+            r, F.lit(rf"(?is)<t[dh][^>]*>({until('/t[dh]>')})</t[dh]>"), 1)))
+
+
+def cell_text(cell: Column) -> Column:
+    return compact(F.when(F.contains(cell, F.lit("<")), F.regexp_replace(cell, "<[^>]*>", "")).otherwise(cell))
 
 
 # Second header row, first cells of the first one, cells that hold no value, units behind a label.
@@ -246,29 +250,33 @@ def table_metrics(pages: DataFrame, labels: dict[str, tuple[str, int]], keys: li
     ``labels`` maps a row label to (metric, cell index); the label is the first cell that is not empty, and four cells
     follow it. Blank cells stay null; a cell that is neither blank nor a number, or tables that disagree, set ``problem``.
     """
-    rows = pages.select(*keys, F.col(month).cast("int").alias("_month"), table_cells(F.col(html)).alias("_tables")).select(
-        *keys, "_month", F.posexplode(F.col("_tables")).alias("_table_no", "_rows"))
+    # evaluated: the explode's own test for an empty array would read the page again. Cells are cleaned where they are looked at
+    rows = evaluated(pages.select(*keys, F.col(month).cast("int").alias("_month"), raw_cells(F.col(html)).alias("_tables"))).select(
+        *keys, "_month", F.explode(F.col("_tables")).alias("_rows"))
     # a header cell as numbers only: "03月份" is "3", "1—3月" is "1-3"
-    plain = lambda c: F.regexp_replace(F.regexp_replace(F.translate(c, "—–至份", "---"), r"(^|-)0", "$1"), "月$", "")
+    plain = lambda c: F.regexp_replace(F.regexp_replace(F.translate(cell_text(c), "—–至份", "---"), r"(^|-)0", "$1"), "月$", "")
     wanted = F.array(F.col("_month").cast("string"), F.concat(F.lit("1-"), F.col("_month").cast("string")))
 
     def opens(i: Column) -> Column:
-        row = F.get("_rows", i - 1)
-        return F.coalesce((F.size(row) == 3) & F.get(row, F.lit(0)).isin(*HEADER_NAMES) & (
-            F.transform(F.slice(row, 2, 2), plain) == wanted) & (F.get("_rows", i) == F.array(*map(F.lit, HEADER_CELLS))), F.lit(False))
+        row, below = F.get("_rows", i - 1), F.get("_rows", i)
+        return F.coalesce((F.size(row) == 3) & (F.size(below) == len(HEADER_CELLS)) & cell_text(F.get(row, F.lit(0))).isin(*HEADER_NAMES) & (
+            F.transform(F.slice(row, 2, 2), plain) == wanted) & (F.transform(below, cell_text) == F.array(*map(F.lit, HEADER_CELLS))), F.lit(False))
 
     headed = rows.withColumn("_at", F.array_min(F.filter(F.sequence(F.lit(1), F.greatest(F.size("_rows"), F.lit(1))), opens)))
     body = evaluated(headed.select(*keys, "_rows", "_at")).where("_at IS NOT NULL").select(
         *keys, F.explode(F.slice("_rows", F.col("_at") + 2, F.size("_rows"))).alias("_cells"))
-    lead = F.coalesce(F.array_min(F.filter(F.sequence(F.lit(1), F.greatest(F.size("_cells"), F.lit(1))),
-                                           lambda i: F.get("_cells", i - 1) != "")), F.lit(1))
-    aligned = evaluated(body.withColumn("_row", F.slice("_cells", lead, F.size("_cells")))).where(F.size("_row") == 5)
-    named = aligned.withColumn("_name", _bare_label(F.get("_row", F.lit(0))))
+    first = evaluated(body.where(F.size("_cells") >= 5).withColumn("_first", cell_text(F.get("_cells", F.lit(0)))))
+    lead = F.when(F.col("_first") != "", 1).otherwise(F.coalesce(F.array_min(F.filter(
+        F.sequence(F.lit(1), F.size("_cells")), lambda i: cell_text(F.get("_cells", i - 1)) != "")), F.lit(1)))
+    aligned = evaluated(first.withColumn("_lead", lead)).where(F.size("_cells") - F.col("_lead") == 4)
+    named = evaluated(aligned.withColumn("_name", _bare_label(F.when(F.col("_lead") == 1, F.col("_first")).otherwise(
+        cell_text(F.get("_cells", F.col("_lead") - 1))))))
     metric, raw = F.lit(None).cast("string"), F.lit(None).cast("string")
     for label, (target, index) in labels.items():
         metric = F.when(F.col("_name") == label, F.lit(target)).otherwise(metric)
-        raw = F.when(F.col("_name") == label, F.get("_row", F.lit(index))).otherwise(raw)
-    cells = evaluated(named.select(*keys, metric.alias("metric"), raw.alias("raw"))).where("metric IS NOT NULL")
+        raw = F.when(F.col("_name") == label, F.get("_cells", F.col("_lead") - 1 + index)).otherwise(raw)
+    cells = evaluated(evaluated(named.select(*keys, metric.alias("metric"), raw.alias("_raw"))).where("metric IS NOT NULL").select(
+        *keys, "metric", cell_text(F.col("_raw")).alias("raw")))
     typed = cells.withColumn("value", F.when(F.col("raw").rlike(r"^[+-]?\d+(\.\d+)?$"), F.col("raw").try_cast("double"))).withColumn(
         "bad", ~F.col("raw").isin(*BLANK_CELLS) & F.col("value").isNull())
     return typed.groupBy(*keys, "metric").agg(
