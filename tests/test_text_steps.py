@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vintara.functions import texts
 from vintara.operators import releases, text
 from vintara.queries import QUERIES, fixture, load_all
+from vintara.sources import files, sinks
 
 load_all()
 
@@ -105,3 +106,26 @@ def test_cells_are_cleaned_behind_blank_ones(spark):
     pages = frame(spark, [f"<table><tr><td>x</td></tr>{head}{rows}</table>", f"<table>{rows}</table>", None]).withColumn("month", F.lit(2))
     found = text.table_metrics(pages, {"L": ("M", 2), "Q": ("N", 1)}, ["k"])
     assert [(r.k, r.metric, r.value, r.problem) for r in found.collect()] == [(0, "M", 7.5, None)]
+
+
+def test_raw_files_hold_the_lines_of_their_key(spark, tmp_path):
+    rows = [(1, "a\nb"), (2, None), (3, "１"), (3, "１"), (None, "n")]
+    sinks.write_raw_files(spark.createDataFrame(rows, "k long, c string").repartition(3, "k"), "k", "c", f"file:{tmp_path}/raw")
+    found = files.read_evidence(spark, f"{tmp_path}/raw", "raw").selectExpr("split(path, '/')[0] AS k", "decode(content, 'UTF-8') AS c")
+    assert sorted((r.k, r.c) for r in found.collect()) == [("k=1", "a\nb\n"), ("k=2", "\n"), ("k=3", "１\n１\n"), ("k=__HIVE_DEFAULT_PARTITION__", "n\n")]
+    assert all(p.name.startswith("part-") for p in tmp_path.rglob("*") if p.is_file())
+    sinks.write_raw_files(spark.createDataFrame([], "k long, c string"), "k", "c", str(tmp_path / "none"))
+    assert files.read_evidence(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    few = 4 * spark.sparkContext.defaultParallelism
+    sinks.write_raw_files(spark.range(few + 40).selectExpr("id", "'x' AS c"), "id", "c", str(tmp_path / "raw"))
+    usual, tracker = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism"), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "listing")
+    found = files.read_evidence(spark, str(tmp_path / "raw"))
+    stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setJobGroup("read", "read")
+    assert stages and all(tracker.getStageInfo(s).numTasks <= few for s in stages)
+    assert found.count() == few + 40
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == usual
