@@ -211,9 +211,9 @@ def preferred_occurrence(documents: DataFrame, labels: list[str], keys: list[str
                        signed(value, F.col("b.change")).alias("value"))
 
 
-def table_cells(html: Column) -> Column:
+def table_cells(html: Column, clean=compact) -> Column:
     """tables -> rows -> cell texts, an array of arrays of arrays."""
-    return F.transform(raw_cells(html), lambda t: F.transform(t, lambda r: F.transform(r, cell_text)))
+    return F.transform(raw_cells(html), lambda t: F.transform(t, lambda r: F.transform(r, lambda c: cell_text(c, clean))))
 
 
 def raw_cells(html: Column) -> Column:
@@ -224,8 +224,8 @@ def raw_cells(html: Column) -> Column:
             r, F.lit(rf"(?is)<t[dh][^>]*>({until('/t[dh]>')})</t[dh]>"), 1)))
 
 
-def cell_text(cell: Column) -> Column:
-    return compact(F.when(F.contains(cell, F.lit("<")), F.regexp_replace(cell, "<[^>]*>", "")).otherwise(cell))
+def cell_text(cell: Column, clean=compact) -> Column:
+    return clean(F.when(F.contains(cell, F.lit("<")), F.regexp_replace(cell, "<[^>]*>", "")).otherwise(cell))
 
 
 # Second header row, first cells of the first one, cells that hold no value, units behind a label.
@@ -260,7 +260,7 @@ def table_metrics(pages: DataFrame, labels: dict[str, tuple[str, int]], keys: li
     def opens(i: Column) -> Column:
         row, below = F.get("_rows", i - 1), F.get("_rows", i)
         return F.coalesce((F.size(row) == 3) & (F.size(below) == len(HEADER_CELLS)) & cell_text(F.get(row, F.lit(0))).isin(*HEADER_NAMES) & (
-            F.transform(F.slice(row, 2, 2), plain) == wanted) & (F.transform(below, cell_text) == F.array(*map(F.lit, HEADER_CELLS))), F.lit(False))
+            F.transform(F.slice(row, 2, 2), plain) == wanted) & (F.transform(below, lambda c: cell_text(c)) == F.array(*map(F.lit, HEADER_CELLS))), F.lit(False))
 
     headed = rows.withColumn("_at", F.array_min(F.filter(F.sequence(F.lit(1), F.greatest(F.size("_rows"), F.lit(1))), opens)))
     body = evaluated(headed.select(*keys, "_rows", "_at")).where("_at IS NOT NULL").select(
